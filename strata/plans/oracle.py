@@ -267,13 +267,13 @@ def _sql() -> dict[str, str]:
         "confusion_matrix": test + "select tp, tn, fp, fn from confusion",
         "classification_metrics": test
         + f""", m AS (
-          select *, case when tp + fp = 0 then 0.0 else tp / (tp + fp) end precision,
+          select *, case when tp + fp = 0 then 0.0 else tp / (tp + fp) end "precision",
                     case when tp + fn = 0 then 0.0 else tp / (tp + fn) end recall,
                     case when tp + tn + fp + fn = 0 then 0.0 else (tp + tn) / (tp + tn + fp + fn) end accuracy
           from confusion)
-        select tp, tn, fp, fn, round(precision, {R}) precision, round(recall, {R}) recall,
-               round(case when precision + recall = 0 then 0.0
-                          else 2 * precision * recall / (precision + recall) end, {R}) f1,
+        select tp, tn, fp, fn, round("precision", {R}) "precision", round(recall, {R}) recall,
+               round(case when "precision" + recall = 0 then 0.0
+                          else 2 * "precision" * recall / ("precision" + recall) end, {R}) f1,
                round(accuracy, {R}) accuracy
         from m""",
         "top_weighted_words": fit
