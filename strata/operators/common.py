@@ -55,6 +55,13 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> Da
     return F.broadcast(df) if seen <= max_rows else df
 
 
+def broadcast_within(df: DataFrame, bound: int | None, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
+    """Broadcast ``df`` when a proven upper bound on its rows is within ``limit``;
+    otherwise leave it to a shuffle join.  The bound comes from a cheap source
+    (e.g. the query table), so no derived plan is executed to check it."""
+    return F.broadcast(df) if bound is not None and bound <= limit else df
+
+
 def broadcast_bounded(df: DataFrame, bound: int) -> DataFrame:
     """Broadcast a frame whose row count is bounded by construction (``bound``)."""
     if bound > BOUNDED_ROW_LIMIT:

@@ -17,30 +17,48 @@ are merged after the limit; this is exact for the tie rule (score desc, id asc).
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.numeric import round_score
 from strata.functions.text import tokenize
-from strata.operators.common import broadcast_bounded, broadcast_if_small, top_n, top_n_per_group
+from strata.operators.common import broadcast_bounded, broadcast_within, top_n, top_n_per_group
 from strata.operators.text import CORPUS_VOCABULARY, term_frequency
 
 METRICS = ("cosine", "dot")
 
 
+class QuerySet(NamedTuple):
+    """Query vectors with proven size bounds taken from the query table itself."""
+
+    vectors: DataFrame  # (query_id, pos, value)
+    max_rows: int  # ≥ rows of ``vectors`` (number of query tokens)
+    max_queries: int  # ≥ number of queries
+
+
 def query_vectors(
     queries: DataFrame, vocab: DataFrame, idf: DataFrame, k: int = CORPUS_VOCABULARY
-) -> DataFrame:
+) -> QuerySet:
     """(query_id, text) → TF-IDF vectors (query_id, pos, value) against the corpus
-    vocabulary and IDF.  A query without a vocabulary word has no rows."""
+    vocabulary and IDF.  A query without a vocabulary word has no rows.
+
+    The bounds come from one scan of the query table (never the corpus): a query
+    has at most as many vector rows as tokens.
+    """
+    stats = queries.agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.size(tokenize("text"))).alias("tokens")
+    ).first()
     tokens = queries.select(
         F.col("query_id").alias("doc_id"), F.explode(tokenize("text")).alias("word")
     )
     positions = tokens.join(broadcast_bounded(vocab.select("word", "pos"), k), "word")
     tf = term_frequency(positions.select("doc_id", "pos"))
-    return tf.join(broadcast_bounded(idf, k), "pos").select(
+    vectors = tf.join(broadcast_bounded(idf, k), "pos").select(
         F.col("doc_id").alias("query_id"), "pos", (F.col("tf") * F.col("idf")).alias("value")
     )
+    return QuerySet(vectors, int(stats["tokens"] or 0), int(stats["n"]))
 
 
 def _l2_norm(df: DataFrame, key: str, value: str, name: str) -> DataFrame:
@@ -49,7 +67,7 @@ def _l2_norm(df: DataFrame, key: str, value: str, name: str) -> DataFrame:
     )
 
 
-def score_documents(tfidf: DataFrame, qvec: DataFrame, metric: str = "cosine") -> DataFrame:
+def score_documents(tfidf: DataFrame, qs: QuerySet, metric: str = "cosine") -> DataFrame:
     """(query_id, doc_id, score) for every pair sharing at least one position.
 
     ``dot``: Σ v·q.  ``cosine``: Σ v·q / (‖v‖ ‖q‖), 0 when a norm is 0.
@@ -57,11 +75,13 @@ def score_documents(tfidf: DataFrame, qvec: DataFrame, metric: str = "cosine") -
     if metric not in METRICS:
         raise ValueError(f"metric must be one of {METRICS}")
     docs = tfidf.select("doc_id", "pos", "value")
-    queries = qvec.select("query_id", "pos", F.col("value").alias("q"))
+    queries = qs.vectors.select("query_id", "pos", F.col("value").alias("q"))
     if metric == "cosine":
         docs = _l2_norm(docs, "doc_id", "value", "dnorm")
         queries = _l2_norm(queries, "query_id", "q", "qnorm")
-    joined = docs.join(broadcast_if_small(queries), "pos")
+    # Broadcast: no TF-IDF row moves.  Beyond the bound: a shuffle join on pos,
+    # whose frequent-word skew AQE splits.
+    joined = docs.join(broadcast_within(queries, qs.max_rows), "pos")
     aggs = [F.sum(F.col("value") * F.col("q")).alias("dot")]
     if metric == "cosine":
         aggs += [F.max("dnorm").alias("dnorm"), F.max("qnorm").alias("qnorm")]
@@ -77,14 +97,14 @@ def score_documents(tfidf: DataFrame, qvec: DataFrame, metric: str = "cosine") -
 
 def knn_neighbors(
     tfidf: DataFrame,
-    qvec: DataFrame,
+    qs: QuerySet,
     k: int = 10,
     metric: str = "cosine",
     restrict_to: DataFrame | None = None,
 ) -> DataFrame:
     """Top-k documents per query: (query_id, rank, doc_id, score), score rounded
     to 9 decimals, ties by doc_id.  ``restrict_to`` (doc_id) limits the candidates."""
-    scored = score_documents(tfidf, qvec, metric)
+    scored = score_documents(tfidf, qs, metric)
     candidates = tfidf.select("doc_id").distinct()
     if restrict_to is not None:
         allowed = restrict_to.select("doc_id").distinct()
@@ -96,7 +116,7 @@ def knn_neighbors(
     first_ids = top_n(candidates, 2 * k, [F.col("doc_id").asc()]).agg(
         F.collect_list("doc_id")
     )
-    live_queries = qvec.select("query_id").distinct()
+    live_queries = qs.vectors.select("query_id").distinct()
     zeros = live_queries.select(
         "query_id", F.explode(first_ids.scalar()).alias("doc_id"), F.lit(0.0).alias("score")
     )
@@ -108,10 +128,15 @@ def knn_neighbors(
     return best.select("query_id", "rank", "doc_id", "score")
 
 
-def knn_vote_documents(neighbors: DataFrame, links: DataFrame, k: int = 10) -> DataFrame:
+def knn_vote_documents(
+    neighbors: DataFrame, links: DataFrame, k: int = 10, max_queries: int | None = None
+) -> DataFrame:
     """Document voting: every link of every neighbour is one vote for its category.
-    Top ``k`` categories per query by votes, ties by category: (query_id, category, votes)."""
-    joined = links.join(broadcast_if_small(neighbors.select("query_id", "doc_id")), "doc_id")
+    Top ``k`` categories per query by votes, ties by category: (query_id, category, votes).
+
+    The neighbour list (≤ queries × k rows) is broadcast when ``max_queries`` bounds it."""
+    bound = None if max_queries is None else max_queries * k
+    joined = links.join(broadcast_within(neighbors.select("query_id", "doc_id"), bound), "doc_id")
     votes = joined.groupBy("query_id", "category").agg(F.count(F.lit(1)).alias("votes"))
     ranked = top_n_per_group(
         votes, "query_id", k, [F.col("votes").desc(), F.col("category").asc()]
@@ -120,7 +145,7 @@ def knn_vote_documents(neighbors: DataFrame, links: DataFrame, k: int = 10) -> D
 
 
 def knn_vote_pairs(
-    tfidf: DataFrame, qvec: DataFrame, links: DataFrame, k: int = 10, metric: str = "dot"
+    tfidf: DataFrame, qs: QuerySet, links: DataFrame, k: int = 10, metric: str = "dot"
 ) -> DataFrame:
     """Pair voting: rank (category, document) pairs by the document's score, take
     the top k pairs, count them per category; top ``k`` categories per query.
@@ -128,8 +153,9 @@ def knn_vote_pairs(
     Only documents with a link form pairs.  The top k pairs come from the top k
     linked documents (each has ≥ 1 link), so only their links are joined — the
     vectors are never multiplied by categories."""
-    top_docs = knn_neighbors(tfidf, qvec, k, metric, restrict_to=links)
-    pairs = links.join(broadcast_if_small(top_docs.select("query_id", "doc_id", "score")), "doc_id")
+    top_docs = knn_neighbors(tfidf, qs, k, metric, restrict_to=links)
+    bound = qs.max_queries * k
+    pairs = links.join(broadcast_within(top_docs.select("query_id", "doc_id", "score"), bound), "doc_id")
     top_pairs = top_n_per_group(
         pairs,
         "query_id",
@@ -145,7 +171,7 @@ def knn_vote_pairs(
 
 def knn_predict(
     tfidf: DataFrame,
-    qvec: DataFrame,
+    qs: QuerySet,
     links: DataFrame,
     k: int = 10,
     metric: str = "cosine",
@@ -153,7 +179,7 @@ def knn_predict(
 ) -> DataFrame:
     """Predicted categories per query.  Defaults: cosine, document voting."""
     if vote == "documents":
-        return knn_vote_documents(knn_neighbors(tfidf, qvec, k, metric), links, k)
+        return knn_vote_documents(knn_neighbors(tfidf, qs, k, metric), links, k, qs.max_queries)
     if vote == "pairs":
-        return knn_vote_pairs(tfidf, qvec, links, k, metric)
+        return knn_vote_pairs(tfidf, qs, links, k, metric)
     raise ValueError("vote must be 'documents' or 'pairs'")

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -125,17 +126,39 @@ class TextFeatures(NamedTuple):
     k: int
 
 
-def text_features(docs: DataFrame, k: int = CORPUS_VOCABULARY) -> TextFeatures:
-    """The whole corpus pipeline, lazily: tokens → vocabulary → TF → DF → IDF → TF-IDF."""
+def text_features(
+    docs: DataFrame,
+    k: int = CORPUS_VOCABULARY,
+    storage: StorageLevel | None = StorageLevel.MEMORY_AND_DISK,
+) -> TextFeatures:
+    """Fit the corpus pipeline: tokens → vocabulary → TF → DF → IDF → TF-IDF.
+
+    The text is tokenized twice: once to count words (vocabulary), once to map
+    words to positions.  With ``storage`` set, the three reused pieces are
+    persisted and materialised here, like a model fit: the vocabulary (≤ K rows),
+    TF (hash-partitioned by doc_id; read by DF, TF-IDF, scoring) and IDF (≤ K rows).
+    Later plans then read them once and know TF's partitioning, so per-document
+    steps downstream need no shuffle.  Lost cached blocks are recomputed from
+    lineage.  ``storage=None`` keeps everything lazy (and recomputed per use).
+    """
     tokens = doc_tokens(docs)
     counts = word_counts(tokens)
-    vocab = build_vocabulary(counts, k)
-    tf = term_frequency(tokens_to_positions(tokens, vocab, k))
+    vocab = _materialize(build_vocabulary(counts, k), storage)
+    tf = _materialize(term_frequency(tokens_to_positions(tokens, vocab, k)), storage)
     doc_freq = document_frequency(tf)
     idf = inverse_document_frequency(doc_freq, docs.agg(F.count(F.lit(1))))
+    idf = _materialize(idf, storage)
     return TextFeatures(tokens, counts, vocab, tf, doc_freq, idf, tf_idf(tf, idf, k), k)
 
 
+def _materialize(df: DataFrame, storage: StorageLevel | None) -> DataFrame:
+    if storage is None:
+        return df
+    df = df.persist(storage)
+    df.count()
+    return df
+
+
 def featurize(docs: DataFrame, vocab: DataFrame, k: int) -> DataFrame:
     """TF vectors (doc_id, pos, tf) of any documents against a given vocabulary
     (the training one for a test set)."""

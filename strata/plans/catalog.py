@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -125,7 +126,8 @@ def q_vocabulary_tail(spark, sf):
 
 def _classifier_vocab(spark, sf) -> DataFrame:
     train = views.labelled_view(spark, sf, "train")
-    return text.build_vocabulary(text.word_counts(text.doc_tokens(train)), CLASSIFIER_K)
+    vocab = text.build_vocabulary(text.word_counts(text.doc_tokens(train)), CLASSIFIER_K)
+    return vocab.persist(StorageLevel.MEMORY_AND_DISK)  # ≤ K rows, read by train and test
 
 
 def q_vocab_lookup(spark, sf):
@@ -163,38 +165,37 @@ def q_tf_idf(spark, sf):
 
 def _knn_inputs(spark, sf):
     c = _corpus(spark, sf)
-    qvec = knn.query_vectors(views.query_texts_view(spark, sf), c.vocab, c.idf, c.k)
-    return c, qvec
+    return c, knn.query_vectors(views.query_texts_view(spark, sf), c.vocab, c.idf, c.k)
 
 
 def q_query_vectors(spark, sf):
-    _, qvec = _knn_inputs(spark, sf)
-    return qvec.select("query_id", "pos", _r("value"))
+    _, qs = _knn_inputs(spark, sf)
+    return qs.vectors.select("query_id", "pos", _r("value"))
 
 
 def q_scores_cosine(spark, sf):
-    c, qvec = _knn_inputs(spark, sf)
-    return knn.score_documents(c.tfidf, qvec, "cosine").select("query_id", "doc_id", _r("score"))
+    c, qs = _knn_inputs(spark, sf)
+    return knn.score_documents(c.tfidf, qs, "cosine").select("query_id", "doc_id", _r("score"))
 
 
 def q_scores_dot(spark, sf):
-    c, qvec = _knn_inputs(spark, sf)
-    return knn.score_documents(c.tfidf, qvec, "dot").select("query_id", "doc_id", _r("score"))
+    c, qs = _knn_inputs(spark, sf)
+    return knn.score_documents(c.tfidf, qs, "dot").select("query_id", "doc_id", _r("score"))
 
 
 def q_knn_neighbors(spark, sf):
-    c, qvec = _knn_inputs(spark, sf)
-    return knn.knn_neighbors(c.tfidf, qvec, KNN_K, "cosine")
+    c, qs = _knn_inputs(spark, sf)
+    return knn.knn_neighbors(c.tfidf, qs, KNN_K, "cosine")
 
 
 def q_knn_vote_documents(spark, sf):
-    c, qvec = _knn_inputs(spark, sf)
-    return knn.knn_predict(c.tfidf, qvec, views.links_view(spark, sf), KNN_K, "cosine", "documents")
+    c, qs = _knn_inputs(spark, sf)
+    return knn.knn_predict(c.tfidf, qs, views.links_view(spark, sf), KNN_K, "cosine", "documents")
 
 
 def q_knn_vote_pairs(spark, sf):
-    c, qvec = _knn_inputs(spark, sf)
-    return knn.knn_predict(c.tfidf, qvec, views.links_view(spark, sf), KNN_K, "dot", "pairs")
+    c, qs = _knn_inputs(spark, sf)
+    return knn.knn_predict(c.tfidf, qs, views.links_view(spark, sf), KNN_K, "dot", "pairs")
 
 
 # --------------------------------------------------------------------- classifier
