@@ -23,13 +23,16 @@ def _col(c: Column | str) -> Column:
 
 
 def tokenize(text: Column | str) -> Column:
-    """Text → array of lower-case words.
+    """Text → array of lower-case words (maximal runs of ASCII letters).
 
     Non-letters become spaces *before* lower-casing: lower-casing first would turn
-    non-ASCII letters such as the Kelvin sign into ASCII ones.
+    non-ASCII letters such as the Kelvin sign into ASCII ones.  After the replace
+    only letters and single spaces remain, so trimming and splitting on one space
+    leaves no empty token except for a text without letters, which
+    ``array_remove`` clears.  All built-ins with code generation (no lambda).
     """
-    spaced = F.lower(F.regexp_replace(_col(text), NON_LETTERS, " "))
-    return F.filter(F.split(spaced, " "), lambda w: w != "")
+    spaced = F.trim(F.lower(F.regexp_replace(_col(text), NON_LETTERS, " ")))
+    return F.array_remove(F.split(spaced, " "), "")
 
 
 def _markers(line: Column) -> tuple[Column, Column, Column]:

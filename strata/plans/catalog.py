@@ -108,20 +108,24 @@ def _corpus(spark, sf) -> text.TextFeatures:
     return text.text_features(views.corpus_view(spark, sf), CORPUS_K)
 
 
+def _word_counts(spark, sf) -> DataFrame:
+    return text.word_counts(text.doc_tokens(views.corpus_view(spark, sf)))
+
+
 def q_word_counts(spark, sf):
-    return _corpus(spark, sf).counts
+    return _word_counts(spark, sf)
 
 
 def q_top_words(spark, sf):
-    return text.top_words(_corpus(spark, sf).counts, TOP_N)
+    return text.top_words(_word_counts(spark, sf), TOP_N)
 
 
 def q_vocabulary(spark, sf):
-    return _corpus(spark, sf).vocab
+    return text.build_vocabulary(_word_counts(spark, sf), CORPUS_K)
 
 
 def q_vocabulary_tail(spark, sf):
-    return text.vocabulary_tail(_corpus(spark, sf).vocab, TAIL_N)
+    return text.vocabulary_tail(q_vocabulary(spark, sf), TAIL_N)
 
 
 def _classifier_vocab(spark, sf) -> DataFrame:
@@ -136,8 +140,9 @@ def q_vocab_lookup(spark, sf):
 
 
 def q_tokens_to_positions(spark, sf):
-    c = _corpus(spark, sf)
-    return text.position_counts(text.tokens_to_positions(c.tokens, c.vocab, c.k))
+    tokens = text.doc_tokens(views.corpus_view(spark, sf))
+    vocab = text.build_vocabulary(text.word_counts(tokens), CORPUS_K)
+    return text.position_counts(text.tokens_to_positions(tokens, vocab, CORPUS_K))
 
 
 def q_term_frequency(spark, sf):
