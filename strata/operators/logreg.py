@@ -71,7 +71,8 @@ def sample_documents(examples: DataFrame, fraction: float, seed: int) -> DataFra
     of (seed, doc_id): independent of partitioning, identical on recomputation."""
     if fraction >= 1.0:
         return examples
-    u = (F.xxhash64(F.lit(seed), F.col("doc_id")) & F.lit((1 << 53) - 1)) / F.lit(float(1 << 53))
+    bits = F.xxhash64(F.lit(seed), F.col("doc_id")).bitwiseAND(F.lit((1 << 53) - 1))
+    u = bits / F.lit(float(1 << 53))  # uniform in [0, 1)
     return examples.where(u < F.lit(fraction))
 
 

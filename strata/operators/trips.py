@@ -74,9 +74,14 @@ def mean_rate_per_key(trips: DataFrame, key: str = "driver", name: str = "rate")
     return trip_rate(trips).groupBy(key).agg(F.avg("rate").alias(name))
 
 
-def top_by(df: DataFrame, key: str, value: str, n: int = 10) -> DataFrame:
+# Rates are money per minute in the thousands: 6 decimals keep 10 significant
+# digits, well above the last-bit noise of sums added in another order.
+RATE_DECIMALS = 6
+
+
+def top_by(df: DataFrame, key: str, value: str, n: int = 10, decimals: int = 9) -> DataFrame:
     """Top ``n`` rows by ``value`` (rounded, descending); ties by ``key`` ascending."""
-    return top_n(df, n, [round_score(value).desc(), F.col(key).asc_nulls_first()])
+    return top_n(df, n, [round_score(value, decimals).desc(), F.col(key).asc_nulls_first()])
 
 
 def top_vehicles(trips: DataFrame, n: int = 10) -> DataFrame:
@@ -84,4 +89,4 @@ def top_vehicles(trips: DataFrame, n: int = 10) -> DataFrame:
 
 
 def top_drivers(trips: DataFrame, n: int = 10) -> DataFrame:
-    return top_by(mean_rate_per_key(trips), "driver", "rate", n)
+    return top_by(mean_rate_per_key(trips), "driver", "rate", n, RATE_DECIMALS)

@@ -34,8 +34,8 @@ TOP_WORDS_N = 5
 LOOKUP_WORDS = ["applicant", "and", "attack", "protein", "car", "in"]
 
 
-def _r(column: str, alias: str | None = None):
-    return round_score(column).alias(alias or column)
+def _r(column: str, alias: str | None = None, decimals: int = 9):
+    return round_score(column, decimals).alias(alias or column)
 
 
 # ----------------------------------------------------------------------------- trips
@@ -58,11 +58,13 @@ def q_top_vehicles(spark, sf):
 
 
 def q_mean_rate_per_driver(spark, sf):
-    return trips.mean_rate_per_key(q_clean_trips(spark, sf)).select("driver", _r("rate"))
+    rates = trips.mean_rate_per_key(q_clean_trips(spark, sf))
+    return rates.select("driver", _r("rate", decimals=trips.RATE_DECIMALS))
 
 
 def q_top_drivers(spark, sf):
-    return trips.top_drivers(q_clean_trips(spark, sf), TOP_N).select("driver", _r("rate"))
+    top = trips.top_drivers(q_clean_trips(spark, sf), TOP_N)
+    return top.select("driver", _r("rate", decimals=trips.RATE_DECIMALS))
 
 
 # ----------------------------------------------------------------- lines and links

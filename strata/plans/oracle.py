@@ -12,6 +12,7 @@ from strata.plans import catalog as C
 K = C.CORPUS_K
 CK = C.CLASSIFIER_K
 R = 9  # decimals
+RR = 6  # decimals of trip rates (values in the thousands)
 
 
 def _with(*ctes: str) -> str:
@@ -193,10 +194,10 @@ def _sql() -> dict[str, str]:
         "drivers_per_vehicle": pairs + "select vehicle, drivers from per_vehicle",
         "top_vehicles": pairs
         + f"select vehicle, drivers from per_vehicle order by drivers desc, vehicle asc nulls first {cut(C.TOP_N)}",
-        "mean_rate_per_driver": rates + f"select driver, round(rate, {R}) rate from rates",
+        "mean_rate_per_driver": rates + f"select driver, round(rate, {RR}) rate from rates",
         "top_drivers": rates
-        + f"select driver, round(rate, {R}) rate from rates "
-        f"order by round(rate, {R}) desc, driver asc nulls first {cut(C.TOP_N)}",
+        + f"select driver, round(rate, {RR}) rate from rates "
+        f"order by round(rate, {RR}) desc, driver asc nulls first {cut(C.TOP_N)}",
         "doc_lines_parsed": _with(DOC_LINES)
         + """select substring(value, strpos(value, 'id="') + 4,
                          greatest(strpos(value, '" url=') - strpos(value, 'id="') - 4, 0)) doc_id,
