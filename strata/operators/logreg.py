@@ -1,14 +1,17 @@
 """L2-regularised logistic regression by (mini-batch) gradient descent.
 
 Examples are long-form rows (doc_id, label, pos, value) with the bias as position
-``n_features`` (value 1).  One step is one distributed aggregate:
-
-* the weight vector (n_features + 1 rows, bounded) is broadcast;
-* θ = x·w per document is a window over doc_id — the examples are stored
-  hash-partitioned and sorted by doc_id, so this needs no shuffle;
-* the gradient Σ x (σ(θ) − y) is grouped by position (combined map-side, at most
-  n_features + 1 rows per task), and the loss and sample count ride along on the
-  bias position, which every example holds exactly once.
+``n_features`` (value 1).  For training they are packed once into one row per
+document (doc_id, label, pos[], value[]) and written to the shared checkpoint
+folder.  One step is then one distributed aggregate with no per-document shuffle:
+
+* the weight vector (n_features + 1 numbers, bounded by the vocabulary size)
+  travels as one constant array folded into the plan;
+* θ = x·w is computed inside each document row;
+* the row explodes to (pos, x·(σ(θ) − y)) and is summed by position (combined
+  map-side: at most n_features + 1 rows per task cross the shuffle); the loss
+  and the sample count ride along on the bias position, which every document
+  holds exactly once.
 
 Only the gradient (n_features + 1 numbers) returns to the driver each iteration,
 as in any driver-controlled iterative fit; the data never does.
@@ -18,8 +21,10 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
+import json
+
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -60,20 +65,27 @@ def logreg_examples(tf: DataFrame, labels: DataFrame, n_features: int) -> DataFr
     return features.unionByName(bias)
 
 
-def stage_examples(examples: DataFrame) -> DataFrame:
-    """Lay examples out by document (hash-partitioned and sorted by doc_id) so each
-    step's per-document window runs without a shuffle or a sort."""
-    return examples.repartition("doc_id").sortWithinPartitions("doc_id")
+def pack_examples(examples: DataFrame) -> DataFrame:
+    """Long-form examples → one row per document (doc_id, label, pos[], value[]),
+    positions ascending.  A document holds at most n_features + 1 entries, so no
+    row can outgrow a task however skewed the corpus is."""
+    packed = examples.groupBy("doc_id").agg(
+        F.first("label").alias("label"),
+        F.sort_array(F.collect_list(F.struct("pos", "value"))).alias("entries"),
+    )
+    return packed.select(
+        "doc_id", "label", F.col("entries.pos").alias("pos"), F.col("entries.value").alias("value")
+    )
 
 
-def sample_documents(examples: DataFrame, fraction: float, seed: int) -> DataFrame:
+def sample_documents(docs: DataFrame, fraction: float, seed: int) -> DataFrame:
     """Bernoulli sample of whole documents without replacement.  The draw is a hash
     of (seed, doc_id): independent of partitioning, identical on recomputation."""
     if fraction >= 1.0:
-        return examples
+        return docs
     bits = F.xxhash64(F.lit(seed), F.col("doc_id")).bitwiseAND(F.lit((1 << 53) - 1))
     u = bits / F.lit(float(1 << 53))  # uniform in [0, 1)
-    return examples.where(u < F.lit(fraction))
+    return docs.where(u < F.lit(fraction))
 
 
 def weights_frame(spark: SparkSession, weights: np.ndarray) -> DataFrame:
@@ -81,18 +93,32 @@ def weights_frame(spark: SparkSession, weights: np.ndarray) -> DataFrame:
     return spark.createDataFrame(rows, WEIGHT_SCHEMA)
 
 
-def gradient_sums(examples: DataFrame, weights: DataFrame, n_features: int) -> DataFrame:
+def weights_constant(weights: np.ndarray) -> Column:
+    """The weight vector as one array<double> constant (folded at planning; exact,
+    since JSON keeps the shortest round-trip form of each double)."""
+    return F.from_json(F.lit(json.dumps([float(w) for w in weights])), "array<double>")
+
+
+def packed_theta(weights: np.ndarray) -> Column:
+    """θ = Σ value · w[pos] over a packed document row."""
+    w = weights_constant(weights)
+    products = F.zip_with("pos", "value", lambda p, v: v * F.get(w, p.cast("int")))
+    return F.aggregate(products, F.lit(0.0), lambda acc, x: acc + x)
+
+
+def gradient_sums(packed: DataFrame, weights: np.ndarray, n_features: int) -> DataFrame:
     """(pos, grad, loss, n): Σ x (σ(θ) − y) per position; the bias row also carries
     Σ loss and the number of documents."""
-    w = broadcast_bounded(weights, n_features + 1)
-    joined = examples.join(w, "pos")
-    theta = F.sum(F.col("value") * F.col("weight")).over(Window.partitionBy("doc_id"))
-    with_theta = joined.withColumn("theta", theta)
-    residual = logistic(F.col("theta")) - F.col("label").cast("double")
-    is_bias = F.col("pos") == F.lit(n_features)
-    return with_theta.groupBy("pos").agg(
-        F.sum(F.col("value") * residual).alias("grad"),
-        F.sum(F.when(is_bias, softplus_loss(F.col("theta"), F.col("label")))).alias("loss"),
+    with_theta = packed.select("label", "pos", "value", packed_theta(weights).alias("theta"))
+    scored = with_theta.select(
+        (logistic(F.col("theta")) - F.col("label").cast("double")).alias("residual"),
+        softplus_loss(F.col("theta"), F.col("label")).alias("doc_loss"),
+        F.explode(F.arrays_zip("pos", "value")).alias("x"),
+    )
+    is_bias = F.col("x.pos") == F.lit(n_features)
+    return scored.groupBy(F.col("x.pos").alias("pos")).agg(
+        F.sum(F.col("x.value") * F.col("residual")).alias("grad"),
+        F.sum(F.when(is_bias, F.col("doc_loss"))).alias("loss"),
         F.count_if(is_bias).alias("n"),
     )
 
@@ -103,17 +129,17 @@ class StepResult(NamedTuple):
     n: int
 
 
-def logreg_step(examples: DataFrame, weights: np.ndarray, n_features: int) -> StepResult:
-    """One distributed pass: gradient sums, loss sum and sample count."""
-    spark = examples.sparkSession
-    rows = gradient_sums(examples, weights_frame(spark, weights), n_features).collect()
+def logreg_step(packed: DataFrame, weights: np.ndarray, n_features: int) -> StepResult:
+    """One distributed pass over packed examples: gradient sums, loss sum and
+    sample count (n_features + 1 rows reach the driver)."""
+    # Arrow transfer of n_features + 1 rows (faster than building Python Rows).
+    sums = gradient_sums(packed, weights, n_features).toPandas()
     grad = np.zeros(n_features + 1)
-    loss, n = 0.0, 0
-    for r in rows:
-        grad[r["pos"]] = r["grad"]
-        if r["pos"] == n_features:
-            loss, n = float(r["loss"] or 0.0), int(r["n"])
-    return StepResult(grad, loss, n)
+    grad[sums["pos"].to_numpy(dtype=np.int64)] = sums["grad"].to_numpy(dtype=np.float64)
+    bias = sums[sums["pos"] == n_features]
+    if bias.empty:
+        return StepResult(grad, 0.0, 0)
+    return StepResult(grad, float(bias["loss"].iloc[0]), int(bias["n"].iloc[0]))
 
 
 class FitResult(NamedTuple):
@@ -153,10 +179,10 @@ def fit_logreg(
     if optimizer != "SGD":
         raise ValueError("only the 'SGD' optimizer is supported")
     spark = examples.sparkSession
-    # Written to the shared checkpoint folder: iterations survive lost executors
-    # and never recompute the feature pipeline.
-    staged = persist_reliably(stage_examples(examples))
-    train_size = staged.where(F.col("pos") == n_features).count()
+    # Packed once and written to the shared checkpoint folder: iterations survive
+    # lost executors and never recompute the feature pipeline.
+    staged = persist_reliably(pack_examples(examples))
+    train_size = staged.count()
     fraction = 1.0 if batch_size is None or train_size == 0 else min(1.0, batch_size / train_size)
     w = initial_weights(n_features, init, seed)
     prev_cost, costs = 0.0, []

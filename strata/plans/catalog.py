@@ -225,9 +225,9 @@ def q_logreg_examples(spark, sf):
 
 def q_logreg_step(spark, sf):
     """Gradient (Σ x(σ(θ)−y) / n) at zero weights over the whole training set."""
-    ex = _examples(spark, sf, "train")
-    zeros = logreg.weights_frame(spark, logreg.initial_weights(CLASSIFIER_K, "zeros"))
-    sums = logreg.gradient_sums(ex, zeros, CLASSIFIER_K)
+    packed = logreg.pack_examples(_examples(spark, sf, "train"))
+    zeros = logreg.initial_weights(CLASSIFIER_K, "zeros")
+    sums = logreg.gradient_sums(packed, zeros, CLASSIFIER_K)
     n = sums.where(F.col("pos") == CLASSIFIER_K).select("n")
     return sums.select("pos", round_score(F.col("grad") / n.scalar()).alias("gradient"))
 

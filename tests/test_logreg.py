@@ -30,7 +30,7 @@ def test_step_matches_numpy(spark):
     dense, labels = _data()
     ex = examples(spark, dense, labels)
     w = np.array([0.3, -0.2, 0.5, 0.1, -0.05])
-    step = logreg.logreg_step(ex, w, N_FEATURES)
+    step = logreg.logreg_step(logreg.pack_examples(ex), w, N_FEATURES)
     x = np.hstack([dense, np.ones((len(dense), 1))])
     theta = x @ w
     grad = x.T @ (1 / (1 + np.exp(-theta)) - labels)
