@@ -1,0 +1,17 @@
+"""Structured Streaming entry points (the batch trip operators over a file stream)."""
+
+from strata.streaming.trips import (
+    drivers_per_vehicle_stream,
+    mean_rate_stream,
+    read_trip_stream,
+    start_top_drivers,
+    start_top_vehicles,
+)
+
+__all__ = [
+    "read_trip_stream",
+    "drivers_per_vehicle_stream",
+    "mean_rate_stream",
+    "start_top_vehicles",
+    "start_top_drivers",
+]

@@ -1,0 +1,89 @@
+"""The trip operators over a file stream (Structured Streaming).
+
+The reference is batch only; this module adds no operator.  It feeds the same
+``clean_trips`` / distinct-driver / mean-rate logic from a directory of trip
+CSV files as they arrive, so the rankings stay current without recomputing
+history.  State: one entry per distinct (vehicle, driver) pair and one per
+vehicle or driver — the same sizes the batch aggregates hold.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from strata.operators.trips import RATE_DECIMALS, clean_trips, trip_rate
+from strata.sources.readers import TRIP_SCHEMA
+
+
+def read_trip_stream(
+    spark: SparkSession, path: str, max_files_per_trigger: int | None = None
+) -> DataFrame:
+    """Headerless trip CSV files appearing under ``path``, all fields strings."""
+    reader = spark.readStream.schema(TRIP_SCHEMA).option("header", "false")
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.csv(path)
+
+
+def drivers_per_vehicle_stream(raw: DataFrame) -> DataFrame:
+    """Running (vehicle, drivers): streaming dedup of pairs, then a count per
+    vehicle.  A null driver is one driver, as in the batch operator."""
+    pairs = clean_trips(raw).select("vehicle", "driver").dropDuplicates(["vehicle", "driver"])
+    return pairs.groupBy("vehicle").agg(F.count(F.lit(1)).alias("drivers"))
+
+
+def mean_rate_stream(raw: DataFrame) -> DataFrame:
+    """Running (driver, rate): mean earnings per minute per driver."""
+    return trip_rate(clean_trips(raw)).groupBy("driver").agg(F.avg("rate").alias("rate"))
+
+
+def start_top_vehicles(
+    raw: DataFrame,
+    n: int,
+    sink: str,
+    checkpoint: str,
+    query_name: str = "top_vehicles",
+    available_now: bool = False,
+) -> StreamingQuery:
+    """Maintain the top ``n`` vehicles in ``sink`` ('memory' or 'console'),
+    complete mode; ties by vehicle.  ``checkpoint`` must be on shared storage."""
+    top = (
+        drivers_per_vehicle_stream(raw)
+        .orderBy(F.col("drivers").desc(), F.col("vehicle").asc_nulls_first())
+        .limit(n)
+    )
+    writer = (
+        top.writeStream.outputMode("complete")
+        .format(sink)
+        .queryName(query_name)
+        .option("checkpointLocation", checkpoint)
+    )
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    return writer.start()
+
+
+def start_top_drivers(
+    raw: DataFrame,
+    n: int,
+    sink: str,
+    checkpoint: str,
+    query_name: str = "top_drivers",
+    available_now: bool = False,
+) -> StreamingQuery:
+    top = (
+        mean_rate_stream(raw)
+        .orderBy(F.round("rate", RATE_DECIMALS).desc(), F.col("driver").asc_nulls_first())
+        .limit(n)
+    )
+    writer = (
+        top.writeStream.outputMode("complete")
+        .format(sink)
+        .queryName(query_name)
+        .option("checkpointLocation", checkpoint)
+    )
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    return writer.start()
