@@ -36,6 +36,13 @@ def top_n_per_group(
     return ranked.where(F.col(rank) <= n)
 
 
+def preview(df: DataFrame, key: str, n: int) -> DataFrame:
+    """All rows of the ``n`` smallest ``key`` values (e.g. the first n document
+    vectors).  The key list is bounded by n and broadcast into a semi join."""
+    keys = top_n(df.select(key).distinct(), n, [F.col(key).asc()])
+    return df.join(F.broadcast(keys), key, "left_semi")
+
+
 def number_rows(df: DataFrame, order: Sequence[Column], name: str, start: int = 0) -> DataFrame:
     """Dense numbering of an already *bounded* frame (e.g. after ``limit``).
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.numeric import round_score
 from strata.operators import knn, links, logreg, text, trips
+from strata.operators.common import preview
 from strata.sources import driver_tables as views
 from strata.sources.readers import corpus_size, parse_doc_lines
 
@@ -30,8 +31,16 @@ CLASSIFIER_K = text.CLASSIFIER_VOCABULARY
 SUBSTRING_NEEDLE = "77"
 FULLBATCH_STEPS = 3
 TOP_WORDS_N = 5
+TF_PREVIEW_DOCS = 3
+TFIDF_PREVIEW_DOCS = 2
 # The words the reference looks up in its classifier dictionary.
 LOOKUP_WORDS = ["applicant", "and", "attack", "protein", "car", "in"]
+# The reference's three kNN query texts.
+REFERENCE_TEXTS = [
+    ("t1", "Sport Basketball Volleyball Soccer"),
+    ("t2", "What is the capital city of Australia?"),
+    ("t3", "How many goals Vancouver score last year?"),
+]
 
 
 def _r(column: str, alias: str | None = None, decimals: int = 9):
@@ -167,6 +176,16 @@ def q_tf_idf(spark, sf):
     return _corpus(spark, sf).tfidf.select("doc_id", "pos", _r("value"))
 
 
+def q_tf_preview(spark, sf):
+    """The TF vectors of the first documents (by id) that have one."""
+    return preview(_corpus(spark, sf).tf, "doc_id", TF_PREVIEW_DOCS).select("doc_id", "pos", _r("tf"))
+
+
+def q_tfidf_preview(spark, sf):
+    tfidf = _corpus(spark, sf).tfidf
+    return preview(tfidf, "doc_id", TFIDF_PREVIEW_DOCS).select("doc_id", "pos", _r("value"))
+
+
 # ---------------------------------------------------------------------------- kNN
 
 
@@ -200,6 +219,15 @@ def q_knn_vote_documents(spark, sf):
     return knn.knn_predict(c.tfidf, qs, views.links_view(spark, sf), KNN_K, "cosine", "documents")
 
 
+def q_knn_reference_texts(spark, sf):
+    """The reference's three query texts against the whole corpus (cosine,
+    document voting, k = 10)."""
+    c = _corpus(spark, sf)
+    texts = spark.createDataFrame(REFERENCE_TEXTS, "query_id string, text string")
+    qs = knn.query_vectors(texts, c.vocab, c.idf, c.k)
+    return knn.knn_predict(c.tfidf, qs, views.links_view(spark, sf), KNN_K, "cosine", "documents")
+
+
 def q_knn_vote_pairs(spark, sf):
     c, qs = _knn_inputs(spark, sf)
     return knn.knn_predict(c.tfidf, qs, views.links_view(spark, sf), KNN_K, "dot", "pairs")
@@ -223,6 +251,13 @@ def q_logreg_examples(spark, sf):
     return _examples(spark, sf, "train").select("doc_id", "label", "pos", _r("value"))
 
 
+def q_logreg_train_size(spark, sf):
+    """Training-set size: labelled training documents with at least one
+    vocabulary word (the bias row marks each once)."""
+    ex = _examples(spark, sf, "train")
+    return ex.where(F.col("pos") == CLASSIFIER_K).agg(F.count(F.lit(1)).alias("n"))
+
+
 def q_logreg_step(spark, sf):
     """Gradient (Σ x(σ(θ)−y) / n) at zero weights over the whole training set."""
     packed = logreg.pack_examples(_examples(spark, sf, "train"))
@@ -308,14 +343,18 @@ QUERIES: dict[str, Query] = {
     "document_frequency": q_document_frequency,
     "inverse_document_frequency": q_inverse_document_frequency,
     "tf_idf": q_tf_idf,
+    "tf_preview": q_tf_preview,
+    "tfidf_preview": q_tfidf_preview,
     "query_vectors": q_query_vectors,
     "scores_cosine": q_scores_cosine,
     "scores_dot": q_scores_dot,
     "knn_neighbors": q_knn_neighbors,
     "knn_vote_documents": q_knn_vote_documents,
     "knn_vote_pairs": q_knn_vote_pairs,
+    "knn_reference_texts": q_knn_reference_texts,
     "label_by_substring": q_label_by_substring,
     "logreg_examples": q_logreg_examples,
+    "logreg_train_size": q_logreg_train_size,
     "logreg_step": q_logreg_step,
     "logreg_fit_fullbatch": q_logreg_fit_fullbatch,
     "logreg_history": q_logreg_history,

@@ -84,8 +84,14 @@ dfreq AS (select pos, count(*) df from tf group by pos),
 idf AS (select pos, ln((select count(*) from corpus) / df) idf from dfreq),
 tfidf AS (select doc_id, pos, tf * idf value from tf join idf using (pos))"""
 
+BENCH_QUERIES = "queries AS (select cast(item_id as varchar) query_id, text from benchmark)"
+REF_QUERIES = (
+    "queries AS (select * from (values "
+    + ", ".join("('{}', '{}')".format(q, t.replace("'", "''")) for q, t in C.REFERENCE_TEXTS)
+    + ") v(query_id, text))"
+)
+
 QUERIES = f"""
-queries AS (select cast(item_id as varchar) query_id, text from benchmark),
 qtokens AS ({_tokens('queries', 'query_id')}),
 qpc AS (select query_id, pos, count(*) n from qtokens join vocab using (word) group by query_id, pos),
 qvec AS (
@@ -154,6 +160,11 @@ w{i + 1} AS (
   from w{i} w left join grad{i} g using (pos))"""
 
 
+VOTE_DOCS = f"""select query_id, category, votes from (
+    select nb.query_id, l.category, count(*) votes
+    from nb join links l using (doc_id) group by nb.query_id, l.category)
+qualify row_number() over (partition by query_id order by votes desc, category) <= {C.KNN_K}"""
+
 STEPS = ",\n".join(_step(i) for i in range(C.FULLBATCH_STEPS))
 W_FINAL = f"w{C.FULLBATCH_STEPS}"
 
@@ -182,8 +193,8 @@ def _sql() -> dict[str, str]:
     pairs = _with(TRIPS, CLEAN, PAIRS, PER_VEHICLE)
     rates = _with(TRIPS, CLEAN, RATES)
     corpus = _with(CORPUS)
-    knn = _with(CORPUS, QUERIES)
-    nb = _with(CORPUS, QUERIES, NEIGHBORS)
+    knn = _with(CORPUS, BENCH_QUERIES, QUERIES)
+    nb = _with(CORPUS, BENCH_QUERIES, QUERIES, NEIGHBORS)
     clf = _with(CLASSIFIER)
     fit = _with(CLASSIFIER, STEPS)
     test = _with(CLASSIFIER, STEPS, TEST)
@@ -231,16 +242,19 @@ def _sql() -> dict[str, str]:
         "document_frequency": corpus + "select pos, df from dfreq",
         "inverse_document_frequency": corpus + f"select pos, round(idf, {R}) idf from idf",
         "tf_idf": corpus + f"select doc_id, pos, round(value, {R}) value from tfidf",
+        "tf_preview": corpus
+        + f"""select doc_id, pos, round(tf, {R}) tf from tf
+        where doc_id in (select distinct doc_id from tf order by doc_id limit {C.TF_PREVIEW_DOCS})""",
+        "tfidf_preview": corpus
+        + f"""select doc_id, pos, round(value, {R}) value from tfidf
+        where doc_id in (select distinct doc_id from tfidf order by doc_id limit {C.TFIDF_PREVIEW_DOCS})""",
         "query_vectors": knn + f"select query_id, pos, round(value, {R}) value from qvec",
         "scores_cosine": knn + f"select query_id, doc_id, round(score, {R}) score from cos",
         "scores_dot": knn + f"select query_id, doc_id, round(dot, {R}) score from dots",
         "knn_neighbors": nb + "select query_id, rank, doc_id, score from nb",
-        "knn_vote_documents": _with(CORPUS, QUERIES, NEIGHBORS, LINKS)
-        + f"""select query_id, category, votes from (
-            select nb.query_id, l.category, count(*) votes
-            from nb join links l using (doc_id) group by nb.query_id, l.category)
-        qualify row_number() over (partition by query_id order by votes desc, category) <= {C.KNN_K}""",
-        "knn_vote_pairs": _with(CORPUS, QUERIES, LINKS)
+        "knn_vote_documents": _with(CORPUS, BENCH_QUERIES, QUERIES, NEIGHBORS, LINKS) + VOTE_DOCS,
+        "knn_reference_texts": _with(CORPUS, REF_QUERIES, QUERIES, NEIGHBORS, LINKS) + VOTE_DOCS,
+        "knn_vote_pairs": _with(CORPUS, BENCH_QUERIES, QUERIES, LINKS)
         + f""",
         docs_vl AS (select doc_id from docs_v where doc_id in (select doc_id from links)),
         all_dot AS (
@@ -256,6 +270,7 @@ def _sql() -> dict[str, str]:
         "label_by_substring": "select cast(doc_id as varchar) doc_id, "
         f"cast(contains(cast(doc_id as varchar), '{C.SUBSTRING_NEEDLE}') as integer) label from documents",
         "logreg_examples": clf + f"select doc_id, label, pos, round(value, {R}) value from train_ex",
+        "logreg_train_size": clf + "select count(*) n from train_lab",
         "logreg_step": clf
         + f"""select pos, round(sum(value * (0.5 - label)) / (select count(*) from train_lab), {R}) gradient
         from train_ex group by pos""",
