@@ -52,16 +52,6 @@ def number_rows(df: DataFrame, order: Sequence[Column], name: str, start: int =
     return df.withColumn(name, (F.row_number().over(w) - F.lit(1 - start)).cast("bigint"))
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Broadcast ``df`` only when a bounded count proves it has at most ``max_rows``.
-
-    The check reads at most ``max_rows + 1`` rows.  Beyond the bound the frame is
-    returned as is and Spark plans a shuffle join (AQE may still demote it).
-    """
-    seen = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if seen <= max_rows else df
-
-
 def broadcast_within(df: DataFrame, bound: int | None, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
     """Broadcast ``df`` when a proven upper bound on its rows is within ``limit``;
     otherwise leave it to a shuffle join.  The bound comes from a cheap source
