@@ -44,7 +44,13 @@ def build_session(
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder of the session; a temporary one only when unset."""
+    """The shared checkpoint folder of the session.
+
+    Read from the session (``spark.checkpoint.dir`` or an already set SparkContext
+    checkpoint dir).  Only a local-mode session without one (tests, benches) gets
+    a fresh temporary folder; on a cluster a machine-local folder would be wrong,
+    so a missing setting is an error there.
+    """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
@@ -53,7 +59,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None
     )
     if not configured:
-        # Only reached when the cluster names no folder (local tests and benches).
+        if not sc.master.startswith("local"):
+            raise RuntimeError(
+                "set spark.checkpoint.dir to a folder on shared storage (e.g. the cluster's DFS)"
+            )
         configured = tempfile.mkdtemp(prefix="strata-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

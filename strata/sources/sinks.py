@@ -22,5 +22,7 @@ def write_result(
         writer.json(path)
     elif fmt == "parquet":
         writer.parquet(path)
+    elif fmt == "text":
+        writer.text(path)
     else:
         raise ValueError(f"unsupported format {fmt!r}")
