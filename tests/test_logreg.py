@@ -114,3 +114,22 @@ def test_label_by_substring(spark):
     got = {r["doc_id"]: r["label"] for r in logreg.label_by_substring(docs).collect()}
     assert got == {"xAUy": 1, "abc": 0}
     assert logreg.label_by_substring(docs).where(F.col("label") == 1).count() == 1
+
+
+def test_empty_batches_are_skipped(spark):
+    dense, labels = _data(6, 3)
+    ex = examples(spark, dense, labels)
+    # batch 1e-9 of the data: every batch is empty, nothing moves, nothing recorded
+    fit = logreg.fit_logreg(ex, N_FEATURES, max_iteration=3, batch_size=1e-9, init="zeros")
+    assert fit.history.count() == 0
+    assert np.all(fit.weight_vector == 0)
+
+
+def test_unknown_optimizer_is_rejected(spark):
+    dense, labels = _data(6, 3)
+    ex = examples(spark, dense, labels)
+    try:
+        logreg.fit_logreg(ex, N_FEATURES, optimizer="Adam")
+    except ValueError:
+        return
+    raise AssertionError("optimizer not rejected")
