@@ -79,9 +79,13 @@ def mean_rate_per_key(trips: DataFrame, key: str = "driver", name: str = "rate")
 RATE_DECIMALS = 6
 
 
-def top_by(df: DataFrame, key: str, value: str, n: int = 10, decimals: int = 9) -> DataFrame:
-    """Top ``n`` rows by ``value`` (rounded, descending); ties by ``key`` ascending."""
-    return top_n(df, n, [round_score(value, decimals).desc(), F.col(key).asc_nulls_first()])
+def top_by(
+    df: DataFrame, key: str, value: str, n: int = 10, decimals: int | None = None
+) -> DataFrame:
+    """Top ``n`` rows by ``value`` descending (rounded to ``decimals`` first for
+    fractional values); ties by ``key`` ascending."""
+    ranked = F.col(value) if decimals is None else round_score(value, decimals)
+    return top_n(df, n, [ranked.desc(), F.col(key).asc_nulls_first()])
 
 
 def top_vehicles(trips: DataFrame, n: int = 10) -> DataFrame:

@@ -10,13 +10,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.sources.readers import TRIP_WIDTH, parse_category_links
+from strata.sources.readers import TRIP_WIDTH, parse_category_links, spread_small_input
 
 S = "string"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table.  Each is one Parquet file with one row group; small ones are
+    spread over the cores so the CPU-heavy steps (parsing, tokenizing) run in parallel."""
+    return spread_small_input(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def trips_view(spark: SparkSession, sf_dir: str) -> DataFrame:
