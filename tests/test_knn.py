@@ -104,3 +104,63 @@ def test_neighbors_match_brute_force(spark, metric):
     for r in knn.knn_neighbors(f.tfidf, qs, 5, metric).orderBy("query_id", "rank").collect():
         got.setdefault(r["query_id"], []).append(r["doc_id"])
     assert got == _brute_force(doc_words, query_words, 20, 5, metric)
+
+
+def _brute_votes(neighbors, doc_links, k):
+    votes = {}
+    for q, docs in neighbors.items():
+        counts = {}
+        for d in docs:
+            for c in doc_links.get(d, []):
+                counts[c] = counts.get(c, 0) + 1
+        votes[q] = sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:k]
+    return votes
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_sparse_corpus_zero_fill_matches_brute_force(spark, seed):
+    """Most documents share no word with a query; 'common' is in every document
+    (idf 0), so matched documents can score exactly 0 as well."""
+    rng = random.Random(seed)
+    alphabet = [a + b + c for a in "pqrs" for b in "aeiou" for c in "klmn"]  # 80 words
+    doc_words = {
+        f"{i:03d}": ["common"] + [rng.choice(alphabet) for _ in range(rng.randint(1, 3))]
+        for i in range(30)
+    }
+    query_words = {f"q{i}": [rng.choice(alphabet + ["common"]) for _ in range(rng.randint(1, 2))] for i in range(8)}
+    f = features(spark, [(d, " ".join(ws)) for d, ws in doc_words.items()], k=200)
+    qs = queries(spark, f, [(q, " ".join(ws)) for q, ws in query_words.items()])
+    for metric in ("cosine", "dot"):
+        got = {}
+        for r in knn.knn_neighbors(f.tfidf, qs, 6, metric).orderBy("query_id", "rank").collect():
+            got.setdefault(r["query_id"], []).append(r["doc_id"])
+        assert got == _brute_force(doc_words, query_words, 200, 6, metric)
+
+    doc_links = {d: [f"c{int(d) % 4}", f"c{int(d) % 7}"] for d in doc_words if int(d) % 5 != 0}
+    links = spark.createDataFrame(
+        [(d, c) for d, cs in doc_links.items() for c in cs], "doc_id string, category string"
+    )
+    neighbors = _brute_force(doc_words, query_words, 200, 6, "cosine")
+    got = {}
+    for r in knn.knn_predict(f.tfidf, qs, links, 6, "cosine", "documents").collect():
+        got.setdefault(r["query_id"], []).append((r["category"], r["votes"]))
+    want = {q: v for q, v in _brute_votes(neighbors, doc_links, 6).items() if v}
+    assert {q: sorted(v) for q, v in got.items()} == {q: sorted(v) for q, v in want.items()}
+
+    # Pair voting: rank (category, document) pairs of linked documents by dot score.
+    linked = {d: ws for d, ws in doc_words.items() if d in doc_links}
+    scores = {}
+    for q, ws in query_words.items():
+        full = _brute_force(doc_words, {q: ws}, 200, len(doc_words), "dot").get(q)
+        if full is None:
+            continue
+        order = [d for d in full if d in linked]
+        pairs = [(d, c) for d in order for c in sorted(doc_links[d])][:6]
+        counts = {}
+        for _, c in pairs:
+            counts[c] = counts.get(c, 0) + 1
+        scores[q] = sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:6]
+    got = {}
+    for r in knn.knn_predict(f.tfidf, qs, links, 6, "dot", "pairs").collect():
+        got.setdefault(r["query_id"], []).append((r["category"], r["votes"]))
+    assert {q: sorted(v) for q, v in got.items()} == {q: sorted(v) for q, v in scores.items()}
