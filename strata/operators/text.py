@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.text import tokenize
 from strata.operators.common import broadcast_bounded, number_rows, top_n
+from strata.session import persist_as_table
 
 # Fixed values of the reference: vocabulary sizes of the corpus and the classifier.
 CORPUS_VOCABULARY = 20000
@@ -129,31 +130,38 @@ class TextFeatures(NamedTuple):
 def text_features(
     docs: DataFrame,
     k: int = CORPUS_VOCABULARY,
-    storage: StorageLevel | None = StorageLevel.MEMORY_AND_DISK,
+    storage: StorageLevel | str | None = StorageLevel.MEMORY_AND_DISK,
 ) -> TextFeatures:
     """Fit the corpus pipeline: tokens → vocabulary → TF → DF → IDF → TF-IDF.
 
     The text is tokenized twice: once to count words (vocabulary), once to map
-    words to positions.  With ``storage`` set, the three reused pieces are
-    persisted and materialised here, like a model fit: the vocabulary (≤ K rows),
-    TF (hash-partitioned by doc_id; read by DF, TF-IDF, scoring) and IDF (≤ K rows).
-    Later plans then read them once and know TF's partitioning, so per-document
-    steps downstream need no shuffle.  Lost cached blocks are recomputed from
-    lineage.  ``storage=None`` keeps everything lazy (and recomputed per use).
+    words to positions.  The three reused pieces are materialised here, like a
+    model fit: the vocabulary (≤ K rows), TF (hash-partitioned by doc_id; read by
+    DF, TF-IDF and scoring) and IDF (≤ K rows).  Later plans read them once and
+    know TF's partitioning, so per-document steps downstream need no shuffle.
+
+    ``storage``: a ``StorageLevel`` persists them (lost blocks are recomputed from
+    lineage); ``"table"`` writes them to the shared checkpoint folder, TF bucketed
+    and sorted by doc_id — the choice for very large corpora, as it survives lost
+    executors without recomputation; ``None`` keeps everything lazy.
     """
     tokens = doc_tokens(docs)
     counts = word_counts(tokens)
     vocab = _materialize(build_vocabulary(counts, k), storage)
-    tf = _materialize(term_frequency(tokens_to_positions(tokens, vocab, k)), storage)
+    tf = _materialize(term_frequency(tokens_to_positions(tokens, vocab, k)), storage, "doc_id")
     doc_freq = document_frequency(tf)
     idf = inverse_document_frequency(doc_freq, docs.agg(F.count(F.lit(1))))
     idf = _materialize(idf, storage)
     return TextFeatures(tokens, counts, vocab, tf, doc_freq, idf, tf_idf(tf, idf, k), k)
 
 
-def _materialize(df: DataFrame, storage: StorageLevel | None) -> DataFrame:
+def _materialize(
+    df: DataFrame, storage: StorageLevel | str | None, key: str | None = None
+) -> DataFrame:
     if storage is None:
         return df
+    if storage == "table":
+        return persist_as_table(df, bucket_by=key)
     df = df.persist(storage)
     df.count()
     return df

@@ -8,6 +8,7 @@ and only set (to a fresh temporary folder) when the session has none, as in test
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -75,3 +76,22 @@ def persist_reliably(df: DataFrame) -> DataFrame:
     """
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def persist_as_table(
+    df: DataFrame, bucket_by: str | None = None, buckets: int | None = None, prefix: str = "strata"
+) -> DataFrame:
+    """Write ``df`` as a Parquet table under the shared checkpoint folder and read
+    it back.  With ``bucket_by`` the table is bucketed and sorted by that column, so
+    later plans know its hash partitioning (joins and per-key steps on it need no
+    shuffle).  Unlike a cache, the data survives lost executors without
+    recomputation, and the lineage is cut."""
+    spark = df.sparkSession
+    name = f"{prefix}_{uuid.uuid4().hex[:12]}"
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}"
+    writer = df.write.mode("error").option("path", path)
+    if bucket_by is not None:
+        n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        writer = writer.bucketBy(n, bucket_by).sortBy(bucket_by)
+    writer.saveAsTable(name)
+    return spark.table(name)

@@ -97,3 +97,15 @@ def test_link_statistics(spark):
     assert links.median_count(per_doc).collect()[0]["median"] == 2
     top = links.top_categories(df, 2).collect()
     assert [(r["category"], r["count"]) for r in top] == [("A", 3), ("C", 2)]
+
+
+def test_table_storage_keeps_doc_partitioning(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select(
+        F.col("doc_id").cast("string").alias("doc_id"), "text"
+    )
+    cached = text.text_features(docs, 300)
+    table = text.text_features(docs, 300, storage="table")
+    assert sorted(table.tfidf.collect()) == sorted(cached.tfidf.collect())
+    # TF read back from the bucketed table: a per-document aggregate needs no exchange.
+    plan = table.tf.groupBy("doc_id").count()._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
