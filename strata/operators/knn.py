@@ -2,7 +2,8 @@
 
 All query texts run as one job.  Plan shape (per batch of queries):
 
-* query vectors are tiny (queries × their words) and broadcast after a size check;
+* query vectors are small (at most one row per query token) and broadcast when
+  that bound, read from the query table, is within the broadcast limit;
 * TF-IDF rows join them on ``pos`` — only shared words multiply — and the dot
   products are summed per (query, document).  TF-IDF is hash-partitioned by
   doc_id, which already satisfies that grouping, so scoring shuffles nothing;
@@ -12,7 +13,8 @@ All query texts run as one job.  Plan shape (per batch of queries):
 Documents that share no word with a query score 0 and can still be neighbours
 when fewer than k documents score above 0.  Rather than scoring all pairs, the
 2k smallest document ids (a bounded set) are added with score 0 and duplicates
-are merged after the limit; this is exact for the tie rule (score desc, id asc).
+are merged after the limit; this is exact for the tie rule (score desc, id asc)
+because scores are never negative (TF ≥ 0 and idf = ln(N/df) ≥ 0, as df ≤ N).
 """
 
 from __future__ import annotations
