@@ -164,3 +164,11 @@ def test_sparse_corpus_zero_fill_matches_brute_force(spark, seed):
     for r in knn.knn_predict(f.tfidf, qs, links, 6, "dot", "pairs").collect():
         got.setdefault(r["query_id"], []).append((r["category"], r["votes"]))
     assert {q: sorted(v) for q, v in got.items()} == {q: sorted(v) for q, v in scores.items()}
+
+
+def test_repeated_links_vote_twice(spark):
+    f = features(spark, [("1", "a b"), ("2", "c d")])
+    qs = queries(spark, f, [("q", "a")])
+    links = spark.createDataFrame([("1", "X"), ("1", "X"), ("1", "Y")], "doc_id string, category string")
+    got = {r["category"]: r["votes"] for r in knn.knn_predict(f.tfidf, qs, links, 1, "cosine", "documents").collect()}
+    assert got == {"X": 2}

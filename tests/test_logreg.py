@@ -133,3 +133,14 @@ def test_unknown_optimizer_is_rejected(spark):
     except ValueError:
         return
     raise AssertionError("optimizer not rejected")
+
+
+def test_loss_is_stable_for_large_scores(spark):
+    from strata.functions.numeric import logistic, softplus_loss
+
+    df = spark.createDataFrame([(1000.0, 0), (-1000.0, 1), (0.0, 1)], "theta double, y int")
+    rows = df.select(
+        softplus_loss(F.col("theta"), F.col("y")).alias("loss"), logistic(F.col("theta")).alias("p")
+    ).collect()
+    assert [r["loss"] for r in rows] == [1000.0, 1000.0, np.log(2.0)]
+    assert [r["p"] for r in rows] == [1.0, 0.0, 0.5]
