@@ -65,6 +65,11 @@ def logreg_examples(tf: DataFrame, labels: DataFrame, n_features: int) -> DataFr
     return features.unionByName(bias)
 
 
+def train_size(examples: DataFrame, n_features: int) -> DataFrame:
+    """Number of example documents (each holds the bias position once): ``n``."""
+    return examples.where(F.col("pos") == n_features).agg(F.count(F.lit(1)).alias("n"))
+
+
 def pack_examples(examples: DataFrame) -> DataFrame:
     """Long-form examples → one row per document (doc_id, label, pos[], value[]),
     positions ascending.  A document holds at most n_features + 1 entries, so no

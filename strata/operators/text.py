@@ -131,6 +131,7 @@ def text_features(
     docs: DataFrame,
     k: int = CORPUS_VOCABULARY,
     storage: StorageLevel | str | None = StorageLevel.MEMORY_AND_DISK,
+    n_docs: DataFrame | int | None = None,
 ) -> TextFeatures:
     """Fit the corpus pipeline: tokens → vocabulary → TF → DF → IDF → TF-IDF.
 
@@ -144,14 +145,18 @@ def text_features(
     lineage); ``"table"`` writes them to the shared checkpoint folder, TF bucketed
     and sorted by doc_id — the choice for very large corpora, as it survives lost
     executors without recomputation; ``None`` keeps everything lazy.
+
+    ``n_docs`` is the N of the IDF (a one-row frame or an int); by default the
+    number of rows of ``docs``.  Pass ``corpus_size(lines)`` to count every input
+    line, valid or not, as the line-based workflow does.
     """
     tokens = doc_tokens(docs)
     counts = word_counts(tokens)
     vocab = _materialize(build_vocabulary(counts, k), storage)
     tf = _materialize(term_frequency(tokens_to_positions(tokens, vocab, k)), storage, "doc_id")
     doc_freq = document_frequency(tf)
-    idf = inverse_document_frequency(doc_freq, docs.agg(F.count(F.lit(1))))
-    idf = _materialize(idf, storage)
+    n = docs.agg(F.count(F.lit(1))) if n_docs is None else n_docs
+    idf = _materialize(inverse_document_frequency(doc_freq, n), storage)
     return TextFeatures(tokens, counts, vocab, tf, doc_freq, idf, tf_idf(tf, idf, k), k)
 
 

@@ -254,8 +254,7 @@ def q_logreg_examples(spark, sf):
 def q_logreg_train_size(spark, sf):
     """Training-set size: labelled training documents with at least one
     vocabulary word (the bias row marks each once)."""
-    ex = _examples(spark, sf, "train")
-    return ex.where(F.col("pos") == CLASSIFIER_K).agg(F.count(F.lit(1)).alias("n"))
+    return logreg.train_size(_examples(spark, sf, "train"), CLASSIFIER_K)
 
 
 def q_logreg_step(spark, sf):
