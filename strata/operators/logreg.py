@@ -24,7 +24,7 @@ from typing import NamedTuple
 import json
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -54,15 +54,18 @@ def label_by_substring(docs: DataFrame, needle: str = "AU") -> DataFrame:
 
 def logreg_examples(tf: DataFrame, labels: DataFrame, n_features: int) -> DataFrame:
     """(doc_id, label, pos, value): TF rows of labelled documents plus one bias row
-    (pos = n_features, value 1.0) per document that has a vector."""
-    labelled = tf.join(labels.select("doc_id", "label"), "doc_id")
-    features = labelled.select("doc_id", "label", "pos", F.col("tf").alias("value"))
-    bias = (
-        labelled.groupBy("doc_id")
-        .agg(F.first("label").alias("label"))
-        .select("doc_id", "label", F.lit(n_features).cast("bigint").alias("pos"), F.lit(1.0).alias("value"))
+    (pos = n_features, value 1.0) per document that has a vector.
+
+    One pass: the row holding a document's smallest position also emits the bias
+    (a window over doc_id, which the join output is already clustered by)."""
+    labelled = tf.join(labels.select("doc_id", "label"), "doc_id").withColumn(
+        "first", F.col("pos") == F.min("pos").over(Window.partitionBy("doc_id"))
     )
-    return features.unionByName(bias)
+    feature = F.struct(F.col("pos"), F.col("tf").alias("value"))
+    bias = F.struct(F.lit(n_features).cast("bigint").alias("pos"), F.lit(1.0).alias("value"))
+    entries = F.when(F.col("first"), F.array(feature, bias)).otherwise(F.array(feature))
+    rows = labelled.select("doc_id", "label", F.explode(entries).alias("e"))
+    return rows.select("doc_id", "label", "e.pos", "e.value")
 
 
 def train_size(examples: DataFrame, n_features: int) -> DataFrame:
