@@ -50,3 +50,45 @@ def test_doc_line_parser_matches_spec(spark, lines):
     ).collect()
     got = {r["i"]: ((r["id"], r["t"]) if r["ok"] else None) for r in rows}
     assert [got[i] for i in range(len(lines))] == [spec_doc_line(v) for v in lines]
+
+
+NUMBERS = st.one_of(
+    st.floats(allow_nan=True, allow_infinity=True, width=32).map(str),
+    st.sampled_from(["", "abc", "nan", "NaN", "inf", "-inf", " 61 ", "60", "60.0", "0.1", "0.10", "0.11", "1e2", ".5", "5."]),
+    st.none(),
+)
+
+
+def spec_clean(fields):
+    """The reference rule with its repairs: every field a float, NaN fails, strict bounds."""
+    values = []
+    for v in fields:
+        try:
+            x = float(v)
+        except (TypeError, ValueError):
+            return None
+        if x != x:
+            return None
+        values.append(x)
+    duration, distance, fare, total = values
+    ok = duration > 60 and distance > 0.10 and fare > 0.10 and total > 0.10
+    return tuple(values) if ok else None
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=st.lists(st.tuples(NUMBERS, NUMBERS, NUMBERS, NUMBERS), min_size=1, max_size=40))
+def test_trip_cleaning_matches_spec(spark, rows):
+    from strata.operators.trips import clean_trips
+
+    schema = ", ".join(f"c{i} string" for i in range(17))
+    records = []
+    for i, (d, s, f, t) in enumerate(rows):
+        r = [""] * 17
+        r[0], r[1], r[4], r[5], r[11], r[16] = f"V{i}", "D", d, s, f, t
+        records.append(tuple(r))
+    got = {
+        int(r["vehicle"][1:]): (r["duration"], r["distance"], r["fare"], r["total"])
+        for r in clean_trips(spark.createDataFrame(records, schema)).collect()
+    }
+    want = {i: v for i, row in enumerate(rows) if (v := spec_clean(row)) is not None}
+    assert got == want
