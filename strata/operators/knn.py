@@ -19,14 +19,22 @@ because scores are never negative (TF ≥ 0 and idf = ln(N/df) ≥ 0, as df ≤
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import NamedTuple
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.numeric import round_score
 from strata.functions.text import tokenize
-from strata.operators.common import broadcast_bounded, broadcast_within, top_n, top_n_per_group
+from strata.operators.common import (
+    BROADCAST_ROW_LIMIT,
+    broadcast_bounded,
+    broadcast_within,
+    top_n,
+    top_n_per_group,
+)
 from strata.operators.text import CORPUS_VOCABULARY, term_frequency
 
 METRICS = ("cosine", "dot")
@@ -69,21 +77,8 @@ def _l2_norm(df: DataFrame, key: str, value: str, name: str) -> DataFrame:
     )
 
 
-def score_documents(tfidf: DataFrame, qs: QuerySet, metric: str = "cosine") -> DataFrame:
-    """(query_id, doc_id, score) for every pair sharing at least one position.
-
-    ``dot``: Σ v·q.  ``cosine``: Σ v·q / (‖v‖ ‖q‖), 0 when a norm is 0.
-    """
-    if metric not in METRICS:
-        raise ValueError(f"metric must be one of {METRICS}")
-    docs = tfidf.select("doc_id", "pos", "value")
-    queries = qs.vectors.select("query_id", "pos", F.col("value").alias("q"))
-    if metric == "cosine":
-        docs = _l2_norm(docs, "doc_id", "value", "dnorm")
-        queries = _l2_norm(queries, "query_id", "q", "qnorm")
-    # Broadcast: no TF-IDF row moves.  Beyond the bound: a shuffle join on pos,
-    # whose frequent-word skew AQE splits.
-    joined = docs.join(broadcast_within(queries, qs.max_rows), "pos")
+def _scores(docs: DataFrame, queries: DataFrame, metric: str) -> DataFrame:
+    joined = docs.join(queries, "pos")
     aggs = [F.sum(F.col("value") * F.col("q")).alias("dot")]
     if metric == "cosine":
         aggs += [F.max("dnorm").alias("dnorm"), F.max("qnorm").alias("qnorm")]
@@ -97,16 +92,52 @@ def score_documents(tfidf: DataFrame, qs: QuerySet, metric: str = "cosine") -> D
     return sums.select("query_id", "doc_id", score.alias("score"))
 
 
+def score_documents(
+    tfidf: DataFrame, qs: QuerySet, metric: str = "cosine", limit: int = BROADCAST_ROW_LIMIT
+) -> DataFrame:
+    """(query_id, doc_id, score) for every pair sharing at least one position.
+
+    ``dot``: Σ v·q.  ``cosine``: Σ v·q / (‖v‖ ‖q‖), 0 when a norm is 0.
+
+    Query vectors within ``limit`` rows (by the bound from the query table) are
+    broadcast: no TF-IDF row moves and the per-(query, document) sums stay in
+    the document partition.  A larger query set is split by hash of query_id
+    into chunks of about half the limit; each chunk is counted and broadcast
+    when it fits (one scan of TF-IDF per chunk, still no shuffle), and a chunk
+    that does not fit falls back to a shuffle join on pos.
+    """
+    if metric not in METRICS:
+        raise ValueError(f"metric must be one of {METRICS}")
+    docs = tfidf.select("doc_id", "pos", "value")
+    queries = qs.vectors.select("query_id", "pos", F.col("value").alias("q"))
+    if metric == "cosine":
+        docs = _l2_norm(docs, "doc_id", "value", "dnorm")
+        queries = _l2_norm(queries, "query_id", "q", "qnorm")
+    if qs.max_rows <= limit:
+        return _scores(docs, F.broadcast(queries), metric)
+    queries = queries.persist(StorageLevel.MEMORY_AND_DISK)
+    n_chunks = -(-2 * qs.max_rows // limit)
+    chunk_of = F.pmod(F.xxhash64("query_id"), F.lit(n_chunks))
+    parts = []
+    for c in range(n_chunks):
+        chunk = queries.where(chunk_of == c)
+        fits = chunk.limit(limit + 1).count() <= limit
+        parts.append(_scores(docs, F.broadcast(chunk) if fits else chunk, metric))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def knn_neighbors(
     tfidf: DataFrame,
     qs: QuerySet,
     k: int = 10,
     metric: str = "cosine",
     restrict_to: DataFrame | None = None,
+    limit: int = BROADCAST_ROW_LIMIT,
 ) -> DataFrame:
     """Top-k documents per query: (query_id, rank, doc_id, score), score rounded
-    to 9 decimals, ties by doc_id.  ``restrict_to`` (doc_id) limits the candidates."""
-    scored = score_documents(tfidf, qs, metric)
+    to 9 decimals, ties by doc_id.  ``restrict_to`` (doc_id) limits the candidates;
+    ``limit`` is the broadcast bound of ``score_documents``."""
+    scored = score_documents(tfidf, qs, metric, limit)
     candidates = tfidf.select("doc_id").distinct()
     if restrict_to is not None:
         allowed = restrict_to.select("doc_id").distinct()

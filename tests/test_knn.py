@@ -172,3 +172,22 @@ def test_repeated_links_vote_twice(spark):
     links = spark.createDataFrame([("1", "X"), ("1", "X"), ("1", "Y")], "doc_id string, category string")
     got = {r["category"]: r["votes"] for r in knn.knn_predict(f.tfidf, qs, links, 1, "cosine", "documents").collect()}
     assert got == {"X": 2}
+
+
+@pytest.mark.parametrize("metric", ["cosine", "dot"])
+def test_chunked_query_sets_match_brute_force(spark, metric):
+    """A broadcast limit far below the query vector size: queries are scored in
+    hash chunks (broadcast when a chunk fits, shuffle join otherwise)."""
+    rng = random.Random(11)
+    alphabet = [a + b for a in "ghijk" for b in "aeiou"]
+    doc_words = {f"{i:03d}": [rng.choice(alphabet) for _ in range(rng.randint(1, 8))] for i in range(30)}
+    query_words = {f"q{i:02d}": [rng.choice(alphabet) for _ in range(rng.randint(1, 5))] for i in range(20)}
+    f = features(spark, [(d, " ".join(ws)) for d, ws in doc_words.items()], k=25)
+    qs = queries(spark, f, [(q, " ".join(ws)) for q, ws in query_words.items()])
+    assert qs.max_rows > 8
+    want = _brute_force(doc_words, query_words, 25, 4, metric)
+    for limit in (8, 2):  # 2: most chunks exceed it and take the shuffle join
+        got = {}
+        for r in knn.knn_neighbors(f.tfidf, qs, 4, metric, limit=limit).orderBy("query_id", "rank").collect():
+            got.setdefault(r["query_id"], []).append(r["doc_id"])
+        assert got == want
