@@ -40,8 +40,6 @@ def walk(node, depth=0, out=None):
         walk(node.executedPlan(), depth, out)
     if name in ("ShuffleQueryStage", "BroadcastQueryStage", "TableCacheQueryStage"):
         walk(node.plan(), depth, out)
-    for sub in ("subqueries",):
-        pass
     return out
 
 
