@@ -23,6 +23,8 @@ LOCAL_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.driver.memory": "16g",
+    # Checkpoint files of dropped datasets are removed (training writes one per fit).
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
