@@ -15,10 +15,12 @@ from strata.sources.readers import TRIP_WIDTH, parse_category_links, spread_smal
 S = "string"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table.  Each is one Parquet file with one row group; small ones are
-    spread over the cores so the CPU-heavy steps (parsing, tokenizing) run in parallel."""
-    return spread_small_input(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
+    """A driver table.  Each is one Parquet file with one row group; with ``spread``
+    small ones are spread over the cores so CPU-heavy steps (parsing, tokenizing)
+    run in parallel.  Views reading only a few narrow columns skip it."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread_small_input(df) if spread else df
 
 
 def trips_view(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,8 +52,8 @@ def trips_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 def link_lines_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Category links rendered as ``"ID","CATEGORY"`` text lines (column ``value``):
     language and source of every document, quality and toxicity of labelled ones."""
-    docs = table(spark, sf_dir, "documents")
-    labels = table(spark, sf_dir, "labels")
+    docs = table(spark, sf_dir, "documents", spread=False)
+    labels = table(spark, sf_dir, "labels", spread=False)
     pairs = (
         docs.select(docs.doc_id.cast(S).alias("d"), F.concat(F.lit("lang_"), docs.lang).alias("c"))
         .unionByName(docs.select(docs.doc_id.cast(S).alias("d"), docs.source.alias("c")))
