@@ -126,6 +126,11 @@ class TextFeatures(NamedTuple):
     tfidf: DataFrame
     k: int
 
+    def release(self) -> None:
+        """Drop the persisted vocabulary, TF and IDF (no effect on table storage)."""
+        for df in (self.vocab, self.tf, self.idf):
+            df.unpersist()
+
 
 def text_features(
     docs: DataFrame,

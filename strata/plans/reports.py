@@ -47,7 +47,7 @@ def corpus_report(
     TF and TF-IDF samples and tables, kNN category votes for ``queries``
     (query_id, text) by document voting (cosine) and pair voting (dot), and the
     link statistics.  ``storage`` as in ``text_features`` (``"table"`` for very
-    large corpora).  Returns the fitted text features."""
+    large corpora).  Returns the fitted text features (``release()`` frees them)."""
     lines = read_lines(spark, pages_path)
     docs = parse_doc_lines(lines)
     link_table = read_category_links(spark, links_path)
