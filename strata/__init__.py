@@ -1,15 +1,18 @@
 """strata: trip, corpus and classification analytics as Spark DataFrame operators.
 
-Every operator takes DataFrames and returns a lazy DataFrame; the plans are left to
-Catalyst.  Sub-packages:
+Every operator takes DataFrames and returns a DataFrame built from built-in Spark
+functions; the plans are left to Catalyst.  Sub-packages:
 
-* ``sources``   – readers (CSV trips, text lines, document lines, category links) and sinks
+* ``sources``   – readers (CSV trips, text lines, document lines, category links), sinks,
+                  views of the driver tables
 * ``functions`` – column expressions (safe numbers, document-line parsing, tokenizer, logistic)
 * ``operators`` – trips, link statistics, text features, kNN, logistic regression
-* ``plans``     – the named query catalog over the driver tables and its SQL oracle
+* ``plans``     – the named query catalog, its SQL oracle, and file-in/file-out reports
 * ``streaming`` – the trip operators over a file stream
 """
 
-from strata.session import build_session, checkpoint_dir, persist_reliably
+from strata.session import build_session, checkpoint_dir, persist_as_table, persist_reliably
 
-__all__ = ["build_session", "checkpoint_dir", "persist_reliably"]
+__version__ = "0.1.0"
+
+__all__ = ["build_session", "checkpoint_dir", "persist_as_table", "persist_reliably", "__version__"]
