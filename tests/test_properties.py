@@ -92,3 +92,27 @@ def test_trip_cleaning_matches_spec(spark, rows):
     }
     want = {i: v for i, row in enumerate(rows) if (v := spec_clean(row)) is not None}
     assert got == want
+
+
+LINK_LINES = st.lists(
+    st.lists(st.sampled_from(['"', ",", "12", "Cat", " ", "x_y", "é"]), max_size=8).map("".join),
+    min_size=1, max_size=30,
+)
+
+
+def spec_link(line):
+    parts = line.split(",")
+    if len(parts) < 2:
+        return None  # the reference fails here; the reader drops the line
+    return parts[0].replace('"', ""), parts[1].replace('"', "")
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(lines=LINK_LINES)
+def test_link_parser_matches_spec(spark, lines):
+    from strata.functions.text import link_category, link_doc_id
+
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(lines)], "i int, value string")
+    rows = df.select("i", link_doc_id("value").alias("d"), link_category("value").alias("c")).collect()
+    got = {r["i"]: ((r["d"], r["c"]) if r["c"] is not None else None) for r in rows}
+    assert [got[i] for i in range(len(lines))] == [spec_link(v) for v in lines]
