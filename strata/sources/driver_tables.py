@@ -96,6 +96,34 @@ def doc_lines_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def as_doc_lines(df: DataFrame, doc_id, text) -> DataFrame:
+    """Render (doc_id, text) columns as document lines (column ``value``) for
+    line-based files; newlines inside the text become spaces (both are
+    non-letters, so tokens are unchanged)."""
+    return df.select(
+        F.concat(
+            F.lit('<doc id="'), doc_id, F.lit('" url="u" title="t">'),
+            F.regexp_replace(text, "[\\r\\n]", " "), F.lit("</doc>"),
+        ).alias("value")
+    )
+
+
+def write_workload_inputs(spark: SparkSession, sf_dir: str, root: str) -> dict[str, str]:
+    """Write the three workloads' raw inputs, derived from the driver tables, as
+    files under ``root``: trip CSV, corpus document lines, category-link lines,
+    and train/test document lines whose ids carry 'AU' for positive labels."""
+    paths = {name: f"{root.rstrip('/')}/{name}" for name in ("trips", "pages", "links", "train", "test")}
+    trips_view(spark, sf_dir).write.option("nullValue", "").csv(paths["trips"])
+    corpus = corpus_view(spark, sf_dir)
+    as_doc_lines(corpus, F.col("doc_id"), F.col("text")).write.text(paths["pages"])
+    link_lines_view(spark, sf_dir).write.text(paths["links"])
+    for split in ("train", "test"):
+        docs = labelled_view(spark, sf_dir, split)
+        doc_id = F.concat(F.when(F.col("label") == 1, F.lit("AU")).otherwise(F.lit("")), F.col("doc_id"))
+        as_doc_lines(docs, doc_id, F.col("text")).write.text(paths[split])
+    return paths
+
+
 def corpus_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The text corpus (doc_id, text) from ``documents``."""
     docs = table(spark, sf_dir, "documents")

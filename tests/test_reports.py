@@ -9,14 +9,7 @@ from strata.sources import driver_tables as views
 SF = "/root/testdata/sf0.001"
 
 
-def _lines(df, doc_id, text):
-    """Document lines; newlines inside the text become spaces (both are non-letters)."""
-    return df.select(
-        F.concat(
-            F.lit('<doc id="'), doc_id, F.lit('" url="u" title="t">'),
-            F.regexp_replace(text, "[\\r\\n]", " "), F.lit("</doc>"),
-        ).alias("value")
-    )
+_lines = views.as_doc_lines
 
 
 def _rows(df, *cols):
