@@ -54,7 +54,9 @@ def corpus_report(
     features = text.text_features(docs, k, storage=storage, n_docs=corpus_size(lines))
 
     write_result(corpus_size(lines), f"{out_dir}/corpus_size", fmt)
-    write_result(text.top_words(features.counts, 10), f"{out_dir}/top_words", fmt)
+    # The vocabulary holds the top K words in the same order: no third text pass.
+    ranked = features.vocab.select("word", "count") if k >= 10 else features.counts
+    write_result(text.top_words(ranked, 10), f"{out_dir}/top_words", fmt)
     write_result(text.vocabulary_tail(features.vocab, 20), f"{out_dir}/vocabulary_tail", fmt)
     write_result(preview(features.tf, "doc_id", 3), f"{out_dir}/tf_sample", fmt)
     write_result(preview(features.tfidf, "doc_id", 2), f"{out_dir}/tfidf_sample", fmt)

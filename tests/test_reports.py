@@ -44,6 +44,8 @@ def test_corpus_report(spark, tmp_path):
     top = spark.read.parquet(f"{out}/top_categories")
     assert _rows(top, "category", "count") == _rows(catalog.q_top_categories(spark, SF), "category", "count")
     assert spark.read.parquet(f"{out}/corpus_size").collect()[0]["n"] == corpus.count()
+    top = spark.read.parquet(f"{out}/top_words")
+    assert _rows(top, "word", "count") == _rows(catalog.q_top_words(spark, SF), "word", "count")
 
 
 def test_classifier_report(spark, tmp_path):
