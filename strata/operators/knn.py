@@ -68,6 +68,8 @@ def query_vectors(
     vectors = tf.join(broadcast_bounded(idf, k), "pos").select(
         F.col("doc_id").alias("query_id"), "pos", (F.col("tf") * F.col("idf")).alias("value")
     )
+    # Small and read several times (broadcast side, live queries, chunk counts).
+    vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
     return QuerySet(vectors, int(stats["tokens"] or 0), int(stats["n"]))
 
 
