@@ -188,7 +188,7 @@ def fit_logreg(
         raise ValueError("only the 'SGD' optimizer is supported")
     spark = examples.sparkSession
     # Packed once and written to the shared checkpoint folder: iterations survive
-    # lost executors and never recompute the feature pipeline.
+    # lost executors and never recompute the features from the text.
     staged = persist_reliably(pack_examples(examples))
     train_size = staged.count()
     fraction = 1.0 if batch_size is None or train_size == 0 else min(1.0, batch_size / train_size)

@@ -138,7 +138,7 @@ def text_features(
     storage: StorageLevel | str | None = StorageLevel.MEMORY_AND_DISK,
     n_docs: DataFrame | int | None = None,
 ) -> TextFeatures:
-    """Fit the corpus pipeline: tokens → vocabulary → TF → DF → IDF → TF-IDF.
+    """Fit the corpus features: tokens → vocabulary → TF → DF → IDF → TF-IDF.
 
     The text is tokenized twice: once to count words (vocabulary), once to map
     words to positions.  The three reused pieces are materialised here, like a
