@@ -139,12 +139,12 @@ def knn_neighbors(
     """Top-k documents per query: (query_id, rank, doc_id, score), score rounded
     to 9 decimals, ties by doc_id.  ``restrict_to`` (doc_id) limits the candidates;
     ``limit`` is the broadcast bound of ``score_documents``."""
+    if restrict_to is not None:
+        # Whole documents drop out, so document norms are unchanged; the semi join
+        # keeps TF-IDF's partitioning by doc_id and shrinks the scoring work.
+        tfidf = tfidf.join(restrict_to.select("doc_id").distinct(), "doc_id", "left_semi")
     scored = score_documents(tfidf, qs, metric, limit)
     candidates = tfidf.select("doc_id").distinct()
-    if restrict_to is not None:
-        allowed = restrict_to.select("doc_id").distinct()
-        scored = scored.join(allowed, "doc_id", "left_semi")
-        candidates = candidates.join(allowed, "doc_id", "left_semi")
     scored = scored.select("query_id", "doc_id", round_score("score").alias("score"))
 
     # Score-0 fill: the 2k smallest candidate ids, for every query that has a vector.

@@ -79,3 +79,10 @@ def test_vocabulary_lookup_is_a_broadcast_join(spark):
     plan = positions._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
     assert positions.where(F.col("pos") >= 100).count() == 0
+
+
+def test_restricted_neighbors_keep_one_shuffle(spark):
+    f = _features(spark)
+    qs = knn.query_vectors(views.query_texts_view(spark, SF), f.vocab, f.idf, f.k)
+    links = views.links_view(spark, SF)
+    assert _shuffles(knn.knn_neighbors(f.tfidf, qs, 10, "dot", restrict_to=links), _is_tf_scan) == 1
