@@ -50,28 +50,28 @@ def _r(column: str, alias: str | None = None, decimals: int = 9):
 # ----------------------------------------------------------------------------- trips
 
 
-def q_clean_trips(spark, sf):
+def q_clean_trips(spark: SparkSession, sf: str) -> DataFrame:
     return trips.clean_trips(views.trips_view(spark, sf))
 
 
-def q_distinct_pairs(spark, sf):
+def q_distinct_pairs(spark: SparkSession, sf: str) -> DataFrame:
     return trips.distinct_pairs(q_clean_trips(spark, sf))
 
 
-def q_drivers_per_vehicle(spark, sf):
+def q_drivers_per_vehicle(spark: SparkSession, sf: str) -> DataFrame:
     return trips.distinct_per_key(q_clean_trips(spark, sf))
 
 
-def q_top_vehicles(spark, sf):
+def q_top_vehicles(spark: SparkSession, sf: str) -> DataFrame:
     return trips.top_vehicles(q_clean_trips(spark, sf), TOP_N)
 
 
-def q_mean_rate_per_driver(spark, sf):
+def q_mean_rate_per_driver(spark: SparkSession, sf: str) -> DataFrame:
     rates = trips.mean_rate_per_key(q_clean_trips(spark, sf))
     return rates.select("driver", _r("rate", decimals=trips.RATE_DECIMALS))
 
 
-def q_top_drivers(spark, sf):
+def q_top_drivers(spark: SparkSession, sf: str) -> DataFrame:
     top = trips.top_drivers(q_clean_trips(spark, sf), TOP_N)
     return top.select("driver", _r("rate", decimals=trips.RATE_DECIMALS))
 
@@ -79,109 +79,109 @@ def q_top_drivers(spark, sf):
 # ----------------------------------------------------------------- lines and links
 
 
-def q_doc_lines_parsed(spark, sf):
+def q_doc_lines_parsed(spark: SparkSession, sf: str) -> DataFrame:
     return parse_doc_lines(views.doc_lines_view(spark, sf))
 
 
-def q_corpus_size(spark, sf):
+def q_corpus_size(spark: SparkSession, sf: str) -> DataFrame:
     return corpus_size(views.doc_lines_view(spark, sf))
 
 
-def q_category_links(spark, sf):
+def q_category_links(spark: SparkSession, sf: str) -> DataFrame:
     return views.links_view(spark, sf)
 
 
-def q_categories_per_doc(spark, sf):
+def q_categories_per_doc(spark: SparkSession, sf: str) -> DataFrame:
     return links.categories_per_doc(views.links_view(spark, sf))
 
 
-def q_docs_per_category(spark, sf):
+def q_docs_per_category(spark: SparkSession, sf: str) -> DataFrame:
     return links.docs_per_category(views.links_view(spark, sf))
 
 
-def q_describe_counts(spark, sf):
+def q_describe_counts(spark: SparkSession, sf: str) -> DataFrame:
     summary = links.describe_counts(q_categories_per_doc(spark, sf))
     return summary.select("n", _r("mean"), _r("stddev"), "min", "max")
 
 
-def q_median_count(spark, sf):
+def q_median_count(spark: SparkSession, sf: str) -> DataFrame:
     return links.median_count(q_categories_per_doc(spark, sf))
 
 
-def q_top_categories(spark, sf):
+def q_top_categories(spark: SparkSession, sf: str) -> DataFrame:
     return links.top_categories(views.links_view(spark, sf), TOP_N)
 
 
 # ------------------------------------------------------------------- text features
 
 
-def _corpus(spark, sf) -> text.TextFeatures:
+def _corpus(spark: SparkSession, sf: str) -> text.TextFeatures:
     return text.text_features(views.corpus_view(spark, sf), CORPUS_K)
 
 
-def _word_counts(spark, sf) -> DataFrame:
+def _word_counts(spark: SparkSession, sf: str) -> DataFrame:
     return text.word_counts(text.doc_tokens(views.corpus_view(spark, sf)))
 
 
-def q_word_counts(spark, sf):
+def q_word_counts(spark: SparkSession, sf: str) -> DataFrame:
     return _word_counts(spark, sf)
 
 
-def q_top_words(spark, sf):
+def q_top_words(spark: SparkSession, sf: str) -> DataFrame:
     return text.top_words(_word_counts(spark, sf), TOP_N)
 
 
-def q_vocabulary(spark, sf):
+def q_vocabulary(spark: SparkSession, sf: str) -> DataFrame:
     return text.build_vocabulary(_word_counts(spark, sf), CORPUS_K)
 
 
-def q_vocabulary_tail(spark, sf):
+def q_vocabulary_tail(spark: SparkSession, sf: str) -> DataFrame:
     return text.vocabulary_tail(q_vocabulary(spark, sf), TAIL_N)
 
 
-def _classifier_vocab(spark, sf) -> DataFrame:
+def _classifier_vocab(spark: SparkSession, sf: str) -> DataFrame:
     train = views.labelled_view(spark, sf, "train")
     vocab = text.build_vocabulary(text.word_counts(text.doc_tokens(train)), CLASSIFIER_K)
     return vocab.persist(StorageLevel.MEMORY_AND_DISK)  # ≤ K rows, read by train and test
 
 
-def q_vocab_lookup(spark, sf):
+def q_vocab_lookup(spark: SparkSession, sf: str) -> DataFrame:
     words = spark.createDataFrame([(w,) for w in LOOKUP_WORDS], "word string")
     return text.vocab_lookup(_classifier_vocab(spark, sf), words, CLASSIFIER_K)
 
 
-def q_tokens_to_positions(spark, sf):
+def q_tokens_to_positions(spark: SparkSession, sf: str) -> DataFrame:
     tokens = text.doc_tokens(views.corpus_view(spark, sf))
     vocab = text.build_vocabulary(text.word_counts(tokens), CORPUS_K)
     return text.position_counts(text.tokens_to_positions(tokens, vocab, CORPUS_K))
 
 
-def q_term_frequency(spark, sf):
+def q_term_frequency(spark: SparkSession, sf: str) -> DataFrame:
     return _corpus(spark, sf).tf.select("doc_id", "pos", _r("tf"))
 
 
-def q_binary_presence(spark, sf):
+def q_binary_presence(spark: SparkSession, sf: str) -> DataFrame:
     return text.binary_presence(_corpus(spark, sf).tf)
 
 
-def q_document_frequency(spark, sf):
+def q_document_frequency(spark: SparkSession, sf: str) -> DataFrame:
     return _corpus(spark, sf).doc_freq
 
 
-def q_inverse_document_frequency(spark, sf):
+def q_inverse_document_frequency(spark: SparkSession, sf: str) -> DataFrame:
     return _corpus(spark, sf).idf.select("pos", _r("idf"))
 
 
-def q_tf_idf(spark, sf):
+def q_tf_idf(spark: SparkSession, sf: str) -> DataFrame:
     return _corpus(spark, sf).tfidf.select("doc_id", "pos", _r("value"))
 
 
-def q_tf_preview(spark, sf):
+def q_tf_preview(spark: SparkSession, sf: str) -> DataFrame:
     """The TF vectors of the first documents (by id) that have one."""
     return preview(_corpus(spark, sf).tf, "doc_id", TF_PREVIEW_DOCS).select("doc_id", "pos", _r("tf"))
 
 
-def q_tfidf_preview(spark, sf):
+def q_tfidf_preview(spark: SparkSession, sf: str) -> DataFrame:
     tfidf = _corpus(spark, sf).tfidf
     return preview(tfidf, "doc_id", TFIDF_PREVIEW_DOCS).select("doc_id", "pos", _r("value"))
 
@@ -189,37 +189,37 @@ def q_tfidf_preview(spark, sf):
 # ---------------------------------------------------------------------------- kNN
 
 
-def _knn_inputs(spark, sf):
+def _knn_inputs(spark: SparkSession, sf: str) -> tuple[text.TextFeatures, knn.QuerySet]:
     c = _corpus(spark, sf)
     return c, knn.query_vectors(views.query_texts_view(spark, sf), c.vocab, c.idf, c.k)
 
 
-def q_query_vectors(spark, sf):
+def q_query_vectors(spark: SparkSession, sf: str) -> DataFrame:
     _, qs = _knn_inputs(spark, sf)
     return qs.vectors.select("query_id", "pos", _r("value"))
 
 
-def q_scores_cosine(spark, sf):
+def q_scores_cosine(spark: SparkSession, sf: str) -> DataFrame:
     c, qs = _knn_inputs(spark, sf)
     return knn.score_documents(c.tfidf, qs, "cosine").select("query_id", "doc_id", _r("score"))
 
 
-def q_scores_dot(spark, sf):
+def q_scores_dot(spark: SparkSession, sf: str) -> DataFrame:
     c, qs = _knn_inputs(spark, sf)
     return knn.score_documents(c.tfidf, qs, "dot").select("query_id", "doc_id", _r("score"))
 
 
-def q_knn_neighbors(spark, sf):
+def q_knn_neighbors(spark: SparkSession, sf: str) -> DataFrame:
     c, qs = _knn_inputs(spark, sf)
     return knn.knn_neighbors(c.tfidf, qs, KNN_K, "cosine")
 
 
-def q_knn_vote_documents(spark, sf):
+def q_knn_vote_documents(spark: SparkSession, sf: str) -> DataFrame:
     c, qs = _knn_inputs(spark, sf)
     return knn.knn_predict(c.tfidf, qs, views.links_view(spark, sf), KNN_K, "cosine", "documents")
 
 
-def q_knn_reference_texts(spark, sf):
+def q_knn_reference_texts(spark: SparkSession, sf: str) -> DataFrame:
     """The reference's three query texts against the whole corpus (cosine,
     document voting, k = 10)."""
     c = _corpus(spark, sf)
@@ -228,7 +228,7 @@ def q_knn_reference_texts(spark, sf):
     return knn.knn_predict(c.tfidf, qs, views.links_view(spark, sf), KNN_K, "cosine", "documents")
 
 
-def q_knn_vote_pairs(spark, sf):
+def q_knn_vote_pairs(spark: SparkSession, sf: str) -> DataFrame:
     c, qs = _knn_inputs(spark, sf)
     return knn.knn_predict(c.tfidf, qs, views.links_view(spark, sf), KNN_K, "dot", "pairs")
 
@@ -236,7 +236,7 @@ def q_knn_vote_pairs(spark, sf):
 # --------------------------------------------------------------------- classifier
 
 
-def q_label_by_substring(spark, sf):
+def q_label_by_substring(spark: SparkSession, sf: str) -> DataFrame:
     return logreg.label_by_substring(views.corpus_view(spark, sf), SUBSTRING_NEEDLE)
 
 
@@ -247,17 +247,17 @@ def _examples(spark, sf, split: str) -> DataFrame:
     return logreg.logreg_examples(tf, docs, CLASSIFIER_K)
 
 
-def q_logreg_examples(spark, sf):
+def q_logreg_examples(spark: SparkSession, sf: str) -> DataFrame:
     return _examples(spark, sf, "train").select("doc_id", "label", "pos", _r("value"))
 
 
-def q_logreg_train_size(spark, sf):
+def q_logreg_train_size(spark: SparkSession, sf: str) -> DataFrame:
     """Training-set size: labelled training documents with at least one
     vocabulary word (the bias row marks each once)."""
     return logreg.train_size(_examples(spark, sf, "train"), CLASSIFIER_K)
 
 
-def q_logreg_step(spark, sf):
+def q_logreg_step(spark: SparkSession, sf: str) -> DataFrame:
     """Gradient (Σ x(σ(θ)−y) / n) at zero weights over the whole training set."""
     packed = logreg.pack_examples(_examples(spark, sf, "train"))
     zeros = logreg.initial_weights(CLASSIFIER_K, "zeros")
@@ -266,7 +266,7 @@ def q_logreg_step(spark, sf):
     return sums.select("pos", round_score(F.col("grad") / n.scalar()).alias("gradient"))
 
 
-def _fullbatch(spark, sf) -> logreg.FitResult:
+def _fullbatch(spark: SparkSession, sf: str) -> logreg.FitResult:
     return logreg.fit_logreg(
         _examples(spark, sf, "train"),
         CLASSIFIER_K,
@@ -277,40 +277,40 @@ def _fullbatch(spark, sf) -> logreg.FitResult:
     )
 
 
-def q_logreg_fit_fullbatch(spark, sf):
+def q_logreg_fit_fullbatch(spark: SparkSession, sf: str) -> DataFrame:
     return _fullbatch(spark, sf).weights.select("pos", _r("weight"))
 
 
-def q_logreg_history(spark, sf):
+def q_logreg_history(spark: SparkSession, sf: str) -> DataFrame:
     return _fullbatch(spark, sf).history.select("iteration", _r("cost"))
 
 
-def q_logreg_minibatch(spark, sf):
+def q_logreg_minibatch(spark: SparkSession, sf: str) -> DataFrame:
     """The reference's training call: 50 iterations, rate 0.6, L2 0.1, batch 20,000,
     tolerance 5e-5, N(0, 0.1) start.  Random start → checked by row count only."""
     fit = logreg.fit_logreg(_examples(spark, sf, "train"), CLASSIFIER_K)
     return fit.weights
 
 
-def _scored_test(spark, sf) -> DataFrame:
+def _scored_test(spark: SparkSession, sf: str) -> DataFrame:
     weights = _fullbatch(spark, sf).weights
     return logreg.score_logreg(_examples(spark, sf, "test"), weights, CLASSIFIER_K)
 
 
-def q_logreg_score(spark, sf):
+def q_logreg_score(spark: SparkSession, sf: str) -> DataFrame:
     return _scored_test(spark, sf).select("doc_id", "label", _r("score"), "prediction")
 
 
-def q_confusion_matrix(spark, sf):
+def q_confusion_matrix(spark: SparkSession, sf: str) -> DataFrame:
     return logreg.confusion_matrix(_scored_test(spark, sf))
 
 
-def q_classification_metrics(spark, sf):
+def q_classification_metrics(spark: SparkSession, sf: str) -> DataFrame:
     m = logreg.classification_metrics(logreg.confusion_matrix(_scored_test(spark, sf)))
     return m.select("tp", "tn", "fp", "fn", _r("precision"), _r("recall"), _r("f1"), _r("accuracy"))
 
 
-def q_top_weighted_words(spark, sf):
+def q_top_weighted_words(spark: SparkSession, sf: str) -> DataFrame:
     weights = _fullbatch(spark, sf).weights
     top = logreg.top_weighted_words(weights, _classifier_vocab(spark, sf), CLASSIFIER_K, TOP_WORDS_N)
     return top.select("pos", "word", _r("weight"))
