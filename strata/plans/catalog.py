@@ -240,7 +240,7 @@ def q_label_by_substring(spark: SparkSession, sf: str) -> DataFrame:
     return logreg.label_by_substring(views.corpus_view(spark, sf), SUBSTRING_NEEDLE)
 
 
-def _examples(spark, sf, split: str) -> DataFrame:
+def _examples(spark: SparkSession, sf: str, split: str) -> DataFrame:
     vocab = _classifier_vocab(spark, sf)
     docs = views.labelled_view(spark, sf, split)
     tf = text.featurize(docs, vocab, CLASSIFIER_K)
