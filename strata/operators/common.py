@@ -1,4 +1,5 @@
-"""Shared plan pieces: ordered top-n, top-n per group, size-checked broadcast."""
+"""Shared plan pieces: ordered top-n, top-n per group, bounded numbering, previews,
+and broadcasts that happen only under a proven row bound."""
 
 from __future__ import annotations
 
@@ -7,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Largest side (rows) that may be broadcast after a size check.  A few million
+# Largest side (rows) that may be broadcast under a proven bound.  A few million
 # narrow rows stay well under Spark's 8 GB broadcast limit and executor memory.
 BROADCAST_ROW_LIMIT = 2_000_000
 

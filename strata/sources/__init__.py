@@ -7,10 +7,12 @@ from strata.sources.readers import (
     corpus_size,
     parse_category_links,
     parse_doc_lines,
+    planned_size,
     read_category_links,
     read_doc_lines,
     read_lines,
     read_trips,
+    spread_small_input,
 )
 from strata.sources.sinks import write_result
 
@@ -25,5 +27,7 @@ __all__ = [
     "read_category_links",
     "parse_category_links",
     "corpus_size",
+    "planned_size",
+    "spread_small_input",
     "write_result",
 ]
