@@ -15,6 +15,7 @@ text are special ids, as the library has it.  Repeated rows are encoded each.
 
 from __future__ import annotations
 
+import base64
 import json
 import re
 from array import array
@@ -73,32 +74,43 @@ class _Memo(dict):
         return ids
 
 
+def _read_ranks(path: str) -> tuple[dict[bytes, int], dict[str, int]]:
+    with open(path, "rb") as file:
+        return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}, {}
+
+
+def _read_tokenizer(path: str) -> tuple[dict[bytes, int], dict[str, int]]:
+    """The ranks and the special tokens of a byte-level BPE tokenizer file."""
+    with open(path, encoding="utf-8") as file:
+        spec = json.load(file)
+    model, letters = spec["model"], _byte_letters()
+    pre = spec.get("pre_tokenizer") or {}
+    if model.get("type") != "BPE" or pre.get("type") != "ByteLevel" or pre.get("add_prefix_space"):
+        raise ValueError("a byte-level BPE tokenizer without prefix space is expected")
+    if spec.get("normalizer") or not pre.get("use_regex", True):
+        raise ValueError("normalizers and pattern-free pre-tokenizers are not supported")
+    if any(t[flag] for t in spec["added_tokens"] for flag in ("lstrip", "rstrip", "single_word", "normalized")):
+        raise ValueError("special tokens that depend on their surroundings are not supported")
+    vocab, special = model["vocab"], {t["content"]: t["id"] for t in spec["added_tokens"]}
+    pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+    merged = [vocab[a + b] for a, b in pairs]
+    if any(x >= y for x, y in zip(merged, merged[1:])):
+        raise ValueError("the ids must follow the merge order")
+    return {bytes(letters[c] for c in s): i for s, i in vocab.items() if s not in special}, special
+
+
 class BoundaryBPE:
-    """A byte-level BPE tokenizer file, encoded by forced-boundary splitting.
+    """A byte-level BPE tokenizer, encoded by forced-boundary splitting.
 
-    The file must be a plain byte-level BPE whose ids follow the merge order (then
-    rank and id agree); anything else is refused.
+    ``path`` is a tokenizer file (.json; a plain byte-level BPE whose ids follow the
+    merge order, so that rank and id agree; anything else is refused) or a list of
+    ranks (.tiktoken).
     """
 
     def __init__(self, path: str):
         import tiktoken
 
-        with open(path, encoding="utf-8") as file:
-            spec = json.load(file)
-        model, letters = spec["model"], _byte_letters()
-        pre = spec.get("pre_tokenizer") or {}
-        if model.get("type") != "BPE" or pre.get("type") != "ByteLevel" or pre.get("add_prefix_space"):
-            raise ValueError("a byte-level BPE tokenizer without prefix space is expected")
-        if spec.get("normalizer") or not pre.get("use_regex", True):
-            raise ValueError("normalizers and pattern-free pre-tokenizers are not supported")
-        vocab, special = model["vocab"], {t["content"]: t["id"] for t in spec["added_tokens"]}
-        if any(t[flag] for t in spec["added_tokens"] for flag in ("lstrip", "rstrip", "single_word", "normalized")):
-            raise ValueError("special tokens that depend on their surroundings are not supported")
-        pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
-        merged = [vocab[a + b] for a, b in pairs]
-        if any(x >= y for x, y in zip(merged, merged[1:])):
-            raise ValueError("the ids must follow the merge order")
-        self.ranks = {bytes(letters[c] for c in s): i for s, i in vocab.items() if s not in special}
+        self.ranks, special = _read_ranks(path) if path.endswith(".tiktoken") else _read_tokenizer(path)
         self.special = special
         self.cuts = certain_cuts(list(self.ranks))
         encoding = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=self.ranks, special_tokens={})

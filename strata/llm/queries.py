@@ -8,10 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe
-from strata.llm.common import table
+from strata.llm import bpe, lines, packing, rollup, topk
+from strata.llm.common import scratch, table
 
 BYTE_BPE = "byte_bpe_50k.json"
+MULTI_BPE = "byte_bpe_multi_50k.tiktoken"
 
 
 def tokenizer_path() -> str:
@@ -30,8 +31,82 @@ def op8_bpe_forced_boundaries(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_minimum_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document packed into sequences of at most 2048 tokens."""
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def op6_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 nearest rows of every query row by integer inner product."""
+    vectors = scratch(topk.quantised(table(spark, sf_dir, "embeddings")), "vectors")
+    return topk.top_k(vectors, F.col("vec_id") % 50 == 0)
+
+
+def op7_token_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token totals of the corpus after three batches and a repeated one: all
+    documents come in under the first tokenizer version; later exact copies are
+    deleted; the other documents that aren't English are revised to the second
+    version; the deletion is committed again, which changes nothing."""
+    docs = table(spark, sf_dir, "documents")
+    first, second = public_tokenizers.path(BYTE_BPE), public_tokenizers.path(MULTI_BPE)
+    counts = scratch(rollup.count_tokens(docs, {"byte_bpe_50k": first}), "counts")
+    key = F.sha2(F.coalesce(F.col("text"), F.lit("")), 256).alias("key")
+    kept = scratch(docs.groupBy(key).agg(F.min("doc_id").alias("doc_id")).select("doc_id"), "kept")
+    copies = counts.join(kept, "doc_id", "left_anti")
+    foreign = ~F.col("lang").eqNullSafe("en")
+    before = counts.where(foreign).join(kept, "doc_id", "left_semi")
+    after = rollup.count_tokens(docs.where(foreign), {"byte_bpe_multi_50k": second}).join(kept, "doc_id", "left_semi")
+    ledger = rollup.Ledger(spark)
+    ledger.commit("insert", rollup.inserted(counts))
+    ledger.commit("delete-copies", rollup.deleted(copies))
+    ledger.commit("revise-foreign", rollup.revised(before, after))
+    ledger.commit("delete-copies", rollup.deleted(copies))
+    return ledger.totals()
+
+
+def op9_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that repeat an earlier three-line window."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    done = lines.deduplicate(docs)
+    return done.select("doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_minimum_bin_slack": op4_minimum_bin_slack,
+    "op6_exact_top_k": op6_exact_top_k,
+    "op7_token_rollups": op7_token_rollups,
     "op8_bpe_forced_boundaries": op8_bpe_forced_boundaries,
+    "op9_line_windows": op9_line_windows,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+# Documents without the lines that a later three-line window covers; {docs} has
+# doc_id and text, unique by doc_id.
+LINES_SQL = """
+    l AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM {docs}),
+    w AS (SELECT doc_id, i, lines[i] || chr(10) || lines[i + 1] || chr(10) || lines[i + 2] AS key
+          FROM (SELECT doc_id, lines, unnest(range(1, len(lines) - 1)) AS i FROM l)),
+    f AS (SELECT key, min((doc_id, i)) AS first FROM w
+          WHERE trim(key, ' ' || chr(10)) <> '' GROUP BY key HAVING count(*) > 1),
+    c AS (SELECT DISTINCT doc_id, i + unnest([0, 1, 2]) AS i FROM w JOIN f USING (key) WHERE (doc_id, i) <> first),
+    g AS (SELECT doc_id, list(i) AS gone FROM c GROUP BY doc_id),
+    kept AS (SELECT doc_id, len(lines) AS n_lines, coalesce(len(gone), 0) AS n_removed,
+                 array_to_string(list_filter(lines, lambda x, i: NOT coalesce(list_contains(gone, i), false)), chr(10)) AS text
+             FROM l LEFT JOIN g USING (doc_id))
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op6_exact_top_k": """
+        WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+                   FROM embeddings
+                   WHERE embedding IS NOT NULL AND len(embedding) > 0
+                     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (SELECT q.vec_id AS query_id, c.vec_id,
+                  list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::BIGINT AS score
+              FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0),
+        r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+    """,
+    "op9_line_windows": "WITH " + LINES_SQL.format(docs="documents") + """
+        SELECT doc_id, n_lines, n_removed::BIGINT AS n_removed, sha256(text) AS kept_sha256 FROM kept
+    """,
+}

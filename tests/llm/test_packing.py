@@ -1,0 +1,101 @@
+import itertools
+import random
+import zlib
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from strata.llm import packing, queries
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+SF = "/root/testdata/sf0.001"
+
+
+def best_by_force(counts, capacity):
+    longest = max(counts)
+    pieces = list(Counter(counts).elements())
+    pieces.remove(longest)
+    return max(
+        longest + sum(c) for r in range(len(pieces) + 1) for c in itertools.combinations(pieces, r) if longest + sum(c) <= capacity
+    )
+
+
+def test_a_window_has_the_least_slack():
+    rng = random.Random(5)
+    for _ in range(200):
+        capacity = rng.randint(5, 40)
+        counts = dict(Counter(rng.randint(1, capacity) for _ in range(rng.randint(1, 9))))
+        uses = packing.fill_window(counts, capacity)
+        assert all(0 < c <= counts[n] for n, c in uses.items())
+        assert uses.get(max(counts), 0) >= 1
+        assert sum(n * c for n, c in uses.items()) == best_by_force(counts, capacity)
+
+
+def test_fillings_use_every_piece_once_and_are_few():
+    rng = random.Random(6)
+    counts = {n: rng.randint(1, 10**9) for n in range(1, 257)}
+    found = packing.fillings(counts, 256)
+    used = Counter()
+    for f in found:
+        for n, c in f.uses.items():
+            used[n] += c * f.times
+    assert used == Counter(counts) and len(found) <= 2 * 256
+
+
+@pytest.fixture(scope="module")
+def packed(spark):
+    return queries.op4_minimum_bin_slack(spark, SF).collect()
+
+
+def test_pieces_cover_every_document_with_the_library_ids(spark, packed):
+    library = Tokenizer.from_file(PATH)
+    by_doc = {}
+    for p in packed:
+        by_doc.setdefault(p.doc_id, []).append(p)
+    for d in spark.read.parquet(f"{SF}/documents.parquet").collect():
+        ids = [*library.encode(d.text or "", add_special_tokens=False).ids, 1]
+        at = 0
+        for p in sorted(by_doc.pop(d.doc_id), key=lambda p: p.start):
+            piece = np.array(ids[at : at + p.length], "<u4")
+            assert (p.start, p.doc_tokens, p.ids_crc32) == (at, len(ids), zlib.crc32(piece.tobytes()))
+            at += p.length
+        assert at == len(ids)
+    assert not by_doc
+
+
+def test_sequences_are_gapless_and_nearly_full(packed):
+    sequences = {}
+    for p in packed:
+        sequences.setdefault(p.sequence_id, []).append(p)
+    for pieces in sequences.values():
+        at = 0
+        for p in sorted(pieces, key=lambda p: p.offset):
+            assert p.offset == at
+            at += p.length
+        assert at <= 2048 and {p.sequence_tokens for p in pieces} == {at}
+    tokens = sum(p.length for p in packed)
+    assert len(sequences) <= -(-tokens // 2048) + 1
+
+
+def test_hard_rows_and_the_token_lists(spark):
+    rows = [(i, t, 1, "s") for i, t in enumerate([None, "", "a b", "a b", "x y z " * 3000, "<|endoftext|>"])] + [(None, "q", 2, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, length int, sequence_id string")
+    got = packing.pack(docs, PATH)
+    pieces = got.collect()
+    assert {p.doc_id for p in pieces} == {0, 1, 2, 3, 4, 5, None}
+    assert sum(p.length for p in pieces if p.doc_id in (0, 1)) == 2
+    known = docs.where("doc_id is not null")
+    lists = packing.sequences(known, packing.pack(known, PATH), PATH).collect()
+    assert all(len(r.ids) == 2048 or len(r.ids) & (len(r.ids) - 1) == 0 for r in lists)
+    assert packing.pack(docs.limit(0), PATH).collect() == []
+
+
+def test_one_hot_length_is_ranked_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(packing, "ROWS_PER_BLOCK", 16)
+    docs = spark.createDataFrame([(i, "same text") for i in range(500)], "doc_id long, text string")
+    pieces = packing.pack(docs, PATH).collect()
+    places = {(p.sequence_id, p.offset) for p in pieces}
+    assert len(places) == 500 and len({p.sequence_id for p in pieces}) == -(-500 * pieces[0].length // 2048)
