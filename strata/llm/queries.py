@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, lines, packing, rollup, topk
+from strata.llm import bpe, lines, packing, rollup, topk, toxicity
 from strata.llm.common import scratch, table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -31,6 +31,18 @@ def op8_bpe_forced_boundaries(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op1_compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document scored by compression distance."""
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.score_documents(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    return scored.select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.CUTOFF).cast("int").alias("predicted"),
+    )
+
+
 def op4_minimum_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document packed into sequences of at most 2048 tokens."""
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
@@ -72,6 +84,7 @@ def op9_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_compression_toxicity": op1_compression_toxicity,
     "op4_minimum_bin_slack": op4_minimum_bin_slack,
     "op6_exact_top_k": op6_exact_top_k,
     "op7_token_rollups": op7_token_rollups,
