@@ -79,19 +79,16 @@ def deduplicate(docs: DataFrame, size: int = WINDOW) -> DataFrame:
     its own named like an added column is replaced."""
     added = ["n_lines", "n_removed", "kept_text"]
     own = [c for c in docs.columns if c not in added]
-    found = covered_lines(docs.select("doc_id", "text"), size)
-    names = {"doc_id": "_doc", "copy": "_copy", "covered": "_covered"}
-    found = found.withColumnsRenamed(names)
-    rows = docs.select(*own).withColumn("_key", F.xxhash64("text"))
-    joined = rows.join(found, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_key") == F.col("_copy")), "left")
+    found = covered_lines(docs.select("doc_id", "text"), size).withColumnRenamed("doc_id", "id")
+    rows = docs.select(F.struct(*own).alias("row"), "doc_id", "text", F.xxhash64("text").alias("key"))
+    joined = rows.join(found, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("key") == F.col("copy")), "left")
     lines = split_lines(F.col("text"))
-    gone = F.coalesce(F.size("_covered"), F.lit(0))
-    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "_covered")
+    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "covered")
     return joined.select(
-        *own,
+        *(F.col(f"row.`{c}`").alias(c) for c in own),
         F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("n_lines"),
-        F.when(gone > 0, gone).otherwise(0).cast("long").alias("n_removed"),
-        F.when(F.col("_covered").isNull(), F.col("text"))
+        F.coalesce(F.size("covered"), F.lit(0)).cast("long").alias("n_removed"),
+        F.when(F.col("covered").isNull(), F.col("text"))
         .otherwise(F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n"))
         .alias("kept_text"),
     )

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, lines, packing, rollup, topk, toxicity
+from strata.llm import bpe, lines, packing, pii, rollup, topk, toxicity
 from strata.llm.common import scratch, table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -48,6 +48,18 @@ def op4_minimum_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op5_disclosure_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The personal data of every document: counts of the base spans, and all spans."""
+    found = pii.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    named = lambda spans, kind=None: F.array_join(
+        F.transform(spans, lambda s: F.concat_ws(":", F.lit(kind) if kind else s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ","
+    )
+    counted = lambda k: F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("bigint").alias(f"n_{k}")
+    base, terms = named(F.col("spans")), named(F.col("terms"), "term")
+    both = F.when((base != "") & (terms != ""), F.concat_ws(",", base, terms)).otherwise(F.concat(base, terms))
+    return found.select("doc_id", *map(counted, pii.KINDS), F.sha2(base, 256).alias("base_sha256"), both.alias("spans"))
+
+
 def op6_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 5 nearest rows of every query row by integer inner product."""
     vectors = scratch(topk.quantised(table(spark, sf_dir, "embeddings")), "vectors")
@@ -86,6 +98,7 @@ def op9_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_compression_toxicity": op1_compression_toxicity,
     "op4_minimum_bin_slack": op4_minimum_bin_slack,
+    "op5_disclosure_pii": op5_disclosure_pii,
     "op6_exact_top_k": op6_exact_top_k,
     "op7_token_rollups": op7_token_rollups,
     "op8_bpe_forced_boundaries": op8_bpe_forced_boundaries,

@@ -1,0 +1,150 @@
+import hashlib
+import math
+import random
+import re
+from collections import defaultdict
+
+import pytest
+
+from strata.llm import pii, queries
+
+SF = "/root/testdata/sf0.01"
+BASE = [
+    ("email", re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")),
+    ("ip", re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")),
+    ("card", re.compile(r"[0-9]([\x20-]?[0-9])+")),
+    ("phone", re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")),
+]
+
+
+def luhn(digits):
+    total = 0
+    for i, c in enumerate(reversed(digits)):
+        d = int(c) * (1 + i % 2)
+        total += d - 9 if d > 9 else d
+    return total % 10 == 0
+
+
+def base_by_force(text):
+    out = []
+    for kind, pattern in BASE:
+        for m in pattern.finditer(text or ""):
+            digits = re.sub("[^0-9]", "", m[0])
+            if kind == "ip" and any(int(p) > 255 for p in m[0].split(".")):
+                continue
+            if kind == "card" and not (13 <= len(digits) <= 19 and luhn(digits)):
+                continue
+            if kind == "phone" and not 9 <= len(digits) <= 15:
+                continue
+            out.append((kind, m.start(), m.end(), m[0]))
+    return out
+
+
+def terms_by_force(docs):
+    """(doc_id, text) to the sorted (start, end, disclosure) of disclosing terms."""
+    term = re.compile(r"[^\W\d_][^\W_]{2,}")
+    near, n_t = [], defaultdict(int)
+    for i, text in docs:
+        text = text or ""
+        for t in {m[0] for m in term.finditer(text.lower())}:
+            n_t[t] += 1
+        spans = base_by_force(text)
+        for kind, a, b, value in spans:
+            entity = (kind, re.sub("[^0-9]", "", value) if kind in ("card", "phone") else value.lower())
+            lo, hi = max(0, a - pii.CONTEXT), min(len(text), b + pii.CONTEXT)
+            for x, y in ((lo, a), (b, hi)):
+                for m in term.finditer(text[x:y]):
+                    s, e = m.start() + x, m.end() + x
+                    if (x == lo and s == lo and lo > 0) or (x == b and e == hi and hi < len(text)):
+                        continue
+                    if not any(p < e and q > s for _, p, q, _ in spans):
+                        near.append(((i, text), entity, (text[lo:a], text[b:hi]), m[0].lower(), s, e))
+    docs_of, contexts, holders = defaultdict(set), defaultdict(set), defaultdict(set)
+    for doc, c, context, t, _, _ in near:
+        docs_of[c, t].add(doc)
+        contexts[c, t].add(context)
+        holders[c].add(doc)
+    out = defaultdict(dict)
+    n = len(docs)
+    for doc, c, _, t, s, e in near:
+        if len(contexts[c, t]) >= pii.MIN_CONTEXTS and n > len(holders[c]):
+            share = math.log2(n * len(docs_of[c, t]) / (len(holders[c]) * n_t[t])) / math.log2(n / len(holders[c]))
+            if share >= pii.GENERALISE:
+                out[doc][s, e] = max(share, out[doc].get((s, e), 0))
+    return {d: sorted((s, e, x) for (s, e), x in v.items()) for d, v in out.items()}
+
+
+HARD = [
+    "a@b.c@d.e x_y@z.co a@b.c_d@e.f .@-.- a@b a@@b.c %+-@1.2.3.", "1.2.3.4.5.6.7.8 256.1.1.1 001.02.3.255 1.2.3.4444 9.9.9",
+    "4041894974608795 4041 8949-7460 8795 x4041894974608795-1 1  4041894974608795 40418949746087951234567890", "4-0-4-1-8-9-4-9-7-4-6-0-8-7-9-5 0000000000000",
+    "+1 (434) 555-2368. +12 +1(((( +49 30 12345678 90- +1 2 3 4 5 6 7 8 9 0 1 2 3 4 5 6", "\U0001f600é a.b@c.de \U0001f600+1 (434) 555-2368", None, "",
+    "9" * 1_500, "1 " * 1_500, "a" * 1_500 + "@", "x@" + "a." * 1_500, "1." * 1_500, "+1" + "(" * 1_500, "+" * 1_500, "q@a.b " * 400,
+]
+
+
+def test_base_spans_equal_the_plain_patterns(spark):
+    rng = random.Random(2)
+    texts = HARD + ["".join(rng.choice("12345678901234567890 -.@+()ab_\n") for _ in range(rng.randint(1, 120))) for _ in range(600)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in pii.find_base(docs).collect():
+        assert [(s.kind, s.start, s.end, s.value) for s in r.spans] == base_by_force(texts[r.doc_id]), r.doc_id
+
+
+def test_very_long_runs_take_linear_time(spark):
+    runs = ["9" * 200_000, "1 " * 100_000, "a" * 200_000 + "@", "x@" + "a." * 100_000, "1." * 100_000, "+1" + "(" * 200_000]
+    docs = spark.createDataFrame(list(enumerate(runs)), "doc_id long, text string")
+    assert {r.doc_id: len(r.spans) for r in pii.find_base(docs).collect()} == {0: 0, 1: 0, 2: 0, 3: 1, 4: 25_000, 5: 0}
+
+
+def test_luhn(spark):
+    numbers = ["4041894974608795", "4041894974608796", "0000000000000", "79927398713", "79927398710"]
+    rows = spark.createDataFrame([(n,) for n in numbers], "n string").select("n", pii.passes_luhn(pii.F.col("n")).alias("ok")).collect()
+    assert {r.n: r.ok for r in rows} == {n: luhn(n) for n in numbers}
+
+
+def test_query_equals_brute_force(spark):
+    docs = [(d.doc_id, d.text) for d in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    terms = terms_by_force(docs)
+    got = {r.doc_id: r for r in queries.op5_disclosure_pii(spark, SF).collect()}
+    assert len(got) == len(docs)
+    for i, text in docs:
+        base, row = base_by_force(text), got[i]
+        named = [f"{k}:{s}:{e}" for k, s, e, _ in base]
+        assert [row.n_email, row.n_ip, row.n_card, row.n_phone] == [sum(b[0] == k for b in base) for k, _ in BASE]
+        assert row.base_sha256 == hashlib.sha256(",".join(named).encode()).hexdigest()
+        assert row.spans == ",".join(named + [f"term:{s}:{e}" for s, e, _ in terms.get((i, text), [])])
+
+
+@pytest.fixture(scope="module")
+def telling():
+    rng = random.Random(4)
+    rows = [(i, f"Some {rng.choice('abcdefgh') * 4} filler text w{i}") for i in range(100)]
+    rows += [(200 + i, f"{'x' * (i % 5)} The Butler Zanzibar wrote {i} to Zed.Q@mail.example today, {rng.random()}") for i in range(5)]
+    rows += [(300 + i, f"here today we wrote {i}") for i in range(40)] + [(400, "copy Unique1 a@b.cd")] * 3 + [(401, "copy Unique1 a@b.cd"), (402, "copy Unique1 a@b.cd")]
+    return rows
+
+
+def test_disclosing_terms_are_found_generalised_or_removed(spark, telling):
+    docs = spark.createDataFrame([(i, t, "s", 1.0, "c") for i, t in telling], "doc_id long, text string, spans string, terms double, copy string")
+    expected = terms_by_force(list(dict.fromkeys(telling)) + [telling[-3]] * 2)
+    found = {(r.doc_id): [(t.start, t.end) for t in r.terms] for r in pii.find(docs).collect()}
+    for i, text in telling:
+        assert found[i] == [(s, e) for s, e, _ in expected.get((i, text), [])]
+    assert any(text[s:e] == "Zanzibar" for i, text in telling if i == 201 for s, e in found[i])
+    clean = pii.sanitise(docs)
+    assert clean.columns == docs.columns and clean.count() == docs.count()
+    texts = {r.doc_id: r.text for r in clean.collect()}
+    assert "Zanzibar" not in texts[201] and "[EMAIL]" in texts[201] and "wrote 1 to" in texts[201]
+    assert texts[400] == "copy Unique1 [EMAIL]" and texts[5] == telling[5][1]
+
+
+def test_sanitised_hard_rows(spark):
+    rows = list(enumerate(HARD)) + [(None, "a@b.cd x"), (7, "same 1.2.3.4"), (7, "same 1.2.3.4"), (7, "other +1 434 555 2368")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [(r.doc_id, r.text) for r in pii.sanitise(docs).collect()]
+    assert len(kept) == len(rows)
+    assert sorted(t for i, t in kept if i == 7 and t) == ["other [PHONE]", "same [IP]", "same [IP]"]
+    assert (None, "[EMAIL] x") in kept and (6, None) in kept
+    for i, text in kept:
+        assert i is None or i > 5 or all(b[0] not in ("email", "ip") for b in base_by_force(text))
+    assert pii.sanitise(docs.limit(0)).collect() == [] and pii.find(docs.limit(0)).collect() == []
