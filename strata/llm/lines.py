@@ -82,7 +82,8 @@ def deduplicate(docs: DataFrame, size: int = WINDOW) -> DataFrame:
     found = covered_lines(docs.select("doc_id", "text"), size).withColumnRenamed("doc_id", "id")
     rows = docs.select(F.struct(*own).alias("row"), "doc_id", "text", F.xxhash64("text").alias("key"))
     joined = rows.join(found, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("key") == F.col("copy")), "left")
-    lines = split_lines(F.col("text"))
+    joined = joined.withColumn("lines", split_lines(F.col("text")))  # a column, as a lambda would split anew
+    lines = F.col("lines")
     kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "covered")
     return joined.select(
         *(F.col(f"row.`{c}`").alias(c) for c in own),

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, lines, packing, pii, rollup, topk, toxicity
+from strata.llm import bpe, lines, packing, pii, quality, rollup, topk, toxicity
 from strata.llm.common import scratch, table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -95,6 +95,12 @@ def op9_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op10_risk_controlled_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document judged by the base rules and the risk-controlled cutoffs."""
+    judged = quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.drop("lang")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_compression_toxicity": op1_compression_toxicity,
     "op4_minimum_bin_slack": op4_minimum_bin_slack,
@@ -103,6 +109,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_token_rollups": op7_token_rollups,
     "op8_bpe_forced_boundaries": op8_bpe_forced_boundaries,
     "op9_line_windows": op9_line_windows,
+    "op10_risk_controlled_rules": op10_risk_controlled_rules,
 }
 
 # Documents without the lines that a later three-line window covers; {docs} has
@@ -132,6 +139,46 @@ ORACLE_SQL: dict[str, str] = {
         r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
         SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
     """,
+    "op10_risk_controlled_rules": r"""
+        WITH w AS (SELECT doc_id, coalesce('l' || lang, '') AS stratum, coalesce(text, '') AS text,
+                       regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+        l AS (SELECT doc_id, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM w),
+        s AS (SELECT doc_id, i, words[i:i + 4] AS key
+              FROM (SELECT doc_id, words, unnest(range(1, len(words) - 3)) AS i FROM w)),
+        r AS (SELECT DISTINCT doc_id, i + unnest(range(0, 5)) AS i
+              FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, key) AS n FROM s) WHERE n > 1),
+        c AS (SELECT doc_id, stratum, len(words)::BIGINT AS n_words,
+                  coalesce(list_sum(list_transform(words, lambda x: length(x))), 0)::BIGINT AS word_chars,
+                  length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+                  len(lines)::BIGINT AS n_lines, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+                  coalesce(n, 0)::BIGINT AS n_repeat_words
+              FROM w JOIN l USING (doc_id) LEFT JOIN (SELECT doc_id, count(*) AS n FROM r GROUP BY doc_id) USING (doc_id)),
+        v AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+                  [('symbols', floor(1000 * n_symbols / greatest(n_words, 1))::BIGINT),
+                   ('repeated', floor(1000 * n_repeat_words / greatest(n_words, 1))::BIGINT),
+                   ('dup_lines', floor(1000 * n_dup_lines / greatest(n_lines, 1))::BIGINT),
+                   ('long_words', floor(1000 * word_chars / greatest(n_words, 1))::BIGINT),
+                   ('short_words', floor(1000 * n_words / greatest(word_chars, 1))::BIGINT)] AS vals FROM c),
+        q AS (SELECT doc_id, min(quality) = 1 AS good FROM labels WHERE quality IS NOT NULL GROUP BY doc_id),
+        h AS (SELECT stratum, e[1] AS rule, e[2] AS value, sum(good::INT) AS good, sum((NOT good)::INT) AS bad
+              FROM (SELECT stratum, good, unnest(vals) AS e FROM v JOIN q USING (doc_id) WHERE NOT base_failed)
+              GROUP BY ALL),
+        a AS (SELECT stratum, rule, value, sum(good) OVER (PARTITION BY stratum, rule) AS n,
+                  coalesce(sum(good) OVER x, 0) AS good_above, coalesce(sum(bad) OVER x, 0) AS bad_above FROM h
+              WINDOW x AS (PARTITION BY stratum, rule ORDER BY value ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)),
+        z AS (SELECT DISTINCT stratum, n FROM a),
+        p AS (SELECT stratum, k, exp(lgamma(n + 1) - lgamma(k + 1) - lgamma(n - k + 1) + k * ln(0.004) + (n - k) * ln(0.996)) AS p
+              FROM (SELECT stratum, n::DOUBLE AS n, unnest(range(0, ceil(n * 0.004)::BIGINT + 1)) AS k FROM z) WHERE k <= n),
+        m AS (SELECT stratum, max(k) AS most
+              FROM (SELECT stratum, k, sum(p) OVER (PARTITION BY stratum ORDER BY k) AS total FROM p)
+              WHERE total <= 0.05 / (5 * (SELECT count(*) FROM z)) GROUP BY stratum),
+        t AS (SELECT stratum, rule, min(value) AS cutoff FROM a JOIN m USING (stratum)
+              WHERE good_above <= most AND bad_above > good_above GROUP BY ALL),
+        b AS (SELECT DISTINCT doc_id FROM (SELECT doc_id, stratum, unnest(vals) AS e FROM v) x
+              JOIN t ON t.stratum = x.stratum AND t.rule = e[1] AND e[2] > cutoff)
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+            NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM b) AS kept FROM v
+    """,
     "op9_line_windows": "WITH " + LINES_SQL.format(docs="documents") + """
         SELECT doc_id, n_lines, n_removed::BIGINT AS n_removed, sha256(text) AS kept_sha256 FROM kept
     """,
