@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, lines, packing, pii, quality, rollup, topk, toxicity
+from strata.llm import bpe, lines, omh, packing, pii, quality, rollup, topk, toxicity
 from strata.llm.common import scratch, table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -43,6 +43,11 @@ def op1_compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document and its class of near-duplicates."""
+    return omh.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op4_minimum_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document packed into sequences of at most 2048 tokens."""
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
@@ -103,6 +108,7 @@ def op10_risk_controlled_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_compression_toxicity": op1_compression_toxicity,
+    "op2_order_minhash": op2_order_minhash,
     "op4_minimum_bin_slack": op4_minimum_bin_slack,
     "op5_disclosure_pii": op5_disclosure_pii,
     "op6_exact_top_k": op6_exact_top_k,
