@@ -43,8 +43,11 @@ SPAN = "struct<start: int, end: int, value: string>"
 
 
 def matches(text: Column, pattern: str) -> Column:
-    """All matches of ``pattern`` (without groups) in order: start, end, value."""
-    search = F.lit(f"(?s)(.*?)({pattern})")
+    """All matches of ``pattern`` (without groups) in order: start, end, value.
+
+    The search goes on from the last match alone (\\G), else it would scan the rest of
+    the text anew from each of its positions."""
+    search = F.lit(rf"(?s)\G(.*?)({pattern})")
     gaps, values = (F.regexp_extract_all(text, search, F.lit(i)) for i in (1, 2))
     found = F.zip_with(gaps, values, lambda g, v: F.struct(F.char_length(g).alias("gap"), v.alias("value")))
 
@@ -113,6 +116,7 @@ def find_base(docs: DataFrame) -> DataFrame:
             F.substring(F.col("text"), first + 1, s["start"] - first).alias("before"),
             F.substring(F.col("text"), s["end"] + 1, F.lit(CONTEXT)).alias("after"),
             (s["end"] + CONTEXT >= F.char_length("text")).alias("ends"),
+            F.filter("spans", lambda x: (x["start"] < s["end"] + CONTEXT) & (x["end"] > s["start"] - CONTEXT)).alias("near"),
         )
 
     return scratch(rows.select("doc_id", F.xxhash64("text").alias("copy"), F.transform("spans", around).alias("spans")), "spans")
@@ -121,7 +125,7 @@ def find_base(docs: DataFrame) -> DataFrame:
 def nearby_terms(found: DataFrame) -> DataFrame:
     """(doc_id, copy, entity, context, term, start, end): the whole words around every
     base span that are in no base span themselves."""
-    one = found.where(F.size("spans") > 0).select("doc_id", "copy", "spans", F.explode("spans").alias("s"))
+    one = found.select("doc_id", "copy", F.explode("spans").alias("s"))
     s = F.col("s")
     value = F.when(s["kind"].isin("card", "phone"), digits(s["value"])).otherwise(F.lower(s["value"]))
 
@@ -131,7 +135,7 @@ def nearby_terms(found: DataFrame) -> DataFrame:
 
     before = words("before", s["first"], s["first"] == 0, lambda t: t["start"] == 0)
     after = words("after", s["end"], s["ends"], lambda t: t["end"] == F.char_length(s["after"]))
-    clear = F.filter(F.concat(before, after), lambda t: ~F.exists("spans", lambda x: (x["start"] < t["end"]) & (x["end"] > t["start"])))
+    clear = F.filter(F.concat(before, after), lambda t: ~F.exists(s["near"], lambda x: (x["start"] < t["end"]) & (x["end"] > t["start"])))
     rows = one.select(
         "doc_id",
         "copy",
