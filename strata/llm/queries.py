@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, lines, omh, packing, pii, quality, rollup, topk, toxicity
+from strata.llm import bpe, lines, omh, packing, pii, quality, rollup, runindex, topk, toxicity
 from strata.llm.common import scratch, table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -48,6 +48,18 @@ def op2_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return omh.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_run_length_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes that 50-byte strings of earlier ones cover."""
+    found = runindex.repeated_spans(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op4_minimum_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document packed into sequences of at most 2048 tokens."""
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
@@ -109,6 +121,7 @@ def op10_risk_controlled_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_compression_toxicity": op1_compression_toxicity,
     "op2_order_minhash": op2_order_minhash,
+    "op3_run_length_index": op3_run_length_index,
     "op4_minimum_bin_slack": op4_minimum_bin_slack,
     "op5_disclosure_pii": op5_disclosure_pii,
     "op6_exact_top_k": op6_exact_top_k,
