@@ -8,11 +8,10 @@ functions; the plans are left to Catalyst.  Sub-packages:
 * ``functions`` – column expressions (safe numbers, document-line parsing, tokenizer, logistic)
 * ``operators`` – trips, link statistics, text features, kNN, logistic regression
 * ``plans``     – the named query catalog, its SQL oracle, and file-in/file-out reports
-* ``streaming`` – the trip operators over a file stream
 """
 
-from strata.session import build_session, checkpoint_dir, persist_as_table, persist_reliably
+from strata.session import Scratch, build_session, checkpoint_dir, persist_reliably
 
 __version__ = "0.1.0"
 
-__all__ = ["build_session", "checkpoint_dir", "persist_as_table", "persist_reliably", "__version__"]
+__all__ = ["Scratch", "build_session", "checkpoint_dir", "persist_reliably", "__version__"]

@@ -1,6 +1,6 @@
 """Column expressions.  All are built-in Spark functions (JVM side, codegen), no Python UDF."""
 
-from strata.functions.numeric import logistic, round_score, safe_double, softplus_loss
+from strata.functions.numeric import logistic, round_score, safe_double
 from strata.functions.text import (
     doc_line_id,
     doc_line_text,
@@ -14,7 +14,6 @@ __all__ = [
     "safe_double",
     "round_score",
     "logistic",
-    "softplus_loss",
     "tokenize",
     "is_doc_line",
     "doc_line_id",

@@ -33,12 +33,3 @@ def round_score(c: Column | str, decimals: int = SCORE_DECIMALS) -> Column:
 def logistic(theta: Column) -> Column:
     """σ(θ) = 1 / (1 + e^-θ); e^-θ overflowing to +inf gives 0, as it should."""
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-theta))
-
-
-def softplus_loss(theta: Column, label: Column) -> Column:
-    """Logistic loss −yθ + ln(1 + e^θ) in a form that cannot overflow."""
-    return (
-        F.greatest(theta, F.lit(0.0))
-        + F.log1p(F.exp(-F.abs(theta)))
-        - label.cast("double") * theta
-    )

@@ -1,5 +1,8 @@
-"""Shared plan pieces: ordered top-n, top-n per group, bounded numbering, previews,
-and broadcasts that happen only under a proven row bound."""
+"""Shared plan pieces: ordered top-n, top-n per group, bounded numbering, previews.
+
+No piece changes its plan with the size of its input: joins carry no hint, so Catalyst
+broadcasts a side only by its own statistics (a ``limit``, a written table), and large
+groups are split by a hash before they meet."""
 
 from __future__ import annotations
 
@@ -8,12 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Largest side (rows) that may be broadcast under a proven bound.  A few million
-# narrow rows stay well under Spark's 8 GB broadcast limit and executor memory.
-BROADCAST_ROW_LIMIT = 2_000_000
-
-# Largest bounded dimension (vocabulary, weight vector) broadcast without a check.
-BOUNDED_ROW_LIMIT = 5_000_000
+# Parts that a group is split into before its best rows meet in one task.
+GROUP_PARTS = 32
 
 
 def top_n(df: DataFrame, n: int, order: Sequence[Column]) -> DataFrame:
@@ -25,23 +24,24 @@ def top_n(df: DataFrame, n: int, order: Sequence[Column]) -> DataFrame:
 def top_n_per_group(
     df: DataFrame, group: str | Sequence[str], n: int, order: Sequence[Column], rank: str = "rank"
 ) -> DataFrame:
-    """Top-n rows per group with a 1-based ``rank`` (bigint).
-
-    ``row_number() <= n`` lets Spark insert a partial WindowGroupLimit before the
-    shuffle, so each input partition sends at most n rows per group; a group
-    holding a third of all rows never reaches one task whole.
-    """
+    """Top-n rows per group with a 1-based ``rank`` (bigint), in two stages: the best n
+    of each (group, hash part), then of each group.  The last stage reads n ×
+    GROUP_PARTS rows of a group at most, whatever n and however large the group."""
     keys = [group] if isinstance(group, str) else list(group)
-    w = Window.partitionBy(*keys).orderBy(*order)
-    ranked = df.withColumn(rank, F.row_number().over(w).cast("bigint"))
+    part = F.pmod(F.xxhash64(*df.columns), F.lit(GROUP_PARTS))
+    first = Window.partitionBy(*keys, "_part").orderBy(*order)
+    heads = df.withColumn("_part", part).withColumn(rank, F.row_number().over(first))
+    heads = heads.where(F.col(rank) <= n).drop("_part", rank)
+    whole = Window.partitionBy(*keys).orderBy(*order)
+    ranked = heads.withColumn(rank, F.row_number().over(whole).cast("bigint"))
     return ranked.where(F.col(rank) <= n)
 
 
 def preview(df: DataFrame, key: str, n: int) -> DataFrame:
     """All rows of the ``n`` smallest ``key`` values (e.g. the first n document
-    vectors).  The key list is bounded by n and broadcast into a semi join."""
+    vectors): a semi join with n keys."""
     keys = top_n(df.select(key).distinct(), n, [F.col(key).asc()])
-    return df.join(F.broadcast(keys), key, "left_semi")
+    return df.join(keys, key, "left_semi")
 
 
 def number_rows(df: DataFrame, order: Sequence[Column], name: str, start: int = 0) -> DataFrame:
@@ -51,17 +51,3 @@ def number_rows(df: DataFrame, order: Sequence[Column], name: str, start: int =
     first (vocabulary ≤ K rows)."""
     w = Window.orderBy(*order)
     return df.withColumn(name, (F.row_number().over(w) - F.lit(1 - start)).cast("bigint"))
-
-
-def broadcast_within(df: DataFrame, bound: int | None, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Broadcast ``df`` when a proven upper bound on its rows is within ``limit``;
-    otherwise leave it to a shuffle join.  The bound comes from a cheap source
-    (e.g. the query table), so no derived plan is executed to check it."""
-    return F.broadcast(df) if bound is not None and bound <= limit else df
-
-
-def broadcast_bounded(df: DataFrame, bound: int) -> DataFrame:
-    """Broadcast a frame whose row count is bounded by construction (``bound``)."""
-    if bound > BOUNDED_ROW_LIMIT:
-        raise ValueError(f"bound {bound} too large to broadcast")
-    return F.broadcast(df)

@@ -1,14 +1,13 @@
 """Batch kNN category prediction over TF-IDF vectors.
 
-All query texts run as one job.  Plan shape (per batch of queries):
+All query texts run as one job and one plan, however many they are:
 
-* query vectors are small (at most one row per query token) and broadcast when
-  that bound, read from the query table, is within the broadcast limit;
-* TF-IDF rows join them on ``pos`` — only shared words multiply — and the dot
-  products are summed per (query, document).  TF-IDF is hash-partitioned by
-  doc_id, which already satisfies that grouping, so scoring shuffles nothing;
-* top-k per query uses ``row_number() <= k``: a partial group limit runs before
-  the shuffle, so each task sends at most k rows per query.
+* TF-IDF rows join the query vectors on ``pos`` — only shared words multiply — and
+  the dot products are summed per (query, document).  Query vectors within Spark's
+  broadcast threshold leave TF-IDF in place, and its hash-partitioning by doc_id
+  already satisfies the sums, so scoring shuffles nothing; larger ones make it a
+  shuffle join whose frequent positions adaptive execution splits;
+* top-k per query has two stages: the best rows per hash part, then per query.
 
 Documents that share no word with a query score 0 and can still be neighbours
 when fewer than k documents score above 0.  Rather than scoring all pairs, the
@@ -19,58 +18,40 @@ because scores are never negative (TF ≥ 0 and idf = ln(N/df) ≥ 0, as df ≤
 
 from __future__ import annotations
 
-from functools import reduce
 from typing import NamedTuple
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.numeric import round_score
 from strata.functions.text import tokenize
-from strata.operators.common import (
-    BROADCAST_ROW_LIMIT,
-    broadcast_bounded,
-    broadcast_within,
-    top_n,
-    top_n_per_group,
-)
-from strata.operators.text import CORPUS_VOCABULARY, term_frequency
+from strata.operators.common import top_n, top_n_per_group
+from strata.operators.text import term_frequency
+from strata.session import Scratch
+
 
 METRICS = ("cosine", "dot")
 
 
 class QuerySet(NamedTuple):
-    """Query vectors with proven size bounds taken from the query table itself."""
-
     vectors: DataFrame  # (query_id, pos, value)
-    max_rows: int  # ≥ rows of ``vectors`` (number of query tokens)
-    max_queries: int  # ≥ number of queries
 
 
 def query_vectors(
-    queries: DataFrame, vocab: DataFrame, idf: DataFrame, k: int = CORPUS_VOCABULARY
+    queries: DataFrame, vocab: DataFrame, idf: DataFrame, scratch: Scratch | None = None
 ) -> QuerySet:
     """(query_id, text) → TF-IDF vectors (query_id, pos, value) against the corpus
-    vocabulary and IDF.  A query without a vocabulary word has no rows.
-
-    The bounds come from one scan of the query table (never the corpus): a query
-    has at most as many vector rows as tokens.
-    """
-    stats = queries.agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.size(tokenize("text"))).alias("tokens")
-    ).first()
+    vocabulary and IDF.  A query without a vocabulary word has no rows.  With
+    ``scratch`` the vectors are stored, as scoring reads them several times."""
     tokens = queries.select(
         F.col("query_id").alias("doc_id"), F.explode(tokenize("text")).alias("word")
     )
-    positions = tokens.join(broadcast_bounded(vocab.select("word", "pos"), k), "word")
+    positions = tokens.join(vocab.select("word", "pos"), "word")
     tf = term_frequency(positions.select("doc_id", "pos"))
-    vectors = tf.join(broadcast_bounded(idf, k), "pos").select(
+    vectors = tf.join(idf, "pos").select(
         F.col("doc_id").alias("query_id"), "pos", (F.col("tf") * F.col("idf")).alias("value")
     )
-    # Small and read several times (broadcast side, live queries, chunk counts).
-    vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
-    return QuerySet(vectors, int(stats["tokens"] or 0), int(stats["n"]))
+    return QuerySet(scratch.table(vectors) if scratch else vectors)
 
 
 def _l2_norm(df: DataFrame, key: str, value: str, name: str) -> DataFrame:
@@ -94,20 +75,11 @@ def _scores(docs: DataFrame, queries: DataFrame, metric: str) -> DataFrame:
     return sums.select("query_id", "doc_id", score.alias("score"))
 
 
-def score_documents(
-    tfidf: DataFrame, qs: QuerySet, metric: str = "cosine", limit: int = BROADCAST_ROW_LIMIT
-) -> DataFrame:
+def score_documents(tfidf: DataFrame, qs: QuerySet, metric: str = "cosine") -> DataFrame:
     """(query_id, doc_id, score) for every pair sharing at least one position.
 
-    ``dot``: Σ v·q.  ``cosine``: Σ v·q / (‖v‖ ‖q‖), 0 when a norm is 0.
-
-    Query vectors within ``limit`` rows (by the bound from the query table) are
-    broadcast: no TF-IDF row moves and the per-(query, document) sums stay in
-    the document partition.  A larger query set is split by hash of query_id
-    into chunks of about half the limit; each chunk is counted and broadcast
-    when it fits (one scan of TF-IDF per chunk, still no shuffle), and a chunk
-    that does not fit falls back to a shuffle join on pos.
-    """
+    ``dot``: Σ v·q.  ``cosine``: Σ v·q / (‖v‖ ‖q‖), 0 when a norm is 0.  A step of the
+    top-k queries: written out, it has a row for nearly every pair."""
     if metric not in METRICS:
         raise ValueError(f"metric must be one of {METRICS}")
     docs = tfidf.select("doc_id", "pos", "value")
@@ -115,17 +87,15 @@ def score_documents(
     if metric == "cosine":
         docs = _l2_norm(docs, "doc_id", "value", "dnorm")
         queries = _l2_norm(queries, "query_id", "q", "qnorm")
-    if qs.max_rows <= limit:
-        return _scores(docs, F.broadcast(queries), metric)
-    queries = queries.persist(StorageLevel.MEMORY_AND_DISK)
-    n_chunks = -(-2 * qs.max_rows // limit)
-    chunk_of = F.pmod(F.xxhash64("query_id"), F.lit(n_chunks))
-    parts = []
-    for c in range(n_chunks):
-        chunk = queries.where(chunk_of == c)
-        fits = chunk.limit(limit + 1).count() <= limit
-        parts.append(_scores(docs, F.broadcast(chunk) if fits else chunk, metric))
-    return reduce(DataFrame.unionByName, parts)
+    return _scores(docs, queries, metric)
+
+
+def top_scores(tfidf: DataFrame, qs: QuerySet, k: int = 10, metric: str = "cosine") -> DataFrame:
+    """The k best scores of each query among documents that share a word with it:
+    (query_id, doc_id, score), score rounded to 9 decimals, ties by doc_id."""
+    scored = score_documents(tfidf, qs, metric).select("query_id", "doc_id", round_score("score").alias("score"))
+    best = top_n_per_group(scored, "query_id", k, [F.col("score").desc(), F.col("doc_id").asc()])
+    return best.select("query_id", "doc_id", "score")
 
 
 def knn_neighbors(
@@ -134,16 +104,14 @@ def knn_neighbors(
     k: int = 10,
     metric: str = "cosine",
     restrict_to: DataFrame | None = None,
-    limit: int = BROADCAST_ROW_LIMIT,
 ) -> DataFrame:
     """Top-k documents per query: (query_id, rank, doc_id, score), score rounded
-    to 9 decimals, ties by doc_id.  ``restrict_to`` (doc_id) limits the candidates;
-    ``limit`` is the broadcast bound of ``score_documents``."""
+    to 9 decimals, ties by doc_id.  ``restrict_to`` (doc_id) limits the candidates."""
     if restrict_to is not None:
         # Whole documents drop out, so document norms are unchanged; the semi join
         # keeps TF-IDF's partitioning by doc_id and shrinks the scoring work.
         tfidf = tfidf.join(restrict_to.select("doc_id").distinct(), "doc_id", "left_semi")
-    scored = score_documents(tfidf, qs, metric, limit)
+    scored = score_documents(tfidf, qs, metric)
     candidates = tfidf.select("doc_id").distinct()
     scored = scored.select("query_id", "doc_id", round_score("score").alias("score"))
 
@@ -163,15 +131,10 @@ def knn_neighbors(
     return best.select("query_id", "rank", "doc_id", "score")
 
 
-def knn_vote_documents(
-    neighbors: DataFrame, links: DataFrame, k: int = 10, max_queries: int | None = None
-) -> DataFrame:
+def knn_vote_documents(neighbors: DataFrame, links: DataFrame, k: int = 10) -> DataFrame:
     """Document voting: every link of every neighbour is one vote for its category.
-    Top ``k`` categories per query by votes, ties by category: (query_id, category, votes).
-
-    The neighbour list (≤ queries × k rows) is broadcast when ``max_queries`` bounds it."""
-    bound = None if max_queries is None else max_queries * k
-    joined = links.join(broadcast_within(neighbors.select("query_id", "doc_id"), bound), "doc_id")
+    Top ``k`` categories per query by votes, ties by category: (query_id, category, votes)."""
+    joined = links.join(neighbors.select("query_id", "doc_id"), "doc_id")
     votes = joined.groupBy("query_id", "category").agg(F.count(F.lit(1)).alias("votes"))
     ranked = top_n_per_group(
         votes, "query_id", k, [F.col("votes").desc(), F.col("category").asc()]
@@ -189,8 +152,7 @@ def knn_vote_pairs(
     linked documents (each has ≥ 1 link), so only their links are joined — the
     vectors are never multiplied by categories."""
     top_docs = knn_neighbors(tfidf, qs, k, metric, restrict_to=links)
-    bound = qs.max_queries * k
-    pairs = links.join(broadcast_within(top_docs.select("query_id", "doc_id", "score"), bound), "doc_id")
+    pairs = links.join(top_docs.select("query_id", "doc_id", "score"), "doc_id")
     top_pairs = top_n_per_group(
         pairs,
         "query_id",
@@ -214,7 +176,7 @@ def knn_predict(
 ) -> DataFrame:
     """Predicted categories per query.  Defaults: cosine, document voting."""
     if vote == "documents":
-        return knn_vote_documents(knn_neighbors(tfidf, qs, k, metric), links, k, qs.max_queries)
+        return knn_vote_documents(knn_neighbors(tfidf, qs, k, metric), links, k)
     if vote == "pairs":
         return knn_vote_pairs(tfidf, qs, links, k, metric)
     raise ValueError("vote must be 'documents' or 'pairs'")

@@ -23,6 +23,11 @@ def docs_per_category(links: DataFrame) -> DataFrame:
 
 def describe_counts(counts: DataFrame, column: str = "count") -> DataFrame:
     """count, mean, sample stddev, min and max of a count column, as numbers."""
+    return describe_and_median(counts, column).drop("median")
+
+
+def describe_and_median(counts: DataFrame, column: str = "count") -> DataFrame:
+    """``describe_counts`` and ``median_count`` in one pass, as one row."""
     c = F.col(column)
     return counts.agg(
         F.count(c).alias("n"),
@@ -30,14 +35,13 @@ def describe_counts(counts: DataFrame, column: str = "count") -> DataFrame:
         F.stddev_samp(c).alias("stddev"),
         F.min(c).cast("bigint").alias("min"),
         F.max(c).cast("bigint").alias("max"),
+        F.percentile_approx(c, 0.5, MEDIAN_ACCURACY).cast("bigint").alias("median"),
     )
 
 
 def median_count(counts: DataFrame, column: str = "count") -> DataFrame:
     """Approximate median (an element of the column, the lower middle when exact)."""
-    return counts.agg(
-        F.percentile_approx(F.col(column), 0.5, MEDIAN_ACCURACY).cast("bigint").alias("median")
-    )
+    return describe_and_median(counts, column).select("median")
 
 
 def top_categories(links: DataFrame, n: int = 10) -> DataFrame:

@@ -1,37 +1,35 @@
 """L2-regularised logistic regression by (mini-batch) gradient descent.
 
 Examples are long-form rows (doc_id, label, pos, value) with the bias as position
-``n_features`` (value 1).  For training they are packed once into one row per
-document (doc_id, label, pos[], value[]) and written to the shared checkpoint
-folder.  One step is then one distributed aggregate with no per-document shuffle:
-
-* the weight vector (n_features + 1 numbers, bounded by the vocabulary size)
-  travels as one constant array folded into the plan;
-* θ = x·w is computed inside each document row;
-* the row explodes to (pos, x·(σ(θ) − y)) and is summed by position (combined
-  map-side: at most n_features + 1 rows per task cross the shuffle); the loss
-  and the sample count ride along on the bias position, which every document
-  holds exactly once.
-
-Only the gradient (n_features + 1 numbers) returns to the driver each iteration,
-as in any driver-controlled iterative fit; the data never does.
+``n_features`` (value 1), one example per document id.  For training they are packed
+once into one row per document (doc_id, label, pos[], value[]) and stored under the
+shared checkpoint folder.  The draw of a mini-batch depends on (seed, doc_id) alone, so
+one pass stores the documents of every iteration, partitioned by iteration, and a step
+reads its own batch only.  One step is one distributed aggregate:
+
+* the weight vector (n_features + 1 numbers) travels with the task;
+* each Arrow batch of documents gives θ = x·w, the residuals and the sums
+  Σ x·(σ(θ) − y) by position as vector operations;
+* a task sends at most n_features + 1 rows; the loss and the sample count ride along
+  on the bias position, which every document holds exactly once.
+
+Only the gradient returns to the driver each iteration, as in any driver-controlled
+iterative fit; the data never does.  The driver therefore holds a few arrays of
+n_features + 1 doubles: sound up to some ten million features (80 MB each).
 """
 
 from __future__ import annotations
 
 from typing import NamedTuple
 
-import json
-import uuid
-
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions.numeric import logistic
-from strata.operators.common import broadcast_bounded
-from strata.session import persist_reliably
+from strata.session import Scratch
 
 # Fixed values of the reference's training call.
 DEFAULT_ITERATIONS = 50
@@ -43,6 +41,8 @@ INIT_SEED = 0
 INIT_SCALE = 0.1
 THRESHOLD = 0.5
 
+BATCH_FILES = 4  # files per iteration of the stored batches
+
 WEIGHT_SCHEMA = T.StructType(
     [T.StructField("pos", T.LongType(), False), T.StructField("weight", T.DoubleType(), False)]
 )
@@ -57,15 +57,26 @@ def logreg_examples(tf: DataFrame, labels: DataFrame, n_features: int) -> DataFr
     """(doc_id, label, pos, value): TF rows of labelled documents plus one bias row
     (pos = n_features, value 1.0) per document that has a vector.
 
-    One pass: the row holding a document's smallest position also emits the bias
-    (a window over doc_id, which the join output is already clustered by)."""
-    labelled = tf.join(labels.select("doc_id", "label"), "doc_id").withColumn(
-        "first", F.col("pos") == F.min("pos").over(Window.partitionBy("doc_id"))
-    )
+    Equal ids are one example, as they are one TF vector: of several labels of an id
+    the greatest counts."""
+    known = labels.where(F.col("label").isNotNull()).groupBy("doc_id").agg(F.max("label").alias("label"))
+    return _with_bias(tf.join(known, "doc_id"), n_features)
+
+
+def logreg_examples_by_id(tf: DataFrame, n_features: int, needle: str = "AU") -> DataFrame:
+    """``logreg_examples`` with the label taken from the id itself (1 when ``needle``
+    occurs in it): no label table and no join."""
+    return _with_bias(tf.withColumn("label", F.col("doc_id").contains(needle).cast("int")), n_features)
+
+
+def _with_bias(labelled: DataFrame, n_features: int) -> DataFrame:
+    """One pass: the row holding a document's smallest position also emits the bias
+    (a window over doc_id, which TF is already clustered by)."""
+    first = F.col("pos") == F.min("pos").over(Window.partitionBy("doc_id"))
     feature = F.struct(F.col("pos"), F.col("tf").alias("value"))
     bias = F.struct(F.lit(n_features).cast("bigint").alias("pos"), F.lit(1.0).alias("value"))
     entries = F.when(F.col("first"), F.array(feature, bias)).otherwise(F.array(feature))
-    rows = labelled.select("doc_id", "label", F.explode(entries).alias("e"))
+    rows = labelled.withColumn("first", first).select("doc_id", "label", F.explode(entries).alias("e"))
     return rows.select("doc_id", "label", "e.pos", "e.value")
 
 
@@ -79,7 +90,7 @@ def pack_examples(examples: DataFrame) -> DataFrame:
     positions ascending.  A document holds at most n_features + 1 entries, so no
     row can outgrow a task however skewed the corpus is."""
     packed = examples.groupBy("doc_id").agg(
-        F.first("label").alias("label"),
+        F.max("label").alias("label"),
         F.sort_array(F.collect_list(F.struct("pos", "value"))).alias("entries"),
     )
     return packed.select(
@@ -87,65 +98,61 @@ def pack_examples(examples: DataFrame) -> DataFrame:
     )
 
 
+def drawn(seed: Column, doc_id: Column) -> Column:
+    """A number in [0, 1) from (seed, doc_id) alone, written so that SQL can redo it:
+    the first 52 bits of md5('seed:doc_id')."""
+    digest = F.md5(F.concat(seed.cast("string"), F.lit(":"), doc_id.cast("string")))
+    return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
+
+
 def sample_documents(docs: DataFrame, fraction: float, seed: int) -> DataFrame:
-    """Bernoulli sample of whole documents without replacement.  The draw is a hash
-    of (seed, doc_id): independent of partitioning, identical on recomputation."""
-    if fraction >= 1.0:
-        return docs
-    bits = F.xxhash64(F.lit(seed), F.col("doc_id")).bitwiseAND(F.lit((1 << 53) - 1))
-    u = bits / F.lit(float(1 << 53))  # uniform in [0, 1)
-    return docs.where(u < F.lit(fraction))
+    """Bernoulli sample of whole documents without replacement, independent of
+    partitioning and identical on recomputation."""
+    return docs.where(drawn(F.lit(seed), F.col("doc_id")) < F.lit(fraction))
+
+
+def draw_batches(docs: DataFrame, fraction: float, iterations: int) -> DataFrame:
+    """``docs`` once for every iteration that draws them (column ``iteration``):
+    iteration i uses seed 1 + i.  About fraction × iterations copies in all."""
+    seeds = F.sequence(F.lit(1), F.lit(iterations))
+    mine = F.filter(seeds, lambda seed: drawn(seed, F.col("doc_id")) < F.lit(fraction))
+    return docs.withColumn("iteration", F.explode(F.transform(mine, lambda seed: seed - 1)))
 
 
 def weights_frame(spark: SparkSession, weights: np.ndarray) -> DataFrame:
-    rows = [(i, float(w)) for i, w in enumerate(weights)]
-    return spark.createDataFrame(rows, WEIGHT_SCHEMA)
-
-
-def weights_constant(weights: np.ndarray) -> str:
-    """The weight vector as one array<double> SQL constant (folded at planning;
-    exact, since JSON keeps the shortest round-trip form of each double)."""
-    return "from_json('" + json.dumps([float(w) for w in weights]) + "', 'array<double>')"
-
-
-def packed_theta(weights: np.ndarray) -> str:
-    """SQL for θ = Σ value · w[pos] over a packed document row."""
-    w = weights_constant(weights)
-    return f"aggregate(zip_with(pos, value, (p, v) -> v * get({w}, CAST(p AS INT))), 0D, (acc, x) -> acc + x)"
-
-
-# One step as one SQL statement: the weights change every iteration, and a single
-# statement with one constant plans several times faster than a chain of
-# DataFrame calls, each re-analysing the constant.  σ(θ) = 1 / (1 + e^-θ); the
-# loss −yθ + ln(1 + e^θ) in its overflow-free form (as in functions.numeric).
-_GRADIENT_SQL = """
-SELECT x.pos AS pos,
-       sum(x.value * residual) AS grad,
-       sum(CASE WHEN x.pos = {bias} THEN doc_loss END) AS loss,
-       count_if(x.pos = {bias}) AS n
-FROM (
-  SELECT 1.0D / (1.0D + exp(-theta)) - CAST(label AS DOUBLE) AS residual,
-         greatest(theta, 0.0D) + log1p(exp(-abs(theta))) - CAST(label AS DOUBLE) * theta AS doc_loss,
-         explode(arrays_zip(pos, value)) AS x
-  FROM (SELECT label, pos, value, {theta} AS theta FROM {view}))
-GROUP BY x.pos
-"""
+    table = pa.table({"pos": np.arange(len(weights), dtype=np.int64), "weight": np.asarray(weights, np.float64)})
+    return spark.createDataFrame(table, WEIGHT_SCHEMA)
 
 
 def gradient_sums(packed: DataFrame, weights: np.ndarray, n_features: int) -> DataFrame:
     """(pos, grad, loss, n): Σ x (σ(θ) − y) per position over packed examples; the
-    bias row also carries Σ loss and the number of documents.  Combined map-side:
-    at most n_features + 1 rows per task cross the shuffle."""
-    spark = packed.sparkSession
-    view = f"strata_packed_{uuid.uuid4().hex}"
-    packed.createOrReplaceTempView(view)
-    try:
-        return spark.sql(
-            _GRADIENT_SQL.format(bias=int(n_features), theta=packed_theta(weights), view=view)
+    bias row also carries Σ loss and the number of documents.  Each task adds up its
+    documents first: at most n_features + 1 rows per task cross the shuffle."""
+
+    def add(batches):
+        grad, held = np.zeros(n_features + 1), np.zeros(n_features + 1, bool)
+        loss, n = 0.0, 0
+        for batch in batches:
+            y = batch.column(0).to_numpy(zero_copy_only=False).astype(np.float64)
+            sizes = batch.column(1).value_lengths().to_numpy(zero_copy_only=False)
+            pos, value = (batch.column(i).flatten().to_numpy(zero_copy_only=False) for i in (1, 2))
+            row = np.repeat(np.arange(len(y)), sizes)
+            theta = np.bincount(row, value * weights[pos], len(y))
+            small = np.exp(-np.abs(theta))
+            sigma = np.where(theta >= 0, 1.0, small) / (1.0 + small)
+            grad += np.bincount(pos, value * (sigma - y)[row], n_features + 1)
+            held[pos] = True
+            loss += float(np.sum(np.maximum(theta, 0.0) + np.log1p(small) - y * theta))
+            n += len(y)
+        at = np.flatnonzero(held)
+        bias = at == n_features
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(at, pa.int64()), pa.array(grad[at]), pa.array(np.where(bias, loss, 0.0)), pa.array(np.where(bias, n, 0), pa.int64())],
+            ["pos", "grad", "loss", "n"],
         )
-    finally:
-        # The returned frame holds the resolved plan; the name is no longer needed.
-        spark.catalog.dropTempView(view)
+
+    sums = packed.select("label", "pos", "value").mapInArrow(add, "pos bigint, grad double, loss double, n bigint")
+    return sums.groupBy("pos").agg(*(F.sum(c).alias(c) for c in ("grad", "loss", "n")))
 
 
 class StepResult(NamedTuple):
@@ -204,23 +211,32 @@ def fit_logreg(
     if optimizer != "SGD":
         raise ValueError("only the 'SGD' optimizer is supported")
     spark = examples.sparkSession
-    # Packed once and written to the shared checkpoint folder: iterations survive
-    # lost executors and never recompute the features from the text.
-    staged = persist_reliably(pack_examples(examples))
-    train_size = staged.count()
-    fraction = 1.0 if batch_size is None or train_size == 0 else min(1.0, batch_size / train_size)
-    w = initial_weights(n_features, init, seed)
-    prev_cost, costs = 0.0, []
-    for i in range(max_iteration):
-        step = logreg_step(sample_documents(staged, fraction, 1 + i), w, n_features)
-        if step.n == 0:
-            continue  # empty batch: nothing to average
-        cost = step.loss / step.n + regularization * float(np.square(w).sum())
-        w = w - learning_rate * (step.gradient / step.n + 2 * regularization * w)
-        if abs(cost - prev_cost) < tolerance:
-            break
-        prev_cost = cost
-        costs.append((i, float(cost)))
+    # Stored once: iterations survive lost executors and never recompute the features.
+    scratch = Scratch(spark)
+    try:
+        staged = scratch.table(pack_examples(examples))
+        train_size = staged.count()
+        fraction = 1.0 if batch_size is None or train_size == 0 else min(1.0, batch_size / train_size)
+        batches = None
+        if fraction < 1.0:
+            # A few files per iteration; a batch has about batch_size documents.
+            part = F.pmod(F.xxhash64("doc_id"), F.lit(BATCH_FILES))
+            rows = draw_batches(staged, fraction, max_iteration)
+            batches = scratch.table(rows.repartition(max_iteration * BATCH_FILES, "iteration", part), partition_by="iteration")
+        w = initial_weights(n_features, init, seed)
+        prev_cost, costs = 0.0, []
+        for i in range(max_iteration):
+            step = logreg_step(staged if batches is None else batches.where(F.col("iteration") == i), w, n_features)
+            if step.n == 0:
+                continue  # empty batch: nothing to average
+            cost = step.loss / step.n + regularization * float(np.square(w).sum())
+            w = w - learning_rate * (step.gradient / step.n + 2 * regularization * w)
+            if abs(cost - prev_cost) < tolerance:
+                break
+            prev_cost = cost
+            costs.append((i, float(cost)))
+    finally:
+        scratch.release()
     history = spark.createDataFrame(costs, "iteration int, cost double")
     return FitResult(weights_frame(spark, w), history, w)
 
@@ -234,9 +250,9 @@ def score_logreg(
 ) -> DataFrame:
     """(doc_id, label, score, prediction).  ``on='logit'`` compares the raw score
     x·w with the threshold (the reference rule), ``'probability'`` compares σ(x·w)."""
-    joined = examples.join(broadcast_bounded(weights, n_features + 1), "pos")
+    joined = examples.join(weights, "pos")
     scored = joined.groupBy("doc_id").agg(
-        F.first("label").alias("label"), F.sum(F.col("value") * F.col("weight")).alias("score")
+        F.max("label").alias("label"), F.sum(F.col("value") * F.col("weight")).alias("score")
     )
     if on == "logit":
         test = F.col("score")
@@ -280,7 +296,7 @@ def top_weighted_words(weights: DataFrame, vocab: DataFrame, n_features: int, n:
     """The ``n`` largest weights that belong to a word (the bias is excluded):
     (pos, word, weight), ties by position."""
     words = weights.where(F.col("pos") != n_features).join(
-        broadcast_bounded(vocab.select("pos", "word"), n_features), "pos"
+        vocab.select("pos", "word"), "pos"
     )
     return words.orderBy(F.col("weight").desc(), F.col("pos").asc()).limit(n).select(
         "pos", "word", "weight"

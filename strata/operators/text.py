@@ -1,21 +1,20 @@
 """Text features as sparse long-form tables.
 
 Vectors are never dense: a document vector is the set of rows (doc_id, pos, value)
-for the positions it actually holds.  The vocabulary (≤ K rows) and the IDF table
-(≤ K rows) are the only broadcast sides, and their size is bounded by K.
+for the positions it actually holds.  The vocabulary and the IDF table have at most
+K rows; joins with them carry no hint, Catalyst broadcasts them by their size.
 """
 
 from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.text import tokenize
-from strata.operators.common import broadcast_bounded, number_rows, top_n
-from strata.session import persist_as_table
+from strata.operators.common import number_rows, top_n
+from strata.session import Scratch
 
 # Fixed values of the reference: vocabulary sizes of the corpus and the classifier.
 CORPUS_VOCABULARY = 20000
@@ -44,8 +43,16 @@ def top_words(counts: DataFrame, n: int = 10) -> DataFrame:
 
 def build_vocabulary(counts: DataFrame, k: int = CORPUS_VOCABULARY) -> DataFrame:
     """The K most frequent words (fewer if the corpus has fewer), positions 0..K-1
-    by falling count, ties by word.  (word, count, pos)."""
-    return number_rows(top_n(counts, k, _by_frequency()), _by_frequency(), "pos")
+    by falling count, ties by word.  (word, count, pos).
+
+    The count of the K-th word comes from the histogram of counts (few rows: n different
+    counts need n² / 2 tokens), so only words at or above it are sorted and merged."""
+    w = Window.orderBy(F.col("count").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    sizes = counts.groupBy("count").agg(F.count(F.lit(1)).alias("words"))
+    reached = sizes.select("count", F.coalesce(F.sum("words").over(w), F.lit(0)).alias("before"))
+    least = reached.where(F.col("before") < k).agg(F.min("count"))
+    head = counts.where(F.col("count") >= least.scalar())
+    return number_rows(top_n(head, k, _by_frequency()), _by_frequency(), "pos")
 
 
 def vocabulary_tail(vocab: DataFrame, n: int = 20) -> DataFrame:
@@ -53,18 +60,18 @@ def vocabulary_tail(vocab: DataFrame, n: int = 20) -> DataFrame:
     return top_n(vocab, n, [F.col("pos").desc()])
 
 
-def vocab_lookup(vocab: DataFrame, words: DataFrame, k: int = CORPUS_VOCABULARY) -> DataFrame:
+def vocab_lookup(vocab: DataFrame, words: DataFrame) -> DataFrame:
     """(word) → (word, pos); −1 for a word outside the vocabulary."""
-    dictionary = broadcast_bounded(vocab.select("word", "pos"), k)
+    dictionary = vocab.select("word", "pos")
     return words.join(dictionary, "word", "left").select(
         "word", F.coalesce(F.col("pos"), F.lit(-1).cast("bigint")).alias("pos")
     )
 
 
-def tokens_to_positions(tokens: DataFrame, vocab: DataFrame, k: int = CORPUS_VOCABULARY) -> DataFrame:
+def tokens_to_positions(tokens: DataFrame, vocab: DataFrame) -> DataFrame:
     """(doc_id, word) → (doc_id, pos); out-of-vocabulary words drop, repeats stay.
-    A broadcast hash join: the token stream is never shuffled."""
-    dictionary = broadcast_bounded(vocab.select("word", "pos"), k)
+    A vocabulary within Spark's broadcast threshold leaves the token stream in place."""
+    dictionary = vocab.select("word", "pos")
     return tokens.join(dictionary, "word").select("doc_id", "pos")
 
 
@@ -108,10 +115,10 @@ def inverse_document_frequency(doc_freq: DataFrame, n_docs: DataFrame | int) ->
     return doc_freq.select("pos", F.ln(n.cast("double") / F.col("df")).alias("idf"))
 
 
-def tf_idf(tf: DataFrame, idf: DataFrame, k: int = CORPUS_VOCABULARY) -> DataFrame:
-    """(doc_id, pos, value = tf × idf).  IDF is broadcast (≤ K rows), so the result
-    keeps tf's partitioning by doc_id."""
-    return tf.join(broadcast_bounded(idf, k), "pos").select(
+def tf_idf(tf: DataFrame, idf: DataFrame) -> DataFrame:
+    """(doc_id, pos, value = tf × idf).  An IDF within Spark's broadcast threshold
+    leaves tf's partitioning by doc_id as it is."""
+    return tf.join(idf, "pos").select(
         "doc_id", "pos", (F.col("tf") * F.col("idf")).alias("value")
     )
 
@@ -122,62 +129,57 @@ class TextFeatures(NamedTuple):
     vocab: DataFrame
     tf: DataFrame
     doc_freq: DataFrame
-    idf: DataFrame
-    tfidf: DataFrame
+    idf: DataFrame | None
+    tfidf: DataFrame | None
     k: int
+    scratch: Scratch | None
 
     def release(self) -> None:
-        """Drop the persisted vocabulary, TF and IDF (no effect on table storage)."""
-        for df in (self.vocab, self.tf, self.idf):
-            df.unpersist()
+        """Drop the stored vocabulary, TF and IDF."""
+        if self.scratch:
+            self.scratch.release()
 
 
 def text_features(
     docs: DataFrame,
     k: int = CORPUS_VOCABULARY,
-    storage: StorageLevel | str | None = StorageLevel.MEMORY_AND_DISK,
+    stored: bool = True,
     n_docs: DataFrame | int | None = None,
 ) -> TextFeatures:
     """Fit the corpus features: tokens → vocabulary → TF → DF → IDF → TF-IDF.
 
     The text is tokenized twice: once to count words (vocabulary), once to map
-    words to positions.  The three reused pieces are materialised here, like a
-    model fit: the vocabulary (≤ K rows), TF (hash-partitioned by doc_id; read by
-    DF, TF-IDF and scoring) and IDF (≤ K rows).  Later plans read them once and
-    know TF's partitioning, so per-document steps downstream need no shuffle.
-
-    ``storage``: a ``StorageLevel`` persists them (lost blocks are recomputed from
-    lineage); ``"table"`` writes them to the shared checkpoint folder, TF bucketed
-    and sorted by doc_id — the choice for very large corpora, as it survives lost
-    executors without recomputation; ``None`` keeps everything lazy.
+    words to positions.  The reused pieces become tables in the shared checkpoint
+    folder, like a model fit: the vocabulary (≤ K rows), TF (bucketed and sorted by
+    doc_id; read by DF, TF-IDF and scoring) and IDF (≤ K rows).  Later plans read them
+    once and know TF's partitioning, so per-document steps downstream need no
+    shuffle.  ``stored=False`` keeps everything lazy.
 
     ``n_docs`` is the N of the IDF (a one-row frame or an int); by default the
     number of rows of ``docs``.  Pass ``corpus_size(lines)`` to count every input
     line, valid or not, as the line-based workflow does.
     """
-    tokens = doc_tokens(docs)
-    counts = word_counts(tokens)
-    vocab = _materialize(build_vocabulary(counts, k), storage)
-    tf = _materialize(term_frequency(tokens_to_positions(tokens, vocab, k)), storage, "doc_id")
-    doc_freq = document_frequency(tf)
+    features = text_frequencies(docs, k, stored)
     n = docs.agg(F.count(F.lit(1))) if n_docs is None else n_docs
-    idf = _materialize(inverse_document_frequency(doc_freq, n), storage)
-    return TextFeatures(tokens, counts, vocab, tf, doc_freq, idf, tf_idf(tf, idf, k), k)
+    idf = inverse_document_frequency(features.doc_freq, n)
+    if features.scratch:
+        idf = features.scratch.table(idf)
+    return features._replace(idf=idf, tfidf=tf_idf(features.tf, idf))
 
 
-def _materialize(
-    df: DataFrame, storage: StorageLevel | str | None, key: str | None = None
-) -> DataFrame:
-    if storage is None:
-        return df
-    if storage == "table":
-        return persist_as_table(df, bucket_by=key)
-    df = df.persist(storage)
-    df.count()
-    return df
+def text_frequencies(docs: DataFrame, k: int = CORPUS_VOCABULARY, stored: bool = True) -> TextFeatures:
+    """The features without IDF and TF-IDF (None), for callers that don't read them."""
+    scratch = Scratch(docs.sparkSession) if stored else None
+    tokens = doc_tokens(docs)
+    counts = word_counts(tokens)
+    vocab = build_vocabulary(counts, k)
+    vocab = scratch.table(vocab) if scratch else vocab
+    tf = term_frequency(tokens_to_positions(tokens, vocab))
+    tf = scratch.table(tf, bucket_by="doc_id") if scratch else tf
+    return TextFeatures(tokens, counts, vocab, tf, document_frequency(tf), None, None, k, scratch)
 
 
-def featurize(docs: DataFrame, vocab: DataFrame, k: int) -> DataFrame:
+def featurize(docs: DataFrame, vocab: DataFrame) -> DataFrame:
     """TF vectors (doc_id, pos, tf) of any documents against a given vocabulary
     (the training one for a test set)."""
-    return term_frequency(tokens_to_positions(doc_tokens(docs), vocab, k))
+    return term_frequency(tokens_to_positions(doc_tokens(docs), vocab))

@@ -9,13 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.numeric import round_score
 from strata.operators import knn, links, logreg, text, trips
 from strata.operators.common import preview
+from strata.session import Scratch
 from strata.sources import driver_tables as views
 from strata.sources.readers import corpus_size, parse_doc_lines
 
@@ -30,6 +30,8 @@ CORPUS_K = text.CORPUS_VOCABULARY
 CLASSIFIER_K = text.CLASSIFIER_VOCABULARY
 SUBSTRING_NEEDLE = "77"
 FULLBATCH_STEPS = 3
+MINIBATCH_STEPS, MINIBATCH_SIZE, MINIBATCH_TOLERANCE = 6, 20, 0.05
+ID_NEEDLE = "7"
 TOP_WORDS_N = 5
 TF_PREVIEW_DOCS = 3
 TFIDF_PREVIEW_DOCS = 2
@@ -43,6 +45,22 @@ REFERENCE_TEXTS = [
 ]
 
 
+# What catalog queries have stored and still read; ``release`` drops it.
+_STORED: list[Scratch] = []
+
+
+def release() -> None:
+    """Drop everything that queries of this catalog have stored.  Their results can't
+    be read afterwards."""
+    while _STORED:
+        _STORED.pop().release()
+
+
+def _scratch(spark: SparkSession) -> Scratch:
+    _STORED.append(Scratch(spark))
+    return _STORED[-1]
+
+
 def _r(column: str, alias: str | None = None, decimals: int = 9):
     return round_score(column, decimals).alias(alias or column)
 
@@ -116,7 +134,15 @@ def q_top_categories(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _corpus(spark: SparkSession, sf: str) -> text.TextFeatures:
-    return text.text_features(views.corpus_view(spark, sf), CORPUS_K)
+    features = text.text_features(views.corpus_view(spark, sf), CORPUS_K)
+    _STORED.append(features.scratch)
+    return features
+
+
+def _frequencies(spark: SparkSession, sf: str) -> text.TextFeatures:
+    features = text.text_frequencies(views.corpus_view(spark, sf), CORPUS_K)
+    _STORED.append(features.scratch)
+    return features
 
 
 def _word_counts(spark: SparkSession, sf: str) -> DataFrame:
@@ -142,30 +168,30 @@ def q_vocabulary_tail(spark: SparkSession, sf: str) -> DataFrame:
 def _classifier_vocab(spark: SparkSession, sf: str) -> DataFrame:
     train = views.labelled_view(spark, sf, "train")
     vocab = text.build_vocabulary(text.word_counts(text.doc_tokens(train)), CLASSIFIER_K)
-    return vocab.persist(StorageLevel.MEMORY_AND_DISK)  # ≤ K rows, read by train and test
+    return _scratch(spark).table(vocab)  # ≤ K rows, read by train and test
 
 
 def q_vocab_lookup(spark: SparkSession, sf: str) -> DataFrame:
     words = spark.createDataFrame([(w,) for w in LOOKUP_WORDS], "word string")
-    return text.vocab_lookup(_classifier_vocab(spark, sf), words, CLASSIFIER_K)
+    return text.vocab_lookup(_classifier_vocab(spark, sf), words)
 
 
 def q_tokens_to_positions(spark: SparkSession, sf: str) -> DataFrame:
     tokens = text.doc_tokens(views.corpus_view(spark, sf))
     vocab = text.build_vocabulary(text.word_counts(tokens), CORPUS_K)
-    return text.position_counts(text.tokens_to_positions(tokens, vocab, CORPUS_K))
+    return text.position_counts(text.tokens_to_positions(tokens, vocab))
 
 
 def q_term_frequency(spark: SparkSession, sf: str) -> DataFrame:
-    return _corpus(spark, sf).tf.select("doc_id", "pos", _r("tf"))
+    return _frequencies(spark, sf).tf.select("doc_id", "pos", _r("tf"))
 
 
 def q_binary_presence(spark: SparkSession, sf: str) -> DataFrame:
-    return text.binary_presence(_corpus(spark, sf).tf)
+    return text.binary_presence(_frequencies(spark, sf).tf)
 
 
 def q_document_frequency(spark: SparkSession, sf: str) -> DataFrame:
-    return _corpus(spark, sf).doc_freq
+    return _frequencies(spark, sf).doc_freq
 
 
 def q_inverse_document_frequency(spark: SparkSession, sf: str) -> DataFrame:
@@ -178,7 +204,7 @@ def q_tf_idf(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_tf_preview(spark: SparkSession, sf: str) -> DataFrame:
     """The TF vectors of the first documents (by id) that have one."""
-    return preview(_corpus(spark, sf).tf, "doc_id", TF_PREVIEW_DOCS).select("doc_id", "pos", _r("tf"))
+    return preview(_frequencies(spark, sf).tf, "doc_id", TF_PREVIEW_DOCS).select("doc_id", "pos", _r("tf"))
 
 
 def q_tfidf_preview(spark: SparkSession, sf: str) -> DataFrame:
@@ -191,7 +217,7 @@ def q_tfidf_preview(spark: SparkSession, sf: str) -> DataFrame:
 
 def _knn_inputs(spark: SparkSession, sf: str) -> tuple[text.TextFeatures, knn.QuerySet]:
     c = _corpus(spark, sf)
-    return c, knn.query_vectors(views.query_texts_view(spark, sf), c.vocab, c.idf, c.k)
+    return c, knn.query_vectors(views.query_texts_view(spark, sf), c.vocab, c.idf, c.scratch)
 
 
 def q_query_vectors(spark: SparkSession, sf: str) -> DataFrame:
@@ -200,13 +226,15 @@ def q_query_vectors(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_scores_cosine(spark: SparkSession, sf: str) -> DataFrame:
+    """The best cosine scores of each query among documents that share a word."""
     c, qs = _knn_inputs(spark, sf)
-    return knn.score_documents(c.tfidf, qs, "cosine").select("query_id", "doc_id", _r("score"))
+    return knn.top_scores(c.tfidf, qs, KNN_K, "cosine")
 
 
 def q_scores_dot(spark: SparkSession, sf: str) -> DataFrame:
+    """The best dot products of each query among documents that share a word."""
     c, qs = _knn_inputs(spark, sf)
-    return knn.score_documents(c.tfidf, qs, "dot").select("query_id", "doc_id", _r("score"))
+    return knn.top_scores(c.tfidf, qs, KNN_K, "dot")
 
 
 def q_knn_neighbors(spark: SparkSession, sf: str) -> DataFrame:
@@ -214,6 +242,11 @@ def q_knn_neighbors(spark: SparkSession, sf: str) -> DataFrame:
     return knn.knn_neighbors(c.tfidf, qs, KNN_K, "cosine")
 
 
+def q_knn_neighbors_dot(spark: SparkSession, sf: str) -> DataFrame:
+    c, qs = _knn_inputs(spark, sf)
+    return knn.knn_neighbors(c.tfidf, qs, KNN_K, "dot")
+
+
 def q_knn_vote_documents(spark: SparkSession, sf: str) -> DataFrame:
     c, qs = _knn_inputs(spark, sf)
     return knn.knn_predict(c.tfidf, qs, views.links_view(spark, sf), KNN_K, "cosine", "documents")
@@ -224,7 +257,7 @@ def q_knn_reference_texts(spark: SparkSession, sf: str) -> DataFrame:
     document voting, k = 10)."""
     c = _corpus(spark, sf)
     texts = spark.createDataFrame(REFERENCE_TEXTS, "query_id string, text string")
-    qs = knn.query_vectors(texts, c.vocab, c.idf, c.k)
+    qs = knn.query_vectors(texts, c.vocab, c.idf, c.scratch)
     return knn.knn_predict(c.tfidf, qs, views.links_view(spark, sf), KNN_K, "cosine", "documents")
 
 
@@ -243,7 +276,7 @@ def q_label_by_substring(spark: SparkSession, sf: str) -> DataFrame:
 def _examples(spark: SparkSession, sf: str, split: str) -> DataFrame:
     vocab = _classifier_vocab(spark, sf)
     docs = views.labelled_view(spark, sf, split)
-    tf = text.featurize(docs, vocab, CLASSIFIER_K)
+    tf = text.featurize(docs, vocab)
     return logreg.logreg_examples(tf, docs, CLASSIFIER_K)
 
 
@@ -285,6 +318,55 @@ def q_logreg_history(spark: SparkSession, sf: str) -> DataFrame:
     return _fullbatch(spark, sf).history.select("iteration", _r("cost"))
 
 
+def _minibatch_checked(spark: SparkSession, sf: str) -> logreg.FitResult:
+    """Real sampling and an early stop, in a form that SQL can redo."""
+    return logreg.fit_logreg(
+        _examples(spark, sf, "train"),
+        CLASSIFIER_K,
+        max_iteration=MINIBATCH_STEPS,
+        batch_size=MINIBATCH_SIZE,
+        tolerance=MINIBATCH_TOLERANCE,
+        init="zeros",
+    )
+
+
+def q_logreg_minibatch_weights(spark: SparkSession, sf: str) -> DataFrame:
+    return _minibatch_checked(spark, sf).weights.select("pos", _r("weight"))
+
+
+def q_logreg_minibatch_history(spark: SparkSession, sf: str) -> DataFrame:
+    return _minibatch_checked(spark, sf).history.select("iteration", _r("cost"))
+
+
+def _examples_by_id(spark: SparkSession, sf: str, split: str, vocab: DataFrame) -> DataFrame:
+    """Conversations: ids repeat over the turns, and the id holds the label."""
+    tf = text.featurize(views.conversation_view(spark, sf, split), vocab)
+    return logreg.logreg_examples_by_id(tf, CLASSIFIER_K, ID_NEEDLE)
+
+
+def _vocab_by_id(spark: SparkSession, sf: str) -> DataFrame:
+    tokens = text.doc_tokens(views.conversation_view(spark, sf, "train"))
+    return _scratch(spark).table(text.build_vocabulary(text.word_counts(tokens), CLASSIFIER_K))
+
+
+def q_logreg_examples_by_id(spark: SparkSession, sf: str) -> DataFrame:
+    examples = _examples_by_id(spark, sf, "train", _vocab_by_id(spark, sf))
+    return examples.select("doc_id", "label", "pos", _r("value"))
+
+
+def q_logreg_train_size_by_id(spark: SparkSession, sf: str) -> DataFrame:
+    return logreg.train_size(_examples_by_id(spark, sf, "train", _vocab_by_id(spark, sf)), CLASSIFIER_K)
+
+
+def q_confusion_matrix_by_id(spark: SparkSession, sf: str) -> DataFrame:
+    vocab = _vocab_by_id(spark, sf)
+    train, test = (_examples_by_id(spark, sf, split, vocab) for split in ("train", "test"))
+    fit = logreg.fit_logreg(
+        train, CLASSIFIER_K, max_iteration=FULLBATCH_STEPS, batch_size=None, tolerance=0.0, init="zeros"
+    )
+    return logreg.confusion_matrix(logreg.score_logreg(test, fit.weights, CLASSIFIER_K))
+
+
 def q_logreg_minibatch(spark: SparkSession, sf: str) -> DataFrame:
     """The reference's training call: 50 iterations, rate 0.6, L2 0.1, batch 20,000,
     tolerance 5e-5, N(0, 0.1) start.  Random start → checked by row count only."""
@@ -348,6 +430,7 @@ QUERIES: dict[str, Query] = {
     "scores_cosine": q_scores_cosine,
     "scores_dot": q_scores_dot,
     "knn_neighbors": q_knn_neighbors,
+    "knn_neighbors_dot": q_knn_neighbors_dot,
     "knn_vote_documents": q_knn_vote_documents,
     "knn_vote_pairs": q_knn_vote_pairs,
     "knn_reference_texts": q_knn_reference_texts,
@@ -358,6 +441,11 @@ QUERIES: dict[str, Query] = {
     "logreg_fit_fullbatch": q_logreg_fit_fullbatch,
     "logreg_history": q_logreg_history,
     "logreg_minibatch": q_logreg_minibatch,
+    "logreg_minibatch_weights": q_logreg_minibatch_weights,
+    "logreg_minibatch_history": q_logreg_minibatch_history,
+    "logreg_examples_by_id": q_logreg_examples_by_id,
+    "logreg_train_size_by_id": q_logreg_train_size_by_id,
+    "confusion_matrix_by_id": q_confusion_matrix_by_id,
     "logreg_score": q_logreg_score,
     "confusion_matrix": q_confusion_matrix,
     "classification_metrics": q_classification_metrics,

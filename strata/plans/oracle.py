@@ -160,6 +160,36 @@ w{i + 1} AS (
   from w{i} w left join grad{i} g using (pos))"""
 
 
+LABELLED = """
+  select cast(d.doc_id as varchar) doc_id, d.text, l.quality label, d.doc_id % 5 = 0 is_test
+  from documents d join labels l using (doc_id)),"""
+LABELLED_BY_ID = f"""
+  select cast(conv_id as varchar) doc_id, text,
+         cast(contains(cast(conv_id as varchar), '{C.ID_NEEDLE}') as integer) label, conv_id % 5 = 0 is_test
+  from conversations),"""
+assert LABELLED in CLASSIFIER
+CLASSIFIER_BY_ID = CLASSIFIER.replace(LABELLED, LABELLED_BY_ID)
+
+
+def _drawn_step(i: int) -> str:
+    """A step over the documents that iteration ``i`` draws (seed 1 + i)."""
+    drawn = f"('0x' || substr(md5('{1 + i}:' || doc_id), 1, 13))::bigint / {float(1 << 52)}"
+    lab = f"""
+lab{i} AS (
+  select * from train_lab
+  where {drawn} < least(1.0, {C.MINIBATCH_SIZE}::double / (select count(*) from train_lab))),
+ex{i} AS (select e.* from train_ex e join lab{i} using (doc_id)),"""
+    return lab + _step(i).replace("train_ex", f"ex{i}").replace("train_lab", f"lab{i}")
+
+
+MINI = ",\n".join(_drawn_step(i) for i in range(C.MINIBATCH_STEPS))
+MINI_END = f"""
+costs AS ({' union all '.join(f'select iteration, cost from cost{i}' for i in range(C.MINIBATCH_STEPS))}),
+moved AS (select iteration, abs(cost - coalesce(lag(cost) over (order by iteration), 0.0)) d from costs),
+stopped AS (
+  select coalesce(min(iteration), {C.MINIBATCH_STEPS}) i from moved where d < {C.MINIBATCH_TOLERANCE})"""
+
+
 VOTE_DOCS = f"""select query_id, category, votes from (
     select nb.query_id, l.category, count(*) votes
     from nb join links l using (doc_id) group by nb.query_id, l.category)
@@ -196,7 +226,9 @@ def _sql() -> dict[str, str]:
     knn = _with(CORPUS, BENCH_QUERIES, QUERIES)
     nb = _with(CORPUS, BENCH_QUERIES, QUERIES, NEIGHBORS)
     clf = _with(CLASSIFIER)
+    by_id = _with(CLASSIFIER_BY_ID)
     fit = _with(CLASSIFIER, STEPS)
+    mini = _with(CLASSIFIER, MINI, MINI_END)
     test = _with(CLASSIFIER, STEPS, TEST)
     cut = lambda n: f"limit {n}"
     return {
@@ -249,8 +281,18 @@ def _sql() -> dict[str, str]:
         + f"""select doc_id, pos, round(value, {R}) value from tfidf
         where doc_id in (select distinct doc_id from tfidf order by doc_id limit {C.TFIDF_PREVIEW_DOCS})""",
         "query_vectors": knn + f"select query_id, pos, round(value, {R}) value from qvec",
-        "scores_cosine": knn + f"select query_id, doc_id, round(score, {R}) score from cos",
-        "scores_dot": knn + f"select query_id, doc_id, round(dot, {R}) score from dots",
+        "scores_cosine": knn
+        + f"""select query_id, doc_id, round(score, {R}) score from cos
+        qualify row_number() over (partition by query_id order by round(score, {R}) desc, doc_id) <= {C.KNN_K}""",
+        "scores_dot": knn
+        + f"""select query_id, doc_id, round(dot, {R}) score from dots
+        qualify row_number() over (partition by query_id order by round(dot, {R}) desc, doc_id) <= {C.KNN_K}""",
+        "knn_neighbors_dot": knn
+        + f""", all_dot AS (
+          select query_id, doc_id, coalesce(round(d.dot, {R}), 0.0) score
+          from live_q cross join docs_v left join dots d using (query_id, doc_id))
+        select query_id, row_number() over (partition by query_id order by score desc, doc_id) rank, doc_id, score
+        from all_dot qualify rank <= {C.KNN_K}""",
         "knn_neighbors": nb + "select query_id, rank, doc_id, score from nb",
         "knn_vote_documents": _with(CORPUS, BENCH_QUERIES, QUERIES, NEIGHBORS, LINKS) + VOTE_DOCS,
         "knn_reference_texts": _with(CORPUS, REF_QUERIES, QUERIES, NEIGHBORS, LINKS) + VOTE_DOCS,
@@ -279,6 +321,15 @@ def _sql() -> dict[str, str]:
         + " union all ".join(
             f"select iteration, round(cost, {R}) cost from cost{i}" for i in range(C.FULLBATCH_STEPS)
         ),
+        "logreg_minibatch_weights": mini
+        + f"select pos, round(weight, {R}) weight from ("
+        + " union all ".join(f"select {i} i, pos, weight from w{i}" for i in range(1, C.MINIBATCH_STEPS + 1))
+        + f") where i = least((select i from stopped) + 1, {C.MINIBATCH_STEPS})",
+        "logreg_minibatch_history": mini
+        + f"select iteration, round(cost, {R}) cost from costs where iteration < (select i from stopped)",
+        "logreg_examples_by_id": by_id + f"select doc_id, label, pos, round(value, {R}) value from train_ex",
+        "logreg_train_size_by_id": by_id + "select count(*) n from train_lab",
+        "confusion_matrix_by_id": _with(CLASSIFIER_BY_ID, STEPS, TEST) + "select tp, tn, fp, fn from confusion",
         "logreg_score": test + f"select doc_id, label, round(score, {R}) score, prediction from predicted",
         "confusion_matrix": test + "select tp, tn, fp, fn from confusion",
         "classification_metrics": test

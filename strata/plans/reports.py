@@ -1,19 +1,17 @@
 """File-in, file-out reports: the three workloads run from their raw input files
 (trip CSV, document lines, category links) to structured result files.
 
-Each report is a set of DataFrame plans written with ``write_result``.  Small
-results (top-k lists, summaries) are written as one file each; per-document
-tables keep their partitions.
+Each report is a set of DataFrame plans written with ``write_result``, in parallel.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.operators import knn, links, logreg, text, trips
 from strata.operators.common import preview
 from strata.plans.catalog import LOOKUP_WORDS
+from strata.session import Scratch
 from strata.sources.readers import (
     corpus_size,
     parse_doc_lines,
@@ -41,28 +39,29 @@ def corpus_report(
     k: int = text.CORPUS_VOCABULARY,
     knn_k: int = 10,
     fmt: str = "parquet",
-    storage: StorageLevel | str | None = StorageLevel.MEMORY_AND_DISK,
 ) -> text.TextFeatures:
     """Document lines + category links → corpus size, top words, vocabulary tail,
     TF and TF-IDF samples and tables, kNN category votes for ``queries``
     (query_id, text) by document voting (cosine) and pair voting (dot), and the
-    link statistics.  ``storage`` as in ``text_features`` (``"table"`` for very
-    large corpora).  Returns the fitted text features (``release()`` frees them)."""
+    link statistics.  The links are read once, and so is the number of lines.
+    Returns the fitted text features (``release()`` drops what is stored)."""
     lines = read_lines(spark, pages_path)
     docs = parse_doc_lines(lines)
-    link_table = read_category_links(spark, links_path)
-    features = text.text_features(docs, k, storage=storage, n_docs=corpus_size(lines))
-
-    write_result(corpus_size(lines), f"{out_dir}/corpus_size", fmt)
-    # The vocabulary holds the top K words in the same order: no third text pass.
-    ranked = features.vocab.select("word", "count") if k >= 10 else features.counts
-    write_result(text.top_words(ranked, 10), f"{out_dir}/top_words", fmt)
+    n_lines = corpus_size(lines)
+    n = n_lines.first()["n"]
+    features = text.text_features(docs, k, n_docs=n)
+    scratch = features.scratch
+    link_table = scratch.table(read_category_links(spark, links_path))
+
+    write_result(spark.createDataFrame([(n,)], n_lines.schema), f"{out_dir}/corpus_size", fmt)
+    # The vocabulary holds the top K words in the same order; a smaller K lists fewer.
+    write_result(text.top_words(features.vocab.select("word", "count"), 10), f"{out_dir}/top_words", fmt)
     write_result(text.vocabulary_tail(features.vocab, 20), f"{out_dir}/vocabulary_tail", fmt)
     write_result(preview(features.tf, "doc_id", 3), f"{out_dir}/tf_sample", fmt)
     write_result(preview(features.tfidf, "doc_id", 2), f"{out_dir}/tfidf_sample", fmt)
-    write_result(features.tfidf, f"{out_dir}/tf_idf", fmt, single_file=False)
+    write_result(features.tfidf, f"{out_dir}/tf_idf", fmt)
 
-    qs = knn.query_vectors(queries, features.vocab, features.idf, features.k)
+    qs = knn.query_vectors(queries, features.vocab, features.idf, scratch)
     write_result(
         knn.knn_predict(features.tfidf, qs, link_table, knn_k, "cosine", "documents"),
         f"{out_dir}/knn_documents", fmt,
@@ -73,8 +72,10 @@ def corpus_report(
     )
 
     per_doc = links.categories_per_doc(link_table)
-    write_result(links.describe_counts(per_doc), f"{out_dir}/categories_per_doc_summary", fmt)
-    write_result(links.median_count(per_doc), f"{out_dir}/categories_per_doc_median", fmt)
+    both = links.describe_and_median(per_doc)
+    both = spark.createDataFrame(both.collect(), both.schema)  # one row
+    write_result(both.drop("median"), f"{out_dir}/categories_per_doc_summary", fmt)
+    write_result(both.select("median"), f"{out_dir}/categories_per_doc_median", fmt)
     write_result(links.top_categories(link_table, 10), f"{out_dir}/top_categories", fmt)
     return features
 
@@ -94,14 +95,14 @@ def classifier_report(
     ``fit_options`` override the training settings of ``fit_logreg``."""
     train = parse_doc_lines(read_lines(spark, train_path))
     test = parse_doc_lines(read_lines(spark, test_path))
-    vocab = text.build_vocabulary(text.word_counts(text.doc_tokens(train)), k).persist()
+    scratch = Scratch(spark)
+    vocab = scratch.table(text.build_vocabulary(text.word_counts(text.doc_tokens(train)), k))
 
     words = spark.createDataFrame([(w,) for w in LOOKUP_WORDS], "word string")
-    write_result(text.vocab_lookup(vocab, words, k), f"{out_dir}/lookups", fmt)
+    write_result(text.vocab_lookup(vocab, words), f"{out_dir}/lookups", fmt)
 
     def examples(docs: DataFrame) -> DataFrame:
-        labelled = logreg.label_by_substring(docs, needle)
-        return logreg.logreg_examples(text.featurize(docs, vocab, k), labelled, k)
+        return logreg.logreg_examples_by_id(text.featurize(docs, vocab), k, needle)
 
     fit = logreg.fit_logreg(examples(train), k, **fit_options)
     write_result(fit.history, f"{out_dir}/cost_history", fmt)
@@ -110,6 +111,5 @@ def classifier_report(
     scored = logreg.score_logreg(examples(test), fit.weights, k)
     metrics = logreg.classification_metrics(logreg.confusion_matrix(scored))
     write_result(metrics, f"{out_dir}/metrics", fmt)
-    vocab.unpersist()
+    scratch.release()
     return fit
-

@@ -22,7 +22,7 @@ LOCAL_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.driver.memory": "16g",
+    "spark.driver.memory": "8g",
     # Checkpoint files of dropped datasets are removed (training writes one per fit).
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
@@ -80,20 +80,39 @@ def persist_reliably(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def persist_as_table(
-    df: DataFrame, bucket_by: str | None = None, buckets: int | None = None, prefix: str = "strata"
-) -> DataFrame:
-    """Write ``df`` as a Parquet table under the shared checkpoint folder and read
-    it back.  With ``bucket_by`` the table is bucketed and sorted by that column, so
-    later plans know its hash partitioning (joins and per-key steps on it need no
-    shuffle).  Unlike a cache, the data survives lost executors without
-    recomputation, and the lineage is cut."""
-    spark = df.sparkSession
-    name = f"{prefix}_{uuid.uuid4().hex[:12]}"
-    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}"
-    writer = df.write.mode("error").option("path", path)
-    if bucket_by is not None:
-        n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        writer = writer.bucketBy(n, bucket_by).sortBy(bucket_by)
-    writer.saveAsTable(name)
-    return spark.table(name)
+class Scratch:
+    """Tables that one piece of work writes under the shared checkpoint folder.
+
+    Unlike a cache they survive lost executors without recomputation, and the lineage
+    is cut.  ``release`` drops them with their files."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.names = spark, []
+        folder = f"{checkpoint_dir(spark).rstrip('/')}/tables"
+        self.database = f"strata_{uuid.uuid5(uuid.NAMESPACE_URL, folder).hex[:12]}"
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database} LOCATION '{folder}'")
+
+    def table(
+        self,
+        df: DataFrame,
+        bucket_by: str | None = None,
+        buckets: int | None = None,
+        partition_by: str | None = None,
+    ) -> DataFrame:
+        """``df`` written as a Parquet table and read back.  With ``bucket_by`` the table
+        is bucketed and sorted by that column, so later plans know its hash partitioning
+        (joins and per-key steps on it need no shuffle)."""
+        name = f"{self.database}.t_{uuid.uuid4().hex[:12]}"
+        writer = df.write.mode("error")
+        if bucket_by is not None:
+            n = buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+            writer = writer.bucketBy(n, bucket_by).sortBy(bucket_by)
+        if partition_by is not None:
+            writer = writer.partitionBy(partition_by)
+        writer.saveAsTable(name)
+        self.names.append(name)
+        return self.spark.table(name)
+
+    def release(self) -> None:
+        while self.names:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.names.pop()} PURGE")

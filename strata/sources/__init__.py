@@ -1,25 +1,19 @@
 """Sources and sinks."""
 
 from strata.sources.readers import (
-    DOC_SCHEMA,
-    LINK_SCHEMA,
     TRIP_SCHEMA,
     corpus_size,
     parse_category_links,
     parse_doc_lines,
-    planned_size,
     read_category_links,
     read_doc_lines,
     read_lines,
     read_trips,
-    spread_small_input,
 )
 from strata.sources.sinks import write_result
 
 __all__ = [
     "TRIP_SCHEMA",
-    "DOC_SCHEMA",
-    "LINK_SCHEMA",
     "read_trips",
     "read_lines",
     "read_doc_lines",
@@ -27,7 +21,5 @@ __all__ = [
     "read_category_links",
     "parse_category_links",
     "corpus_size",
-    "planned_size",
-    "spread_small_input",
     "write_result",
 ]

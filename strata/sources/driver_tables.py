@@ -10,23 +10,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.sources.readers import TRIP_WIDTH, parse_category_links, spread_small_input
+from strata.sources.readers import TRIP_WIDTH, parse_category_links
 
 S = "string"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
-    """A driver table.  Each is one Parquet file with one row group; with ``spread``
-    small ones are spread over the cores so CPU-heavy steps (parsing, tokenizing)
-    run in parallel.  Views reading only a few narrow columns skip it."""
+# Set by a caller that knows its inputs to be single row groups (the bench): the views
+# that parse or tokenize then deal their input out to so many partitions.
+PARTITIONS: int | None = None
+
+
+def table(spark: SparkSession, sf_dir: str, name: str, partitions: int | None = None) -> DataFrame:
+    """A driver table as its files are split; with ``partitions`` dealt out evenly."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread_small_input(df) if spread else df
+    return df.repartition(partitions) if partitions else df
 
 
 def trips_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``lineitem`` as 17-field string trip records, with bad, null and NaN fields
     and null drivers mixed in.  Positions never read hold ''."""
-    li = table(spark, sf_dir, "lineitem")
+    li = table(spark, sf_dir, "lineitem", PARTITIONS)
     null = F.lit(None).cast(S)
     fields = {
         0: F.concat(F.lit("V"), li.l_suppkey.cast(S)),
@@ -52,8 +55,8 @@ def trips_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 def link_lines_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Category links rendered as ``"ID","CATEGORY"`` text lines (column ``value``):
     language and source of every document, quality and toxicity of labelled ones."""
-    docs = table(spark, sf_dir, "documents", spread=False)
-    labels = table(spark, sf_dir, "labels", spread=False)
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels")
     pairs = (
         docs.select(docs.doc_id.cast(S).alias("d"), F.concat(F.lit("lang_"), docs.lang).alias("c"))
         .unionByName(docs.select(docs.doc_id.cast(S).alias("d"), docs.source.alias("c")))
@@ -82,7 +85,7 @@ def links_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def doc_lines_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``pages`` rebuilt as ``<doc id=".." url=".." title="t">HTML</doc>`` lines."""
-    pages = table(spark, sf_dir, "pages")
+    pages = table(spark, sf_dir, "pages", PARTITIONS)
     return pages.select(
         F.concat(
             F.lit('<doc id="'),
@@ -126,31 +129,42 @@ def write_workload_inputs(spark: SparkSession, sf_dir: str, root: str) -> dict[s
 
 def corpus_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The text corpus (doc_id, text) from ``documents``."""
-    docs = table(spark, sf_dir, "documents")
+    docs = table(spark, sf_dir, "documents", PARTITIONS)
     return docs.select(docs.doc_id.cast(S).alias("doc_id"), docs.text)
 
 
 def query_texts_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """kNN query texts (query_id, text) from ``benchmark``."""
-    bench = table(spark, sf_dir, "benchmark")
+    bench = table(spark, sf_dir, "benchmark", PARTITIONS)
     return bench.select(bench.item_id.cast(S).alias("query_id"), bench.text)
 
 
+def conversation_view(spark: SparkSession, sf_dir: str, split: str) -> DataFrame:
+    """Conversation turns as documents (doc_id, text) whose ids repeat over the turns;
+    ``split`` as in ``labelled_view``, by conv_id."""
+    rows = table(spark, sf_dir, "conversations", PARTITIONS)
+    return _half(rows, "conv_id", split).select(F.col("conv_id").cast(S).alias("doc_id"), "text")
+
+
+def _half(rows: DataFrame, key: str, split: str) -> DataFrame:
+    if split == "train":
+        return rows.where(F.col(key) % 5 != 0)
+    if split == "test":
+        return rows.where(F.col(key) % 5 == 0)
+    if split != "all":
+        raise ValueError(f"unknown split {split!r}")
+    return rows
+
+
 def labelled_view(spark: SparkSession, sf_dir: str, split: str) -> DataFrame:
     """Labelled documents (doc_id, text, label = quality).
 
     ``split='train'`` keeps doc_id % 5 <> 0, ``'test'`` the rest, ``'all'`` both:
     train and test together cover every labelled document.
     """
-    docs = table(spark, sf_dir, "documents")
-    labels = table(spark, sf_dir, "labels")
-    joined = docs.join(labels, "doc_id")
-    if split == "train":
-        joined = joined.where(F.col("doc_id") % 5 != 0)
-    elif split == "test":
-        joined = joined.where(F.col("doc_id") % 5 == 0)
-    elif split != "all":
-        raise ValueError(f"unknown split {split!r}")
+    docs = table(spark, sf_dir, "documents", PARTITIONS)
+    labels = table(spark, sf_dir, "labels", PARTITIONS)
+    joined = _half(docs.join(labels, "doc_id"), "doc_id", split)
     return joined.select(
         F.col("doc_id").cast(S).alias("doc_id"), "text", F.col("quality").alias("label")
     )

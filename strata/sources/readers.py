@@ -22,45 +22,12 @@ TRIP_SCHEMA = T.StructType(
     [T.StructField(f"c{i}", T.StringType(), True) for i in range(TRIP_WIDTH)]
 )
 
-DOC_SCHEMA = "doc_id string, text string"
-LINK_SCHEMA = "doc_id string, category string"
-
-# Small inputs are spread round-robin over the cores (see ``spread_small_input``).
-SPREAD_BELOW_BYTES = 256 << 20
-SPREAD_CHUNK_BYTES = 1 << 20
-
 
 def read_trips(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Raw trip records, every field a string (c0..c16)."""
     return spark.read.schema(TRIP_SCHEMA).option("header", "false").csv(path)
 
 
-def planned_size(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of ``df`` in bytes (from file sizes; no job runs)."""
-    try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    except Exception:  # statistics unavailable: no estimate
-        return None
-
-
-def spread_small_input(df: DataFrame) -> DataFrame:
-    """Round-robin a *small* input over the cores.
-
-    A Parquet file written as one row group is read by a single task however it
-    is split, which leaves every other core idle during tokenizing.  Below
-    ``SPREAD_BELOW_BYTES`` a round-robin repartition (about 1 MB per partition,
-    at most one per core) is a cheap shuffle.  Large inputs arrive in many splits
-    and are returned untouched — their text is never shuffled for this.
-    Column pruning and filter pushdown pass through the repartition.
-    """
-    size = planned_size(df)
-    if size is None or size > SPREAD_BELOW_BYTES:
-        return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    parts = max(1, min(cores, -(-size // SPREAD_CHUNK_BYTES)))
-    return df if parts <= 1 else df.repartition(parts)
-
-
 def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """One row per text line, column ``value``."""
     return spark.read.text(path)

@@ -15,7 +15,7 @@ def features(spark, rows, k=50):
 
 def queries(spark, f, rows):
     q = spark.createDataFrame(rows, "query_id string, text string")
-    return knn.query_vectors(q, f.vocab, f.idf, f.k)
+    return knn.query_vectors(q, f.vocab, f.idf, f.scratch)
 
 
 def test_query_without_vocabulary_word_has_no_rows(spark):
@@ -175,19 +175,22 @@ def test_repeated_links_vote_twice(spark):
 
 
 @pytest.mark.parametrize("metric", ["cosine", "dot"])
-def test_chunked_query_sets_match_brute_force(spark, metric):
-    """A broadcast limit far below the query vector size: queries are scored in
-    hash chunks (broadcast when a chunk fits, shuffle join otherwise)."""
+def test_the_same_plan_as_a_shuffle_join_matches_brute_force(spark, metric):
+    """Query vectors over Spark's broadcast threshold make scoring a shuffle join."""
     rng = random.Random(11)
     alphabet = [a + b for a in "ghijk" for b in "aeiou"]
     doc_words = {f"{i:03d}": [rng.choice(alphabet) for _ in range(rng.randint(1, 8))] for i in range(30)}
     query_words = {f"q{i:02d}": [rng.choice(alphabet) for _ in range(rng.randint(1, 5))] for i in range(20)}
     f = features(spark, [(d, " ".join(ws)) for d, ws in doc_words.items()], k=25)
     qs = queries(spark, f, [(q, " ".join(ws)) for q, ws in query_words.items()])
-    assert qs.max_rows > 8
-    want = _brute_force(doc_words, query_words, 25, 4, metric)
-    for limit in (8, 2):  # 2: most chunks exceed it and take the shuffle join
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
         got = {}
-        for r in knn.knn_neighbors(f.tfidf, qs, 4, metric, limit=limit).orderBy("query_id", "rank").collect():
-            got.setdefault(r["query_id"], []).append(r["doc_id"])
-        assert got == want
+        for k in (4, 1000):  # more than Spark's own limit for a partial rank, too
+            rows = knn.knn_neighbors(f.tfidf, qs, k, metric).orderBy("query_id", "rank").collect()
+            got[k] = {q: [r["doc_id"] for r in rows if r["query_id"] == q] for q in {r["query_id"] for r in rows}}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert got[4] == _brute_force(doc_words, query_words, 25, 4, metric)
+    assert got[1000] == _brute_force(doc_words, query_words, 25, 1000, metric)

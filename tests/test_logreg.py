@@ -135,12 +135,31 @@ def test_unknown_optimizer_is_rejected(spark):
     raise AssertionError("optimizer not rejected")
 
 
-def test_loss_is_stable_for_large_scores(spark):
-    from strata.functions.numeric import logistic, softplus_loss
-
-    df = spark.createDataFrame([(1000.0, 0), (-1000.0, 1), (0.0, 1)], "theta double, y int")
-    rows = df.select(
-        softplus_loss(F.col("theta"), F.col("y")).alias("loss"), logistic(F.col("theta")).alias("p")
-    ).collect()
-    assert [r["loss"] for r in rows] == [1000.0, 1000.0, np.log(2.0)]
-    assert [r["p"] for r in rows] == [1.0, 0.0, 0.5]
+def test_large_scores_stay_finite(spark):
+    ex = spark.createDataFrame(
+        [("a", 0, 0, 1.0), ("a", 0, 1, 1.0), ("b", 1, 0, -1.0), ("b", 1, 1, 1.0)], "doc_id string, label int, pos bigint, value double"
+    )
+    step = logreg.logreg_step(logreg.pack_examples(ex), np.array([1000.0, 0.0]), 1)
+    assert (step.n, step.loss) == (2, 2000.0) and step.gradient.tolist() == [2.0, 0.0]
+
+
+def test_repeated_ids_are_one_example(spark):
+    tf = spark.createDataFrame([("AU1", 0, 0.5), ("AU1", 1, 0.5), ("2", 0, 1.0), ("3", 1, 1.0)], "doc_id string, pos bigint, tf double")
+    labels = spark.createDataFrame([("AU1", 1), ("AU1", 1), ("2", 0), ("3", 0), ("3", 1), ("2", None)], "doc_id string, label int")
+    by_table, by_id = logreg.logreg_examples(tf, labels, 2), logreg.logreg_examples_by_id(tf, 2)
+    for ex, three in ((by_table, 1), (by_id, 0)):
+        rows = sorted(tuple(r) for r in ex.collect())
+        assert rows == sorted(
+            [("AU1", 1, 0, 0.5), ("AU1", 1, 1, 0.5), ("AU1", 1, 2, 1.0), ("2", 0, 0, 1.0), ("2", 0, 2, 1.0), ("3", three, 1, 1.0), ("3", three, 2, 1.0)]
+        )
+        assert logreg.train_size(ex, 2).first()["n"] == 3
+        score = logreg.score_logreg(ex, logreg.weights_frame(spark, np.full(3, 0.25)), 2)
+        assert {r.doc_id: r.score for r in score.collect()}["AU1"] == 0.5
+
+
+def test_batches_are_the_samples_of_their_iterations(spark):
+    docs = spark.createDataFrame([(f"d{i}",) for i in range(300)], "doc_id string")
+    rows = logreg.draw_batches(docs, 0.2, 5)
+    for i in range(5):
+        mine = {r.doc_id for r in rows.where(F.col("iteration") == i).collect()}
+        assert mine == {r.doc_id for r in logreg.sample_documents(docs, 0.2, 1 + i).collect()} and 30 < len(mine) < 90

@@ -5,8 +5,10 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from strata.operators import knn, logreg, text
+from strata.operators.common import preview
 from strata.plans import catalog
 from strata.sources import driver_tables as views
+from strata.sources import write_result
 
 SF = "/root/testdata/sf0.001"
 
@@ -44,7 +46,7 @@ def _shuffles(df, is_target):
 
 
 def _is_tf_scan(node):
-    return node.nodeName() == "InMemoryTableScan" and "tf" in node.output().toString()
+    return node.nodeName().startswith("Scan parquet") and "tf#" in node.output().toString()
 
 
 def _features(spark):
@@ -53,15 +55,29 @@ def _features(spark):
 
 def test_scoring_never_shuffles_tfidf(spark):
     f = _features(spark)
-    qs = knn.query_vectors(views.query_texts_view(spark, SF), f.vocab, f.idf, f.k)
+    qs = knn.query_vectors(views.query_texts_view(spark, SF), f.vocab, f.idf, f.scratch)
     for metric in ("cosine", "dot"):
         assert _shuffles(knn.score_documents(f.tfidf, qs, metric), _is_tf_scan) == 0
 
 
-def test_knn_top_k_has_one_shuffle_by_query(spark):
+def test_knn_top_k_shuffles_best_rows_only(spark):
+    """Once by (query, hash part), once by query, whatever k: the first stage ranks
+    within the part, so no task gets more than k rows of a query and part."""
     f = _features(spark)
-    qs = knn.query_vectors(views.query_texts_view(spark, SF), f.vocab, f.idf, f.k)
-    assert _shuffles(knn.knn_neighbors(f.tfidf, qs, 10), _is_tf_scan) == 1
+    qs = knn.query_vectors(views.query_texts_view(spark, SF), f.vocab, f.idf, f.scratch)
+    for k in (10, 1000):
+        best = knn.knn_neighbors(f.tfidf, qs, k)
+        assert _shuffles(best, _is_tf_scan) == 2
+        plan = best._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("_part") > 2
+
+
+def test_previews_are_written_in_parallel(spark, tmp_path):
+    f = _features(spark)
+    write_result(preview(f.tf, "doc_id", 3), str(tmp_path / "tf"))
+    assert spark.read.parquet(str(tmp_path / "tf")).select("doc_id").distinct().count() == 3
+    plan = preview(f.tf, "doc_id", 3)._jdf.queryExecution().executedPlan().toString()
+    assert "Coalesce" not in plan
 
 
 def test_training_step_shuffles_only_positions(spark):
@@ -75,14 +91,14 @@ def test_training_step_shuffles_only_positions(spark):
 def test_vocabulary_lookup_is_a_broadcast_join(spark):
     tokens = text.doc_tokens(views.corpus_view(spark, SF))
     vocab = text.build_vocabulary(text.word_counts(tokens), 100)
-    positions = text.tokens_to_positions(tokens, vocab, 100)
+    positions = text.tokens_to_positions(tokens, vocab)
     plan = positions._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
     assert positions.where(F.col("pos") >= 100).count() == 0
 
 
-def test_restricted_neighbors_keep_one_shuffle(spark):
+def test_restricted_neighbors_keep_two_shuffles(spark):
     f = _features(spark)
-    qs = knn.query_vectors(views.query_texts_view(spark, SF), f.vocab, f.idf, f.k)
+    qs = knn.query_vectors(views.query_texts_view(spark, SF), f.vocab, f.idf, f.scratch)
     links = views.links_view(spark, SF)
-    assert _shuffles(knn.knn_neighbors(f.tfidf, qs, 10, "dot", restrict_to=links), _is_tf_scan) == 1
+    assert _shuffles(knn.knn_neighbors(f.tfidf, qs, 10, "dot", restrict_to=links), _is_tf_scan) == 2

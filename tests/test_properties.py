@@ -1,55 +1,57 @@
-"""Property tests: the Spark column expressions against plain-Python specifications
-on generated strings (one Spark job per generated batch)."""
-
-import re
+"""Column expressions on generated strings (invariants) and on hand-worked lines."""
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from strata.functions.text import doc_line_id, doc_line_text, is_doc_line, tokenize
 
-NON_LETTER = re.compile("[^a-zA-Z]")
-
 # Letters, digits, punctuation, whitespace and non-ASCII letters that change
 # under lower-casing (Kelvin sign, dotted I, sharp s, Greek).
 ALPHABET = st.sampled_from(list("abcXYZ09 \t\n.,'\"<>=/-_") + ["K", "İ", "ß", "Σ", "é"])
 TEXTS = st.lists(st.text(alphabet=ALPHABET, max_size=40), min_size=1, max_size=30)
 
 
-def spec_tokens(text):
-    return NON_LETTER.sub(" ", text).lower().split()
-
-
-def spec_doc_line(line):
-    """Valid when all three markers occur; id between the first two, text after
-    the first '">' minus its last 6 characters."""
-    if 'id="' not in line or '" url=' not in line or '">' not in line:
-        return None
-    doc_id = line[line.index('id="') + 4 : line.index('" url=')]
-    return doc_id, line[line.index('">') + 2 :][:-6]
-
-
 @settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(texts=TEXTS)
-def test_tokenizer_matches_spec(spark, texts):
-    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string")
-    got = {r["i"]: r["t"] for r in df.select("i", tokenize("text").alias("t")).collect()}
-    assert [got[i] for i in range(len(texts))] == [spec_tokens(t) for t in texts]
-
-
-PIECES = st.sampled_from(['<doc id="', '" url="', '" title="t">', '">', "</doc>", "id", "url=", "ab", "7", " ", '"', ">"])
-LINES = st.lists(st.lists(PIECES, max_size=8).map("".join), min_size=1, max_size=30)
-
-
-@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(lines=LINES)
-def test_doc_line_parser_matches_spec(spark, lines):
-    df = spark.createDataFrame([(i, v) for i, v in enumerate(lines)], "i int, value string")
+def test_tokens_are_ascii_words_in_order(spark, texts):
+    """Invariants: lower-case ASCII words; gluing texts with a blank concatenates their
+    tokens; tokenizing the tokens again changes nothing; no letter is lost."""
+    df = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, " ".join(texts)])], "i int, text string")
+    df = df.select("i", "text", tokenize("text").alias("t")).select("i", "text", "t", tokenize(F.concat_ws(" ", "t")).alias("again"))
+    got = {r["i"]: r for r in df.collect()}
+    glued = []
+    for i, t in enumerate(texts):
+        words = got[i]["t"]
+        assert words == got[i]["again"]
+        assert all(w and w.isascii() and w.isalpha() and w.islower() for w in words)
+        assert sum(map(len, words)) == sum(c.isascii() and c.isalpha() for c in t)
+        glued += words
+    assert got[len(texts)]["t"] == glued
+
+
+# Hand-worked lines: (line, id, text), None where the line is dropped.
+DOC_LINES = [
+    ('<doc id="12" url="http://x" title="t">Hello</doc>', "12", "Hello"),
+    ('<doc id="" url="u">ab</doc>', "", "ab"),
+    ('<doc id="7" url="u">', "7", ""),
+    ('<doc id="7" url="u">abc', "7", ""),
+    ('<doc id="7" url="u">abcdefgh', "7", "ab"),
+    ('<doc id="8" url="u">a "> b</doc>', "8", 'a "> b'),
+    ('x id="9" url="u" ">y</doc>', "9", "y"),
+    ('<doc id="1" url="u" title="t"', None, None),
+    ('<doc id="1" title="t">x</doc>', None, None),
+    ("", None, None),
+]
+
+
+def test_doc_lines_by_hand(spark):
+    df = spark.createDataFrame([(i, v) for i, (v, _, _) in enumerate(DOC_LINES)], "i int, value string")
     rows = df.select(
         "i", is_doc_line("value").alias("ok"), doc_line_id("value").alias("id"), doc_line_text("value").alias("t")
     ).collect()
-    got = {r["i"]: ((r["id"], r["t"]) if r["ok"] else None) for r in rows}
-    assert [got[i] for i in range(len(lines))] == [spec_doc_line(v) for v in lines]
+    got = {r["i"]: ((r["id"], r["t"]) if r["ok"] else (None, None)) for r in rows}
+    assert [got[i] for i in range(len(DOC_LINES))] == [(d, t) for _, d, t in DOC_LINES]
 
 
 NUMBERS = st.one_of(
@@ -94,25 +96,24 @@ def test_trip_cleaning_matches_spec(spark, rows):
     assert got == want
 
 
-LINK_LINES = st.lists(
-    st.lists(st.sampled_from(['"', ",", "12", "Cat", " ", "x_y", "é"]), max_size=8).map("".join),
-    min_size=1, max_size=30,
-)
+# Hand-worked lines: (line, id, category), None where the line is dropped.
+LINK_LINES = [
+    ('"12","Cat"', "12", "Cat"),
+    ('"12","A, b"', "12", "A"),
+    ("12,Cat", "12", "Cat"),
+    ('"1""2","C"at"', "12", "Cat"),
+    (",", "", ""),
+    ('"12" , "x_y"', "12 ", " x_y"),
+    ('"é","é",z', "é", "é"),
+    ('"12"', None, None),
+    ("", None, None),
+]
 
 
-def spec_link(line):
-    parts = line.split(",")
-    if len(parts) < 2:
-        return None  # the reference fails here; the reader drops the line
-    return parts[0].replace('"', ""), parts[1].replace('"', "")
-
-
-@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(lines=LINK_LINES)
-def test_link_parser_matches_spec(spark, lines):
+def test_link_lines_by_hand(spark):
     from strata.functions.text import link_category, link_doc_id
 
-    df = spark.createDataFrame([(i, v) for i, v in enumerate(lines)], "i int, value string")
+    df = spark.createDataFrame([(i, v) for i, (v, _, _) in enumerate(LINK_LINES)], "i int, value string")
     rows = df.select("i", link_doc_id("value").alias("d"), link_category("value").alias("c")).collect()
-    got = {r["i"]: ((r["d"], r["c"]) if r["c"] is not None else None) for r in rows}
-    assert [got[i] for i in range(len(lines))] == [spec_link(v) for v in lines]
+    got = {r["i"]: ((r["d"], r["c"]) if r["c"] is not None else (None, None)) for r in rows}
+    assert [got[i] for i in range(len(LINK_LINES))] == [(d, c) for _, d, c in LINK_LINES]

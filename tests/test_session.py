@@ -1,9 +1,9 @@
-"""Session helpers: checkpoint folder policy and input spreading."""
+"""Session helpers: checkpoint folder policy, stored tables and their release."""
 
 import pytest
 
-from strata.session import checkpoint_dir
-from strata.sources.readers import spread_small_input
+from strata.plans import catalog
+from strata.session import Scratch, checkpoint_dir
 
 
 class _Conf(dict):
@@ -46,11 +46,20 @@ def test_local_session_without_folder_gets_a_temporary_one():
     assert checkpoint_dir(_Session("local[2]")).startswith("/")
 
 
-def test_spread_small_input(spark):
-    tiny = spark.range(10)
-    assert spread_small_input(tiny) is tiny  # ~80 bytes: one partition, left alone
-    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
-    spread = spread_small_input(docs)
-    cores = spark.sparkContext.defaultParallelism
-    assert 1 < spread.rdd.getNumPartitions() <= cores
-    assert spread.count() == docs.count()
+def test_stored_tables_go_on_release(spark):
+    scratch = Scratch(spark)
+    table = scratch.table(spark.range(5), bucket_by="id")
+    assert table.count() == 5 and checkpoint_dir(spark).removeprefix("file:") in table.inputFiles()[0]
+    name = scratch.names[0]
+    scratch.release()
+    assert not spark.catalog.tableExists(name)
+
+
+@pytest.mark.parametrize("name", ["knn_vote_documents", "term_frequency", "vocab_lookup", "logreg_history", "confusion_matrix"])
+def test_queries_leave_nothing_behind(spark, name):
+    catalog.release()
+    catalog.QUERIES[name](spark, "/root/testdata/sf0.001").write.format("noop").mode("overwrite").save()
+    catalog.release()
+    assert spark.sparkContext._jsc.getPersistentRDDs().isEmpty()
+    database = Scratch(spark).database
+    assert spark.sql(f"SHOW TABLES IN {database}").where("not isTemporary").count() == 0

@@ -1,5 +1,7 @@
 """Readers and sinks round trips."""
 
+import json
+
 from strata.operators import links
 from strata.sources import read_category_links, read_doc_lines, write_result
 from strata.sources import driver_tables as views
@@ -23,9 +25,13 @@ def test_doc_lines_from_text_files(spark, tmp_path):
 
 def test_write_result_formats(spark, tmp_path):
     top = links.top_categories(views.links_view(spark, SF), 5)
-    for fmt in ("parquet", "csv", "json"):
-        out = str(tmp_path / fmt)
-        write_result(top, out, fmt=fmt)
-        reader = spark.read.option("header", "true") if fmt == "csv" else spark.read
-        back = getattr(reader, fmt)(out)
-        assert back.count() == 5
+    for fmt in ("parquet", "csv", "json", "text"):
+        for single in (False, True):
+            out = str(tmp_path / f"{fmt}-{single}")
+            write_result(top, out, fmt=fmt, single_file=single)
+            reader = spark.read.option("header", "true") if fmt == "csv" else spark.read
+            back = getattr(reader, fmt)(out)
+            assert back.count() == 5
+            assert not single or len(back.inputFiles()) == 1
+    rows = [json.loads(r.value) for r in spark.read.text(str(tmp_path / "text-False")).collect()]
+    assert sorted((r["category"], r["count"]) for r in rows) == sorted((r["category"], r["count"]) for r in top.collect())

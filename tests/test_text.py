@@ -49,7 +49,7 @@ def test_vocab_lookup_missing_word_is_minus_one(spark):
     docs = spark.createDataFrame([("1", "x y y")], "doc_id string, text string")
     vocab = text.build_vocabulary(text.word_counts(text.doc_tokens(docs)), 10)
     words = spark.createDataFrame([("y",), ("zzz",)], "word string")
-    got = dict((r["word"], r["pos"]) for r in text.vocab_lookup(vocab, words, 10).collect())
+    got = dict((r["word"], r["pos"]) for r in text.vocab_lookup(vocab, words).collect())
     assert got == {"y": 0, "zzz": -1}
 
 
@@ -68,7 +68,7 @@ def test_term_frequency_and_out_of_vocabulary_documents(spark):
 
 def test_equal_ids_merge_into_one_vector(spark):
     docs = spark.createDataFrame([("1", "a"), ("1", "b b")], "doc_id string, text string")
-    f = text.text_features(docs, 5, storage=None)
+    f = text.text_features(docs, 5, stored=False)
     tf = {(r["doc_id"], r["pos"]): r["tf"] for r in f.tf.collect()}
     assert tf == {("1", 0): 2 / 3, ("1", 1): 1 / 3}
     # N counts both lines: idf = ln(2 / 1)
@@ -103,9 +103,20 @@ def test_table_storage_keeps_doc_partitioning(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select(
         F.col("doc_id").cast("string").alias("doc_id"), "text"
     )
-    cached = text.text_features(docs, 300)
-    table = text.text_features(docs, 300, storage="table")
-    assert sorted(table.tfidf.collect()) == sorted(cached.tfidf.collect())
+    lazy = text.text_features(docs, 300, stored=False)
+    table = text.text_features(docs, 300)
+    assert sorted(table.tfidf.collect()) == sorted(lazy.tfidf.collect())
     # TF read back from the bucketed table: a per-document aggregate needs no exchange.
     plan = table.tf.groupBy("doc_id").count()._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
+
+
+def test_vocabulary_cut_with_ties_and_any_k(spark):
+    rows = [(w, c) for w, c in zip("abcdefghij", [9, 5, 5, 5, 5, 2, 2, 1, 1, 1])]
+    counts = spark.createDataFrame(rows, "word string, count bigint")
+    for k in (1, 3, 5, 7, 8, 10, 6_000_000):
+        got = [(r["word"], r["pos"]) for r in text.build_vocabulary(counts, k).orderBy("pos").collect()]
+        assert got == [(w, i) for i, (w, _) in enumerate(rows[:k])]
+    assert text.build_vocabulary(counts.limit(0), 3).collect() == []
+    tokens = counts.select(F.lit("d").alias("doc_id"), "word")
+    assert text.tokens_to_positions(tokens, text.build_vocabulary(counts, 6_000_000)).count() == 10
