@@ -14,9 +14,9 @@ edits to (a + b)(1 - s)/(1 + s), which is the band that the alignment searches.
 Equal texts (after white space) form one class at once and are sketched as one.  In a
 bucket every text is compared with the bucket's first one (smallest id), not with all;
 texts that this leaves in another class than a bucket mate are then compared with such
-mates as the distances to that first text allow (the triangle inequality of the edit
-distance), so no link between bucket mates is lost and copies aren't expanded into
-pairs.  Linked texts form classes by alternating large and small stars.
+mates as the distances to that first text (the triangle inequality of the edit distance)
+and a sample of their shingles allow, so no link between bucket mates is lost and copies
+aren't expanded into pairs.  Linked texts form classes by alternating large and small stars.
 
 Two documents of similarity 0.8 share a bucket with probability over 0.999
 (1 - (1 - 0.8^6)^24), closer ones more surely.  Null and empty texts are one class of equal
@@ -32,7 +32,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.bpe import slices
@@ -41,11 +41,13 @@ from strata.llm.common import ids_and_texts, scratch
 SHINGLE = 5
 SIMILARITY = 0.8
 SKETCHES, LENGTH = 24, 6
+SAMPLE, LEAST_COMMON = 64, 36  # see ``may_be_similar``
 SHORT, LONG = 15, 8  # single-shingle keys up to SHORT shingles, ordered ones from LONG on
 MEMO_WORDS = 300_000
 
 _RNG = np.random.default_rng(20)
 _FACTORS = _RNG.integers(1, 2**63, SKETCHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_U = np.uint64(0x632BE59BD9B4E019)
 _ADDENDS = _RNG.integers(0, 2**63, SKETCHES, dtype=np.uint64)
 
 
@@ -100,27 +102,43 @@ def sketch_keys(h: np.ndarray) -> np.ndarray:
 
 
 def sketch(docs: DataFrame) -> DataFrame:
-    """(doc_id, same, n, keys): a digest of the words, the number of shingles and the
-    bucket keys of every row.  A narrow map."""
+    """(doc_id, same, n, keys, low): a digest of the words, the number of shingles, the
+    bucket keys and the SAMPLE smallest shingle hashes of every row.  A narrow map."""
 
     def compute(batches):
         memo = _Words()
         for part in slices(batches):
-            digests, sizes, keys = [], [], []
+            digests, sizes, keys, low = [], [], [], []
             for text in part.column(1).to_pylist():
                 words = text.split()
                 h = shingle_hashes(words, memo)
                 digests.append(hashlib.blake2b("\n".join(words).encode("utf-8"), digest_size=16).digest())
                 sizes.append(len(h))
                 keys.append(sketch_keys(h))
-            ends = np.cumsum([0, *map(len, keys)])
-            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(keys)))
-            columns = [part.column(0), pa.array(digests, pa.binary()), pa.array(sizes, pa.int64()), lists]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "same", "n", "keys"])
+                low.append((np.sort(_mix(h + _U))[:SAMPLE] >> np.uint64(32)).astype(np.uint32).view(np.int32))
+            columns = [part.column(0), pa.array(digests, pa.binary()), pa.array(sizes, pa.int64())]
+            for lists in (keys, low):
+                ends = np.cumsum([0, *map(len, lists)])
+                columns.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(lists))))
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "same", "n", "keys", "low"])
 
     source = ids_and_texts(docs).where(F.col("doc_id").isNotNull())
     key = source.schema["doc_id"].dataType.simpleString()
-    return source.mapInArrow(compute, f"doc_id {key}, same binary, n long, keys array<long>")
+    return source.mapInArrow(compute, f"doc_id {key}, same binary, n long, keys array<long>, low array<int>")
+
+
+def may_be_similar(a: str, b: str) -> Column:
+    """Whether two texts (prefixes of their columns n and low) can reach SIMILARITY.
+
+    Up to SAMPLE shingles ``low`` holds them all, and the count in common decides.  Of
+    longer texts it is a sample: at similarity 0.8 at least 51 of 64 are expected in
+    common (standard deviation 3.2, where one text holds the other), so fewer than
+    LEAST_COMMON befall one such pair in a million."""
+    n, m = F.col(f"{a}n"), F.col(f"{b}n")
+    common = F.size(F.array_intersect(f"{a}low", f"{b}low"))
+    whole = (n <= SAMPLE) & (m <= SAMPLE)
+    needed = F.when(whole, (n + m) * (SIMILARITY / (1 + SIMILARITY)) - 1 - 1e-9).otherwise(LEAST_COMMON)
+    return (F.least(n, m) >= SIMILARITY * F.greatest(n, m) - 1e-9) & (common >= needed)
 
 
 def aligned_edits(a: list, b: list, limit: int) -> int:
@@ -230,12 +248,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     root = classes_of_links(links)
     placed = held.join(compared.select("a", "b", "edits", "similar"), ["a", "b"], "left")
     placed = placed.join(root.withColumnRenamed("doc_id", "b"), "b", "left")
-    placed = scratch(placed.withColumn("root", F.coalesce("root", "b")), "placed")
-    outside = placed.where(~F.col("similar")).select("key", *(F.col(c).alias(f"o_{c}") for c in ("b", "n", "edits", "root")))
+    sample = rows.select(F.col("doc_id").alias("b"), "low").join(placed.select("b").distinct(), "b").dropDuplicates(["b"])
+    placed = scratch(placed.withColumn("root", F.coalesce("root", "b")).join(sample, "b"), "placed")
+    outside = placed.where(~F.col("similar")).select("key", *(F.col(c).alias(f"o_{c}") for c in ("b", "n", "low", "edits", "root")))
     # Edits to the bucket's first text bound those between two of its texts: exact ones
     # from both sides, the lower bounds of texts that aren't similar to it from one.
     allowed = F.floor((F.col("n") + F.col("o_n")) * ((1 - SIMILARITY) / (1 + SIMILARITY)) + 1e-9)
-    near = (F.abs(F.col("n") - F.col("o_n")) <= allowed) & (~F.col("similar") | (F.col("o_edits") - F.col("edits") <= allowed))
+    near = may_be_similar("", "o_") & (~F.col("similar") | (F.col("o_edits") - F.col("edits") <= allowed))
     more = outside.join(placed.where("a <> b"), "key").where((F.col("root") != F.col("o_root")) & near)
     more = more.select(F.least("b", "o_b").alias("a"), F.greatest("b", "o_b").alias("b")).distinct()
     more = scratch(more.join(compared.select("a", "b"), ["a", "b"], "left_anti"), "more")
