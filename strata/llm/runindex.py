@@ -164,21 +164,34 @@ class RunIndex:
         return [(size, shift) for shift in [*range(0, length - size, size), length - size]]
 
     def _sorted(self, joined: np.ndarray, left: np.ndarray):
-        """The suffix array by prefix doubling, and the ranks by prefix size."""
+        """The suffix array by prefix doubling from eight bytes on, and the ranks by
+        prefix size.  Each round sorts only what is still tied."""
         n = self.size
-        rank = np.where(left == 0, 256 + np.cumsum(left == 0), joined.astype(np.int64))
-        order, rank_by, size = np.argsort(rank, kind="stable"), {1: rank}, 1
-        longest = int(left.max()) + 1 if n else 0
-        while size < longest:
-            following = rank[np.minimum(np.arange(n) + size, n - 1)]
-            key = np.where(left >= size, rank * np.int64(n + 512) + following, rank * np.int64(n + 512))
-            order = np.argsort(key, kind="stable")
-            new = np.concatenate([[True], key[order][1:] != key[order][:-1]])
-            rank = np.empty(n, np.int64)
-            rank[order] = np.maximum.accumulate(np.where(new, np.arange(n), 0))
+        padded = np.concatenate([joined, np.full(8, self.SEPARATOR, np.uint8)])
+        key = np.zeros(n, np.uint64)
+        for i in range(8):  # what follows a separator doesn't count
+            byte = padded[i : i + n]
+            key = (key << _U(8)) | (byte if i == 0 else np.where(left < i, np.uint8(self.SEPARATOR), byte))
+        order = np.argsort(key, kind="stable")  # equal to the separator: in the order of the strings
+        ordered, done = key[order], left[order] < 8
+        new = np.concatenate([[True], (ordered[1:] != ordered[:-1]) | done[1:]]) if n else done
+        size, rank = 8, np.empty(n, np.int64)
+        rank[order] = np.maximum.accumulate(np.where(new, np.arange(n), 0))
+        rank_by = {8: rank.copy()}
+        while True:
+            tied = np.flatnonzero(~new | np.append(~new[1:], False))
+            if not len(tied):
+                return order, rank_by
+            at = order[tied]
+            key = rank[at] * np.int64(n + 1) + rank[at + size]
+            by_key = np.argsort(key)
+            at, key = at[by_key], key[by_key]
+            order[tied] = at
+            new[tied] = np.concatenate([[True], key[1:] != key[:-1]])
+            rank[at] = np.maximum.accumulate(np.where(new[tied], tied, 0))
             size *= 2
-            rank_by = {s: r for s, r in rank_by.items() if s * 4 > self.length} | {size: rank}
-        return order, rank_by
+            if size <= self.length:
+                rank_by = {size: rank.copy()}
 
     def step_back(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The bytes before the suffixes of ``rows``, and the rows that start there."""

@@ -37,18 +37,18 @@ def expected(rows):
 def test_index_is_a_burrows_wheeler_transform():
     rng = random.Random(1)
     strings = [bytes(rng.choice(b"ab") for _ in range(rng.randint(1, 30))) for _ in range(40)]
-    index = runindex.RunIndex(strings, 5)
+    index = runindex.RunIndex(strings, 9)
     joined = b"\xff".join(strings) + b"\xff"
     keys = sorted(range(len(joined)), key=lambda p: ([*joined[p:].split(b"\xff")[0], 300 + joined[:p].count(b"\xff")]))
     assert [index.locate(r) for r in range(len(joined))] == keys
     number = index.stream()
-    strings_at = {p: joined[p : p + 5] for p in range(len(joined)) if b"\xff" not in joined[p : p + 5] and p + 5 <= len(joined)}
+    strings_at = {p: joined[p : p + 9] for p in range(len(joined)) if b"\xff" not in joined[p : p + 9] and p + 9 <= len(joined)}
     assert {p for p in range(len(joined)) if number[p] >= 0} == set(strings_at)
     by_number = {}
     for p, s in strings_at.items():
         assert by_number.setdefault(number[p], s) == s
     assert len(by_number) == len(set(strings_at.values()))
-    repeated = runindex.RunIndex([b"abcabcabc" * 8] * 50, 5)
+    repeated = runindex.RunIndex([b"abcabcabc" * 8] * 50, 9)
     assert len(repeated.run_start) < repeated.size / 20
 
 
