@@ -41,7 +41,7 @@ from strata.llm.common import ids_and_texts, scratch
 SHINGLE = 5
 SIMILARITY = 0.8
 SKETCHES, LENGTH = 24, 6
-SAMPLE, LEAST_COMMON = 64, 36  # see ``may_be_similar``
+SAMPLE, LEAST_COMMON = 256, 172  # see ``may_be_similar``
 SHORT, LONG = 15, 8  # single-shingle keys up to SHORT shingles, ordered ones from LONG on
 MEMO_WORDS = 300_000
 
@@ -131,9 +131,9 @@ def may_be_similar(a: str, b: str) -> Column:
     """Whether two texts (prefixes of their columns n and low) can reach SIMILARITY.
 
     Up to SAMPLE shingles ``low`` holds them all, and the count in common decides.  Of
-    longer texts it is a sample: at similarity 0.8 at least 51 of 64 are expected in
-    common (standard deviation 3.2, where one text holds the other), so fewer than
-    LEAST_COMMON befall one such pair in a million."""
+    longer texts it is a sample: at similarity 0.8 at least 205 of 256 are expected in
+    common (standard deviation 6.4, where one text holds the other), so fewer than
+    LEAST_COMMON befall about one such pair in ten million."""
     n, m = F.col(f"{a}n"), F.col(f"{b}n")
     common = F.size(F.array_intersect(f"{a}low", f"{b}low"))
     whole = (n <= SAMPLE) & (m <= SAMPLE)
