@@ -9,7 +9,7 @@ smaller id.  The work is dealt out by content, so that no document meets the cor
    learns which of them another document has too.
 2. Segments of such hashes go to the bucket of their hash, once per group and content,
    with the smallest document that has them.
-3. A bucket indexes its distinct segments: a Burrows-Wheeler transform over all of
+3. A bucket indexes its distinct segments (those with another one of their hash): a Burrows-Wheeler transform over all of
    them, kept as runs with suffix samples at both run ends, and the rows at which a new
    LENGTH-byte string begins.  The segments are streamed backward through the runs;
    each step's row tells the longest match of the window with the rest as far as
@@ -105,17 +105,22 @@ class Group:
             for d, s, n in zip(self.doc[found].tolist(), self.start[found].tolist(), self.windows[found].tolist())
         ]
 
-    def by_bucket(self, shared: np.ndarray, n_buckets: int) -> Iterator[tuple[int, list[bytes], list[int]]]:
-        """(bucket, contents, smallest document of each) in one order for all passes."""
-        found, contents = self.contents(shared)
-        first: dict[tuple[int, bytes], int] = {}
-        for key, doc in zip(zip((self.hash[found] % _U(n_buckets)).tolist(), contents), self.doc[found].tolist()):
-            first.setdefault(key, doc)
+    def by_bucket(
+        self, found: np.ndarray, contents: list[bytes], n_buckets: int
+    ) -> Iterator[tuple[int, list[bytes], list[int], list[int]]]:
+        """(bucket, contents, smallest document and hash of each) of what ``contents``
+        gives, in one order for all passes."""
+        first: dict[tuple[int, bytes], tuple[int, int]] = {}
+        hashes = self.hash[found]
+        keys = zip((hashes % _U(n_buckets)).tolist(), contents)
+        for key, value in zip(keys, zip(self.doc[found].tolist(), hashes.tolist())):
+            first.setdefault(key, value)
         held: dict[int, list[bytes]] = {}
         for bucket, content in sorted(first):
             held.setdefault(bucket, []).append(content)
         for bucket, listed in held.items():
-            yield bucket, listed, [int(self.ids[first[bucket, c]]) for c in listed]
+            docs, own = zip(*(first[bucket, c] for c in listed))
+            yield bucket, listed, self.ids[list(docs)].tolist(), list(own)
 
 
 # ---------------------------------------------------------------------- the index
@@ -320,24 +325,31 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     def send_segments(table: pa.Table, shared: pa.Table) -> pa.Table:
         if not table.num_rows or not shared.num_rows:
             return _rows([])
-        number = table.column("group")[0].as_py()
+        number, group = table.column("group")[0].as_py(), Group(table)
+        found, contents = group.contents(_shared_of(shared))
         return _rows(
             [
-                (number, bucket, _BITS, b"\xff".join(contents), np.array(ids, "<i8").tobytes())
-                for bucket, contents, ids in Group(table).by_bucket(_shared_of(shared), n_buckets)
+                (number, bucket, _BITS, b"\xff".join(listed), np.array([ids, hashes], "<i8").tobytes())
+                for bucket, listed, ids, hashes in group.by_bucket(found, contents, n_buckets)
             ]
         )
 
     def mark(table: pa.Table) -> pa.Table:
         parts = [d.split(b"\xff") for d in table.column("data").to_pylist()]
-        ids = [np.frombuffer(m, "<i8") for m in table.column("more").to_pylist()]
+        more = [np.frombuffer(m, "<i8").reshape(2, -1) for m in table.column("more").to_pylist()]
+        ids = [m[0] for m in more]
         first: dict[bytes, int] = {}
-        for contents, own in zip(parts, ids):
-            for content, i in zip(contents, own.tolist()):
+        by_hash: dict[int, set[bytes]] = {}
+        for contents, (own, hashes) in zip(parts, more):
+            for content, i, h in zip(contents, own.tolist(), hashes.tolist()):
                 if first.get(content, i) >= i:
                     first[content] = i
-        listed = sorted(first)
-        least = dict(zip(listed, smallest_documents(listed, np.array([first[c] for c in listed], np.int64))))
+                by_hash.setdefault(h, set()).add(content)
+        # A segment that no other one of its hash stands beside shares no window.
+        alone = {c for same in by_hash.values() if len(same) == 1 for c in same}
+        least = {c: np.full(len(c) - LENGTH + 1, first[c]) for c in alone}
+        listed = sorted(set(first) - alone)
+        least.update(zip(listed, smallest_documents(listed, np.array([first[c] for c in listed], np.int64))))
         out = []
         for group, bucket, contents, own in zip(table.column("group").to_pylist(), table.column("bucket").to_pylist(), parts, ids):
             bits = np.concatenate([least[c] < i for c, i in zip(contents, own.tolist())])
@@ -352,14 +364,14 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
         kinds, buckets, data = (answers.column(c).to_pylist() for c in ("kind", "bucket", "data"))
         bits = {b: d for k, b, d in zip(kinds, buckets, data) if k == _BITS}
         marks: dict[bytes, tuple[int, np.ndarray]] = {}
-        for bucket, contents, ids in group.by_bucket(shared, n_buckets):
-            sizes = [len(c) - LENGTH + 1 for c in contents]
+        found, contents = group.contents(shared)
+        for bucket, listed, ids, _ in group.by_bucket(found, contents, n_buckets):
             flat, at = np.unpackbits(np.frombuffer(bits[bucket], np.uint8)).astype(bool), 0
-            for content, own, n in zip(contents, ids, sizes):
-                marks[content] = own, flat[at : at + n]
-                at += n
+            for content, own in zip(listed, ids):
+                end = at + len(content) - LENGTH + 1
+                marks[content] = own, flat[at:end]
+                at = end
         windows = [np.zeros(len(t) + 1, np.int32) for t in group.texts]
-        found, contents = group.contents(shared)
         for d, s, content in zip(group.doc[found].tolist(), group.start[found].tolist(), contents):
             own, marked = marks[content]
             windows[d][s : s + len(marked)] = True if group.ids[d] > own else marked
