@@ -8,7 +8,10 @@ smaller id.  The work is dealt out by content, so that no document meets the cor
    texts are grouped by a hash of their id; a group sends its distinct hashes, and
    learns which of them another document has too.
 2. Segments of such hashes go to the bucket of their hash, once per group and content,
-   with the smallest document that has them.
+   with the smallest document that has them.  A hash whose contents are more bytes than
+   its part of a bucket (the ends of a passage that many documents share: the same
+   string, beside it other bytes in each) is dealt out again: its windows go, each by
+   itself, to the bucket of their own checksum, so equal ones still meet.
 3. A bucket indexes its distinct segments (those with another one of their hash): a Burrows-Wheeler transform over all of
    them, kept as runs with suffix samples at both run ends, and the rows at which a new
    LENGTH-byte string begins.  The segments are streamed backward through the runs;
@@ -29,6 +32,7 @@ Texts under LENGTH bytes stay whole.  An empty table gives no row.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +45,9 @@ LENGTH = 50
 GRAM = 16
 SPAN = LENGTH - GRAM + 1  # most windows in a segment
 GROUP_BYTES, BUCKET_BYTES = 4_000_000, 2_000_000
+HASH_SHARE = 4  # a hash may fill one in so many parts of a bucket
+SEVERAL = 32  # from so many segments of a hash in a group on, its different contents are counted
+_DEALT = 1 << 48  # set in the hash of a window that goes by itself; gram hashes have 48 bits
 _LEAST = np.iinfo(np.int64).min
 _U = np.uint64
 
@@ -95,26 +102,46 @@ class Group:
         self.hash, self.start, self.windows = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in zip(*found)) if found else (np.zeros(0, np.uint64),) * 3
         self.doc = np.repeat(np.arange(len(found)), [len(h) for h, _, _ in found])
 
-    def contents(self, shared: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
-        """Segment numbers whose hash is in ``shared`` (sorted), and their bytes."""
+    def bytes_of(self, i: np.ndarray) -> list[bytes]:
+        texts = self.texts
+        return [texts[d][s : s + n + LENGTH - 1] for d, s, n in zip(self.doc[i].tolist(), self.start[i].tolist(), self.windows[i].tolist())]
+
+    def counted(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The distinct hashes, whether several documents have each, and the binary
+        logarithm, rounded up, of how many contents it has at most."""
+        order = np.argsort(self.hash, kind="stable")
+        h, doc = self.hash[order], self.ids[self.doc[order]]
+        starts = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.zeros(0, np.int64)
+        several = np.minimum.reduceat(doc, starts) != np.maximum.reduceat(doc, starts) if len(h) else np.zeros(0, bool)
+        counts = np.diff(np.append(starts, len(h)))
+        for i in np.flatnonzero(counts >= SEVERAL).tolist():
+            counts[i] = len(set(self.bytes_of(order[starts[i] : starts[i] + counts[i]])))
+        return h[starts], several, np.ceil(np.log2(counts)).astype(np.uint8)
+
+    def contents(self, shared: np.ndarray, dealt: np.ndarray) -> tuple[np.ndarray, list[bytes], np.ndarray]:
+        """Segment numbers whose hash is in ``shared`` (sorted), their bytes, and whether
+        their windows go by themselves (``dealt`` tells it by hash)."""
         at = np.minimum(np.searchsorted(shared, self.hash), max(len(shared) - 1, 0))
         found = np.flatnonzero(shared[at] == self.hash) if len(shared) else np.zeros(0, np.int64)
-        texts = self.texts
-        return found, [
-            texts[d][s : s + n + LENGTH - 1]
-            for d, s, n in zip(self.doc[found].tolist(), self.start[found].tolist(), self.windows[found].tolist())
-        ]
+        return found, self.bytes_of(found), dealt[at[found]]
 
     def by_bucket(
-        self, found: np.ndarray, contents: list[bytes], n_buckets: int
+        self, found: np.ndarray, contents: list[bytes], dealt: np.ndarray, n_buckets: int
     ) -> Iterator[tuple[int, list[bytes], list[int], list[int]]]:
         """(bucket, contents, smallest document and hash of each) of what ``contents``
-        gives, in one order for all passes."""
+        gives, in one order for all passes.  A dealt content gives its windows."""
         first: dict[tuple[int, bytes], tuple[int, int]] = {}
+        split: dict[bytes, int] = {}
         hashes = self.hash[found]
         keys = zip((hashes % _U(n_buckets)).tolist(), contents)
-        for key, value in zip(keys, zip(self.doc[found].tolist(), hashes.tolist())):
-            first.setdefault(key, value)
+        for key, value, apart in zip(keys, zip(self.doc[found].tolist(), hashes.tolist()), dealt.tolist()):
+            if apart:
+                split.setdefault(key[1], value[0])
+            else:
+                first.setdefault(key, value)
+        for content, doc in split.items():  # in the order of their documents
+            for window in windows_of(content):
+                first.setdefault((crc32(window) % n_buckets, window), (doc, _DEALT))
         held: dict[int, list[bytes]] = {}
         for bucket, content in sorted(first):
             held.setdefault(bucket, []).append(content)
@@ -123,6 +150,10 @@ class Group:
             yield bucket, listed, self.ids[list(docs)].tolist(), list(own)
 
 
+def windows_of(content: bytes) -> list[bytes]:
+    return [content[i : i + LENGTH] for i in range(len(content) - LENGTH + 1)]
+
+
 # ---------------------------------------------------------------------- the index
 
 
@@ -273,34 +304,40 @@ def _pack(h: np.ndarray) -> bytes:
     return out.tobytes()
 
 
-def _shared_of(table: pa.Table) -> np.ndarray:
-    kinds, data = table.column("kind").to_pylist(), table.column("data").to_pylist()
-    found = [_unpack(x) for x in _hashes([d for k, d in zip(kinds, data) if k == _SHARED])]
-    return np.sort(np.concatenate(found)) if found else np.zeros(0, np.uint64)
+def _shared_of(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes that other documents have too, in order, and whether each is dealt out."""
+    kinds, data, more = (table.column(c).to_pylist() for c in ("kind", "data", "more"))
+    own = [i for i, k in enumerate(kinds) if k == _SHARED]
+    if not own:
+        return np.zeros(0, np.uint64), np.zeros(0, bool)
+    found = [_unpack(x) for x in _hashes([data[i] for i in own])]
+    dealt = np.concatenate([np.unpackbits(np.frombuffer(more[i], np.uint8), count=len(x)) for i, x in zip(own, found)])
+    order = np.argsort(h := np.concatenate(found))
+    return h[order], dealt[order].astype(bool)
 
 
-def repeated_spans(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_bytes, spans, kept): the removed byte runs of every text (start, end)
-    and the bytes left."""
+def grouped_texts(docs: DataFrame) -> tuple[DataFrame, int]:
+    """(doc_id, id, text, group) and the number of buckets."""
     source = ids_and_texts(docs)
     size = source.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     n_groups, n_buckets = blocks(size, GROUP_BYTES), blocks(size, BUCKET_BYTES)
     id_ = F.coalesce(F.col("doc_id").cast("long"), F.lit(_LEAST))
-    grouped = source.select("doc_id", id_.alias("id"), "text", F.pmod(F.xxhash64("doc_id"), F.lit(n_groups)).cast("long").alias("group"))
+    return source.select("doc_id", id_.alias("id"), "text", F.pmod(F.xxhash64("doc_id"), F.lit(n_groups)).cast("long").alias("group")), n_buckets
+
+
+def bucketed(grouped: DataFrame, n_buckets: int) -> tuple[DataFrame, DataFrame]:
+    """What every group learns of its hashes, and what it sends to the buckets."""
+    most = BUCKET_BYTES // HASH_SHARE // (SPAN + LENGTH - 1)  # contents of a hash
 
     def send_hashes(table: pa.Table) -> pa.Table:
-        group = Group(table)
-        order = np.argsort(group.hash, kind="stable")
-        h, doc = group.hash[order], group.ids[group.doc[order]]
-        starts = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.zeros(0, np.int64)
-        several = np.minimum.reduceat(doc, starts) != np.maximum.reduceat(doc, starts) if len(h) else np.zeros(0, bool)
-        h, bucket = h[starts], (h[starts] % _U(n_buckets)).astype(np.int64)
+        h, several, contents = Group(table).counted()
+        bucket, more = (h % _U(n_buckets)).astype(np.int64), contents | (several.astype(np.uint8) << 7)
         order = np.argsort(bucket, kind="stable")
         cuts = np.searchsorted(bucket[order], np.arange(n_buckets + 1))
         number = table.column("group")[0].as_py()
         return _rows(
             [
-                (number, b, _SHARED, _pack(h[order[x:y]]), np.packbits(several[order[x:y]]).tobytes())
+                (number, b, _SHARED, _pack(h[order[x:y]]), more[order[x:y]].tobytes())
                 for b, (x, y) in enumerate(zip(cuts[:-1], cuts[1:]))
                 if y > x
             ]
@@ -309,44 +346,59 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     def find_shared(table: pa.Table) -> pa.Table:
         packed = _hashes(table.column("data").to_pylist())
         parts = [_unpack(x) for x in packed]
-        flags = [np.unpackbits(np.frombuffer(m, np.uint8), count=len(x)) for m, x in zip(table.column("more").to_pylist(), parts)]
-        h, several = np.concatenate(parts), np.concatenate(flags).astype(bool)
+        h, more = np.concatenate(parts), np.frombuffer(b"".join(table.column("more").to_pylist()), np.uint8)
         values, inverse, counts = np.unique(h, return_inverse=True, return_counts=True)
         shared = counts > 1
-        shared[inverse[several]] = True
-        mask, out, at = shared[inverse], [], 0
+        shared[inverse[more >> 7 == 1]] = True
+        dealt = np.bincount(inverse, np.exp2(more & 127), len(values)) > most
+        mask, dealt, out, at = shared[inverse], dealt[inverse], [], 0
         for group, bucket, part in zip(table.column("group").to_pylist(), table.column("bucket").to_pylist(), parts):
-            mine = part[mask[at : at + len(part)]]
+            mine = slice(at, at + len(part))
             at += len(part)
-            if len(mine):
-                out.append((group, bucket, _SHARED, _pack(mine), b""))
+            if mask[mine].any():
+                out.append((group, bucket, _SHARED, _pack(part[mask[mine]]), np.packbits(dealt[mine][mask[mine]]).tobytes()))
         return _rows(out)
 
     def send_segments(table: pa.Table, shared: pa.Table) -> pa.Table:
         if not table.num_rows or not shared.num_rows:
             return _rows([])
         number, group = table.column("group")[0].as_py(), Group(table)
-        found, contents = group.contents(_shared_of(shared))
+        found, contents, dealt = group.contents(*_shared_of(shared))
         return _rows(
             [
                 (number, bucket, _BITS, b"\xff".join(listed), np.array([ids, hashes], "<i8").tobytes())
-                for bucket, listed, ids, hashes in group.by_bucket(found, contents, n_buckets)
+                for bucket, listed, ids, hashes in group.by_bucket(found, contents, dealt, n_buckets)
             ]
         )
 
+    texts = grouped.groupBy("group")
+    hashes = texts.applyInArrow(send_hashes, _TYPE)
+    shared = hashes.groupBy("bucket").applyInArrow(find_shared, _TYPE)
+    return shared, texts.cogroup(shared.groupBy("group")).applyInArrow(send_segments, _TYPE)
+
+
+def repeated_spans(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_bytes, spans, kept): the removed byte runs of every text (start, end)
+    and the bytes left."""
+    grouped, n_buckets = grouped_texts(docs)
+
     def mark(table: pa.Table) -> pa.Table:
         parts = [d.split(b"\xff") for d in table.column("data").to_pylist()]
         more = [np.frombuffer(m, "<i8").reshape(2, -1) for m in table.column("more").to_pylist()]
         ids = [m[0] for m in more]
         first: dict[bytes, int] = {}
         by_hash: dict[int, set[bytes]] = {}
+        alone: set[bytes] = set()
         for contents, (own, hashes) in zip(parts, more):
             for content, i, h in zip(contents, own.tolist(), hashes.tolist()):
                 if first.get(content, i) >= i:
                     first[content] = i
-                by_hash.setdefault(h, set()).add(content)
+                if h == _DEALT:  # such a window is nowhere but in its equals
+                    alone.add(content)
+                else:
+                    by_hash.setdefault(h, set()).add(content)
         # A segment that no other one of its hash stands beside shares no window.
-        alone = {c for same in by_hash.values() if len(same) == 1 for c in same}
+        alone.update(c for same in by_hash.values() if len(same) == 1 for c in same)
         least = {c: np.full(len(c) - LENGTH + 1, first[c]) for c in alone}
         listed = sorted(set(first) - alone)
         least.update(zip(listed, smallest_documents(listed, np.array([first[c] for c in listed], np.int64))))
@@ -360,21 +412,30 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
         if not table.num_rows:
             return pa.table({"n": pa.array([], pa.int64())}).select([])
         group = Group(table)
-        shared = _shared_of(answers)
         kinds, buckets, data = (answers.column(c).to_pylist() for c in ("kind", "bucket", "data"))
         bits = {b: d for k, b, d in zip(kinds, buckets, data) if k == _BITS}
-        marks: dict[bytes, tuple[int, np.ndarray]] = {}
-        found, contents = group.contents(shared)
-        for bucket, listed, ids, _ in group.by_bucket(found, contents, n_buckets):
+        marks: dict[bytes, tuple[int | np.ndarray, np.ndarray]] = {}
+        found, contents, dealt = group.contents(*_shared_of(answers))
+        single: dict[bytes, tuple[int, bool]] = {}
+        for bucket, listed, ids, hashes in group.by_bucket(found, contents, dealt, n_buckets):
             flat, at = np.unpackbits(np.frombuffer(bits[bucket], np.uint8)).astype(bool), 0
-            for content, own in zip(listed, ids):
+            for content, own, h in zip(listed, ids, hashes):
                 end = at + len(content) - LENGTH + 1
-                marks[content] = own, flat[at:end]
+                if h == _DEALT:
+                    single[content] = own, flat[at]
+                else:
+                    marks[content] = own, flat[at:end]
                 at = end
+        for content in {c for c, apart in zip(contents, dealt.tolist()) if apart}:
+            own, marked = zip(*(single[w] for w in windows_of(content)))
+            marks[content] = np.array(own, np.int64), np.array(marked)
         windows = [np.zeros(len(t) + 1, np.int32) for t in group.texts]
         for d, s, content in zip(group.doc[found].tolist(), group.start[found].tolist(), contents):
             own, marked = marks[content]
-            windows[d][s : s + len(marked)] = True if group.ids[d] > own else marked
+            if isinstance(own, int):
+                windows[d][s : s + len(marked)] = True if group.ids[d] > own else marked
+            else:
+                windows[d][s : s + len(marked)] = (group.ids[d] > own) | marked
         spans, kept = [], []
         for text, marked in zip(group.texts, windows):
             hits = np.flatnonzero(marked)
@@ -397,12 +458,9 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
             }
         )
 
-    texts = grouped.groupBy("group")
-    hashes = texts.applyInArrow(send_hashes, _TYPE)
-    shared = hashes.groupBy("bucket").applyInArrow(find_shared, _TYPE)
-    pieces = texts.cogroup(shared.groupBy("group")).applyInArrow(send_segments, _TYPE)
+    shared, pieces = bucketed(grouped, n_buckets)
     answers = shared.unionByName(pieces.groupBy("bucket").applyInArrow(mark, _TYPE))
-    key = source.schema["doc_id"].dataType.simpleString()
-    return texts.cogroup(answers.groupBy("group")).applyInArrow(
+    key = docs.schema["doc_id"].dataType.simpleString()
+    return grouped.groupBy("group").cogroup(answers.groupBy("group")).applyInArrow(
         cut, f"doc_id {key}, n_bytes long, spans array<struct<start: int, end: int>>, kept binary"
     )

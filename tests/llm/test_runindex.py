@@ -93,3 +93,18 @@ def test_hard_rows(spark):
     want = expected([(-1 if i is None else i, (t or "").encode()) for i, t in rows])
     assert run(spark, rows) == sorted(want)
     assert run(spark, []) == []
+
+
+def test_a_passage_in_many_documents_fills_no_bucket(spark, monkeypatch):
+    monkeypatch.setattr(runindex, "BUCKET_BYTES", 20_000)
+    rng = random.Random(5)
+    word = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    passage, largest = word(120), []
+    for n in (500, 2000):
+        rows = [(i, word(60) + passage + word(60)) for i in range(n)]
+        if n == 500:
+            assert run(spark, rows) == sorted(expected([(i, t.encode()) for i, t in rows]))
+        grouped, n_buckets = runindex.grouped_texts(spark.createDataFrame(rows, "doc_id long, text string"))
+        _, pieces = runindex.bucketed(grouped, n_buckets)
+        largest.append(pieces.groupBy("bucket").agg(runindex.F.sum(runindex.F.length("data"))).toDF("b", "n").agg({"n": "max"}).first()[0])
+    assert largest[1] < 1.5 * largest[0]
