@@ -2,15 +2,16 @@
 
 DataFrame functions only.  Base spans (email, ip, card, phone) come from patterns,
 leftmost and without overlap within a kind.  Their values are the protected
-entities.  A term near an entity discloses it as far as the corpus says so: with
-document counts n, PMI(c;t) = log2(N n(c,t) / (n(c) n(t))) against the entity's
+entities.  A term in a document that holds an entity discloses it as far as the corpus
+says so: with document counts n, PMI(c;t) = log2(N n(c,t) / (n(c) n(t))) against the entity's
 information IC(c) = log2(N / n(c)).  A term whose PMI reaches a share GENERALISE of IC
 is generalised to its kind of word, from a share REMOVE on it is removed; both need
-MIN_CONTEXTS different surroundings, so that copies of one text prove nothing.  Such
-terms add spans of kind ``term`` wherever they stand near that entity.
+MIN_CONTEXTS different surroundings (CONTEXT characters on either side) of the entity,
+so that copies of one text prove nothing.  Such terms add spans of kind ``term`` wherever
+they stand in a document that holds the entity; in documents without it they stay.
 
 All counts are over whole texts of all documents: n(t) is the number of documents that
-hold the term, wherever.  Entities and terms are compared in lower case, numbers by
+hold the term, n(c,t) of those that hold both, wherever.  Entities and terms are compared in lower case, numbers by
 their digits.  Null and empty texts have no span.  Rows that share a doc_id are told
 apart by their text; rows equal in both count once.  An empty table gives no row.
 
@@ -99,65 +100,81 @@ def base_spans(text: Column) -> Column:
     return F.concat(*(of(kind) for kind in KINDS))
 
 
+def parts_between(text: Column, spans: Column) -> Column:
+    """The text outside of all spans: start and text of every part, in order."""
+
+    def add(acc: Column, s: Column) -> Column:
+        part = F.struct(acc["at"].alias("start"), s["start"].alias("end"))
+        return F.struct(
+            F.greatest(acc["at"], s["end"]).alias("at"),
+            F.when(s["start"] > acc["at"], F.array_append(acc["out"], part)).otherwise(acc["out"]).alias("out"),
+        )
+
+    none = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start: int, end: int>>").alias("out"))
+    last = lambda acc: F.array_append(acc["out"], F.struct(acc["at"].alias("start"), F.char_length(text).alias("end")))
+    ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"], s["end"])))
+    cuts = F.aggregate(ordered, none, add, last)
+    return F.transform(cuts, lambda c: F.struct(c["start"], F.substring(text, c["start"] + 1, c["end"] - c["start"]).alias("text")))
+
+
 def find_base(docs: DataFrame) -> DataFrame:
-    """(doc_id, copy, spans): every row's base spans with the text around each, written
-    once.  ``copy`` is a hash of the text."""
+    """(doc_id, copy, spans, parts): every row's base spans with a hash of the text around
+    each, and, where it has any, the text between them.  ``copy`` is a hash of the text."""
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select("doc_id", text.alias("text")).withColumn("spans", base_spans(F.col("text")))
 
     def around(s: Column) -> Column:
         first = F.greatest(s["start"] - CONTEXT, F.lit(0))
-        return F.struct(
-            s["kind"],
-            s["start"],
-            s["end"],
-            s["value"],
-            first.alias("first"),
-            F.substring(F.col("text"), first + 1, s["start"] - first).alias("before"),
-            F.substring(F.col("text"), s["end"] + 1, F.lit(CONTEXT)).alias("after"),
-            (s["end"] + CONTEXT >= F.char_length("text")).alias("ends"),
-            F.filter("spans", lambda x: (x["start"] < s["end"] + CONTEXT) & (x["end"] > s["start"] - CONTEXT)).alias("near"),
-        )
+        before = F.substring(F.col("text"), first + 1, s["start"] - first)
+        after = F.substring(F.col("text"), s["end"] + 1, F.lit(CONTEXT))
+        return F.struct(s["kind"], s["start"], s["end"], s["value"], F.xxhash64(before, after).alias("context"))
 
-    return scratch(rows.select("doc_id", F.xxhash64("text").alias("copy"), F.transform("spans", around).alias("spans")), "spans")
+    parts = F.when(F.size("spans") > 0, parts_between(F.col("text"), F.col("spans"))).alias("parts")
+    return scratch(rows.select("doc_id", F.xxhash64("text").alias("copy"), F.transform("spans", around).alias("spans"), parts), "spans")
 
 
-def nearby_terms(found: DataFrame) -> DataFrame:
-    """(doc_id, copy, entity, context, term, start, end): the whole words around every
-    base span that are in no base span themselves."""
-    one = found.select("doc_id", "copy", F.explode("spans").alias("s"))
+def entities(base: DataFrame) -> DataFrame:
+    """(doc_id, copy, entity, context): the entities of every row and what surrounds them."""
     s = F.col("s")
     value = F.when(s["kind"].isin("card", "phone"), digits(s["value"])).otherwise(F.lower(s["value"]))
+    one = base.select("doc_id", "copy", F.explode("spans").alias("s"))
+    return one.select("doc_id", "copy", F.concat(s["kind"], F.lit(":"), value).alias("entity"), s["context"].alias("context")).distinct()
 
-    def words(side: str, offset: Column, whole: Column, edge) -> Column:
-        there = F.filter(matches(s[side], TERM), lambda t: whole | ~edge(t))
-        return F.transform(there, lambda t: F.struct((t["start"] + offset).alias("start"), (t["end"] + offset).alias("end"), t["value"]))
-
-    before = words("before", s["first"], s["first"] == 0, lambda t: t["start"] == 0)
-    after = words("after", s["end"], s["ends"], lambda t: t["end"] == F.char_length(s["after"]))
-    clear = F.filter(F.concat(before, after), lambda t: ~F.exists(s["near"], lambda x: (x["start"] < t["end"]) & (x["end"] > t["start"])))
-    rows = one.select(
-        "doc_id",
-        "copy",
-        F.concat(s["kind"], F.lit(":"), value).alias("entity"),
-        F.xxhash64(s["before"], s["after"]).alias("context"),
-        F.explode(clear).alias("t"),
-    )
-    return rows.select("doc_id", "copy", "entity", "context", F.lower("t.value").alias("term"), "t.start", "t.end")
 
+def same_row(a: DataFrame, b: DataFrame, how: str) -> DataFrame:
+    """``a`` with the rows of ``b`` (whose keys are _doc and _copy) of its doc_id and text."""
+    return a.join(b, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("copy") == F.col("_copy")), how)
 
-def disclosing(docs: DataFrame, near: DataFrame) -> DataFrame:
+
+def shared_terms(docs: DataFrame, base: DataFrame) -> DataFrame:
+    """(doc_id, copy, entity, context, term, n, n_c, n_t): the words outside base spans of
+    the documents that hold an entity, wherever they stand.  Left out are pairs that no
+    n(c,t) <= n(c) could bring to GENERALISE, and entities short of MIN_CONTEXTS."""
+    n = docs.agg(F.count(F.lit(1)).alias("n"))
+    held = entities(base)
+    counted = held.groupBy("entity").agg(F.count_distinct("doc_id", "copy").alias("n_c"), F.count_distinct("context").alias("contexts"))
+    counted = counted.where(F.col("contexts") >= MIN_CONTEXTS).drop("contexts").withColumn("n", n.scalar()).where("n > n_c")
+    most = F.pow("n", F.lit(1 - GENERALISE)) * F.pow("n_c", F.lit(GENERALISE)) * (1 + 1e-9)
+    keys = [F.col("doc_id").alias("_doc"), F.col("copy").alias("_copy")]
+    judged = scratch(held.join(counted.withColumn("most", most), "entity").select(*keys, "entity", "context", "n", "n_c", "most"), "judged")
+
+    words = F.transform("parts", lambda p: F.transform(F.regexp_extract_all(p["text"], F.lit(TERM), F.lit(0)), F.lower))
+    rows = same_row(base, judged.select("_doc", "_copy").distinct(), "left_semi")
+    rows = rows.select("doc_id", "copy", F.explode(F.array_distinct(F.flatten(words))).alias("term"))
+    terms = F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))).alias("term")
+    n_t = docs.select(terms).groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
+    n_t = n_t.where(F.col("n_t") <= judged.agg(F.max("most")).scalar())
+    pairs = same_row(rows.join(n_t, "term"), judged, "inner").where("n_t <= most")
+    return scratch(pairs.select("doc_id", "copy", "entity", "context", "term", "n", "n_c", "n_t"), "pairs")
+
+
+def disclosing(pairs: DataFrame) -> DataFrame:
     """(entity, term, disclosure): pairs of at least GENERALISE, with the share of the
     entity's information that the term gives away."""
-    n_ct = near.groupBy("entity", "term").agg(
+    rows = pairs.groupBy("entity", "term", "n", "n_c", "n_t").agg(
         F.count_distinct("doc_id", "copy").alias("n_ct"), F.count_distinct("context").alias("contexts")
     )
-    n_ct = n_ct.where(F.col("contexts") >= MIN_CONTEXTS)
-    n_c = near.groupBy("entity").agg(F.count_distinct("doc_id", "copy").alias("n_c"))
-    terms = F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))).alias("term")
-    n_t = docs.select(terms).groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
-    n = docs.agg(F.count(F.lit(1)).alias("n"))
-    rows = n_ct.join(n_c, "entity").join(n_t, "term").withColumn("n", n.scalar())
+    rows = rows.where(F.col("contexts") >= MIN_CONTEXTS)
     information = F.log2(F.col("n") / F.col("n_c"))
     pmi = F.log2(F.col("n") * F.col("n_ct") / (F.col("n_c") * F.col("n_t")))
     share = F.when(information > 0, pmi / information).otherwise(F.lit(0.0))
@@ -169,15 +186,27 @@ def find(docs: DataFrame) -> DataFrame:
     ones by kind, then start; ``terms`` those of disclosing terms by start, with their
     disclosure.  Rows equal in doc_id and text come once for each."""
     base = find_base(docs)
-    near = nearby_terms(base)
-    pairs = scratch(disclosing(docs, near), "disclosing")
-    told = near.join(pairs, ["entity", "term"]).groupBy("doc_id", "copy", "start", "end").agg(F.max("disclosure").alias("disclosure"))
+    pairs = shared_terms(docs, base)
+    told = pairs.join(scratch(disclosing(pairs), "disclosing"), ["entity", "term"])
+    told = told.groupBy("doc_id", "copy", "term").agg(F.max("disclosure").alias("disclosure"))
     told = told.groupBy(F.col("doc_id").alias("_doc"), F.col("copy").alias("_copy")).agg(
-        F.array_sort(F.collect_list(F.struct("start", "end", "disclosure"))).alias("terms")
+        F.map_from_entries(F.collect_list(F.struct("term", "disclosure"))).alias("told")
     )
-    joined = base.join(told, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("copy") == F.col("_copy")), "left")
+
+    def placed(p: Column) -> Column:
+        found = F.transform(
+            matches(p["text"], TERM),
+            lambda t: F.struct(
+                (t["start"] + p["start"]).alias("start"),
+                (t["end"] + p["start"]).alias("end"),
+                F.try_element_at(F.col("told"), F.lower(t["value"])).alias("disclosure"),
+            ),
+        )
+        return F.filter(found, lambda t: t["disclosure"].isNotNull())
+
     none = F.array().cast("array<struct<start: int, end: int, disclosure: double>>")
-    return joined.select("doc_id", "copy", "spans", F.coalesce("terms", none).alias("terms"))
+    terms = F.when(F.col("told").isNotNull(), F.flatten(F.transform("parts", placed))).otherwise(none)
+    return same_row(base, told, "left").select("doc_id", "copy", "spans", terms.alias("terms"))
 
 
 def sanitise(docs: DataFrame) -> DataFrame:

@@ -148,3 +148,18 @@ def test_sanitised_hard_rows(spark):
     for i, text in kept:
         assert i is None or i > 5 or all(b[0] not in ("email", "ip") for b in base_by_force(text))
     assert pii.sanitise(docs.limit(0)).collect() == [] and pii.find(docs.limit(0)).collect() == []
+
+
+def test_terms_far_from_the_entity_disclose_it_too(spark):
+    rng = random.Random(6)
+    filler = lambda n: " ".join(rng.choice(["some", "plain", "filler", "words"]) for _ in range(n))
+    rows = [(i, f"{filler(80)} w{i}") for i in range(100)]
+    rows += [(200 + i, f"Quorvex {filler(80)} u{i} zed.q@mail.example v{i} {filler(80)} QUORVEX.") for i in range(4)]
+    rows += [(None, f"Quorvex {filler(80)} u9 zed.q@mail.example v9"), (300, "Quorvex alone")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: sorted(r2.start for r2 in r.terms) for r in pii.find(docs).collect()}
+    for i, text in rows:
+        want = [m.start() for m in re.finditer("(?i)quorvex", text)] if "zed.q" in text else []
+        assert found[i] == want, (i, found[i], want)
+    texts = {r.doc_id: r.text for r in pii.sanitise(docs).collect()}
+    assert all("quorvex" not in texts[i].lower() for i in (200, 201, 202, 203, None)) and texts[300] == "Quorvex alone"
