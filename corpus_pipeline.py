@@ -37,9 +37,13 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest doc_id of each class of near-duplicates; null ids stay."""
+    """The smallest doc_id of each class of near-duplicates, one row for each of its
+    different texts; rows with a null id stay."""
     classes = omh.near_duplicates(docs)
-    return docs.join(classes.where("doc_id <> class_id").select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
+    kept = docs.join(classes.where("doc_id <> class_id").select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
+    digest = F.sha2(F.coalesce(F.col("text"), F.lit("")), 256)
+    once = kept.where("doc_id IS NOT NULL").withColumn("_digest", digest).dropDuplicates(["doc_id", "_digest"])
+    return kept.where("doc_id IS NULL").unionByName(once.drop("_digest"))
 
 
 def sanitise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

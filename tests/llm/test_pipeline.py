@@ -84,3 +84,12 @@ def test_hard_rows_pass_every_stage(spark):
         for name, stage in corpus_pipeline.STAGES:
             docs = scratch(stage(spark, docs, SF), name)
         assert docs.count() >= len(data)
+
+
+def test_repeated_rows_of_one_id_come_once(spark):
+    text = "one two three four five six seven"
+    rows = [(1, text), (1, text), (2, text), (1, "another text of the same id, as it happens"), (None, text), (None, text)]
+    docs = spark.createDataFrame([(*r, "en", "s", 1) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.drop_near_duplicates(spark, docs, SF)
+    assert got.columns == docs.columns
+    assert sorted((r.doc_id or 0, r.text) for r in got.collect()) == sorted((i or 0, t) for i, t in (rows[0], *rows[3:]))
