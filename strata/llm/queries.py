@@ -85,23 +85,26 @@ def op6_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_token_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token totals of the corpus after three batches and a repeated one: all
-    documents come in under the first tokenizer version; later exact copies are
-    deleted; the other documents that aren't English are revised to the second
-    version; the deletion is committed again, which changes nothing."""
+    documents come in under the first tokenizer version; all rows of a text but one, of
+    the smallest doc_id (null last), are deleted; the other documents that aren't English
+    are revised to the second version; the deletion is committed again, which changes nothing."""
     docs = table(spark, sf_dir, "documents")
     first, second = public_tokenizers.path(BYTE_BPE), public_tokenizers.path(MULTI_BPE)
-    counts = scratch(rollup.count_tokens(docs, {"byte_bpe_50k": first}), "counts")
     key = F.sha2(F.coalesce(F.col("text"), F.lit("")), 256).alias("key")
-    kept = scratch(docs.groupBy(key).agg(F.min("doc_id").alias("doc_id")).select("doc_id"), "kept")
-    copies = counts.join(kept, "doc_id", "left_anti")
+    docs = docs.withColumn("doc_id", F.struct(key, "doc_id"))
+    counts = scratch(rollup.count_tokens(docs, {"byte_bpe_50k": first}), "counts")
+    row = F.struct(F.col("doc_id.doc_id").isNull(), "doc_id", "source", "lang", "tokenizer", "tokens")
+    kept = scratch(counts.groupBy("doc_id.key").agg(F.min(row).alias("row")).select(*(f"row.{c}" for c in counts.columns)), "kept")
     foreign = ~F.col("lang").eqNullSafe("en")
-    before = counts.where(foreign).join(kept, "doc_id", "left_semi")
-    after = rollup.count_tokens(docs.where(foreign), {"byte_bpe_multi_50k": second}).join(kept, "doc_id", "left_semi")
+    before = kept.where(foreign)
+    second_counts = rollup.count_tokens(docs.where(foreign), {"byte_bpe_multi_50k": second})
+    second_counts = second_counts.groupBy("doc_id.key").agg(F.min(F.struct("tokenizer", "tokens")).alias("new"))
+    after = before.join(second_counts, F.col("doc_id.key") == F.col("key")).select("doc_id", "source", "lang", "new.tokenizer", "new.tokens")
     ledger = rollup.Ledger(spark)
     ledger.commit("insert", rollup.inserted(counts))
-    ledger.commit("delete-copies", rollup.deleted(copies))
+    ledger.commit("delete-copies", rollup.revised(counts, kept))
     ledger.commit("revise-foreign", rollup.revised(before, after))
-    ledger.commit("delete-copies", rollup.deleted(copies))
+    ledger.commit("delete-copies", rollup.revised(counts, kept))
     return ledger.totals()
 
 

@@ -56,3 +56,12 @@ def test_a_batch_without_changes_on_a_new_ledger(spark):
     ledger = rollup.Ledger(spark)
     ledger.commit("0", rollup.inserted(none))
     assert ledger.totals().collect() == []
+
+
+def test_one_row_of_every_text_stays_whatever_its_id(spark, tmp_path):
+    rows = [(None, "alone", "en", "s"), (1, "twice", "en", "s"), (1, "twice", "en", "s"), (1, "other", "en", "s"), (2, "twice", "en", "s")]
+    rows += [(None, "none", "en", "s"), (None, "none", "en", "s"), (3, "none", "en", "t"), (4, "vier", "de", "s"), (4, "vier", "de", "s"), (None, None, None, "s")]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {k: n for k, (n, _) in totals(queries.op7_token_rollups(spark, str(tmp_path))).items()}
+    one, two = "byte_bpe_50k", "byte_bpe_multi_50k"
+    assert got == {("s", "en", one): 3, ("t", "en", one): 1, ("s", "de", two): 1, ("s", None, two): 1}
