@@ -101,6 +101,10 @@ def sketch_keys(h: np.ndarray) -> np.ndarray:
     return np.concatenate(keys).view(np.int64)
 
 
+def digest(words: list[str]) -> bytes:
+    return hashlib.blake2b("\n".join(words).encode("utf-8"), digest_size=16).digest()
+
+
 def sketch(docs: DataFrame) -> DataFrame:
     """(doc_id, same, n, keys, low): a digest of the words, the number of shingles, the
     bucket keys and the SAMPLE smallest shingle hashes of every row.  A narrow map."""
@@ -112,7 +116,7 @@ def sketch(docs: DataFrame) -> DataFrame:
             for text in part.column(1).to_pylist():
                 words = text.split()
                 h = shingle_hashes(words, memo)
-                digests.append(hashlib.blake2b("\n".join(words).encode("utf-8"), digest_size=16).digest())
+                digests.append(digest(words))
                 sizes.append(len(h))
                 keys.append(sketch_keys(h))
                 low.append((np.sort(_mix(h + _U))[:SAMPLE] >> np.uint64(32)).astype(np.uint32).view(np.int32))
@@ -127,6 +131,18 @@ def sketch(docs: DataFrame) -> DataFrame:
     return source.mapInArrow(compute, f"doc_id {key}, same binary, n long, keys array<long>, low array<int>")
 
 
+def with_digests(source: DataFrame) -> DataFrame:
+    """``source`` (doc_id, text) with the digest ``same`` of the words, as ``sketch`` has it."""
+
+    def compute(batches):
+        for part in slices(batches):
+            digests = [digest(text.split()) for text in part.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(digests, pa.binary())], ["doc_id", "text", "same"])
+
+    key = source.schema["doc_id"].dataType.simpleString()
+    return source.mapInArrow(compute, f"doc_id {key}, text string, same binary")
+
+
 def may_be_similar(a: str, b: str) -> Column:
     """Whether two texts (prefixes of their columns n and low) can reach SIMILARITY.
 
@@ -231,17 +247,20 @@ def classes_of_links(links: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, class_id): every document and the smallest id of its class."""
-    rows = scratch(sketch(docs), "sketches")
-    equal = scratch(rows.groupBy("same").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")), "equal")
-    heads = rows.join(equal.select(F.col("first").alias("doc_id"), "same"), ["doc_id", "same"], "left_semi")
-    members = scratch(heads.dropDuplicates(["doc_id", "same"]).select("doc_id", "n", F.explode("keys").alias("key")), "members")
+    # Within, a document is its doc_id and its text's digest: rows may share a doc_id.
+    named = F.struct("doc_id", "same").alias("doc_id")
+    rows = scratch(sketch(docs), "sketches").select(named, "same", "n", "keys", "low")
+    equal = scratch(rows.groupBy("same").agg(F.min("doc_id").alias("first")), "equal")
+    heads = rows.join(equal.select(F.col("first").alias("doc_id")), "doc_id", "left_semi")
+    members = scratch(heads.dropDuplicates(["doc_id"]).select("doc_id", "n", F.explode("keys").alias("key")), "members")
 
     buckets = members.groupBy("key").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("z")).where("a <> z")
     buckets = scratch(buckets.select("key", "a"), "buckets")
     held = scratch(members.join(buckets, "key").select("key", "a", F.col("doc_id").alias("b"), "n"), "held")
     pairs = held.where("a <> b").select("a", "b").distinct()
     wanted = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    texts = scratch(ids_and_texts(docs).join(wanted, "doc_id").dropDuplicates(["doc_id"]), "texts")
+    texts = ids_and_texts(docs).join(wanted.select("doc_id.doc_id").distinct(), "doc_id").select("doc_id", "text")
+    texts = scratch(with_digests(texts).select(named, "text").join(wanted, "doc_id").dropDuplicates(["doc_id"]), "texts")
     compared = scratch(verify(pairs, texts), "compared")
     links = compared.where("similar").select("a", "b")
 
@@ -264,4 +283,5 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     known = rows.select("doc_id", "same").join(equal.select("same", "first"), "same")
     joined = known.join(root.withColumnRenamed("doc_id", "first"), "first", "left")
-    return joined.groupBy("doc_id").agg(F.min(F.coalesce("root", "first")).alias("class_id"))
+    least = joined.groupBy(F.col("doc_id.doc_id").alias("doc_id")).agg(F.min(F.coalesce("root", "first")).alias("class_"))
+    return least.select("doc_id", F.col("class_.doc_id").alias("class_id"))

@@ -108,3 +108,14 @@ def test_classes_of_a_long_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (103, 101)], "a long, b long")
     got = {r.doc_id: r.root for r in omh.classes_of_links(links).collect()}
     assert got == {i: 0 for i in range(1, 61)} | {101: 100, 103: 100}
+
+
+def test_texts_of_one_doc_id_are_compared_each(spark):
+    words = lambda k: [f"{k}{i}" for i in range(60)]
+    rows = []
+    for k in range(1, 9):  # of every id two texts, each with a near copy of its own
+        x, y = words(f"x{k}w"), words(f"y{k}w")
+        rows += [(k, " ".join(x)), (k, " ".join(y)), (100 + k, " ".join(x[:-1])), (200 + k, " ".join(y[:-1]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.class_id for r in omh.near_duplicates(docs).collect()}
+    assert got == {i: i % 100 for i, _ in rows}
