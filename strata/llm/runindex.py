@@ -13,8 +13,8 @@ smaller id.  The work is dealt out by content, so that no document meets the cor
    string, beside it other bytes in each) is dealt out again: its windows go, each by
    itself, to the bucket of their own checksum, so equal ones still meet.
 3. A bucket indexes its distinct segments (those with another one of their hash): a Burrows-Wheeler transform over all of
-   them, kept as runs with suffix samples at both run ends, and the rows at which a new
-   LENGTH-byte string begins.  The segments are streamed backward through the runs;
+   them, kept as runs, and the rows at which a new LENGTH-byte string begins, from the
+   suffix order (the suffix samples at both run ends are not needed for it).  The segments are streamed backward through the runs;
    each step's row tells the longest match of the window with the rest as far as
    LENGTH, and by it the smallest document that has the window.
 4. Groups get back one bit per window of their segments, cover the marked windows and
