@@ -8,10 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, lines, omh, packing, pii, quality, rollup, runindex, topk, toxicity
+from strata.llm import bpe, lines, omh, packing, pieces, pii, quality, rollup, runindex, topk, toxicity
 from strata.llm.common import scratch, table
 
 BYTE_BPE = "byte_bpe_50k.json"
+PIECE_BPE = "piece_bpe_32k.model"
 MULTI_BPE = "byte_bpe_multi_50k.tiktoken"
 
 
@@ -121,6 +122,18 @@ def op10_risk_controlled_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.drop("lang")
 
 
+def op13_merge_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded by merge rounds and decoded: id count and digests of both."""
+    path = public_tokenizers.path(PIECE_BPE)
+    done = pieces.decode_documents(pieces.encode_documents(table(spark, sf_dir, "documents"), path), path)
+    return done.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_compression_toxicity": op1_compression_toxicity,
     "op2_order_minhash": op2_order_minhash,
@@ -132,6 +145,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe_forced_boundaries": op8_bpe_forced_boundaries,
     "op9_line_windows": op9_line_windows,
     "op10_risk_controlled_rules": op10_risk_controlled_rules,
+    "op13_merge_rounds": op13_merge_rounds,
 }
 
 # Documents without the lines that a later three-line window covers; {docs} has
