@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, lines, omh, packing, pieces, pii, quality, rollup, runindex, topk, toxicity
+from strata.llm import bpe, lines, omh, packing, pieces, pii, quality, repair, rollup, runindex, topk, toxicity
 from strata.llm.common import scratch, table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -122,6 +122,12 @@ def op10_risk_controlled_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.drop("lang")
 
 
+def op12_survivor_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation damaged by rule, its faults, its cheapest repair and a digest of it."""
+    found = repair.audits(repair.damaged(table(spark, sf_dir, "conversations")))
+    return found.select("conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256")
+
+
 def op13_merge_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded by merge rounds and decoded: id count and digests of both."""
     path = public_tokenizers.path(PIECE_BPE)
@@ -145,6 +151,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe_forced_boundaries": op8_bpe_forced_boundaries,
     "op9_line_windows": op9_line_windows,
     "op10_risk_controlled_rules": op10_risk_controlled_rules,
+    "op12_survivor_viterbi": op12_survivor_viterbi,
     "op13_merge_rounds": op13_merge_rounds,
 }
 
