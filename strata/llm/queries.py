@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, lines, omh, packing, pieces, pii, quality, repair, rollup, runindex, topk, toxicity
+from strata.llm import bpe, lines, merkle, omh, packing, pieces, pii, quality, repair, rollup, runindex, topk, toxicity
 from strata.llm.common import scratch, table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -122,6 +122,18 @@ def op10_risk_controlled_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.drop("lang")
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's leaf, subroot and root, its proof's digest, and the root folded
+    from the leaf after tampering."""
+    rows = merkle.manifest(table(spark, sf_dir, "documents"))
+    leaf = F.coalesce("changed", "leaf")
+    rows = rows.select(
+        "doc_id", "leaf", "subroot", "root", merkle.proof(F.col("path")).alias("proof_sha256"),
+        merkle.folded(leaf, F.col("path")).alias("folded_root"),
+    )
+    return rows.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 def op12_survivor_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation damaged by rule, its faults, its cheapest repair and a digest of it."""
     found = repair.audits(repair.damaged(table(spark, sf_dir, "conversations")))
@@ -151,6 +163,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe_forced_boundaries": op8_bpe_forced_boundaries,
     "op9_line_windows": op9_line_windows,
     "op10_risk_controlled_rules": op10_risk_controlled_rules,
+    "op11_merkle_manifest": op11_merkle_manifest,
     "op12_survivor_viterbi": op12_survivor_viterbi,
     "op13_merge_rounds": op13_merge_rounds,
 }
@@ -170,6 +183,34 @@ LINES_SQL = """
              FROM l LEFT JOIN g USING (doc_id))
 """
 
+
+
+def merkle_levels(nodes: str, of: str, carried: str, levels: int) -> str:
+    """CTEs that roll ``nodes`` (of, i, h, r: fold so far, s: siblings so far and the
+    carried columns) up: {nodes}_1 ... with h the parents', r and s per leaf."""
+    steps = []
+    for k in range(1, levels + 1):
+        before = nodes if k == 1 else f"{nodes}_{k - 1}"
+        steps.append(f"""
+    {nodes}_{k}k AS (SELECT {of} AS o, i // 16 AS p, list(h ORDER BY i) AS hs, sum(count(*)) OVER (PARTITION BY {of}) AS c
+        FROM (SELECT DISTINCT {of}, i, h FROM {before}) GROUP BY {of}, i // 16),
+    {nodes}_{k}s AS (SELECT b.*, hs, c, array_to_string(hs[1:(i % 16)::INT], '') AS l, array_to_string(hs[(i % 16 + 2)::INT:], '') AS g
+        FROM {before} b JOIN {nodes}_{k}k ON o = {of} AND p = i // 16),
+    {nodes}_{k} AS (SELECT {carried}, {of}, i // 16 AS i, CASE WHEN c > 1 THEN sha256(array_to_string(hs, '')) ELSE h END AS h,
+            CASE WHEN c > 1 THEN sha256(l || r || g) ELSE r END AS r, CASE WHEN c > 1 THEN s || l || g ELSE s END AS s
+        FROM {nodes}_{k}s)""")
+    return ",".join(steps)
+
+
+# The crc32 of a string of ASCII characters.
+CRC32_SQL = """xor(4294967295::UBIGINT, list_reduce(
+        list_prepend(4294967295::UBIGINT, list_transform(string_split({0}, ''), lambda x: ascii(x)::UBIGINT)),
+        lambda crc, x: list_reduce(list_prepend(xor(crc, x), [0, 0, 0, 0, 0, 0, 0, 0]::UBIGINT[]),
+            lambda a, _: xor(a >> 1, 3988292384::UBIGINT * (a & 1::UBIGINT)))))"""
+MERKLE_LEAF_SQL = "sha256(" + " || ".join(
+    f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')" for c in ("doc_id", "source", "lang", "n_chars", "{text}")
+) + ")"
+
 ORACLE_SQL: dict[str, str] = {
     "op6_exact_top_k": """
         WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
@@ -222,6 +263,18 @@ ORACLE_SQL: dict[str, str] = {
         SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
             NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM b) AS kept FROM v
     """,
+    "op11_merkle_manifest": f"""
+        WITH d AS (SELECT doc_id, coalesce('s' || source, '') AS source, {MERKLE_LEAF_SQL.format(text="text")} AS leaf,
+                CASE WHEN {CRC32_SQL.format("doc_id::VARCHAR")} % 5 = 0
+                    THEN {MERKLE_LEAF_SQL.format(text="translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} END AS changed
+                FROM documents),
+            a AS (SELECT doc_id, leaf, leaf AS h, coalesce(changed, leaf) AS r, '' AS s, source, 1 AS one,
+                row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM d),
+            {merkle_levels("a", "source", "doc_id, leaf, one", 6)},
+            b AS (SELECT doc_id, leaf, h AS subroot, h, r, s, one, dense_rank() OVER (ORDER BY source) - 1 AS i FROM a_6),
+            {merkle_levels("b", "one", "doc_id, leaf, subroot", 3)}
+        SELECT doc_id, leaf, subroot, h AS root, sha256(s) AS proof_sha256, r AS folded_root, r = h AS verified FROM b_3
+    """,
     "op9_line_windows": "WITH " + LINES_SQL.format(docs="documents") + """
         SELECT doc_id, n_lines, n_removed::BIGINT AS n_removed, sha256(text) AS kept_sha256 FROM kept
     """,
