@@ -2,11 +2,12 @@
 
 All query texts run as one job and one plan, however many they are:
 
-* TF-IDF rows join the query vectors on ``pos`` — only shared words multiply — and
-  the dot products are summed per (query, document).  Query vectors within Spark's
-  broadcast threshold leave TF-IDF in place, and its hash-partitioning by doc_id
-  already satisfies the sums, so scoring shuffles nothing; larger ones make it a
-  shuffle join whose frequent positions adaptive execution splits;
+* ``score_documents`` is the declarative form, for all scores: TF-IDF rows join the query
+  vectors on ``pos`` — only shared words multiply — and the dot products are summed per
+  (query, document).  Query vectors within Spark's broadcast threshold leave TF-IDF in
+  place, and its hash-partitioning by doc_id already satisfies the sums;
+* ``knn_neighbors`` needs the best alone: one narrow pass over packed vectors
+  (``strata.operators.vectors``) sums in arrays, and k rows per query leave a task;
 * top-k per query has two stages: the best rows per hash part, then per query.
 
 Documents that share no word with a query score 0 and can still be neighbours
@@ -27,6 +28,7 @@ from strata.functions.numeric import round_score
 from strata.functions.text import tokenize
 from strata.operators.common import top_n, top_n_per_group
 from strata.operators.text import term_frequency
+from strata.operators.vectors import best_documents, pack_vectors
 from strata.session import Scratch
 
 
@@ -111,9 +113,10 @@ def knn_neighbors(
         # Whole documents drop out, so document norms are unchanged; the semi join
         # keeps TF-IDF's partitioning by doc_id and shrinks the scoring work.
         tfidf = tfidf.join(restrict_to.select("doc_id").distinct(), "doc_id", "left_semi")
-    scored = score_documents(tfidf, qs, metric)
+    if metric not in METRICS:
+        raise ValueError(f"metric must be one of {METRICS}")
+    scored = best_documents(pack_vectors(tfidf.select("doc_id", "pos", "value")), qs.vectors, k, metric == "cosine")
     candidates = tfidf.select("doc_id").distinct()
-    scored = scored.select("query_id", "doc_id", round_score("score").alias("score"))
 
     # Score-0 fill: the 2k smallest candidate ids, for every query that has a vector.
     first_ids = top_n(candidates, 2 * k, [F.col("doc_id").asc()]).agg(
