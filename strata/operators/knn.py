@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.numeric import round_score
 from strata.functions.text import tokenize
-from strata.operators.common import top_n, top_n_per_group
+from strata.operators.common import GROUP_PARTS, top_n, top_n_per_group
 from strata.operators.text import term_frequency
 from strata.operators.vectors import best_documents, pack_vectors
 from strata.session import Scratch
@@ -127,10 +127,16 @@ def knn_neighbors(
         "query_id", F.explode(first_ids.scalar()).alias("doc_id"), F.lit(0.0).alias("score")
     )
 
+    # Dealt by (query, hash part) once, rows of a document meet and are ranked there; a
+    # query's best of all parts meet after that.
     order = [F.col("score").desc(), F.col("doc_id").asc()]
-    head = top_n_per_group(scored.unionByName(zeros), "query_id", 2 * k, order)
-    merged = head.groupBy("query_id", "doc_id").agg(F.max("score").alias("score"))
-    best = top_n_per_group(merged, "query_id", k, order)
+    part = F.pmod(F.xxhash64("doc_id"), F.lit(GROUP_PARTS)).alias("_part")
+    dealt = scored.unionByName(zeros).select("*", part).repartition("query_id", "_part")
+    merged = dealt.groupBy("query_id", "_part", "doc_id").agg(F.max("score").alias("score"))
+    first = Window.partitionBy("query_id", "_part").orderBy(*order)
+    heads = merged.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= k)
+    whole = Window.partitionBy("query_id").orderBy(*order)
+    best = heads.withColumn("rank", F.row_number().over(whole).cast("bigint")).where(F.col("rank") <= k)
     return best.select("query_id", "rank", "doc_id", "score")
 
 

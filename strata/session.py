@@ -7,6 +7,7 @@ and only set (to a fresh temporary folder) when the session has none, as in test
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -34,6 +35,12 @@ def build_session(
     app: str = "strata",
     extra: dict[str, str] | None = None,
 ) -> SparkSession:
+    # Local Python workers find the package whatever the folder a script was started in;
+    # on a cluster ship it (--py-files) or install it.
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    paths = os.environ.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        os.environ["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
     builder = SparkSession.builder.master(master).appName(app)
     conf = dict(LOCAL_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
