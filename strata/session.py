@@ -87,14 +87,43 @@ def persist_reliably(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+class Folder:
+    """A folder on the cluster's shared storage (any file system that Spark reads)."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.path, jvm = path.rstrip("/"), spark._jvm
+        self._at = jvm.org.apache.hadoop.fs.Path
+        self._fs = self._at(self.path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def __truediv__(self, name: str) -> str:
+        return f"{self.path}/{name}"
+
+    def names(self) -> list[str]:
+        """What lies in the folder, in order; nothing if there is none."""
+        if not self._fs.exists(self._at(self.path)):
+            return []
+        return sorted(s.getPath().getName() for s in self._fs.listStatus(self._at(self.path)))
+
+    def publish(self, draft: str, name: str) -> bool:
+        """Give a finished draft its name, in one step.  False if the name is taken (the
+        draft then goes)."""
+        if self._fs.exists(self._at(self / name)) or not self._fs.rename(self._at(self / draft), self._at(self / name)):
+            self._fs.delete(self._at(self / draft), True)
+            return False
+        return True
+
+    def delete(self, name: str | None = None) -> None:
+        self._fs.delete(self._at(self / name if name else self.path), True)
+
+
 class Scratch:
-    """Tables that one piece of work writes under the shared checkpoint folder.
+    """Tables and files that one piece of work writes under the shared checkpoint folder.
 
     Unlike a cache they survive lost executors without recomputation, and the lineage
     is cut.  ``release`` drops them with their files."""
 
     def __init__(self, spark: SparkSession):
-        self.spark, self.names = spark, []
+        self.spark, self.names, self.folders = spark, [], []
         folder = f"{checkpoint_dir(spark).rstrip('/')}/tables"
         self.database = f"strata_{uuid.uuid5(uuid.NAMESPACE_URL, folder).hex[:12]}"
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database} LOCATION '{folder}'")
@@ -120,6 +149,13 @@ class Scratch:
         self.names.append(name)
         return self.spark.table(name)
 
+    def folder(self, name: str) -> Folder:
+        """A new folder beside the tables, for files."""
+        self.folders.append(Folder(self.spark, f"{checkpoint_dir(self.spark).rstrip('/')}/files/{name}-{uuid.uuid4().hex[:12]}"))
+        return self.folders[-1]
+
     def release(self) -> None:
+        while self.folders:
+            self.folders.pop().delete()
         while self.names:
             self.spark.sql(f"DROP TABLE IF EXISTS {self.names.pop()} PURGE")

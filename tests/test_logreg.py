@@ -1,9 +1,11 @@
 """Logistic regression: numpy check of one step, stop rule, scoring and metrics."""
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from strata.operators import logreg
+from strata.session import Scratch
 
 N_FEATURES = 4
 
@@ -163,3 +165,80 @@ def test_batches_are_the_samples_of_their_iterations(spark):
     for i in range(5):
         mine = {r.doc_id for r in rows.where(F.col("iteration") == i).collect()}
         assert mine == {r.doc_id for r in logreg.sample_documents(docs, 0.2, 1 + i).collect()} and 30 < len(mine) < 90
+
+
+def test_a_stopped_fit_goes_on_where_it_was(spark, tmp_path, monkeypatch):
+    dense, labels = _data(5, 30)
+    ex = examples(spark, dense, labels)
+    options = dict(max_iteration=5, batch_size=12, tolerance=0.0, init="normal")
+    whole = logreg.fit_logreg(ex, N_FEATURES, **options)
+    path, step, calls = str(tmp_path / "fit"), logreg.logreg_step, []
+
+    def failing(*args):
+        calls.append(1)
+        if len(calls) == 3:
+            raise RuntimeError("driver lost")
+        return step(*args)
+
+    monkeypatch.setattr(logreg, "logreg_step", failing)
+    with pytest.raises(RuntimeError):
+        logreg.fit_logreg(ex, N_FEATURES, state=path, **options)
+    # Resumed without the examples: the stored ones are used, two steps are not redone.
+    resumed = logreg.fit_logreg(ex.limit(0), N_FEATURES, state=path, **options)
+    assert len(calls) == 3 + 3
+    assert np.allclose(resumed.weight_vector, whole.weight_vector, atol=1e-12)
+    assert np.allclose([tuple(r) for r in resumed.history.collect()], [tuple(r) for r in whole.history.collect()], atol=1e-12)
+    # A finished fit is only read; other settings are refused.
+    again = logreg.fit_logreg(ex, N_FEATURES, state=path, **options)
+    assert len(calls) == 6 and np.array_equal(again.weight_vector, resumed.weight_vector)
+    with pytest.raises(ValueError):
+        logreg.fit_logreg(ex, N_FEATURES, state=path, **(options | {"learning_rate": 0.1}))
+
+
+def test_an_early_stop_is_kept(spark, tmp_path):
+    dense, labels = _data(6, 12)
+    ex, path = examples(spark, dense, labels), str(tmp_path / "fit")
+    options = dict(max_iteration=6, batch_size=None, tolerance=1e9, init="zeros")
+    fits = [logreg.fit_logreg(ex, N_FEATURES, state=path, **options) for _ in range(2)]
+    assert [f.history.count() for f in fits] == [0, 0]
+    assert np.array_equal(fits[0].weight_vector, fits[1].weight_vector)
+
+
+def test_a_draft_of_a_lost_driver_is_not_read(spark, tmp_path):
+    dense, labels = _data(7, 12)
+    ex, path = examples(spark, dense, labels), tmp_path / "fit"
+    options = dict(max_iteration=2, batch_size=None, tolerance=0.0, init="zeros")
+    whole = logreg.fit_logreg(ex, N_FEATURES, **options)
+    (path / "_draft-lost").mkdir(parents=True)
+    (path / "_draft-lost" / "part-0.parquet").write_bytes(b"PAR1 broken")
+    fit = logreg.fit_logreg(ex, N_FEATURES, state=str(path), **options)
+    assert np.allclose(fit.weight_vector, whole.weight_vector, atol=1e-12)
+
+
+@pytest.mark.parametrize("width", [1, 3, 40])
+def test_the_tree_adds_up_to_the_plain_sums(spark, monkeypatch, width):
+    monkeypatch.setattr(logreg, "branches", lambda _: width)
+    dense, labels = _data(8, 60)
+    packed = logreg.pack_examples(examples(spark, dense, labels)).repartition(7)
+    w = np.linspace(-1, 1, N_FEATURES + 1)
+    x = np.c_[dense, np.ones(len(dense))]
+    sigma = 1 / (1 + np.exp(-(x @ w)))
+    step = logreg.logreg_step(packed, w, N_FEATURES)
+    assert step.n == 60 and np.allclose(step.gradient, x.T @ (sigma - labels))
+    assert logreg.logreg_step(packed.limit(0), w, N_FEATURES).n == 0
+    rows = logreg.gradient_sums(packed, w, N_FEATURES).collect()
+    assert {r.pos for r in rows} == {*np.flatnonzero(x.any(axis=0)).tolist()}
+    # One array per task, then one per branch: rows, not positions, are shuffled.
+    partials = logreg.partial_sums(packed, w, N_FEATURES, width).collect()
+    assert len(partials) <= 7 and all(len(r.grad) == N_FEATURES + 1 for r in partials)
+
+
+def test_scoring_packed_documents_shuffles_nothing(spark):
+    dense, labels = _data(9, 20)
+    scratch = Scratch(spark)
+    packed = scratch.table(logreg.pack_examples(examples(spark, dense, labels)))
+    w = np.linspace(-1, 1, N_FEATURES + 1)
+    scored = logreg.score_packed(packed, w, N_FEATURES)
+    assert "Exchange" not in scored._jdf.queryExecution().executedPlan().toString()
+    got = {r.doc_id: r.score for r in scored.collect()}
+    assert np.allclose([got[f"d{i}"] for i in range(20)], np.c_[dense, np.ones(20)] @ w)
