@@ -9,12 +9,15 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.text import tokenize
 from strata.operators.common import number_rows, top_n
-from strata.session import Scratch
+from strata.session import Scratch, persist_reliably
 
 # Fixed values of the reference: vocabulary sizes of the corpus and the classifier.
 CORPUS_VOCABULARY = 20000
@@ -55,6 +58,61 @@ def build_vocabulary(counts: DataFrame, k: int = CORPUS_VOCABULARY) -> DataFrame
     return number_rows(top_n(head, k, _by_frequency()), _by_frequency(), "pos")
 
 
+def frequent_words(docs: DataFrame, capacity: int, text_col: str = "text") -> DataFrame:
+    """(word, least, error): a summary of each task's words, at most ``capacity`` each.
+
+    A task counts its words; whenever more than ``capacity`` are held, the count of the next one after
+    those is taken off all, and words at 0 go (``error`` adds up what was taken off).
+    So count - error <= least <= count for every word of the task, with least = 0 for one it doesn't hold."""
+
+    def summarise(batches):
+        held, error = pa.table({"word": pa.array([], pa.string()), "n": pa.array([], pa.int64())}), 0
+        for batch in batches:
+            found = pc.value_counts(batch.column(0).flatten())
+            new = pa.table({"word": found.field(0), "n": found.field(1)})
+            held = pa.concat_tables([held, new]).group_by("word").aggregate([("n", "sum")]).rename_columns(["word", "n"])
+            if held.num_rows > capacity:
+                counts = held.column("n").to_numpy()
+                off = int(np.partition(counts, -(capacity + 1))[-(capacity + 1)])
+                held = held.set_column(1, "n", pa.array(counts - off)).filter(pa.array(counts > off))
+                error += off
+        out = held.append_column("error", pa.array(np.full(held.num_rows, error)))
+        # One row without a word tells the task's error, also where no word is left.
+        out = pa.concat_tables([out.rename_columns(["word", "least", "error"]), pa.table({"word": pa.array([None], pa.string()), "least": pa.array([0]), "error": pa.array([error])})])
+        yield from out.to_batches()
+
+    words = docs.select(tokenize(text_col).alias("words"))
+    return words.mapInArrow(summarise, "word string, least bigint, error bigint")
+
+
+def vocabulary_in_bounded_memory(docs: DataFrame, k: int = CORPUS_VOCABULARY, capacity: int | None = None) -> DataFrame:
+    """``build_vocabulary`` without shuffling every word of the corpus: (word, count, pos).
+
+    First pass: the tasks' summaries, added up by word.  E, the sum of their errors, bounds what any
+    word lacks: least <= count <= least + E.  If T is the K-th greatest ``least``, every word
+    of the K most frequent has count >= T, hence least + E >= T.  With E < T that is
+    said of summarised words alone, so no word is missing among the candidates, and the
+    second pass counts these exactly.  Otherwise, or with fewer than K words, all words are counted."""
+    scratch = Scratch(docs.sparkSession)
+    try:
+        found = scratch.table(frequent_words(docs, capacity or 4 * k))
+        error = found.where(F.col("word").isNull()).agg(F.coalesce(F.sum("error"), F.lit(0))).first()[0]
+        sums = found.where(F.col("word").isNotNull()).groupBy("word").agg(F.sum("least").alias("least"))
+        head = top_n(sums, k, [F.col("least").desc()]).agg(F.count(F.lit(1)), F.min("least")).first()
+        tokens = doc_tokens(docs.withColumn("doc_id", F.lit(0)))
+        if error and (head[0] < k or error >= head[1]):
+            counts = word_counts(tokens)
+        elif not error:  # nothing was ever taken off: the sums are the counts
+            counts = sums.withColumnRenamed("least", "count")
+        else:
+            candidates = scratch.table(sums.where(F.col("least") + F.lit(error) >= F.lit(head[1])).select("word"))
+            counts = word_counts(tokens.join(candidates, "word", "left_semi"))
+        vocabulary = build_vocabulary(counts, k)
+        return persist_reliably(vocabulary)  # K rows
+    finally:
+        scratch.release()
+
+
 def vocabulary_tail(vocab: DataFrame, n: int = 20) -> DataFrame:
     """The ``n`` highest positions, falling."""
     return top_n(vocab, n, [F.col("pos").desc()])

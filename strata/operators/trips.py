@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.numeric import round_score, safe_double
 from strata.operators.common import top_n
+from strata.session import persist_reliably
 
 # Fixed values of the cleaning rule (must equal the reference's):
 #   positions: vehicle 0, driver 1, duration 4 (seconds), distance 5, fare 11, total 16
@@ -14,6 +15,7 @@ from strata.operators.common import top_n
 VEHICLE, DRIVER, DURATION, DISTANCE, FARE, TOTAL = 0, 1, 4, 5, 11, 16
 MIN_DURATION = 60.0
 MIN_AMOUNT = 0.10
+_NUMBERS = {"duration": DURATION, "distance": DISTANCE, "fare": FARE, "total": TOTAL}
 
 
 def clean_trips(raw: DataFrame) -> DataFrame:
@@ -40,6 +42,28 @@ def clean_trips(raw: DataFrame) -> DataFrame:
     )
 
 
+def judged_trips(raw: DataFrame) -> DataFrame:
+    """``clean_trips``' columns of every row, and the first rule it breaks (``reason``, null
+    for trips that are kept): a second output of the same scan."""
+    typed = raw.select(
+        F.col(f"c{VEHICLE}").alias("vehicle"),
+        F.col(f"c{DRIVER}").alias("driver"),
+        *(safe_double(f"c{at}").alias(name) for name, at in _NUMBERS.items()),
+    )
+    reason = F.lit(None).cast("string")
+    for name in reversed(_NUMBERS):
+        least = MIN_DURATION if name == "duration" else MIN_AMOUNT
+        reason = F.when(F.coalesce(F.col(name) <= least, F.lit(False)), f"{name} too small").otherwise(reason)
+    for name in reversed(_NUMBERS):
+        reason = F.when(F.col(name).isNull(), f"{name} is no number").otherwise(reason)
+    return typed.withColumn("reason", reason)
+
+
+def reason_counts(judged: DataFrame, kept: str = "kept") -> DataFrame:
+    """(reason, rows): how many rows each rule turned away, and how many stayed."""
+    return judged.groupBy(F.coalesce("reason", F.lit(kept)).alias("reason")).agg(F.count(F.lit(1)).alias("rows"))
+
+
 def distinct_pairs(trips: DataFrame, key: str = "vehicle", value: str = "driver") -> DataFrame:
     return trips.select(key, value).distinct()
 
@@ -61,6 +85,33 @@ def distinct_per_key(
     )
 
 
+def numbered_values(trips: DataFrame, value: str) -> DataFrame:
+    """(value, number): the distinct values, null too, numbered densely from 0 in their order.
+    One sort by range and a count per part: no task sees more than its part."""
+    rows = trips.select(value).distinct().repartitionByRange(F.col(value).asc_nulls_first())
+    at = F.monotonically_increasing_id()
+    rows = persist_reliably(rows.sortWithinPartitions(F.col(value).asc_nulls_first()).select(value, at.alias("at")))
+    part = F.shiftrightunsigned("at", 33)
+    sizes = rows.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("size"))  # a row per part
+    before = F.sum("size").over(Window.orderBy("part")) - F.col("size")
+    starts = sizes.select("part", before.alias("before"))
+    numbered = rows.withColumn("part", part).join(starts, "part")
+    return numbered.select(value, (F.col("before") + F.col("at").bitwiseAND(F.lit((1 << 33) - 1))).alias("number"))
+
+
+def distinct_per_key_bitmaps(
+    trips: DataFrame, key: str = "vehicle", value: str = "driver", name: str = "drivers"
+) -> DataFrame:
+    """``distinct_per_key`` by bitmaps over densely numbered values: a task sends one bitmap per
+    (key, block of numbers) instead of its pairs, whatever their number.  The better
+    plan where keys have many of the values; with few, ``distinct_per_key`` sends less."""
+    numbers = numbered_values(trips, value).withColumnRenamed(value, "_value")
+    rows = trips.select(key, value).join(numbers, F.col(value).eqNullSafe(F.col("_value")))
+    block = F.bitmap_bucket_number("number").alias("block")
+    bits = rows.groupBy(key, block).agg(F.bitmap_construct_agg(F.bitmap_bit_position("number")).alias("bits"))
+    return bits.groupBy(key).agg(F.sum(F.bitmap_count("bits")).alias(name))
+
+
 def trip_rate(trips: DataFrame) -> DataFrame:
     """Earnings per minute of every trip: total / duration × 60."""
     return trips.select(

@@ -13,11 +13,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.numeric import round_score
-from strata.operators import knn, links, logreg, text, trips
+from strata.operators import knn, links, logreg, model, text, trips
 from strata.operators.common import preview
 from strata.session import Scratch
 from strata.sources import driver_tables as views
-from strata.sources.readers import corpus_size, parse_doc_lines
+from strata.sources.readers import (
+    corpus_size,
+    judged_category_links,
+    judged_doc_lines,
+    parse_doc_lines,
+    read_category_links,
+    read_doc_lines,
+    read_lines,
+    read_trips,
+)
+from strata.sources.sinks import write_result
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -398,6 +408,89 @@ def q_top_weighted_words(spark: SparkSession, sf: str) -> DataFrame:
     return top.select("pos", "word", _r("weight"))
 
 
+def q_logreg_score_loaded(spark: SparkSession, sf: str) -> DataFrame:
+    """The test documents scored under a classifier that was saved and loaded again."""
+    path = _scratch(spark).folder("model").path
+    vocab = _classifier_vocab(spark, sf)
+    settings = {"n_features": CLASSIFIER_K, "steps": FULLBATCH_STEPS}
+    model.save_model(path, settings, vocab, _fullbatch(spark, sf).weights)
+    docs = views.labelled_view(spark, sf, "test")
+    scored = model.score_texts(model.load_model(spark, path), docs, docs)
+    return scored.select("doc_id", "label", _r("score"), "prediction")
+
+
+# ------------------------------------------------- files in and out, rows turned away
+
+
+def _written(spark: SparkSession, df: DataFrame, name: str, fmt: str, single_file: bool = False) -> str:
+    """``df`` as files of its own folder; their path."""
+    folder = _scratch(spark).folder(name)
+    write_result(df, folder.path, fmt, single_file)
+    return folder.path
+
+
+def q_trips_from_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """Clean trips read from a headerless CSV file."""
+    folder = _scratch(spark).folder("trips")
+    views.trips_view(spark, sf).write.csv(folder.path)
+    return trips.clean_trips(read_trips(spark, folder.path))
+
+
+def q_corpus_size_from_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines of a text file, valid or not."""
+    return corpus_size(read_lines(spark, _written(spark, views.doc_lines_view(spark, sf).select("value"), "lines", "text")))
+
+
+def q_doc_lines_from_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents read from a text file of document lines."""
+    return read_doc_lines(spark, _written(spark, views.doc_lines_view(spark, sf).select("value"), "pages", "text"))
+
+
+def q_links_from_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Category links read from a text file."""
+    return read_category_links(spark, _written(spark, views.link_lines_view(spark, sf).select("value"), "links", "text"))
+
+
+def q_result_single_file(spark: SparkSession, sf: str) -> DataFrame:
+    """The top vehicles written to a single CSV file with a header, and read back."""
+    path = _written(spark, q_top_vehicles(spark, sf), "top", "csv", single_file=True)
+    rows = spark.read.schema("vehicle string, drivers bigint").option("header", "true").csv(path)
+    return rows.withColumn("files", F.lit(len(rows.inputFiles())))
+
+
+def q_result_many_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents per category written in parallel as JSON text lines, and read back."""
+    path = _written(spark, q_docs_per_category(spark, sf), "categories", "text")
+    parsed = F.from_json("value", "category string, count bigint")
+    return read_lines(spark, path).select(parsed.alias("row")).select("row.category", "row.count")
+
+
+def q_rejected_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """(input, reason, rows): what every reader keeps and turns away, by the first rule broken."""
+    judged = {
+        "trips": trips.judged_trips(views.trips_view(spark, sf)),
+        "doc_lines": judged_doc_lines(views.doc_lines_view(spark, sf)),
+        "links": judged_category_links(views.link_lines_view(spark, sf)),
+    }
+    counted = [trips.reason_counts(df).select(F.lit(name).alias("input"), "reason", "rows") for name, df in judged.items()]
+    return counted[0].unionByName(counted[1]).unionByName(counted[2])
+
+
+# ------------------------------------------------------------- other plans, same results
+
+
+def q_drivers_per_vehicle_bitmaps(spark: SparkSession, sf: str) -> DataFrame:
+    return trips.distinct_per_key_bitmaps(q_clean_trips(spark, sf))
+
+
+def q_median_exact(spark: SparkSession, sf: str) -> DataFrame:
+    return links.exact_median(q_categories_per_doc(spark, sf))
+
+
+def q_vocabulary_bounded(spark: SparkSession, sf: str) -> DataFrame:
+    return text.vocabulary_in_bounded_memory(views.corpus_view(spark, sf), CORPUS_K)
+
+
 QUERIES: dict[str, Query] = {
     "clean_trips": q_clean_trips,
     "distinct_pairs": q_distinct_pairs,
@@ -450,4 +543,15 @@ QUERIES: dict[str, Query] = {
     "confusion_matrix": q_confusion_matrix,
     "classification_metrics": q_classification_metrics,
     "top_weighted_words": q_top_weighted_words,
+    "logreg_score_loaded": q_logreg_score_loaded,
+    "trips_from_csv": q_trips_from_csv,
+    "corpus_size_from_text": q_corpus_size_from_text,
+    "doc_lines_from_text": q_doc_lines_from_text,
+    "links_from_text": q_links_from_text,
+    "result_single_file": q_result_single_file,
+    "result_many_files": q_result_many_files,
+    "rejected_rows": q_rejected_rows,
+    "drivers_per_vehicle_bitmaps": q_drivers_per_vehicle_bitmaps,
+    "median_exact": q_median_exact,
+    "vocabulary_bounded": q_vocabulary_bounded,
 }

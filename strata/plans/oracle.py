@@ -71,6 +71,30 @@ doc_lines AS (
          || html || '</doc>' value
   from pages)"""
 
+# Text lines as a line reader sees them: a page with line breaks is several.
+FILE_LINES = """
+file_lines AS (select unnest(string_split(coalesce(value, ''), chr(10))) value from doc_lines)"""
+PARSED_LINES = """select substring(value, strpos(value, 'id="') + 4,
+                         greatest(strpos(value, '" url=') - strpos(value, 'id="') - 4, 0)) doc_id,
+               substring(value, strpos(value, '">') + 2,
+                         greatest(length(value) - strpos(value, '">') - 1 - 6, 0)) text
+        from {source}
+        where strpos(value, 'id="') > 0 and strpos(value, '" url=') > 0 and strpos(value, '">') > 0"""
+REJECTED = """
+judged AS (
+  select 'trips' input,
+         case when duration is null then 'duration is no number' when distance is null then 'distance is no number'
+              when fare is null then 'fare is no number' when total is null then 'total is no number'
+              when duration <= 60 then 'duration too small' when distance <= 0.10 then 'distance too small'
+              when fare <= 0.10 then 'fare too small' when total <= 0.10 then 'total too small' else 'kept' end reason
+  from typed
+  union all
+  select 'doc_lines', case when strpos(coalesce(value, ''), 'id="') = 0 then 'no id marker'
+                           when strpos(value, '" url=') = 0 then 'no url marker'
+                           when strpos(value, '">') = 0 then 'no body marker' else 'kept' end from doc_lines
+  union all
+  select 'links', case when category is null then 'no category' else 'kept' end from links)"""
+
 CORPUS = f"""
 corpus AS (select cast(doc_id as varchar) doc_id, text from documents),
 tokens AS ({_tokens('corpus', 'doc_id')}),
@@ -242,12 +266,7 @@ def _sql() -> dict[str, str]:
         + f"select driver, round(rate, {RR}) rate from rates "
         f"order by round(rate, {RR}) desc, driver asc nulls first {cut(C.TOP_N)}",
         "doc_lines_parsed": _with(DOC_LINES)
-        + """select substring(value, strpos(value, 'id="') + 4,
-                         greatest(strpos(value, '" url=') - strpos(value, 'id="') - 4, 0)) doc_id,
-               substring(value, strpos(value, '">') + 2,
-                         greatest(length(value) - strpos(value, '">') - 1 - 6, 0)) text
-        from doc_lines
-        where strpos(value, 'id="') > 0 and strpos(value, '" url=') > 0 and strpos(value, '">') > 0""",
+        + PARSED_LINES.format(source="doc_lines"),
         "corpus_size": _with(DOC_LINES) + "select count(*) n from doc_lines",
         "category_links": _with(LINKS) + "select doc_id, category from links",
         "categories_per_doc": _with(LINKS, CPD) + "select doc_id, count from cpd",
@@ -347,6 +366,19 @@ def _sql() -> dict[str, str]:
         + f"""select w.pos, v.word, round(w.weight, {R}) weight
         from {W_FINAL} w join cvocab v using (pos) where w.pos <> {CK}
         order by w.weight desc, w.pos {cut(C.TOP_WORDS_N)}""",
+        "logreg_score_loaded": test + f"select doc_id, label, round(score, {R}) score, prediction from predicted",
+        "trips_from_csv": trips + "select vehicle, driver, duration, distance, fare, total from clean",
+        "corpus_size_from_text": _with(DOC_LINES, FILE_LINES) + "select count(*) n from file_lines",
+        "doc_lines_from_text": _with(DOC_LINES, FILE_LINES) + PARSED_LINES.format(source="file_lines"),
+        "links_from_text": _with(LINKS) + "select doc_id, category from links where category is not null",
+        "result_single_file": pairs
+        + f"select vehicle, drivers, 1 files from per_vehicle order by drivers desc, vehicle asc nulls first {cut(C.TOP_N)}",
+        "result_many_files": _with(LINKS, DPC) + "select category, count from dpc",
+        "rejected_rows": _with(TRIPS, CLEAN, DOC_LINES, LINKS, REJECTED)
+        + "select input, reason, count(*) rows from judged group by input, reason",
+        "drivers_per_vehicle_bitmaps": pairs + "select vehicle, drivers from per_vehicle",
+        "median_exact": _with(LINKS, CPD) + "select cast(quantile_disc(count, 0.5) as bigint) median from cpd",
+        "vocabulary_bounded": corpus + "select word, count, pos from vocab",
     }
 
 

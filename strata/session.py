@@ -104,13 +104,17 @@ class Folder:
             return []
         return sorted(s.getPath().getName() for s in self._fs.listStatus(self._at(self.path)))
 
-    def publish(self, draft: str, name: str) -> bool:
+    def publish(self, draft: str, name: str, keep: bool = False) -> bool:
         """Give a finished draft its name, in one step.  False if the name is taken (the
-        draft then goes)."""
-        if self._fs.exists(self._at(self / name)) or not self._fs.rename(self._at(self / draft), self._at(self / name)):
+        draft then goes, unless it is to be kept)."""
+        if not self._fs.exists(self._at(self / name)):
+            if self._fs.rename(self._at(self / draft), self._at(self / name)):
+                return True
+            if not self._fs.exists(self._at(self / draft)):
+                raise OSError(f"{self / draft} is gone")
+        if not keep:
             self._fs.delete(self._at(self / draft), True)
-            return False
-        return True
+        return False
 
     def delete(self, name: str | None = None) -> None:
         self._fs.delete(self._at(self / name if name else self.path), True)

@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions.text import (
+    BODY_MARKER,
+    ID_MARKER,
+    URL_MARKER,
     doc_line_id,
     doc_line_text,
     is_doc_line,
@@ -41,6 +44,16 @@ def parse_doc_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     )
 
 
+def judged_doc_lines(lines: DataFrame, column: str = "value") -> DataFrame:
+    """(doc_id, text, reason) of every line; ``reason`` names the first marker it lacks, null for a
+    document line."""
+    line = F.col(column)
+    reason = F.lit(None).cast("string")
+    for name, marker in reversed([("id", ID_MARKER), ("url", URL_MARKER), ("body", BODY_MARKER)]):
+        reason = F.when(F.coalesce(F.locate(marker, line), F.lit(0)) == 0, f"no {name} marker").otherwise(reason)
+    return lines.select(doc_line_id(line).alias("doc_id"), doc_line_text(line).alias("text"), reason.alias("reason"))
+
+
 def read_doc_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return parse_doc_lines(read_lines(spark, path))
 
@@ -57,6 +70,13 @@ def parse_category_links(lines: DataFrame, column: str = "value") -> DataFrame:
     ).where(F.col("category").isNotNull())
 
 
+def judged_category_links(lines: DataFrame, column: str = "value") -> DataFrame:
+    """(doc_id, category, reason) of every line; ``reason`` is null for a link."""
+    line = F.col(column)
+    found = lines.select(link_doc_id(line).alias("doc_id"), link_category(line).alias("category"))
+    return found.withColumn("reason", F.when(F.col("category").isNull(), "no category"))
+
+
 def read_category_links(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return parse_category_links(read_lines(spark, path))
 

@@ -1,0 +1,132 @@
+"""Second plans for the same results: bitmaps, exact median, vocabulary in bounded memory, rejected rows."""
+
+import random
+from collections import Counter, defaultdict
+
+import pytest
+
+from strata.operators import links, text, trips, vectors
+from strata.sources.readers import judged_category_links, judged_doc_lines, parse_category_links, parse_doc_lines
+
+
+def test_bitmaps_count_distinct_values_with_nulls(spark):
+    rnd = random.Random(1)
+    rows = [(rnd.choice(["a", "b", None]), rnd.choice([None, *(f"d{i}" for i in range(500))])) for _ in range(3000)]
+    want = defaultdict(set)
+    for key, value in rows:
+        want[key].add(value)
+    df = spark.createDataFrame(rows, "vehicle string, driver string").repartition(5)
+    got = trips.distinct_per_key_bitmaps(df)
+    assert {r.vehicle: r.drivers for r in got.collect()} == {k: len(v) for k, v in want.items()}
+    numbers = trips.numbered_values(df, "driver").collect()
+    assert sorted(r.number for r in numbers) == list(range(len({v for _, v in rows})))
+    assert trips.distinct_per_key_bitmaps(df.limit(0)).collect() == []
+
+
+def test_bitmaps_over_several_blocks(spark):
+    df = spark.range(70_000).selectExpr("'v' AS vehicle", "cast(id AS string) AS driver")
+    assert trips.distinct_per_key_bitmaps(df).first().drivers == 70_000
+
+
+@pytest.mark.parametrize("bins", [2, 3, 1024])
+def test_exact_median_is_the_lower_middle(spark, bins):
+    rnd = random.Random(2)
+    for values in ([5], [1, 2], [-4, 10**12, 3], [7] * 50 + [9] * 50, [rnd.randrange(-1000, 10**6) for _ in range(501)]):
+        df = spark.createDataFrame([(v,) for v in [*values, None]], "count bigint")
+        assert links.exact_median(df, bins=bins).first().median == sorted(values)[(len(values) - 1) // 2]
+    assert links.exact_median(spark.createDataFrame([], "count bigint")).first().median is None
+
+
+def test_exact_median_of_a_million_counts(spark):
+    df = spark.range(1_000_001).selectExpr("(id * 7919) % 1000003 + 1 AS count")
+    values = sorted((i * 7919) % 1000003 + 1 for i in range(1_000_001))
+    assert links.exact_median(df).first().median == values[500_000]
+
+
+def _texts(seed, n=300):
+    rnd = random.Random(seed)
+    names = ["".join(rnd.choice("abcdefgh") for _ in range(4)) for _ in range(400)]
+    weights = [1 / (1 + i) for i in range(400)]
+    return [(str(i), " ".join(rnd.choices(names, weights, k=40))) for i in range(n)]
+
+
+@pytest.mark.parametrize("capacity", [5, 60, 200, 10_000])  # full count, candidates, candidates, no error
+def test_vocabulary_in_bounded_memory_is_the_vocabulary(spark, capacity):
+    docs = spark.createDataFrame(_texts(3), "doc_id string, text string").repartition(6)
+    want = text.build_vocabulary(text.word_counts(text.doc_tokens(docs)), 25).collect()
+    assert sorted(text.vocabulary_in_bounded_memory(docs, 25, capacity).collect()) == sorted(want)
+
+
+def test_summaries_bound_every_count(spark):
+    rows = _texts(4)
+    exact = Counter(w for _, t in rows for w in t.split())
+    docs = spark.createDataFrame(rows, "doc_id string, text string").repartition(3)
+    found = text.frequent_words(docs, 50).collect()
+    error = sum(r.error for r in found if r.word is None)
+    least = Counter()
+    for r in found:
+        if r.word is not None:
+            least[r.word] += r.least
+    assert error and all(least[w] <= n <= least[w] + error for w, n in exact.items())
+    assert max(Counter(r.error for r in found if r.word is not None).values()) <= 3 * 50
+
+
+def test_vocabulary_in_bounded_memory_of_few_or_no_words(spark):
+    docs = spark.createDataFrame([("1", "a b a"), ("2", None), ("3", "")], "doc_id string, text string")
+    assert sorted(tuple(r) for r in text.vocabulary_in_bounded_memory(docs, 10, 1).collect()) == [("a", 2, 0), ("b", 1, 1)]
+    assert text.vocabulary_in_bounded_memory(docs.limit(0), 10).collect() == []
+
+
+def test_kept_and_rejected_rows_are_all_rows(spark):
+    fields = lambda **k: tuple(k.get(f"c{i}", "") for i in range(17))
+    good = dict(c4="100", c5="1", c11="5", c16="6")
+    rows = [fields(**good), fields(**good | {"c4": "60"}), fields(**good | {"c5": "x"}), fields(**good | {"c11": "nan"}), fields(**good | {"c16": "0.1", "c5": "0"})]
+    raw = spark.createDataFrame(rows, ", ".join(f"c{i} string" for i in range(17)))
+    judged = trips.judged_trips(raw)
+    assert judged.where("reason IS NULL").drop("reason").collect() == trips.clean_trips(raw).collect()
+    assert {r.reason: r.rows for r in trips.reason_counts(judged).collect()} == {
+        "kept": 1, "duration too small": 1, "distance is no number": 1, "fare is no number": 1, "distance too small": 1,
+    }
+    lines = spark.createDataFrame([('<doc id="1" url="u">text</doc>',), ("id only",), ('id="1" x',), ('id="1" url=',), (None,), ("",)], "value string")
+    judged = judged_doc_lines(lines)
+    assert judged.where("reason IS NULL").drop("reason").collect() == parse_doc_lines(lines).collect()
+    assert {r.reason: r.rows for r in trips.reason_counts(judged).collect()} == {"kept": 1, "no id marker": 3, "no url marker": 1, "no body marker": 1}
+    lines = spark.createDataFrame([('"1","A"',), ("alone",), (None,)], "value string")
+    judged = judged_category_links(lines)
+    assert judged.where("reason IS NULL").drop("reason").collect() == parse_category_links(lines).collect()
+    assert judged.where("reason = 'no category'").count() == 2
+
+
+def test_query_blocks_and_small_chunks_change_nothing(spark, monkeypatch):
+    rnd = random.Random(5)
+    rows = [(f"d{i:03}", p, rnd.random()) for i in range(60) for p in rnd.sample(range(40), 8)]
+    rows += [(f"e{i}", p, 1.0) for i in range(5) for p in (1, 2)]  # ties
+    queries = [(f"q{i}", p, rnd.random()) for i in range(9) for p in rnd.sample(range(45), 4)] + [("tie", 1, 1.0), ("zero", 3, 0.0)]
+    packed = vectors.pack_vectors(spark.createDataFrame(rows, "doc_id string, pos bigint, value double"))
+    vecs = spark.createDataFrame(queries, "query_id string, pos bigint, value double")
+
+    def best(cosine):
+        found = defaultdict(list)
+        for r in vectors.best_documents(packed, vecs, 3, cosine).collect():
+            found[r.query_id].append((-round(r.score, 9), r.doc_id))
+        return {q: sorted(some)[:3] for q, some in found.items()}
+
+    for cosine in (True, False):
+        by_force = {}
+        for q in {q for q, _, _ in queries}:
+            qv = {p: v for n, p, v in queries if n == q}
+            scores = []
+            for d in {d for d, _, _ in rows}:
+                dv = {p: v for n, p, v in rows if n == d}
+                s = sum(v * dv.get(p, 0) for p, v in qv.items())
+                if cosine and s:
+                    s /= sum(v * v for v in qv.values()) ** 0.5 * sum(v * v for v in dv.values()) ** 0.5
+                scores.append((-round(s, 9), d))
+            by_force[q] = [x for x in sorted(scores)[:3] if x[0] < 0]
+        want = {q: some for q, some in by_force.items() if some}
+        monkeypatch.setattr(vectors, "QUERY_ENTRIES", 1 << 20)
+        monkeypatch.setattr(vectors, "ROWS", 1 << 20)
+        assert best(cosine) == want
+        monkeypatch.setattr(vectors, "QUERY_ENTRIES", 10)
+        monkeypatch.setattr(vectors, "ROWS", 5)
+        assert best(cosine) == want
