@@ -21,6 +21,8 @@ length: a match may only start where a longer one to its left is impossible.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -146,10 +148,17 @@ def same_row(a: DataFrame, b: DataFrame, how: str) -> DataFrame:
     return a.join(b, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("copy") == F.col("_copy")), how)
 
 
-def shared_terms(docs: DataFrame, base: DataFrame) -> DataFrame:
-    """(doc_id, copy, entity, context, term, n, n_c, n_t): the words outside base spans of
-    the documents that hold an entity, wherever they stand.  Left out are pairs that no
-    n(c,t) <= n(c) could bring to GENERALISE, and entities short of MIN_CONTEXTS."""
+class Shared(NamedTuple):
+    """What the documents that hold a judged entity share with others."""
+
+    held: DataFrame  # (_doc, _copy, entity, context, n, n_c, most), each once
+    terms: DataFrame  # (doc_id, copy, term, n_t), each once
+
+
+def shared_terms(docs: DataFrame, base: DataFrame) -> Shared:
+    """The judged entities of the documents, and the words outside base spans of these documents,
+    wherever they stand: kept apart, so a document costs the sum of both.  Left out are entities
+    short of MIN_CONTEXTS, and terms in more documents than any n(c,t) <= n(c) could bring to GENERALISE."""
     n = docs.agg(F.count(F.lit(1)).alias("n"))
     held = entities(base)
     counted = held.groupBy("entity").agg(F.count_distinct("doc_id", "copy").alias("n_c"), F.count_distinct("context").alias("contexts"))
@@ -159,26 +168,38 @@ def shared_terms(docs: DataFrame, base: DataFrame) -> DataFrame:
     judged = scratch(held.join(counted.withColumn("most", most), "entity").select(*keys, "entity", "context", "n", "n_c", "most"), "judged")
 
     words = F.transform("parts", lambda p: F.transform(F.regexp_extract_all(p["text"], F.lit(TERM), F.lit(0)), F.lower))
-    rows = same_row(base, judged.select("_doc", "_copy").distinct(), "left_semi")
+    rows = same_row(base.dropDuplicates(["doc_id", "copy"]), judged.select("_doc", "_copy").distinct(), "left_semi")
     rows = rows.select("doc_id", "copy", F.explode(F.array_distinct(F.flatten(words))).alias("term"))
     terms = F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))).alias("term")
     n_t = docs.select(terms).groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
     n_t = n_t.where(F.col("n_t") <= judged.agg(F.max("most")).scalar())
-    pairs = same_row(rows.join(n_t, "term"), judged, "inner").where("n_t <= most")
-    return scratch(pairs.select("doc_id", "copy", "entity", "context", "term", "n", "n_c", "n_t"), "pairs")
+    return Shared(judged, scratch(rows.join(n_t, "term").select("doc_id", "copy", "term", "n_t"), "terms"))
 
 
-def disclosing(pairs: DataFrame) -> DataFrame:
+def disclosing(shared: Shared) -> DataFrame:
     """(entity, term, disclosure): pairs of at least GENERALISE, with the share of the
-    entity's information that the term gives away."""
-    rows = pairs.groupBy("entity", "term", "n", "n_c", "n_t").agg(
-        F.count_distinct("doc_id", "copy").alias("n_ct"), F.count_distinct("context").alias("contexts")
-    )
-    rows = rows.where(F.col("contexts") >= MIN_CONTEXTS)
+    entity's information that the term gives away.
+
+    The documents of each pair are counted first, without the contexts; only pairs that
+    disclose enough meet the contexts of their entity."""
+    once = shared.held.select("_doc", "_copy", "entity", "n", "n_c", "most").distinct()
+    both = same_row(shared.terms, once, "inner").where("n_t <= most")
+    rows = both.groupBy("entity", "term", "n", "n_c", "n_t").agg(F.count(F.lit(1)).alias("n_ct"))
     information = F.log2(F.col("n") / F.col("n_c"))
     pmi = F.log2(F.col("n") * F.col("n_ct") / (F.col("n_c") * F.col("n_t")))
     share = F.when(information > 0, pmi / information).otherwise(F.lit(0.0))
-    return rows.select("entity", "term", share.alias("disclosure")).where(F.col("disclosure") >= GENERALISE)
+    told = scratch(rows.select("entity", "term", share.alias("disclosure")).where(F.col("disclosure") >= GENERALISE), "told")
+    contexts = holding(shared, told).select("entity", "term", "disclosure", "context").distinct()
+    counted = contexts.groupBy("entity", "term", "disclosure").agg(F.count(F.lit(1)).alias("contexts"))
+    return counted.where(F.col("contexts") >= MIN_CONTEXTS).drop("contexts")
+
+
+def holding(shared: Shared, pairs: DataFrame) -> DataFrame:
+    """The documents that hold both sides of the given (entity, term, disclosure) pairs,
+    once for each context of the entity."""
+    of_term = shared.terms.join(pairs, "term").withColumnRenamed("entity", "_entity")
+    held = shared.held.select("_doc", "_copy", "entity", "context")
+    return same_row(of_term, held, "inner").where(F.col("entity") == F.col("_entity"))
 
 
 def find(docs: DataFrame) -> DataFrame:
@@ -186,8 +207,8 @@ def find(docs: DataFrame) -> DataFrame:
     ones by kind, then start; ``terms`` those of disclosing terms by start, with their
     disclosure.  Rows equal in doc_id and text come once for each."""
     base = find_base(docs)
-    pairs = shared_terms(docs, base)
-    told = pairs.join(scratch(disclosing(pairs), "disclosing"), ["entity", "term"])
+    shared = shared_terms(docs, base)
+    told = holding(shared, scratch(disclosing(shared), "disclosing"))
     told = told.groupBy("doc_id", "copy", "term").agg(F.max("disclosure").alias("disclosure"))
     told = told.groupBy(F.col("doc_id").alias("_doc"), F.col("copy").alias("_copy")).agg(
         F.map_from_entries(F.collect_list(F.struct("term", "disclosure"))).alias("told")
