@@ -1,4 +1,5 @@
 import math
+from collections import Counter
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -9,29 +10,26 @@ SF = "/root/testdata/sf0.001"
 
 
 def by_force(rows, k):
-    v = {}
-    for i, x in rows:
-        if i is None or not x or any(c is None or not math.isfinite(c) for c in x):
-            continue
-        v[i] = max(v.get(i, []), list(x))
-    v = {i: [math.floor(256 * c) for c in x] for i, x in v.items()}
-    out = set()
-    for q in (i for i in v if i % 50 == 0):
-        scored = sorted((-sum(a * b for a, b in zip(v[q], x)), i) for i, x in v.items() if i != q and len(x) == len(v[q]))
-        out |= {(q, r, i, -s) for r, (s, i) in enumerate(scored[:k], 1)}
+    v = [(i, [math.floor(256 * c) for c in x]) for i, x in rows
+         if i is not None and x and not any(c is None or not math.isfinite(c) for c in x)]
+    out = Counter()
+    for q, mine in v:
+        if q % 50 == 0:
+            scored = sorted((-sum(a * b for a, b in zip(mine, x)), i) for i, x in v if i != q and len(x) == len(mine))
+            out.update((q, r, i, -s) for r, (s, i) in enumerate(scored[:k], 1))
     return out
 
 
 def run(spark, rows, k=5):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, score string, shard int")
     got = topk.top_k(topk.quantised(df), F.col("vec_id") % 50 == 0, k)
-    return {(r.query_id, r["rank"], r.vec_id, r.score) for r in got.collect()}
+    return Counter((r.query_id, r["rank"], r.vec_id, r.score) for r in got.collect())
 
 
 def test_query_equals_brute_force(spark):
     rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{SF}/embeddings.parquet").collect()]
     got = queries.op6_exact_top_k(spark, SF).collect()
-    assert {(r.query_id, r["rank"], r.vec_id, r.score) for r in got} == by_force(rows, 5)
+    assert Counter((r.query_id, r["rank"], r.vec_id, r.score) for r in got) == by_force(rows, 5)
 
 
 def test_ties_hard_rows_and_many_tiles(spark, monkeypatch):
@@ -53,4 +51,11 @@ def test_large_components_stay_exact(spark):
 
 
 def test_empty_table(spark):
-    assert run(spark, []) == set()
+    assert run(spark, []) == Counter()
+
+
+def test_repeated_ids_are_rows_each(spark, monkeypatch):
+    monkeypatch.setattr(topk, "SHARD_ROWS", 5)
+    rows = [(1, [1.0, 0.0], "", 0), (1, [0.5, 0.0], "", 0), (1, [1.0, 0.0], "", 0), (2, [-1.0, 0.0], "", 0)]
+    rows += [(50, [1.0, 1.0], "", 0), (50, [-1.0, 2.0], "", 0), (50, [1.0, 1.0], "", 0)] + [(3, [0.9, 0.1], "", 0)] * 40
+    assert run(spark, rows) == by_force([r[:2] for r in rows], 5)
