@@ -2,6 +2,7 @@ from collections import Counter
 
 import public_tokenizers
 import tiktoken
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from strata.llm import bpe, queries, rollup
@@ -65,3 +66,30 @@ def test_one_row_of_every_text_stays_whatever_its_id(spark, tmp_path):
     got = {k: n for k, (n, _) in totals(queries.op7_token_rollups(spark, str(tmp_path))).items()}
     one, two = "byte_bpe_50k", "byte_bpe_multi_50k"
     assert got == {("s", "en", one): 3, ("t", "en", one): 1, ("s", "de", two): 1, ("s", None, two): 1}
+
+
+def test_a_batch_is_replaced_by_an_empty_one_and_by_another(spark):
+    schema = "source string, lang string, tokenizer string, tokens long, sign int"
+    one = spark.createDataFrame([("a", "en", "t", 5, 1)], schema)
+    other = spark.createDataFrame([("b", None, "t", 7, 1), ("b", None, "t", 1, 1)], schema)
+    ledger = rollup.Ledger(spark)
+    assert ledger.totals().collect() == []
+    ledger.commit("1", one)
+    ledger.commit("x/ y=2", other)
+    assert totals(ledger.totals()) == {("a", "en", "t"): (1, 5), ("b", None, "t"): (2, 8)}
+    ledger.commit("1", one.limit(0))
+    assert totals(ledger.totals()) == {("b", None, "t"): (2, 8)}
+    ledger.commit("1", other)
+    ledger.commit("1", other)
+    assert totals(ledger.totals()) == {("b", None, "t"): (4, 16)}
+    assert totals(ledger.totals(F.col("batch_id") == "1")) == {("b", None, "t"): (2, 8)}
+    assert len(ledger.last()) == 2
+
+
+def test_a_draft_of_a_lost_driver_counts_nothing(spark, tmp_path):
+    schema = "source string, lang string, tokenizer string, tokens long, sign int"
+    (tmp_path / "_draft-lost").mkdir()
+    (tmp_path / "_draft-lost" / "part-0.parquet").write_bytes(b"broken")
+    ledger = rollup.Ledger(spark, str(tmp_path))
+    ledger.commit("1", spark.createDataFrame([("a", "en", "t", 5, 1)], schema))
+    assert totals(ledger.totals()) == {("a", "en", "t"): (1, 5)}
