@@ -16,7 +16,8 @@ as zstandard leaves a short window uncompressed where a single match gains littl
 
 Fitting takes at most DICTIONARY_DOCUMENTS labelled documents of each class for the
 dictionaries and CALIBRATION_DOCUMENTS of each for the curve (the first by a hash of
-their id); documents of the held-out quarter (crc32 of the id as text mod 4 is 2)
+their id, one row of each id), of documents beyond FIT_CHARS characters FIT_WINDOWS spread windows of that
+length in all; documents of the held-out quarter (crc32 of the id as text mod 4 is 2)
 are never used.  Scoring reads every text whole, in one narrow map.
 
 Null and empty texts are one empty window.  Labels that are null or of unknown
@@ -40,6 +41,7 @@ from strata.llm.bpe import slices
 from strata.llm.common import ids_and_texts
 
 DICTIONARY_DOCUMENTS = 2_500
+FIT_CHARS, FIT_WINDOWS = 40_000, 20  # of a longer document, so many windows spread over it are learnt from
 CALIBRATION_DOCUMENTS = 2_500
 CUTOFF = 0.3
 WINDOW, STEP = 48, 32  # bytes
@@ -189,6 +191,16 @@ def document_features(docs: DataFrame, scorer: Scorer, keep: list[str]) -> DataF
     return docs.select(*keep, "text").mapInArrow(compute, f"{fields}, features array<double>")
 
 
+def learnt_from(text: Column) -> Column:
+    """A text for fitting: whole, or windows spread evenly over a very long one."""
+    size = FIT_CHARS // FIT_WINDOWS
+    step = (F.char_length(text) - size) / F.lit(FIT_WINDOWS - 1)
+    windows = F.transform(
+        F.sequence(F.lit(0), F.lit(FIT_WINDOWS - 1)), lambda i: F.substring(text, F.floor(i * step).cast("int") + 1, F.lit(size))
+    )
+    return F.when(F.char_length(text) <= FIT_CHARS, text).otherwise(F.array_join(windows, " "))
+
+
 def fit(docs: DataFrame, labels: DataFrame) -> Scorer:
     """Train and calibrate on the labelled documents outside the held-out quarter."""
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
@@ -198,7 +210,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Scorer:
 
     def sample(rows: DataFrame, n: int) -> DataFrame:  # <= 2 n rows
         first = lambda value: rows.where(F.col("toxic") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
-        return texts.join(F.broadcast(first(1).unionByName(first(0))), "doc_id")
+        found = texts.join(F.broadcast(first(1).unionByName(first(0))), "doc_id")
+        return found.groupBy("doc_id", "toxic").agg(F.min(learnt_from(F.col("text"))).alias("text"))
 
     rows = sample(known.where(~fold), DICTIONARY_DOCUMENTS).select("toxic", "text").distinct().collect()
     toxic, ordinary = (sorted(r["text"] for r in rows if r["toxic"] == value) for value in (1, 0))
