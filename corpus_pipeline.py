@@ -42,8 +42,9 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     classes = omh.near_duplicates(docs)
     kept = docs.join(classes.where("doc_id <> class_id").select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
     digest = F.sha2(F.coalesce(F.col("text"), F.lit("")), 256)
-    once = kept.where("doc_id IS NOT NULL").withColumn("_digest", digest).dropDuplicates(["doc_id", "_digest"])
-    return kept.where("doc_id IS NULL").unionByName(once.drop("_digest"))
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")  # no column meets those added here
+    once = kept.where("doc_id IS NOT NULL").select(row, "doc_id", digest.alias("digest")).dropDuplicates(["doc_id", "digest"])
+    return kept.where("doc_id IS NULL").unionByName(once.select("row.*"))
 
 
 def sanitise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
