@@ -44,7 +44,7 @@ SIMILARITY = 0.8
 SKETCHES, LENGTH = 24, 6
 SAMPLE, LEAST_COMMON = 256, 172  # see ``may_be_similar``
 SHORT, LONG = 15, 8  # single-shingle keys up to SHORT shingles, ordered ones from LONG on
-MEMO_WORDS = 300_000
+MEMO_WORDS = 100_000
 
 _RNG = np.random.default_rng(20)
 _FACTORS = _RNG.integers(1, 2**63, SKETCHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)

@@ -242,15 +242,13 @@ def score_documents(docs: DataFrame, scorer: Scorer) -> DataFrame:
 def reject(docs: DataFrame, scorer: Scorer, cutoff: float = CUTOFF) -> DataFrame:
     """``docs`` without the rows whose text scores ``cutoff`` or more, in one map."""
 
+    at = docs.columns.index("text")
+
     def keep(batches):
         toxic, ordinary = scorer.compressors()
         for part in slices(batches):
-            texts = part.column(part.num_columns - 1).to_pylist()
+            texts = (t or "" for t in part.column(at).to_pylist())
             found = scorer.score(np.array([features_of(t, toxic, ordinary) for t in texts]))
-            rest = part.select(range(part.num_columns - 1))
-            yield rest.filter(pa.array(found < cutoff))
+            yield part.filter(pa.array(found < cutoff))
 
-    if not scorer.weights:
-        return docs
-    read = docs.select("*", F.coalesce(F.col("text"), F.lit("")).alias("_text"))
-    return read.mapInArrow(keep, docs.schema)
+    return docs.mapInArrow(keep, docs.schema) if scorer.weights else docs
