@@ -50,6 +50,7 @@ COMMON_BYTES = 8192  # of the ordinary part that both dictionaries hold
 TOXIC_BYTES = 4096  # at most of the toxic part
 ANCHOR = b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ!?=/" * 2  # in no lower-case text
 SHORTEST, LONGEST = 4, 14  # characters of a telling segment
+LEAST = 5  # surroundings that it has
 _REPETITIONS = bytes([1, 0, 0, 0, 4, 0, 0, 0, 8, 0, 0, 0])  # ends a dictionary's tables
 
 
@@ -67,28 +68,51 @@ def trained_content(samples: list[bytes], size: int, segment: int) -> bytes:
         return b"".join(dict.fromkeys(samples))[:size]
 
 
+def surroundings(texts: list[str]) -> tuple[list[tuple[str, int]], int]:
+    """The words with the number of their distinct surroundings (the words beside), and the
+    number of all.  Triples are kept as numbers, some bytes each."""
+    number, rows = {"": 0}, [np.zeros(1, np.int32)]
+    for text in texts:
+        rows.append(np.array([*(number.setdefault(w, len(number)) for w in text.split()), 0], np.int32))
+    ids = np.concatenate(rows).astype(np.int64)
+    before, word, after = ids[:-2], ids[1:-1], ids[2:]
+    before, word, after = before[word > 0], word[word > 0], after[word > 0]
+    if len(number) < 1 << 21:
+        word = (np.unique((before << 42) | (word << 21) | after) >> 21) & ((1 << 21) - 1)
+    else:
+        word = np.unique(np.stack([before, word, after], axis=1), axis=0)[:, 1]
+    counts = np.bincount(word, minlength=len(number)).tolist()
+    return [(w, counts[i]) for w, i in number.items() if counts[i]], max(1, len(word))
+
+
+def beginnings(words: list[tuple[str, int]], only: dict[str, int] | None = None) -> dict[str, int]:
+    """How many surroundings words and beginnings of words, after a blank, have: those of at
+    least LEAST, length by length (a longer beginning has no more), or ``only`` those given."""
+    found: dict[str, int] = {}
+    words = [(f" {w} ", n) for w, n in words]
+    for end in range(SHORTEST + 1, LONGEST + 1):
+        words = [(w, n) for w, n in words if len(w) >= end]
+        starts: Counter = Counter()
+        for w, n in words:
+            if only is None or w[:end] in only:
+                starts[w[:end]] += n
+        if only is None:
+            starts = {s: n for s, n in starts.items() if n >= LEAST}
+            words = [(w, n) for w, n in words if w[:end] in starts]
+        found.update(starts)
+    return found
+
+
 def telling_segments(toxic: list[str], ordinary: list[str]) -> list[tuple[bytes, int]]:
     """Words and beginnings of words, after a blank, that are surely more frequent in
     toxic text, and the number of their surroundings; none holds another."""
-
-    def surroundings(texts):
-        seen = set()
-        for text in texts:
-            words = ["", *text.split(), ""]
-            seen.update(zip(words, words[1:], words[2:]))
-        starts = Counter()
-        for word, n in Counter(word for _, word, _ in seen).items():
-            whole = f" {word} "
-            for end in range(SHORTEST + 1, min(len(whole), LONGEST) + 1):
-                starts[whole[:end]] += n
-        return starts, max(1, len(seen))
-
-    (mine, n), (other, m) = surroundings(toxic), surroundings(ordinary)
+    words, n = surroundings(toxic)
+    mine = beginnings(words)
+    words, m = surroundings(ordinary)
+    other = Counter(beginnings(words, mine))
     sure = lambda w, c: (c - 2 * c**0.5) / n > 4 * (other[w] + 3 * (other[w] + 1) ** 0.5) / m
     found, held = [], ""
     for segment, c in sorted(mine.items(), key=lambda x: (-x[1], -len(x[0]), x[0])):
-        if c < 5:
-            break
         if sure(segment, c) and segment not in held and not any(s in segment for s, _ in found):
             found.append((segment, c))
             held += segment + "\n"
