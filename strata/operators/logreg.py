@@ -189,19 +189,20 @@ def merged_sums(partials: DataFrame, n_features: int) -> DataFrame:
     return partials.mapInArrow(add, PARTIAL)
 
 
-def tree_sums(packed: DataFrame, weights: np.ndarray, n_features: int) -> DataFrame:
+def tree_sums(packed: DataFrame, weights: np.ndarray, n_features: int, width: int | None = None) -> DataFrame:
     """At most one row (PARTIAL): the sums over all packed examples.  Partial arrays meet
-    by branch, a branch's arrays are added up as they come, then the branches' totals."""
-    width = branches(packed.sparkSession)
+    by branch, a branch's arrays are added up as they come, then the branches' totals
+    (``width`` 1: all arrays at once, a single shuffle)."""
+    width = branches(packed.sparkSession) if width is None else width
     partials = partial_sums(packed, weights, n_features, width)
     if width > 1:
         partials = merged_sums(partials.repartition(width, "branch"), n_features)
     return merged_sums(partials.repartition(1), n_features)
 
 
-def gradient_sums(packed: DataFrame, weights: np.ndarray, n_features: int) -> DataFrame:
+def gradient_sums(packed: DataFrame, weights: np.ndarray, n_features: int, width: int | None = 1) -> DataFrame:
     """(pos, grad, loss, n): Σ x (σ(θ) − y) per position that a document holds; the bias row
-    also carries Σ loss and the number of documents."""
+    also carries Σ loss and the number of documents.  ``width`` as in ``tree_sums``."""
 
     def split(batches):
         for batch in batches:
@@ -212,7 +213,7 @@ def gradient_sums(packed: DataFrame, weights: np.ndarray, n_features: int) -> Da
                 columns = [pa.array(at, pa.int64()), pa.array(grad), pa.array(np.where(bias, loss, 0.0)), pa.array(np.where(bias, n, 0), pa.int64())]
                 yield pa.RecordBatch.from_arrays(columns, ["pos", "grad", "loss", "n"])
 
-    total = tree_sums(packed, weights, n_features)
+    total = tree_sums(packed, weights, n_features, width)
     return total.mapInArrow(split, "pos bigint, grad double, loss double, n bigint")
 
 

@@ -226,7 +226,7 @@ def test_the_tree_adds_up_to_the_plain_sums(spark, monkeypatch, width):
     step = logreg.logreg_step(packed, w, N_FEATURES)
     assert step.n == 60 and np.allclose(step.gradient, x.T @ (sigma - labels))
     assert logreg.logreg_step(packed.limit(0), w, N_FEATURES).n == 0
-    rows = logreg.gradient_sums(packed, w, N_FEATURES).collect()
+    rows = logreg.gradient_sums(packed, w, N_FEATURES, None).collect()
     assert {r.pos for r in rows} == {*np.flatnonzero(x.any(axis=0)).tolist()}
     # One array per task, then one per branch: rows, not positions, are shuffled.
     partials = logreg.partial_sums(packed, w, N_FEATURES, width).collect()
