@@ -93,3 +93,12 @@ def test_repeated_rows_of_one_id_come_once(spark):
     got = corpus_pipeline.drop_near_duplicates(spark, docs, SF)
     assert got.columns == docs.columns
     assert sorted((r.doc_id or 0, r.text) for r in got.collect()) == sorted((i or 0, t) for i, t in (rows[0], *rows[3:]))
+
+
+def test_near_duplicates_take_columns_of_any_name(spark):
+    text = " ".join(f"word{i}" for i in range(40))
+    rows = [(1, text, "x", "y"), (1, text, "x", "y"), (2, text, None, "z"), (3, "another text altogether", "x", None), (None, text, "x", "y")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _digest string, digest string")
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, SF)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id or 0) for r in kept.collect()) == [0, 1, 3]
