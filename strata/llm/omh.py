@@ -15,8 +15,8 @@ Equal texts (after white space) form one class at once and are sketched as one.
 bucket every text is compared with the bucket's first one (smallest id), not with all;
 texts that this leaves in another class than a bucket mate are then compared with such
 mates as the distances to that first text (the triangle inequality of the edit distance)
-and a sample of their shingles allow, so no link between bucket mates is lost and copies
-aren't expanded into pairs.  Linked texts form classes by alternating large and small stars.
+and the parity bits of their shingles allow.  Both are bounds, so no link between bucket
+mates is lost, and copies aren't expanded into pairs.  Linked texts form classes by alternating large and small stars.
 
 Two documents of similarity 0.8 share a bucket with probability 1 - (1 - C(0.8 u, 6) /
 C(u, 6))^24 for u different shingles in both: 0.996 at u = 20, 0.9987 at 50, over 0.999
@@ -42,7 +42,7 @@ from strata.llm.common import ids_and_texts, scratch
 SHINGLE = 5
 SIMILARITY = 0.8
 SKETCHES, LENGTH = 24, 6
-SAMPLE, LEAST_COMMON = 256, 172  # see ``may_be_similar``
+BITS = 2  # parity bits of a text by its shingles, at least
 SHORT, LONG = 15, 8  # single-shingle keys up to SHORT shingles, ordered ones from LONG on
 MEMO_WORDS = 100_000
 
@@ -102,34 +102,43 @@ def sketch_keys(h: np.ndarray) -> np.ndarray:
     return np.concatenate(keys).view(np.int64)
 
 
+def parity_bits(h: np.ndarray) -> np.ndarray:
+    """For every residue of the shingle hashes whether an odd number of them has it, a
+    power of two residues, BITS for each shingle or up to twice as many."""
+    size = max(64, 1 << (BITS * len(h) - 1).bit_length())
+    residue = ((_mix(h + _U) >> np.uint64(32)) & np.uint64(size - 1)).astype(np.int64)
+    odd = (np.bincount(residue, minlength=size) & 1).astype(np.uint8)
+    return np.packbits(odd, bitorder="little").view(np.int64)
+
+
 def digest(words: list[str]) -> bytes:
     return hashlib.blake2b("\n".join(words).encode("utf-8"), digest_size=16).digest()
 
 
 def sketch(docs: DataFrame) -> DataFrame:
-    """(doc_id, same, n, keys, low): a digest of the words, the number of shingles, the
-    bucket keys and the SAMPLE smallest shingle hashes of every row.  A narrow map."""
+    """(doc_id, same, n, keys, bits): a digest of the words, the number of shingles, the
+    bucket keys and the parity bits of every row.  A narrow map."""
 
     def compute(batches):
         memo = _Words()
         for part in slices(batches):
-            digests, sizes, keys, low = [], [], [], []
+            digests, sizes, keys, bits = [], [], [], []
             for text in part.column(1).to_pylist():
                 words = text.split()
                 h = shingle_hashes(words, memo)
                 digests.append(digest(words))
                 sizes.append(len(h))
                 keys.append(sketch_keys(h))
-                low.append((np.sort(_mix(h + _U))[:SAMPLE] >> np.uint64(32)).astype(np.uint32).view(np.int32))
+                bits.append(parity_bits(h))
             columns = [part.column(0), pa.array(digests, pa.binary()), pa.array(sizes, pa.int64())]
-            for lists in (keys, low):
+            for lists in (keys, bits):
                 ends = np.cumsum([0, *map(len, lists)])
                 columns.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(lists))))
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "same", "n", "keys", "low"])
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "same", "n", "keys", "bits"])
 
     source = ids_and_texts(docs).where(F.col("doc_id").isNotNull())
     key = source.schema["doc_id"].dataType.simpleString()
-    return source.mapInArrow(compute, f"doc_id {key}, same binary, n long, keys array<long>, low array<int>")
+    return source.mapInArrow(compute, f"doc_id {key}, same binary, n long, keys array<long>, bits array<long>")
 
 
 def with_digests(source: DataFrame) -> DataFrame:
@@ -145,17 +154,25 @@ def with_digests(source: DataFrame) -> DataFrame:
 
 
 def may_be_similar(a: str, b: str) -> Column:
-    """Whether two texts (prefixes of their columns n and low) can reach SIMILARITY.
+    """Whether two texts (prefixes of their columns n and bits) can reach SIMILARITY.
+
+    Each shingle that only one of them has changes one of its parity bits, so the bits
+    that differ are no more than the edits between them: a bound, not an estimate.  Of
+    lengths that allow it, one has at most twice the other's bits, which fold to those."""
+    n, m, x, y = F.col(f"{a}n"), F.col(f"{b}n"), F.col(f"{a}bits"), F.col(f"{b}bits")
+
+    def folded(own: Column, other: Column) -> Column:
+        half = F.size(other)
+        return F.when(F.size(own) <= half, own).otherwise(F.transform(other, lambda _, i: F.get(own, i).bitwiseXOR(F.get(own, i + half))))
+
+    apart = F.zip_with(folded(x, y), folded(y, x), lambda p, q: F.bit_count(p.bitwiseXOR(q)))
+    apart = F.aggregate(apart, F.lit(0), lambda total, one: total + one)
+    return (F.least(n, m) >= SIMILARITY * F.greatest(n, m) - 1e-9) & (apart <= allowed_edits(n, m))
+
 
-    Up to SAMPLE shingles ``low`` holds them all, and the count in common decides.  Of
-    longer texts it is a sample: at similarity 0.8 at least 205 of 256 are expected in
-    common (standard deviation 6.4, where one text holds the other), so fewer than
-    LEAST_COMMON befall about one such pair in ten million."""
-    n, m = F.col(f"{a}n"), F.col(f"{b}n")
-    common = F.size(F.array_intersect(f"{a}low", f"{b}low"))
-    whole = (n <= SAMPLE) & (m <= SAMPLE)
-    needed = F.when(whole, (n + m) * (SIMILARITY / (1 + SIMILARITY)) - 1 - 1e-9).otherwise(LEAST_COMMON)
-    return (F.least(n, m) >= SIMILARITY * F.greatest(n, m) - 1e-9) & (common >= needed)
+def allowed_edits(n: Column, m: Column) -> Column:
+    """``most_edits`` as a column."""
+    return F.floor((n + m) * ((1 - SIMILARITY) / (1 + SIMILARITY)) + 1e-9)
 
 
 def aligned_edits(a: list, b: list, limit: int) -> int:
@@ -250,7 +267,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, class_id): every document and the smallest id of its class."""
     # Within, a document is its doc_id and its text's digest: rows may share a doc_id.
     named = F.struct("doc_id", "same").alias("doc_id")
-    rows = scratch(sketch(docs), "sketches").select(named, "same", "n", "keys", "low")
+    rows = scratch(sketch(docs), "sketches").select(named, "same", "n", "keys", "bits")
     equal = scratch(rows.groupBy("same").agg(F.min("doc_id").alias("first")), "equal")
     heads = rows.join(equal.select(F.col("first").alias("doc_id")), "doc_id", "left_semi")
     members = scratch(heads.dropDuplicates(["doc_id"]).select("doc_id", "n", F.explode("keys").alias("key")), "members")
@@ -268,12 +285,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     root = classes_of_links(links)
     placed = held.join(compared.select("a", "b", "edits", "similar"), ["a", "b"], "left")
     placed = placed.join(root.withColumnRenamed("doc_id", "b"), "b", "left")
-    sample = rows.select(F.col("doc_id").alias("b"), "low").join(placed.select("b").distinct(), "b").dropDuplicates(["b"])
-    placed = scratch(placed.withColumn("root", F.coalesce("root", "b")).join(sample, "b"), "placed")
-    outside = placed.where(~F.col("similar")).select("key", *(F.col(c).alias(f"o_{c}") for c in ("b", "n", "low", "edits", "root")))
+    bits = rows.select(F.col("doc_id").alias("b"), "bits").join(wanted.withColumnRenamed("doc_id", "b"), "b").dropDuplicates(["b"])
+    placed = scratch(placed.withColumn("root", F.coalesce("root", "b")).join(bits, "b"), "placed")
+    outside = placed.where(~F.col("similar")).select("key", *(F.col(c).alias(f"o_{c}") for c in ("b", "n", "bits", "edits", "root")))
     # Edits to the bucket's first text bound those between two of its texts: exact ones
     # from both sides, the lower bounds of texts that aren't similar to it from one.
-    allowed = F.floor((F.col("n") + F.col("o_n")) * ((1 - SIMILARITY) / (1 + SIMILARITY)) + 1e-9)
+    allowed = allowed_edits(F.col("n"), F.col("o_n"))
     near = may_be_similar("", "o_") & (~F.col("similar") | (F.col("o_edits") - F.col("edits") <= allowed))
     more = outside.join(placed.where("a <> b"), "key").where((F.col("root") != F.col("o_root")) & near)
     more = more.select(F.least("b", "o_b").alias("a"), F.greatest("b", "o_b").alias("b")).distinct()

@@ -119,3 +119,52 @@ def test_texts_of_one_doc_id_are_compared_each(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.doc_id: r.class_id for r in omh.near_duplicates(docs).collect()}
     assert got == {i: i % 100 for i, _ in rows}
+
+
+def test_parity_bits_bound_the_edits(spark):
+    rng, memo, rows = random.Random(4), omh._Words(), []
+    for k in range(400):
+        a = [rng.choice("abcdefghijklmnop") * rng.randint(1, 9) for _ in range(rng.choice([0, 3, 9, 33, 60, 70, 300, 520]))]
+        b = list(a)
+        for _ in range(rng.randint(0, 1 + len(a) // 40) if a else 0):
+            at = rng.randrange(len(b) + 1)
+            b[at : at + rng.randint(0, 2)] = [rng.choice("xyz")] * rng.randint(0, 2)
+        x, y = omh.shingles(" ".join(a)), omh.shingles(" ".join(b))
+        hx, hy = omh.shingle_hashes(a, memo), omh.shingle_hashes(b, memo)
+        edits = omh.edits_between(x, y, omh.most_edits(len(x), len(y)))
+        rows.append((k, len(hx), omh.parity_bits(hx).tolist(), len(hy), omh.parity_bits(hy).tolist(), edits <= omh.most_edits(len(x), len(y)) and bool(a) and bool(b)))
+    far = omh.shingle_hashes([f"f{i}" for i in range(500)], memo), omh.shingle_hashes([f"g{i}" for i in range(500)], memo)
+    rows.append((-1, *(v for h in far for v in (len(h), omh.parity_bits(h).tolist())), False))
+    df = spark.createDataFrame(rows, "k long, n long, bits array<long>, o_n long, o_bits array<long>, similar boolean")
+    got = {r.k: (r.similar, r.may) for r in df.select("k", "similar", omh.may_be_similar("", "o_").alias("may")).collect()}
+    assert all(may for similar, may in got.values() if similar) and got[-1] == (False, False)
+    assert sum(similar for similar, _ in got.values()) > 50 and any(r[1] > 0 and r[3] and len(r[2]) != len(r[4]) and r[5] for r in rows)
+
+
+def near_copy(rng, words):
+    """A copy changed until its shingles are barely over 0.8 alike."""
+    copy = list(words)
+    for _ in range(400):
+        t = list(copy)
+        t[rng.randrange(len(t))] = f"n{rng.random()}"
+        a, b = omh.shingles(" ".join(words)), omh.shingles(" ".join(t))
+        edits = omh.edits_between(a, b, omh.most_edits(len(a), len(b)))
+        if edits > omh.most_edits(len(a), len(b)):
+            break
+        copy = t
+    return copy if copy != words else [*words, "end"]
+
+
+def test_recall_of_pairs_just_over_the_similarity(spark):
+    rng, docs, lengths = random.Random(6), [], [9, 12, 16, 24, 40, 80, 150, 400, 1000, 2000]
+    for n in lengths:
+        for k in range(12):
+            words = [f"{n}w{k}x{i}" for i in range(n)]
+            docs += [" ".join(words), " ".join(near_copy(rng, words))]
+    rows = list(enumerate(docs))
+    want = {i: i - i % 2 for i, _ in rows}
+    limits = [omh.most_edits(len(a), len(b)) - omh.edits_between(a, b, 10**6) for a, b in ((omh.shingles(docs[i]), omh.shingles(docs[i + 1])) for i in range(0, len(docs), 2))]
+    assert min(limits) >= 0
+    got = {r.doc_id: r.class_id for r in omh.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    found = sum(got[i] == want[i] for i in range(1, len(rows), 2))
+    assert found >= 0.9 * len(rows) / 2 and all(got[i] == i for i in range(0, len(rows), 2))
