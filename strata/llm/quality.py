@@ -12,6 +12,8 @@ that; where there are too few good documents for any, the rule rejects nothing.
 also stays out of use in a stratum where the documents it rejects aren't mostly bad.
 
 All labelled documents with a quality count, reduced to one row per statistic value.
+The bound needs independent draws, so equal texts of a stratum are one vote, a good one
+if all of them are good.
 Null texts have no words and fail the base rules.  Strata are told apart null-safely;
 documents of a stratum without labels meet the base rules alone.  Of repeated labels
 the least quality counts; repeated rows are judged each, ties at a cutoff are kept.
@@ -112,12 +114,15 @@ def stratum() -> Column:
 
 
 def cutoffs(counted: DataFrame, labels: DataFrame, risk: float = RISK, delta: float = DELTA) -> DataFrame:
-    """(stratum, rule, cutoff, most, n_good, good_above, bad_above): the rules in use."""
+    """(stratum, rule, cutoff, most, n_good, good_above, bad_above): the rules in use.
+    ``counted`` is read more than once, so it should be stored; ``same`` tells its texts apart."""
     known = labels.where(F.col("quality").isNotNull()).groupBy("doc_id").agg((F.min("quality") == 1).alias("good"))
-    held = counted.where(~base_failed()).join(known, "doc_id")
+    held = counted.where(~base_failed()).join(known, "doc_id").withColumn("stratum", stratum())
+    alike = [F.min(c).alias(c) for c in [*COUNTS, "n_lines"]]  # equal in equal texts
+    held = held.groupBy("stratum", "same").agg(F.min("good").alias("good"), *alike)
     names = rules()
     entries = F.array(*(F.struct(F.lit(k).alias("rule"), v.alias("value")) for k, v in names.items()))
-    values = held.select(stratum().alias("stratum"), "good", F.explode(entries).alias("e"))
+    values = held.select("stratum", "good", F.explode(entries).alias("e"))
     table = values.groupBy("stratum", "e.rule", "e.value").agg(
         F.sum(F.col("good").cast("long")).alias("good"), F.sum((~F.col("good")).cast("long")).alias("bad")
     )
@@ -141,7 +146,8 @@ def cutoffs(counted: DataFrame, labels: DataFrame, risk: float = RISK, delta: fl
 
 def judge(docs: DataFrame, labels: DataFrame, risk: float = RISK, delta: float = DELTA) -> DataFrame:
     """(doc_id, lang, counts, base_failed, kept) of every row of ``docs``."""
-    counted = scratch(count_texts(docs, ["doc_id", "lang"]), "counts")
+    texts = docs.select("doc_id", "lang", "text", F.sha2(F.coalesce("text", F.lit("")), 256).alias("same"))
+    counted = scratch(count_texts(texts, ["doc_id", "lang", "same"]), "counts")
     chosen = scratch(cutoffs(counted, labels, risk, delta), "cutoffs")  # a row per language and rule at most
     entry = F.struct(F.concat_ws(":", "rule", "stratum"), "cutoff")
     limits = chosen.agg(F.map_from_entries(F.collect_list(entry)).alias("m")).scalar()

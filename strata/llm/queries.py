@@ -244,7 +244,9 @@ ORACLE_SQL: dict[str, str] = {
                    ('short_words', floor(1000 * n_words / greatest(word_chars, 1))::BIGINT)] AS vals FROM c),
         q AS (SELECT doc_id, min(quality) = 1 AS good FROM labels WHERE quality IS NOT NULL GROUP BY doc_id),
         h AS (SELECT stratum, e[1] AS rule, e[2] AS value, sum(good::INT) AS good, sum((NOT good)::INT) AS bad
-              FROM (SELECT stratum, good, unnest(vals) AS e FROM v JOIN q USING (doc_id) WHERE NOT base_failed)
+              FROM (SELECT stratum, good, unnest(vals) AS e
+                    FROM (SELECT v.stratum, min(good) AS good, vals FROM v JOIN q USING (doc_id) JOIN w USING (doc_id)
+                          WHERE NOT base_failed GROUP BY v.stratum, w.text, vals))
               GROUP BY ALL),
         a AS (SELECT stratum, rule, value, sum(good) OVER (PARTITION BY stratum, rule) AS n,
                   coalesce(sum(good) OVER x, 0) AS good_above, coalesce(sum(bad) OVER x, 0) AS bad_above FROM h

@@ -3,7 +3,10 @@ import random
 import re
 from collections import Counter
 
-from strata.llm import quality
+import duckdb
+
+from strata.llm import quality, queries
+from strata.llm.common import scratch
 from strata.llm.quality import F
 
 
@@ -76,3 +79,38 @@ def test_without_labels_the_base_rules_decide(spark):
     assert quality.judge(docs.limit(0), labels).collect() == []
     twice = quality.judge(docs.union(docs), labels)
     assert twice.count() == 86
+
+
+def test_cutoffs_and_ties_equal_the_sql(spark, tmp_path):
+    rng, rows, labels = random.Random(3), [], []
+    for i in range(4500):
+        bad = i % 9 == 0
+        signs = rng.choice([1, 2, 3, 6]) if bad else int(rng.random() < 0.2) + int(rng.random() < 0.001)
+        words = [rng.choice("abcdefgh") * rng.randint(2, 6) + str(rng.random())[2:6] for _ in range(rng.choice([20, 30, 40]))]
+        rows.append((i, " ".join(words + ["x#" + str(k) for k in range(signs)]), "en" if i < 4200 else None))
+        labels.append((i, int(not bad)))
+    rows += [(5000 + i, rows[2][1], "en") for i in range(800)]  # one text, one vote
+    labels += [(5000 + i, int(i != 7)) for i in range(800)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame(labels, "doc_id long, quality int").write.parquet(str(tmp_path / "labels.parquet"))
+    con = duckdb.connect()
+    for t in ("documents", "labels"):
+        con.execute(f"create view {t} as select * from read_parquet('{tmp_path}/{t}.parquet/*.parquet')")
+    name = "op10_risk_controlled_rules"
+    got = queries.QUERIES[name](spark, str(tmp_path)).toPandas()
+    want = con.sql(queries.ORACLE_SQL[name]).df()[list(got.columns)]
+    tuples = lambda df: sorted(df.itertuples(index=False, name=None))
+    assert tuples(got) == tuples(want)
+    assert (~got.kept & ~got.base_failed).sum() > 100
+
+    texts = docs.withColumn("same", F.sha2("text", 256))
+    counted = scratch(quality.count_texts(texts, ["doc_id", "lang", "same"]), "counts")
+    chosen = {(r.stratum, r.rule): r for r in quality.cutoffs(counted, spark.read.parquet(str(tmp_path / "labels.parquet"))).collect()}
+    found = chosen["len", "symbols"]
+    good = {t for i, t, l in rows if l == "en" and (i >= 5000 or i % 9)} - {rows[2][1]}
+    assert found.n_good == len(good) and found.good_above <= found.most
+    at_cutoff = counted.where("lang = 'en'").withColumn("v", quality.rules()["symbols"]).where(F.col("v") == found.cutoff)
+    kept = {r.doc_id for r in quality.judge(docs, spark.read.parquet(str(tmp_path / "labels.parquet"))).where("kept").collect()}
+    tied = [r.doc_id for r in at_cutoff.collect()]
+    assert len(tied) > 1 and any(i in kept for i in tied)
