@@ -28,6 +28,15 @@ def test_bitmaps_over_several_blocks(spark):
     assert trips.distinct_per_key_bitmaps(df).first().drivers == 70_000
 
 
+def test_a_sparse_bitmap_takes_no_whole_block(spark):
+    # 300 keys of 100 values each, spread over all numbers: blocks of 4 KB would be 120 times the pairs.
+    df = spark.range(30_000).selectExpr("concat('v', id % 300) AS vehicle", "concat('d', id) AS driver")
+    got = trips.distinct_per_key_bitmaps(df)
+    assert {r.drivers for r in got.collect()} == {100}
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "bitmap_construct_agg" not in plan and "SortAggregate" not in plan
+
+
 @pytest.mark.parametrize("bins", [2, 3, 1024])
 def test_exact_median_is_the_lower_middle(spark, bins):
     rnd = random.Random(2)
