@@ -13,8 +13,9 @@ edits to (a + b)(1 - s)/(1 + s), which is the band that the alignment searches.
 
 Equal texts (after white space) form one class at once and are sketched as one.  In a
 bucket every text is compared with the bucket's first one (smallest id), not with all;
-texts that this leaves in another class than a bucket mate are then compared with such
-mates as the distances to that first text (the triangle inequality of the edit distance)
+texts that this leaves outside the bucket's largest class are compared with the text of
+that class nearest to the first one, again one pair each.  Texts that are still
+in another class than a bucket mate are then compared with such mates as the distances to that first text (the triangle inequality of the edit distance)
 and the parity bits of their shingles allow.  Both are bounds, so no link between bucket
 mates is lost, and copies aren't expanded into pairs.  Linked texts form classes by alternating large and small stars.
 
@@ -263,6 +264,42 @@ def classes_of_links(links: DataFrame) -> DataFrame:
         state = now
 
 
+def with_roots(mates: DataFrame, root: DataFrame) -> DataFrame:
+    """``mates`` (key, b, ...) with the class of each as linked so far."""
+    placed = mates.join(root.withColumnRenamed("doc_id", "b"), "b", "left")
+    return placed.withColumn("root", F.coalesce("root", "b"))
+
+
+def new_pairs(found: DataFrame, compared: DataFrame) -> DataFrame:
+    """(a, b) of ``found`` (b, o_b) in order, once, without those already compared."""
+    pairs = found.select(F.least("b", "o_b").alias("a"), F.greatest("b", "o_b").alias("b")).distinct()
+    return pairs.join(compared.select("a", "b"), ["a", "b"], "left_anti")
+
+
+def to_central(placed: DataFrame) -> DataFrame:
+    """(b, o_b): every text with the central one of its bucket's largest class, if that isn't
+    its own class; a row for each of the bucket at most.  Central is the text of the
+    fewest edits to the bucket's first one: where copies differ each by edits of its own,
+    it has the fewest of these."""
+    others = placed.where("a <> b")
+    central = F.min(F.struct(~F.col("similar"), "edits", "b", "n", "bits")).alias("o")
+    classes = others.groupBy("key", "root").agg(F.count(F.lit(1)).alias("size"), central)
+    largest = classes.groupBy("key").agg(F.max(F.struct("size", "root", "o")).alias("most"))
+    largest = largest.select("key", F.col("most.root").alias("o_root"), *(F.col(f"most.o.{c}").alias(f"o_{c}") for c in ("b", "n", "bits")))
+    return others.join(largest, "key").where((F.col("root") != F.col("o_root")) & may_be_similar("", "o_")).select("b", "o_b")
+
+
+def between_mates(placed: DataFrame) -> DataFrame:
+    """(b, o_b): all bucket mates of different classes that may be similar; one of them
+    isn't similar to the bucket's first text."""
+    outside = placed.where(~F.col("similar")).select("key", *(F.col(c).alias(f"o_{c}") for c in ("b", "n", "bits", "edits", "root")))
+    # Edits to the bucket's first text bound those between two of its texts: exact ones
+    # from both sides, the lower bounds of texts that aren't similar to it from one.
+    allowed = allowed_edits(F.col("n"), F.col("o_n"))
+    near = may_be_similar("", "o_") & (~F.col("similar") | (F.col("o_edits") - F.col("edits") <= allowed))
+    return outside.join(placed.where("a <> b"), "key").where((F.col("root") != F.col("o_root")) & near).select("b", "o_b")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, class_id): every document and the smallest id of its class."""
     # Within, a document is its doc_id and its text's digest: rows may share a doc_id.
@@ -276,26 +313,32 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     buckets = scratch(buckets.select("key", "a"), "buckets")
     held = scratch(members.join(buckets, "key").select("key", "a", F.col("doc_id").alias("b"), "n"), "held")
     pairs = held.where("a <> b").select("a", "b").distinct()
-    wanted = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    texts = ids_and_texts(docs).join(wanted.select("doc_id.doc_id").distinct(), "doc_id").select("doc_id", "text")
+    wanted = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id")))
+    wanted = scratch(wanted.distinct(), "wanted")
+    # Written first, as texts stay where they are while Spark may broadcast the ids.
+    asked = scratch(wanted.select("doc_id.doc_id").distinct(), "asked")
+    texts = ids_and_texts(docs).join(asked, "doc_id", "left_semi").select("doc_id", "text")
     texts = scratch(with_digests(texts).select(named, "text").join(wanted, "doc_id").dropDuplicates(["doc_id"]), "texts")
     compared = scratch(verify(pairs, texts), "compared")
     links = compared.where("similar").select("a", "b")
 
     root = classes_of_links(links)
     placed = held.join(compared.select("a", "b", "edits", "similar"), ["a", "b"], "left")
-    placed = placed.join(root.withColumnRenamed("doc_id", "b"), "b", "left")
     bits = rows.select(F.col("doc_id").alias("b"), "bits").join(wanted.withColumnRenamed("doc_id", "b"), "b").dropDuplicates(["b"])
-    placed = scratch(placed.withColumn("root", F.coalesce("root", "b")).join(bits, "b"), "placed")
-    outside = placed.where(~F.col("similar")).select("key", *(F.col(c).alias(f"o_{c}") for c in ("b", "n", "bits", "edits", "root")))
-    # Edits to the bucket's first text bound those between two of its texts: exact ones
-    # from both sides, the lower bounds of texts that aren't similar to it from one.
-    allowed = allowed_edits(F.col("n"), F.col("o_n"))
-    near = may_be_similar("", "o_") & (~F.col("similar") | (F.col("o_edits") - F.col("edits") <= allowed))
-    more = outside.join(placed.where("a <> b"), "key").where((F.col("root") != F.col("o_root")) & near)
-    more = more.select(F.least("b", "o_b").alias("a"), F.greatest("b", "o_b").alias("b")).distinct()
-    more = scratch(more.join(compared.select("a", "b"), ["a", "b"], "left_anti"), "more")
-    found = scratch(verify(more, texts).where("similar").select("a", "b"), "found")
+    mates = scratch(placed.join(bits, "b"), "mates")
+    placed = scratch(with_roots(mates, root), "placed")
+
+    # Most texts that the first one leaves out are near another of its class: one pair each.
+    pairs = new_pairs(to_central(placed), compared)
+    near = scratch(verify(scratch(pairs, "central"), texts), "near")
+    found = near.where("similar").select("a", "b")
+    if not found.isEmpty():
+        links = links.unionByName(found)
+        root = classes_of_links(links)
+        placed = scratch(with_roots(mates, root), "placed")
+
+    pairs = new_pairs(between_mates(placed), compared.unionByName(near))
+    found = scratch(verify(scratch(pairs, "more"), texts).where("similar").select("a", "b"), "found")
     if not found.isEmpty():
         root = classes_of_links(links.unionByName(found))
 

@@ -168,3 +168,25 @@ def test_recall_of_pairs_just_over_the_similarity(spark):
     got = {r.doc_id: r.class_id for r in omh.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     found = sum(got[i] == want[i] for i in range(1, len(rows), 2))
     assert found >= 0.9 * len(rows) / 2 and all(got[i] == i for i in range(0, len(rows), 2))
+
+
+def test_near_copies_at_the_limit_are_compared_in_proportion(spark, monkeypatch):
+    rng, verified, verify = random.Random(12), [], omh.verify
+    base, docs = [f"w{i}" for i in range(140)], []
+    for _ in range(260):  # copies that differ from each other by about what similarity allows
+        t = list(base)
+        for _ in range(rng.choice([0, 1, 1, 2, 2, 3, 4])):
+            t[rng.randrange(len(t))] = f"n{rng.random()}"
+        docs.append(" ".join(t))
+    rng.shuffle(docs)
+
+    def counted(pairs, texts):
+        verified.append(pairs.count())
+        return verify(pairs, texts)
+
+    monkeypatch.setattr(omh, "verify", counted)
+    rows = list(enumerate(docs))
+    got = {r.doc_id: r.class_id for r in omh.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    want = classes_by_force(rows)
+    assert sum(got[i] == want[i] for i in want) >= 0.99 * len(want)
+    assert sum(verified[1:]) <= 2 * len(docs)  # the first ones are with the buckets' first texts
