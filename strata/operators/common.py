@@ -2,7 +2,7 @@
 
 No piece changes its plan with the size of its input: joins carry no hint, so Catalyst
 broadcasts a side only by its own statistics (a ``limit``, a written table), and large
-groups are split by a hash before they meet."""
+groups are split into parts before they meet."""
 
 from __future__ import annotations
 
@@ -25,10 +25,12 @@ def top_n_per_group(
     df: DataFrame, group: str | Sequence[str], n: int, order: Sequence[Column], rank: str = "rank"
 ) -> DataFrame:
     """Top-n rows per group with a 1-based ``rank`` (bigint), in two stages: the best n
-    of each (group, hash part), then of each group.  The last stage reads n ×
-    GROUP_PARTS rows of a group at most, whatever n and however large the group."""
+    of each (group, part), then of each group.  A task's rows are of one part, so n rows
+    of a group leave it; parts dealt by a hash of the row would let n × GROUP_PARTS pass.
+    The last stage reads n × GROUP_PARTS rows of a group at most, whatever n and however
+    large the group."""
     keys = [group] if isinstance(group, str) else list(group)
-    part = F.pmod(F.xxhash64(*df.columns), F.lit(GROUP_PARTS))
+    part = F.pmod(F.spark_partition_id(), F.lit(GROUP_PARTS))
     first = Window.partitionBy(*keys, "_part").orderBy(*order)
     heads = df.withColumn("_part", part).withColumn(rank, F.row_number().over(first))
     heads = heads.where(F.col(rank) <= n).drop("_part", rank)

@@ -56,25 +56,10 @@ def query_vectors(
     return QuerySet(scratch.table(vectors) if scratch else vectors)
 
 
-def _l2_norm(df: DataFrame, key: str, value: str, name: str) -> DataFrame:
-    return df.withColumn(
-        name, F.sqrt(F.sum(F.col(value) * F.col(value)).over(Window.partitionBy(key)))
-    )
-
-
-def _scores(docs: DataFrame, queries: DataFrame, metric: str) -> DataFrame:
-    joined = docs.join(queries, "pos")
-    aggs = [F.sum(F.col("value") * F.col("q")).alias("dot")]
-    if metric == "cosine":
-        aggs += [F.max("dnorm").alias("dnorm"), F.max("qnorm").alias("qnorm")]
-    sums = joined.groupBy("query_id", "doc_id").agg(*aggs)
-    if metric == "dot":
-        score = F.col("dot")
-    else:
-        score = F.coalesce(
-            F.try_divide(F.col("dot"), F.col("dnorm") * F.col("qnorm")), F.lit(0.0)
-        )
-    return sums.select("query_id", "doc_id", score.alias("score"))
+def _unit(df: DataFrame, key: str, value: str) -> DataFrame:
+    """``value`` divided by the L2 norm of its ``key``'s values; 0 where that is 0."""
+    norm = F.sqrt(F.sum(F.col(value) * F.col(value)).over(Window.partitionBy(key)))
+    return df.withColumn(value, F.coalesce(F.try_divide(F.col(value), norm), F.lit(0.0)))
 
 
 def score_documents(tfidf: DataFrame, qs: QuerySet, metric: str = "cosine") -> DataFrame:
@@ -86,10 +71,10 @@ def score_documents(tfidf: DataFrame, qs: QuerySet, metric: str = "cosine") -> D
         raise ValueError(f"metric must be one of {METRICS}")
     docs = tfidf.select("doc_id", "pos", "value")
     queries = qs.vectors.select("query_id", "pos", F.col("value").alias("q"))
-    if metric == "cosine":
-        docs = _l2_norm(docs, "doc_id", "value", "dnorm")
-        queries = _l2_norm(queries, "query_id", "q", "qnorm")
-    return _scores(docs, queries, metric)
+    if metric == "cosine":  # unit vectors: the sums carry no norms
+        docs, queries = _unit(docs, "doc_id", "value"), _unit(queries, "query_id", "q")
+    sums = docs.join(queries, "pos").groupBy("query_id", "doc_id")
+    return sums.agg(F.sum(F.col("value") * F.col("q")).alias("score"))
 
 
 def top_scores(tfidf: DataFrame, qs: QuerySet, k: int = 10, metric: str = "cosine") -> DataFrame:

@@ -5,7 +5,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from strata.operators import knn, logreg, text
-from strata.operators.common import preview
+from strata.operators.common import preview, top_n_per_group
 from strata.plans import catalog
 from strata.sources import driver_tables as views
 from strata.sources import write_result
@@ -102,3 +102,25 @@ def test_restricted_neighbors_keep_two_shuffles(spark):
     qs = knn.query_vectors(views.query_texts_view(spark, SF), f.vocab, f.idf, f.scratch)
     links = views.links_view(spark, SF)
     assert _shuffles(knn.knn_neighbors(f.tfidf, qs, 10, "dot", restrict_to=links), _is_tf_scan) == 2
+
+
+def test_the_best_of_a_group_alone_leave_a_task(spark):
+    rows = spark.range(0, 40_000, 1, 4).selectExpr("id % 5 AS g", "id * 7919 % 40009 AS v")
+    best = top_n_per_group(rows, "g", 3, [F.col("v").desc()])
+    got = {(r.g, r["rank"]): r.v for r in best.collect()}
+    want = {g: sorted((i * 7919 % 40009 for i in range(40_000) if i % 5 == g), reverse=True) for g in range(5)}
+    assert got == {(g, k + 1): want[g][k] for g in want for k in range(3)}
+    sent, todo = [], [best._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        todo += _children(node)
+        if node.nodeName() == "Exchange":
+            sent.append(node.metrics().apply("shuffleRecordsWritten").value())
+    assert sent and max(sent) <= 4 * 5 * 3
+
+
+def test_cosine_sums_carry_no_norms(spark):
+    f = _features(spark)
+    qs = knn.query_vectors(views.query_texts_view(spark, SF), f.vocab, f.idf, f.scratch)
+    scored = knn.score_documents(f.tfidf, qs, "cosine")
+    assert "max(" not in scored._jdf.queryExecution().executedPlan().toString()
