@@ -31,7 +31,8 @@ Texts under LENGTH bytes stay whole.  An empty table gives no row.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import gc
+from collections.abc import Callable, Iterator
 from zlib import crc32
 
 import numpy as np
@@ -47,6 +48,7 @@ SPAN = LENGTH - GRAM + 1  # most windows in a segment
 GROUP_BYTES, BUCKET_BYTES = 4_000_000, 2_000_000
 HASH_SHARE = 4  # a hash may fill one in so many parts of a bucket
 SEVERAL = 32  # from so many segments of a hash in a group on, its different contents are counted
+SEGMENTS = 1 << 14  # so many at once get their bits
 _DEALT = 1 << 48  # set in the hash of a window that goes by itself; gram hashes have 48 bits
 _LEAST = np.iinfo(np.int64).min
 _U = np.uint64
@@ -130,24 +132,35 @@ class Group:
     ) -> Iterator[tuple[int, list[bytes], list[int], list[int]]]:
         """(bucket, contents, smallest document and hash of each) of what ``contents``
         gives, in one order for all passes.  A dealt content gives its windows."""
-        first: dict[tuple[int, bytes], tuple[int, int]] = {}
+        docs, hashes = self.doc[found], self.hash[found]
+        plain = np.flatnonzero(~dealt)
+        # The last of equal keys stays, so backward the first of each content does.
+        first = dict(zip([contents[i] for i in plain[::-1].tolist()], plain[::-1].tolist()))
+        listed = sorted(first)
+        at = np.fromiter(map(first.__getitem__, listed), np.int64, len(listed))
+        buckets, docs_, own = (hashes[at] % _U(n_buckets)).astype(np.int64), docs[at], hashes[at].astype(np.int64)
         split: dict[bytes, int] = {}
-        hashes = self.hash[found]
-        keys = zip((hashes % _U(n_buckets)).tolist(), contents)
-        for key, value, apart in zip(keys, zip(self.doc[found].tolist(), hashes.tolist()), dealt.tolist()):
-            if apart:
-                split.setdefault(key[1], value[0])
-            else:
-                first.setdefault(key, value)
-        for content, doc in split.items():  # in the order of their documents
-            for window in windows_of(content):
-                first.setdefault((crc32(window) % n_buckets, window), (doc, _DEALT))
-        held: dict[int, list[bytes]] = {}
-        for bucket, content in sorted(first):
-            held.setdefault(bucket, []).append(content)
-        for bucket, listed in held.items():
-            docs, own = zip(*(first[bucket, c] for c in listed))
-            yield bucket, listed, self.ids[list(docs)].tolist(), list(own)
+        for i in np.flatnonzero(dealt).tolist():
+            split.setdefault(contents[i], int(docs[i]))
+        if split:
+            windows: dict[bytes, int] = {}
+            for content, doc in split.items():  # in the order of their documents
+                for window in windows_of(content):
+                    windows.setdefault(window, doc)
+            keys = [(crc32(w) % n_buckets, w) for w in windows]
+            held = set(zip(buckets.tolist(), listed))
+            keys = [k for k in keys if k not in held]
+            listed += [w for _, w in keys]
+            order = sorted(range(len(listed)), key=listed.__getitem__)
+            listed = [listed[i] for i in order]
+            buckets = np.append(buckets, np.array([b for b, _ in keys], np.int64))[order]
+            docs_ = np.append(docs_, np.array([windows[w] for _, w in keys], np.int64))[order]
+            own = np.append(own, np.full(len(keys), _DEALT, np.int64))[order]
+        order = np.argsort(buckets, kind="stable")
+        buckets, ids, own = buckets[order], self.ids[docs_[order]], own[order]
+        cuts = [*np.flatnonzero(np.diff(buckets, prepend=-1)).tolist(), len(order)]
+        for x, y in zip(cuts[:-1], cuts[1:]):
+            yield int(buckets[x]), [listed[i] for i in order[x:y].tolist()], ids[x:y].tolist(), own[x:y].tolist()
 
 
 def windows_of(content: bytes) -> list[bytes]:
@@ -179,6 +192,7 @@ class RunIndex:
         self.run_start, self.run_byte = change, before[change]
         run_length = np.diff(np.append(change, self.size))
         self.first_sample, self.last_sample = order[change], order[change + run_length - 1]
+        self.run_of = np.repeat(np.arange(len(change), dtype=np.int32), run_length)  # the run of each row
         counts = np.bincount(joined, minlength=256)
         self.smaller = np.cumsum(counts) - counts
         self.run_rank = np.zeros(len(change), np.int64)
@@ -231,7 +245,7 @@ class RunIndex:
 
     def step_back(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The bytes before the suffixes of ``rows``, and the rows that start there."""
-        run = np.searchsorted(self.run_start, rows, "right") - 1
+        run = self.run_of[rows]
         byte = self.run_byte[run]
         return byte, self.smaller[byte] + self.run_rank[run] + rows - self.run_start[run]
 
@@ -286,6 +300,15 @@ _TYPE = "group long, bucket long, kind int, data binary, more binary"
 _SHARED, _BITS = 0, 1
 
 
+def _uncollected(compute: Callable[..., pa.Table], *tables: pa.Table) -> pa.Table:
+    """``compute`` without the search for cycles: it makes many objects, and no cycles."""
+    gc.disable()
+    try:
+        return compute(*tables)
+    finally:
+        gc.enable()
+
+
 def _rows(rows: list[tuple]) -> pa.Table:
     return pa.table([pa.array(x, f.type) for x, f in zip(zip(*rows) if rows else [[]] * 5, _ROW)], schema=_ROW)
 
@@ -372,9 +395,11 @@ def bucketed(grouped: DataFrame, n_buckets: int) -> tuple[DataFrame, DataFrame]:
         )
 
     texts = grouped.groupBy("group")
-    hashes = texts.applyInArrow(send_hashes, _TYPE)
+    hashes = texts.applyInArrow(lambda table: _uncollected(send_hashes, table), _TYPE)
     shared = hashes.groupBy("bucket").applyInArrow(find_shared, _TYPE)
-    return shared, texts.cogroup(shared.groupBy("group")).applyInArrow(send_segments, _TYPE)
+    return shared, texts.cogroup(shared.groupBy("group")).applyInArrow(
+        lambda table, shared: _uncollected(send_segments, table, shared), _TYPE
+    )
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
@@ -414,31 +439,35 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
         group = Group(table)
         kinds, buckets, data = (answers.column(c).to_pylist() for c in ("kind", "bucket", "data"))
         bits = {b: d for k, b, d in zip(kinds, buckets, data) if k == _BITS}
-        marks: dict[bytes, tuple[int | np.ndarray, np.ndarray]] = {}
         found, contents, dealt = group.contents(*_shared_of(answers))
-        single: dict[bytes, tuple[int, bool]] = {}
+        marks: dict[bytes, tuple[int, int]] = {}  # the smallest document here, and where the content's bits begin
+        single: dict[bytes, tuple[int, int]] = {}
+        flat, at = [np.zeros(0, np.uint8)], 0
         for bucket, listed, ids, hashes in group.by_bucket(found, contents, dealt, n_buckets):
-            flat, at = np.unpackbits(np.frombuffer(bits[bucket], np.uint8)).astype(bool), 0
-            for content, own, h in zip(listed, ids, hashes):
-                end = at + len(content) - LENGTH + 1
-                if h == _DEALT:
-                    single[content] = own, flat[at]
-                else:
-                    marks[content] = own, flat[at:end]
-                at = end
-        for content in {c for c, apart in zip(contents, dealt.tolist()) if apart}:
-            own, marked = zip(*(single[w] for w in windows_of(content)))
-            marks[content] = np.array(own, np.int64), np.array(marked)
-        windows = [np.zeros(len(t) + 1, np.int32) for t in group.texts]
-        for d, s, content in zip(group.doc[found].tolist(), group.start[found].tolist(), contents):
-            own, marked = marks[content]
-            if isinstance(own, int):
-                windows[d][s : s + len(marked)] = True if group.ids[d] > own else marked
-            else:
-                windows[d][s : s + len(marked)] = (group.ids[d] > own) | marked
+            counts = np.fromiter(map(len, listed), np.int64, len(listed)) - LENGTH + 1
+            begins = (at + np.cumsum(counts) - counts).tolist()
+            flat.append(np.unpackbits(np.frombuffer(bits[bucket], np.uint8), count=int(counts.sum())))
+            at += len(flat[-1])
+            for content, where, h in zip(listed, zip(ids, begins), hashes):
+                (single if h == _DEALT else marks)[content] = where
+        marked = np.concatenate(flat).astype(bool)
+        ends = np.cumsum([0, *(len(t) + 1 for t in group.texts)])
+        whole = np.zeros(ends[-1], bool)
+        own_id, to, n = group.ids[group.doc[found]], ends[group.doc[found]] + group.start[found], group.windows[found]
+        plain = np.flatnonzero(~dealt)
+        for x in range(0, len(plain), SEGMENTS):
+            some = plain[x : x + SEGMENTS]
+            own, begin = np.array([marks[contents[i]] for i in some.tolist()], np.int64).T
+            step = np.arange(n[some].sum()) - np.repeat(np.cumsum(n[some]) - n[some], n[some])
+            bit = marked[np.repeat(begin, n[some]) + step] | np.repeat(own_id[some] > own, n[some])
+            whole[np.repeat(to[some], n[some]) + step] = bit
+        for i in np.flatnonzero(dealt).tolist():
+            own, begin = np.array([single[w] for w in windows_of(contents[i])], np.int64).T
+            whole[to[i] : to[i] + len(own)] = (own_id[i] > own) | marked[begin]
+        windows = [whole[x:y] for x, y in zip(ends[:-1], ends[1:])]
         spans, kept = [], []
-        for text, marked in zip(group.texts, windows):
-            hits = np.flatnonzero(marked)
+        for text, removed in zip(group.texts, windows):
+            hits = np.flatnonzero(removed)
             if not len(hits):
                 spans.append([])
                 kept.append(text)
@@ -459,8 +488,8 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
         )
 
     shared, pieces = bucketed(grouped, n_buckets)
-    answers = shared.unionByName(pieces.groupBy("bucket").applyInArrow(mark, _TYPE))
+    answers = shared.unionByName(pieces.groupBy("bucket").applyInArrow(lambda table: _uncollected(mark, table), _TYPE))
     key = docs.schema["doc_id"].dataType.simpleString()
     return grouped.groupBy("group").cogroup(answers.groupBy("group")).applyInArrow(
-        cut, f"doc_id {key}, n_bytes long, spans array<struct<start: int, end: int>>, kept binary"
+        lambda table, answers: _uncollected(cut, table, answers), f"doc_id {key}, n_bytes long, spans array<struct<start: int, end: int>>, kept binary"
     )

@@ -108,3 +108,17 @@ def test_a_passage_in_many_documents_fills_no_bucket(spark, monkeypatch):
         _, pieces = runindex.bucketed(grouped, n_buckets)
         largest.append(pieces.groupBy("bucket").agg(runindex.F.sum(runindex.F.length("data"))).toDF("b", "n").agg({"n": "max"}).first()[0])
     assert largest[1] < 1.5 * largest[0]
+
+
+def test_bits_are_placed_some_segments_at_a_time(spark, monkeypatch):
+    monkeypatch.setattr(runindex, "SEGMENTS", 3)
+    rng = random.Random(9)
+    parts = ["".join(rng.choice("abcdeé ") for _ in range(rng.randint(30, 150))) for _ in range(9)]
+    rows = [(i, "".join(rng.choice(parts) for _ in range(rng.randint(0, 5)))) for i in range(40)]
+    assert run(spark, rows) == sorted(expected([(i, t.encode()) for i, t in rows]))
+
+
+def test_every_row_knows_its_run():
+    rng = random.Random(10)
+    index = runindex.RunIndex([bytes(rng.choice(b"ab") for _ in range(rng.randint(50, 90))) for _ in range(30)])
+    assert (index.run_of == np.searchsorted(index.run_start, np.arange(index.size), "right") - 1).all()
