@@ -246,22 +246,33 @@ def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def classes_of_links(links: DataFrame) -> DataFrame:
-    """(doc_id, root) of all linked documents: the smallest id that links lead to."""
-    edges = scratch(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
-    state = None
+    """(doc_id, root) of all linked documents but the roots themselves: the smallest id
+    that links lead to.  Ends as soon as the links are stars, which the neighbours of
+    each document tell that the next round needs anyway."""
+    edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+    edges = scratch(edges.where("u <> v").distinct(), "edges")
     while True:
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = scratch(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
-        large = both.join(least, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
+        both = edges.select(F.inline(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))))
+        below, above = (F.count_if(c).alias(n) for c, n in ((F.col("v") < F.col("u"), "below"), (F.col("v") > F.col("u"), "above")))
+        around = scratch(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), below, above), "around")
+        if around.where("below > 1 OR (below = 1 AND above > 0)").isEmpty():
+            return edges.select(F.col("u").alias("doc_id"), F.col("v").alias("root"))
+        large = both.join(around.select("u", "m"), "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = scratch(large.where("u <> v").distinct(), "large")
-        least = scratch(large.groupBy("u").agg(F.min("v").alias("m")), "least")
-        small = large.join(least, "u")
-        small = small.select("u", F.col("m").alias("v")).unionByName(small.select(F.col("v").alias("u"), F.col("m").alias("v")))
+        small = large.join(large.groupBy("u").agg(F.min("v").alias("m")), "u")
+        small = small.select(F.inline(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))))
         edges = scratch(small.where("u <> v").distinct(), "edges")
-        now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == state:
-            return edges.select(F.col("u").alias("doc_id"), F.col("v").alias("root"))
-        state = now
+
+
+def joined_classes(root: DataFrame, links: DataFrame) -> DataFrame:
+    """``root`` (as ``classes_of_links`` gives it) after more ``links``: these link whole
+    classes, so the steps go over the roots they meet and not over all links again."""
+    for end in ("a", "b"):
+        found = root.select(F.col("doc_id").alias(end), "root")
+        links = links.join(found, end, "left").withColumn(end, F.coalesce("root", end)).drop("root")
+    above = classes_of_links(links).select(F.col("doc_id").alias("root"), F.col("root").alias("top"))
+    moved = root.join(above, "root", "left").select("doc_id", F.coalesce("top", "root").alias("root"))
+    return scratch(moved.unionByName(above.select(F.col("root").alias("doc_id"), F.col("top").alias("root"))), "root")
 
 
 def with_roots(mates: DataFrame, root: DataFrame) -> DataFrame:
@@ -320,9 +331,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     texts = ids_and_texts(docs).join(asked, "doc_id", "left_semi").select("doc_id", "text")
     texts = scratch(with_digests(texts).select(named, "text").join(wanted, "doc_id").dropDuplicates(["doc_id"]), "texts")
     compared = scratch(verify(pairs, texts), "compared")
-    links = compared.where("similar").select("a", "b")
-
-    root = classes_of_links(links)
+    root = classes_of_links(compared.where("similar").select("a", "b"))
     placed = held.join(compared.select("a", "b", "edits", "similar"), ["a", "b"], "left")
     bits = rows.select(F.col("doc_id").alias("b"), "bits").join(wanted.withColumnRenamed("doc_id", "b"), "b").dropDuplicates(["b"])
     mates = scratch(placed.join(bits, "b"), "mates")
@@ -333,14 +342,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     near = scratch(verify(scratch(pairs, "central"), texts), "near")
     found = near.where("similar").select("a", "b")
     if not found.isEmpty():
-        links = links.unionByName(found)
-        root = classes_of_links(links)
+        root = joined_classes(root, found)
         placed = scratch(with_roots(mates, root), "placed")
 
     pairs = new_pairs(between_mates(placed), compared.unionByName(near))
     found = scratch(verify(scratch(pairs, "more"), texts).where("similar").select("a", "b"), "found")
     if not found.isEmpty():
-        root = classes_of_links(links.unionByName(found))
+        root = joined_classes(root, found)
 
     known = rows.select("doc_id", "same").join(equal.select("same", "first"), "same")
     joined = known.join(root.withColumnRenamed("doc_id", "first"), "first", "left")

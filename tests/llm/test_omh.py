@@ -110,6 +110,27 @@ def test_classes_of_a_long_chain(spark):
     assert got == {i: 0 for i in range(1, 61)} | {101: 100, 103: 100}
 
 
+def test_classes_end_when_the_links_are_stars(spark, monkeypatch):
+    written, real = [], omh.scratch
+    monkeypatch.setattr(omh, "scratch", lambda df, name: written.append(name) or real(df, name))
+    star = spark.createDataFrame([(1, i) for i in range(2, 9)] + [(20, 10)], "a long, b long")
+    got = {r.doc_id: r.root for r in omh.classes_of_links(star).collect()}
+    assert got == {i: 1 for i in range(2, 9)} | {20: 10}
+    assert written == ["edges", "around"]
+
+
+def test_more_links_join_whole_classes(spark, monkeypatch):
+    links = [(i, i + 1) for i in range(0, 12, 2)] + [(20, 21), (21, 22), (30, 31)]
+    more = [(1, 3), (7, 5), (9, 4), (22, 40), (41, 40), (50, 51), (20, 21), (31, 30)]
+    root = omh.classes_of_links(spark.createDataFrame(links, "a long, b long"))
+    at_once = omh.classes_of_links(spark.createDataFrame(links + more, "a long, b long"))
+    met, real = [], omh.classes_of_links
+    monkeypatch.setattr(omh, "classes_of_links", lambda df: met.extend(df.collect()) or real(df))
+    got = omh.joined_classes(root, spark.createDataFrame(more, "a long, b long"))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, at_once.collect()))
+    assert {x for pair in met for x in pair} <= {0, 2, 4, 6, 8, 20, 30, 40, 41, 50, 51}
+
+
 def test_texts_of_one_doc_id_are_compared_each(spark):
     words = lambda k: [f"{k}{i}" for i in range(60)]
     rows = []
