@@ -47,6 +47,7 @@ GRAM = 16
 SPAN = LENGTH - GRAM + 1  # most windows in a segment
 GROUP_BYTES, BUCKET_BYTES = 4_000_000, 2_000_000
 HASH_SHARE = 4  # a hash may fill one in so many parts of a bucket
+JOINED = 1 << 15  # bytes of texts whose segments are found at once
 SEVERAL = 32  # from so many segments of a hash in a group on, its different contents are counted
 SEGMENTS = 1 << 14  # so many at once get their bits
 _DEALT = 1 << 48  # set in the hash of a window that goes by itself; gram hashes have 48 bits
@@ -58,20 +59,23 @@ _U = np.uint64
 
 
 def gram_hashes(data: np.ndarray) -> np.ndarray:
-    """Hashes of all GRAM-byte strings, by doubling (GRAM is a power of two)."""
-    h = (data.astype(np.uint64) + _U(1)) * _U(0x9E3779B97F4A7C15)
-    h ^= h >> _U(29)
-    size = 1
-    while size < GRAM:
-        h = h[:-size] * _U(0x94D049BB133111EB) + h[size:]
-        h ^= h >> _U(31)
-        size *= 2
+    """Hashes of all GRAM-byte strings (GRAM is two words of eight bytes)."""
+    words = np.empty(len(data) - 7, np.uint64)
+    for i in range(8):
+        own = words[i::8]
+        own[:] = data[i : i + 8 * len(own)].view("<u8")
+    h = words[:-8] * _U(0x9E3779B97F4A7C15)
+    h += words[8:]
+    h ^= h >> _U(32)
     h *= _U(0xD6E8FEB86659FD93)
+    h ^= h >> _U(29)
+    h *= _U(0x94D049BB133111EB)
     return h >> _U(16)  # 48 bits travel; equal ones only cost a comparison
 
 
-def segments(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, start, number of windows) of every segment of a text, in order."""
+def segments(data: np.ndarray, ends: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, start, number of windows) of every segment of a text, in order; or of
+    several texts in one, that end at ``ends``: no window crosses these."""
     if len(data) < LENGTH:
         none = np.zeros(0, np.int64)
         return none.astype(np.uint64), none, none
@@ -80,8 +84,16 @@ def segments(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         least, size = np.minimum(least[:-size], least[size:]), size * 2
     if size < SPAN:
         least = np.minimum(least[: len(least) - (SPAN - size)], least[SPAN - size :])
-    starts = np.flatnonzero(np.concatenate([[True], least[1:] != least[:-1]]))
+    ends = np.array([len(data)]) if ends is None else ends
+    begins = np.concatenate([[0], ends[:-1]])
+    stops = np.maximum(ends - LENGTH + 1, begins)  # of the windows of each text
+    new = np.concatenate([[True], least[1:] != least[:-1]])
+    edges = np.concatenate([begins, stops])
+    new[edges[edges < len(least)]] = True
+    starts = np.flatnonzero(new)
     sizes = np.diff(np.append(starts, len(least)))
+    inside = starts < stops[np.searchsorted(ends, starts, "right")]
+    starts, sizes = starts[inside], sizes[inside]
     if (sizes > SPAN).any():  # a repeating text; its runs are cut to length
         pieces = -(-sizes // SPAN)
         offset = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
@@ -100,18 +112,30 @@ class Group:
         texts = table.column("text").to_pylist()
         self.ids = ids[self.order]
         self.texts = [texts[i].encode("utf-8") for i in self.order]
-        found = [segments(np.frombuffer(t, np.uint8)) for t in self.texts]
-        self.hash, self.start, self.windows = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in zip(*found)) if found else (np.zeros(0, np.uint64),) * 3
-        self.doc = np.repeat(np.arange(len(found)), [len(h) for h, _, _ in found])
+        # Texts in pieces of about JOINED bytes: short ones aren't taken one by one, and
+        # what is computed of a piece stays in the processor's cache.
+        self.joined = b"".join(self.texts)
+        data, sizes = np.frombuffer(self.joined, np.uint8), np.fromiter(map(len, self.texts), np.int64, len(self.texts))
+        ends = np.cumsum(sizes)
+        cuts = [0, *(np.flatnonzero(np.diff(ends // JOINED)) + 1).tolist(), len(ends)]
+        found = []
+        for x, y in zip(cuts, cuts[1:]):
+            if y > x:
+                begin = ends[x] - sizes[x]
+                h, at, n = segments(data[begin : ends[y - 1]], ends[x:y] - begin)
+                found.append((h, at + begin, n))
+        self.hash, self.at, self.windows = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.uint64), *(np.zeros(0, np.int64),) * 2)
+        self.doc = np.searchsorted(ends, self.at, "right")
+        self.start = self.at - (ends - sizes)[self.doc]
 
     def bytes_of(self, i: np.ndarray) -> list[bytes]:
-        texts = self.texts
-        return [texts[d][s : s + n + LENGTH - 1] for d, s, n in zip(self.doc[i].tolist(), self.start[i].tolist(), self.windows[i].tolist())]
+        joined, at = self.joined, self.at[i]
+        return [joined[a:b] for a, b in zip(at.tolist(), (at + self.windows[i] + (LENGTH - 1)).tolist())]
 
     def counted(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The distinct hashes, whether several documents have each, and the binary
         logarithm, rounded up, of how many contents it has at most."""
-        order = np.argsort(self.hash, kind="stable")
+        order = np.argsort(self.hash)
         h, doc = self.hash[order], self.ids[self.doc[order]]
         starts = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.zeros(0, np.int64)
         several = np.minimum.reduceat(doc, starts) != np.maximum.reduceat(doc, starts) if len(h) else np.zeros(0, bool)
@@ -156,7 +180,7 @@ class Group:
             buckets = np.append(buckets, np.array([b for b, _ in keys], np.int64))[order]
             docs_ = np.append(docs_, np.array([windows[w] for _, w in keys], np.int64))[order]
             own = np.append(own, np.full(len(keys), _DEALT, np.int64))[order]
-        order = np.argsort(buckets, kind="stable")
+        order = np.argsort(buckets.astype(np.min_scalar_type(n_buckets)), kind="stable")  # short numbers sort faster
         buckets, ids, own = buckets[order], self.ids[docs_[order]], own[order]
         cuts = [*np.flatnonzero(np.diff(buckets, prepend=-1)).tolist(), len(order)]
         for x, y in zip(cuts[:-1], cuts[1:]):
@@ -222,9 +246,13 @@ class RunIndex:
         for i in range(8):  # what follows a separator doesn't count
             byte = padded[i : i + n]
             key = (key << _U(8)) | (byte if i == 0 else np.where(left < i, np.uint8(self.SEPARATOR), byte))
-        order = np.argsort(key, kind="stable")  # equal to the separator: in the order of the strings
+        order = np.argsort(key)
         ordered, done = key[order], left[order] < 8
-        new = np.concatenate([[True], (ordered[1:] != ordered[:-1]) | done[1:]]) if n else done
+        new = np.concatenate([[True], ordered[1:] != ordered[:-1]]) if n else done
+        # Equal to the separator: in the order of the strings.
+        ended = np.flatnonzero(done & ~(new & np.append(new[1:], True))) if n else order
+        order[ended] = np.sort(np.cumsum(new)[ended] * n + order[ended]) % max(n, 1)
+        new |= done
         size, rank = 8, np.empty(n, np.int64)
         rank[order] = np.maximum.accumulate(np.where(new, np.arange(n), 0))
         rank_by = {8: rank.copy()}
@@ -410,28 +438,34 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     def mark(table: pa.Table) -> pa.Table:
         parts = [d.split(b"\xff") for d in table.column("data").to_pylist()]
         more = [np.frombuffer(m, "<i8").reshape(2, -1) for m in table.column("more").to_pylist()]
-        ids = [m[0] for m in more]
-        first: dict[bytes, int] = {}
-        by_hash: dict[int, set[bytes]] = {}
-        alone: set[bytes] = set()
-        for contents, (own, hashes) in zip(parts, more):
-            for content, i, h in zip(contents, own.tolist(), hashes.tolist()):
-                if first.get(content, i) >= i:
-                    first[content] = i
-                if h == _DEALT:  # such a window is nowhere but in its equals
-                    alone.add(content)
-                else:
-                    by_hash.setdefault(h, set()).add(content)
+        own, hashes = np.concatenate(more, axis=1)
+        number: dict[bytes, int] = {}
+        at = np.fromiter((number.setdefault(c, len(number)) for part in parts for c in part), np.int64, len(own))
+        contents = list(number)
+        first = np.full(len(contents), np.iinfo(np.int64).max)
+        np.minimum.at(first, at, own)
+        dealt, plain, hash_of = np.zeros(len(contents), bool), hashes != _DEALT, np.full(len(contents), _DEALT)
+        dealt[at[~plain]] = True  # such a window is nowhere but in its equals
+        hash_of[at[plain]] = hashes[plain]
+        _, inverse, counts = np.unique(hash_of, return_inverse=True, return_counts=True)
         # A segment that no other one of its hash stands beside shares no window.
-        alone.update(c for same in by_hash.values() if len(same) == 1 for c in same)
-        least = {c: np.full(len(c) - LENGTH + 1, first[c]) for c in alone}
-        listed = sorted(set(first) - alone)
-        least.update(zip(listed, smallest_documents(listed, np.array([first[c] for c in listed], np.int64))))
-        out = []
-        for group, bucket, contents, own in zip(table.column("group").to_pylist(), table.column("bucket").to_pylist(), parts, ids):
-            bits = np.concatenate([least[c] < i for c, i in zip(contents, own.tolist())])
-            out.append((group, bucket, _BITS, np.packbits(bits).tobytes(), b""))
-        return _rows(out)
+        several = np.flatnonzero(~dealt & (counts[inverse] > 1))
+        windows = np.fromiter(map(len, contents), np.int64, len(contents)) - LENGTH + 1
+        begins = np.cumsum(windows) - windows
+        least = np.repeat(first, windows)
+        listed = np.array(sorted(several.tolist(), key=contents.__getitem__), np.int64)
+        for x, found in zip(begins[listed].tolist(), smallest_documents([contents[i] for i in listed.tolist()], first[listed])):
+            least[x : x + len(found)] = found
+        n = windows[at]
+        ends = np.cumsum(n)
+        bits = least[np.repeat(begins[at] - (ends - n), n) + np.arange(n.sum())] < np.repeat(own, n)
+        rows = ends[np.cumsum([*map(len, parts)]) - 1].tolist()
+        return _rows(
+            [
+                (group, bucket, _BITS, np.packbits(bits[x:y]).tobytes(), b"")
+                for group, bucket, x, y in zip(table.column("group").to_pylist(), table.column("bucket").to_pylist(), [0, *rows], rows)
+            ]
+        )
 
     def cut(table: pa.Table, answers: pa.Table) -> pa.Table:
         if not table.num_rows:

@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 
 from strata.llm import queries, runindex
 from strata.llm.runindex import LENGTH
@@ -110,6 +111,21 @@ def test_a_passage_in_many_documents_fills_no_bucket(spark, monkeypatch):
     assert largest[1] < 1.5 * largest[0]
 
 
+def test_short_texts_get_their_segments_many_at_a_time(monkeypatch):
+    rng, calls, real = random.Random(5), [], runindex.segments
+    texts = ["".join(rng.choice("abc ") for _ in range(rng.choice((0, 20, 49, 50, 51, 90, 400)))) for _ in range(300)] + ["ab" * 30_000, "", "é" * 70]
+    rng.shuffle(texts)
+    monkeypatch.setattr(runindex, "segments", lambda *a: calls.append(1) or real(*a))
+    group = runindex.Group(pa.table({"id": list(range(len(texts))), "text": texts}))
+    assert len(calls) <= 6
+    for i, text in enumerate(texts):
+        own = group.doc == i
+        got = zip(group.hash[own].tolist(), group.start[own].tolist(), group.windows[own].tolist())
+        assert list(got) == list(zip(*(x.tolist() for x in real(np.frombuffer(text.encode(), np.uint8)))))
+        data = text.encode()
+        assert group.bytes_of(np.flatnonzero(own)) == [data[s : s + n + LENGTH - 1] for s, n in zip(group.start[own], group.windows[own])]
+
+
 def test_bits_are_placed_some_segments_at_a_time(spark, monkeypatch):
     monkeypatch.setattr(runindex, "SEGMENTS", 3)
     rng = random.Random(9)
