@@ -6,7 +6,7 @@ All query texts run as one job and one plan, however many they are:
   vectors on ``pos`` — only shared words multiply — and the dot products are summed per
   (query, document).  Query vectors within Spark's broadcast threshold leave TF-IDF in
   place, and its hash-partitioning by doc_id already satisfies the sums;
-* ``knn_neighbors`` needs the best alone: one narrow pass over packed vectors
+* ``knn_neighbors`` and ``top_scores`` need the best alone: one narrow pass over packed vectors
   (``strata.operators.vectors``) sums in arrays, and k rows per query leave a task;
 * top-k per query has two stages: the best rows per hash part, then per query.
 
@@ -62,13 +62,17 @@ def _unit(df: DataFrame, key: str, value: str) -> DataFrame:
     return df.withColumn(value, F.coalesce(F.try_divide(F.col(value), norm), F.lit(0.0)))
 
 
-def score_documents(tfidf: DataFrame, qs: QuerySet, metric: str = "cosine") -> DataFrame:
+def score_documents(tfidf: DataFrame, qs: QuerySet, metric: str = "cosine", k: int | None = None) -> DataFrame:
     """(query_id, doc_id, score) for every pair sharing at least one position.
 
-    ``dot``: Σ v·q.  ``cosine``: Σ v·q / (‖v‖ ‖q‖), 0 when a norm is 0.  A step of the
-    top-k queries: written out, it has a row for nearly every pair."""
+    ``dot``: Σ v·q.  ``cosine``: Σ v·q / (‖v‖ ‖q‖), 0 when a norm is 0.  Written out, it has
+    a row for nearly every pair.  With ``k`` the sums are made in arrays, and only rows
+    that can be among the k best of a query (ties by doc_id) leave a task."""
     if metric not in METRICS:
         raise ValueError(f"metric must be one of {METRICS}")
+    if k is not None:
+        packed = pack_vectors(tfidf.select("doc_id", "pos", "value"))
+        return best_documents(packed, qs.vectors, k, metric == "cosine", zeros=True)
     docs = tfidf.select("doc_id", "pos", "value")
     queries = qs.vectors.select("query_id", "pos", F.col("value").alias("q"))
     if metric == "cosine":  # unit vectors: the sums carry no norms
@@ -80,7 +84,7 @@ def score_documents(tfidf: DataFrame, qs: QuerySet, metric: str = "cosine") -> D
 def top_scores(tfidf: DataFrame, qs: QuerySet, k: int = 10, metric: str = "cosine") -> DataFrame:
     """The k best scores of each query among documents that share a word with it:
     (query_id, doc_id, score), score rounded to 9 decimals, ties by doc_id."""
-    scored = score_documents(tfidf, qs, metric).select("query_id", "doc_id", round_score("score").alias("score"))
+    scored = score_documents(tfidf, qs, metric, k).select("query_id", "doc_id", round_score("score").alias("score"))
     best = top_n_per_group(scored, "query_id", k, [F.col("score").desc(), F.col("doc_id").asc()])
     return best.select("query_id", "doc_id", "score")
 

@@ -39,7 +39,9 @@ class Queries:
     """A block of query vectors as postings by position."""
 
     def __init__(self, table: pa.Table, cosine: bool):
-        ids, row = np.unique(table.column("query_id").to_numpy(zero_copy_only=False), return_inverse=True)
+        names = pa.concat_arrays(table.column("query_id").chunks or [pa.array([], table.schema.field("query_id").type)])
+        names = names.dictionary_encode(null_encoding="encode")
+        ids, row = names.dictionary, names.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         pos, value = (table.column(c).to_numpy() for c in ("pos", "value"))
         order = np.argsort(pos, kind="stable")
         self.ids, self.row, self.pos, self.value = ids, row[order], pos[order].astype(np.int64), value[order].astype(np.float64)
@@ -50,7 +52,7 @@ class Queries:
 
 
 class Best:
-    """The k best documents of each query so far: score falling, then id."""
+    """The k best documents of each query so far: score falling, then id, null first."""
 
     def __init__(self, n: int, k: int):
         self.k, self.rows, self.least = k, [[] for _ in range(n)], np.zeros(n)
@@ -59,21 +61,22 @@ class Best:
         if len(scores) > self.k:
             keep = scores >= np.partition(scores, -self.k)[-self.k]
             scores, ids = scores[keep], ids[keep]
-        rows = self.rows[query] + list(zip((-scores).tolist(), ids.tolist()))
+        rows = self.rows[query] + [(s, i is not None, i) for s, i in zip((-scores).tolist(), ids.tolist())]
         self.rows[query] = sorted(rows)[: self.k]
         if len(self.rows[query]) == self.k:
             self.least[query] = -self.rows[query][-1][0]
 
 
-def search(batches: Iterator[pa.RecordBatch], queries: Queries, k: int, cosine: bool) -> tuple[Best, int]:
+def search(batches: Iterator[pa.RecordBatch], queries: Queries, k: int, cosine: bool, zeros: bool = False) -> tuple[Best, int]:
     """The best documents of a task's batches (doc_id, pos[], value[]), and how many
-    products were summed for them."""
+    products were summed for them.  With ``zeros`` scores of 0 count too, of documents
+    that share a position with the query."""
     best, summed, n = Best(len(queries.ids), k), 0, len(queries.ids)
     every = np.bincount(queries.pos, minlength=queries.positions + 1)
     for batch in batches:
         sizes = batch.column(1).value_lengths().to_numpy(zero_copy_only=False)
         pos, value = (batch.column(i).flatten().to_numpy(zero_copy_only=False) for i in (1, 2))
-        ids = batch.column(0).to_numpy(zero_copy_only=False)
+        ids = np.array(batch.column(0).to_pylist(), object) if batch.column(0).null_count else batch.column(0).to_numpy(zero_copy_only=False)
         doc = np.repeat(np.arange(len(ids)), sizes)
         if cosine:
             norm = np.sqrt(np.bincount(doc, value**2, len(ids)))[doc]
@@ -104,19 +107,23 @@ def search(batches: Iterator[pa.RecordBatch], queries: Queries, k: int, cosine:
             within = np.arange(total) - np.repeat(np.cumsum(times) - times, times)
             at = np.repeat(start[p], times) + within
             docs = last - first
-            scores = np.bincount(row[at] * docs + np.repeat(d, times), np.repeat(v, times) * weight[at], n * docs)
+            cell = row[at] * docs + np.repeat(d, times)
+            scores = np.bincount(cell, np.repeat(v, times) * weight[at], n * docs)
             scores = np.round(scores, DIGITS).reshape(n, docs)
             hits = scores >= np.maximum(best.least, 10.0**-DIGITS / 2)[:, None]
+            if zeros and (wanting := best.least == 0).any():
+                hits |= (np.bincount(cell, minlength=n * docs) > 0).reshape(n, docs) & wanting[:, None]
             for q in np.flatnonzero(hits.any(axis=1)).tolist():
                 mine = np.flatnonzero(hits[q])
                 best.add(q, scores[q, mine], ids[first + mine])
     return best, summed
 
 
-def best_documents(packed: DataFrame, vectors: DataFrame, k: int, cosine: bool) -> DataFrame:
+def best_documents(packed: DataFrame, vectors: DataFrame, k: int, cosine: bool, zeros: bool = False) -> DataFrame:
     """(query_id, doc_id, score) of the k best scores above 0 of each query and task, rounded to
     DIGITS, ties by doc_id.  The k best of a query are among them; a last ranking by query
-    takes them.  ``vectors`` (query_id, pos, value) is read block by block."""
+    takes them.  ``vectors`` (query_id, pos, value) is read block by block.  ``zeros`` as
+    in ``search``."""
     vectors = vectors.select("query_id", "pos", "value")
     types = [packed.schema["doc_id"].dataType.simpleString(), vectors.schema["query_id"].dataType.simpleString()]
     blocks = max(1, -(-vectors.count() // QUERY_ENTRIES))
@@ -134,11 +141,11 @@ def best_documents(packed: DataFrame, vectors: DataFrame, k: int, cosine: bool)
                     schema = batch.schema
                     yield batch
 
-            done, _ = search(seen(), queries, k, cosine)
-            rows = [(q, doc_id, -score) for q, some in enumerate(done.rows) for score, doc_id in some]
+            done, _ = search(seen(), queries, k, cosine, zeros)
+            rows = [(q, doc_id, -score) for q, some in enumerate(done.rows) for score, _, doc_id in some]
             if rows:
                 at, ids, scores = zip(*rows)
-                names = pa.array(queries.ids[list(at)])
+                names = queries.ids.take(pa.array(at))
                 yield pa.RecordBatch.from_arrays([names, pa.array(ids, schema.field(0).type), pa.array(scores, pa.float64())], ["query_id", "doc_id", "score"])
 
         part = packed.select("doc_id", "pos", "value").mapInArrow(run, f"query_id {types[1]}, doc_id {types[0]}, score double")

@@ -194,3 +194,24 @@ def test_the_same_plan_as_a_shuffle_join_matches_brute_force(spark, metric):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     assert got[4] == _brute_force(doc_words, query_words, 25, 4, metric)
     assert got[1000] == _brute_force(doc_words, query_words, 25, 1000, metric)
+
+
+def test_top_scores_sum_in_arrays_and_keep_zero_scores(spark):
+    rnd = random.Random(7)
+    rows = [(f"d{i:02}", p, rnd.random()) for i in range(30) for p in rnd.sample(range(20), 5)]
+    rows += [(f"e{i}", 50, 0.0) for i in range(6)]  # a position of idf 0
+    rows += [(None, 50, 0.0), (None, 3, 0.5), ("z", 7, 1.0), ("y", 7, 1.0)]
+    vecs = [(f"q{i}", p, rnd.random()) for i in range(5) for p in rnd.sample(range(25), 3)]
+    vecs += [("zero", 50, 0.0), ("few", 50, 0.0), ("few", 7, 1.0), (None, 7, 1.0), ("none", 99, 1.0)]
+    tfidf = spark.createDataFrame(rows, "doc_id string, pos bigint, value double")
+    qs = knn.QuerySet(spark.createDataFrame(vecs, "query_id string, pos bigint, value double"))
+    for metric in knn.METRICS:
+        for k in (4, 12):
+            want, found = {}, knn.top_scores(tfidf, qs, k, metric)
+            for r in knn.score_documents(tfidf, qs, metric).collect():
+                want.setdefault(r.query_id, []).append((-round(r.score, 9), r.doc_id is not None, r.doc_id))
+            want = sorted((str(q), str(d), -s) for q, some in want.items() for s, _, d in sorted(some)[:k])
+            got = sorted((str(r.query_id), str(r.doc_id), r.score) for r in found.collect())
+            assert [x[:2] for x in got] == [x[:2] for x in want] and "zero" in {q for q, *_ in got}
+            assert [s for *_, s in got] == pytest.approx([s for *_, s in want], abs=1e-9)
+            assert "Join" not in found._jdf.queryExecution().executedPlan().toString()
