@@ -28,7 +28,7 @@ from strata.functions.numeric import round_score
 from strata.functions.text import tokenize
 from strata.operators.common import GROUP_PARTS, top_n, top_n_per_group
 from strata.operators.text import term_frequency
-from strata.operators.vectors import best_documents, pack_vectors
+from strata.operators.vectors import Packed, best_documents, pack_vectors
 from strata.session import Scratch
 
 
@@ -62,16 +62,19 @@ def _unit(df: DataFrame, key: str, value: str) -> DataFrame:
     return df.withColumn(value, F.coalesce(F.try_divide(F.col(value), norm), F.lit(0.0)))
 
 
-def score_documents(tfidf: DataFrame, qs: QuerySet, metric: str = "cosine", k: int | None = None) -> DataFrame:
+def score_documents(
+    tfidf: DataFrame, qs: QuerySet, metric: str = "cosine", k: int | None = None, packed: Packed | None = None
+) -> DataFrame:
     """(query_id, doc_id, score) for every pair sharing at least one position.
 
     ``dot``: Σ v·q.  ``cosine``: Σ v·q / (‖v‖ ‖q‖), 0 when a norm is 0.  Written out, it has
     a row for nearly every pair.  With ``k`` the sums are made in arrays, and only rows
-    that can be among the k best of a query (ties by doc_id) leave a task."""
+    that can be among the k best of a query (ties by doc_id) leave a task; they read
+    ``packed``, the same vectors with one row per document, where these are stored."""
     if metric not in METRICS:
         raise ValueError(f"metric must be one of {METRICS}")
     if k is not None:
-        packed = pack_vectors(tfidf.select("doc_id", "pos", "value"))
+        packed = packed or Packed(pack_vectors(tfidf.select("doc_id", "pos", "value")))
         return best_documents(packed, qs.vectors, k, metric == "cosine", zeros=True)
     docs = tfidf.select("doc_id", "pos", "value")
     queries = qs.vectors.select("query_id", "pos", F.col("value").alias("q"))
@@ -81,10 +84,12 @@ def score_documents(tfidf: DataFrame, qs: QuerySet, metric: str = "cosine", k: i
     return sums.agg(F.sum(F.col("value") * F.col("q")).alias("score"))
 
 
-def top_scores(tfidf: DataFrame, qs: QuerySet, k: int = 10, metric: str = "cosine") -> DataFrame:
+def top_scores(
+    tfidf: DataFrame, qs: QuerySet, k: int = 10, metric: str = "cosine", packed: Packed | None = None
+) -> DataFrame:
     """The k best scores of each query among documents that share a word with it:
     (query_id, doc_id, score), score rounded to 9 decimals, ties by doc_id."""
-    scored = score_documents(tfidf, qs, metric, k).select("query_id", "doc_id", round_score("score").alias("score"))
+    scored = score_documents(tfidf, qs, metric, k, packed).select("query_id", "doc_id", round_score("score").alias("score"))
     best = top_n_per_group(scored, "query_id", k, [F.col("score").desc(), F.col("doc_id").asc()])
     return best.select("query_id", "doc_id", "score")
 
@@ -95,17 +100,22 @@ def knn_neighbors(
     k: int = 10,
     metric: str = "cosine",
     restrict_to: DataFrame | None = None,
+    packed: Packed | None = None,
 ) -> DataFrame:
     """Top-k documents per query: (query_id, rank, doc_id, score), score rounded
-    to 9 decimals, ties by doc_id.  ``restrict_to`` (doc_id) limits the candidates."""
+    to 9 decimals, ties by doc_id.  ``restrict_to`` (doc_id) limits the candidates.
+    ``packed`` as in ``score_documents``."""
     if restrict_to is not None:
         # Whole documents drop out, so document norms are unchanged; the semi join
         # keeps TF-IDF's partitioning by doc_id and shrinks the scoring work.
-        tfidf = tfidf.join(restrict_to.select("doc_id").distinct(), "doc_id", "left_semi")
+        wanted = restrict_to.select("doc_id").distinct()
+        tfidf = tfidf.join(wanted, "doc_id", "left_semi")
+        packed = packed and packed._replace(rows=packed.rows.join(wanted, "doc_id", "left_semi"))
     if metric not in METRICS:
         raise ValueError(f"metric must be one of {METRICS}")
-    scored = best_documents(pack_vectors(tfidf.select("doc_id", "pos", "value")), qs.vectors, k, metric == "cosine")
-    candidates = tfidf.select("doc_id").distinct()
+    candidates = packed.rows.select("doc_id") if packed else tfidf.select("doc_id").distinct()
+    packed = packed or Packed(pack_vectors(tfidf.select("doc_id", "pos", "value")))
+    scored = best_documents(packed, qs.vectors, k, metric == "cosine")
 
     # Score-0 fill: the 2k smallest candidate ids, for every query that has a vector.
     first_ids = top_n(candidates, 2 * k, [F.col("doc_id").asc()]).agg(
@@ -141,7 +151,7 @@ def knn_vote_documents(neighbors: DataFrame, links: DataFrame, k: int = 10) -> D
 
 
 def knn_vote_pairs(
-    tfidf: DataFrame, qs: QuerySet, links: DataFrame, k: int = 10, metric: str = "dot"
+    tfidf: DataFrame, qs: QuerySet, links: DataFrame, k: int = 10, metric: str = "dot", packed: Packed | None = None
 ) -> DataFrame:
     """Pair voting: rank (category, document) pairs by the document's score, take
     the top k pairs, count them per category; top ``k`` categories per query.
@@ -149,7 +159,7 @@ def knn_vote_pairs(
     Only documents with a link form pairs.  The top k pairs come from the top k
     linked documents (each has ≥ 1 link), so only their links are joined — the
     vectors are never multiplied by categories."""
-    top_docs = knn_neighbors(tfidf, qs, k, metric, restrict_to=links)
+    top_docs = knn_neighbors(tfidf, qs, k, metric, links, packed)
     pairs = links.join(top_docs.select("query_id", "doc_id", "score"), "doc_id")
     top_pairs = top_n_per_group(
         pairs,
@@ -171,10 +181,11 @@ def knn_predict(
     k: int = 10,
     metric: str = "cosine",
     vote: str = "documents",
+    packed: Packed | None = None,
 ) -> DataFrame:
     """Predicted categories per query.  Defaults: cosine, document voting."""
     if vote == "documents":
-        return knn_vote_documents(knn_neighbors(tfidf, qs, k, metric), links, k)
+        return knn_vote_documents(knn_neighbors(tfidf, qs, k, metric, packed=packed), links, k)
     if vote == "pairs":
-        return knn_vote_pairs(tfidf, qs, links, k, metric)
+        return knn_vote_pairs(tfidf, qs, links, k, metric, packed)
     raise ValueError("vote must be 'documents' or 'pairs'")

@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 
 from strata.functions.text import tokenize
 from strata.operators.common import number_rows, top_n
+from strata.operators.vectors import Packed
+from strata.operators.words import batch_word_counts, packed_frequencies, unpacked_frequencies
 from strata.session import Scratch, persist_reliably
 
 # Fixed values of the reference: vocabulary sizes of the corpus and the classifier.
@@ -191,6 +193,12 @@ class TextFeatures(NamedTuple):
     tfidf: DataFrame | None
     k: int
     scratch: Scratch | None
+    packed: DataFrame | None = None  # stored TF: (doc_id, pos[], tf[])
+
+    @property
+    def vectors(self) -> Packed | None:
+        """The TF-IDF vectors, one row per document, where they are stored."""
+        return Packed(self.packed, self.idf) if self.packed is not None and self.idf is not None else None
 
     def release(self) -> None:
         """Drop the stored vocabulary, TF and IDF."""
@@ -208,10 +216,10 @@ def text_features(
 
     The text is tokenized twice: once to count words (vocabulary), once to map
     words to positions.  The reused pieces become tables in the shared checkpoint
-    folder, like a model fit: the vocabulary (≤ K rows), TF (bucketed and sorted by
-    doc_id; read by DF, TF-IDF and scoring) and IDF (≤ K rows).  Later plans read them
-    once and know TF's partitioning, so per-document steps downstream need no
-    shuffle.  ``stored=False`` keeps everything lazy.
+    folder, like a model fit: the vocabulary (≤ K rows), TF (one row per document,
+    bucketed and sorted by doc_id; read by DF, TF-IDF and scoring) and IDF (≤ K rows).
+    Later plans read them once and know TF's partitioning, so per-document steps
+    downstream need no shuffle.  ``stored=False`` keeps everything lazy and in long form.
 
     ``n_docs`` is the N of the IDF (a one-row frame or an int); by default the
     number of rows of ``docs``.  Pass ``corpus_size(lines)`` to count every input
@@ -229,12 +237,17 @@ def text_frequencies(docs: DataFrame, k: int = CORPUS_VOCABULARY, stored: bool =
     """The features without IDF and TF-IDF (None), for callers that don't read them."""
     scratch = Scratch(docs.sparkSession) if stored else None
     tokens = doc_tokens(docs)
-    counts = word_counts(tokens)
-    vocab = build_vocabulary(counts, k)
-    vocab = scratch.table(vocab) if scratch else vocab
-    tf = term_frequency(tokens_to_positions(tokens, vocab))
-    tf = scratch.table(tf, bucket_by="doc_id") if scratch else tf
-    return TextFeatures(tokens, counts, vocab, tf, document_frequency(tf), None, None, k, scratch)
+    if scratch is None:
+        counts = word_counts(tokens)
+        vocab = build_vocabulary(counts, k)
+        tf = term_frequency(tokens_to_positions(tokens, vocab))
+        return TextFeatures(tokens, counts, vocab, tf, document_frequency(tf), None, None, k, None)
+    counts = batch_word_counts(docs)
+    vocab = scratch.table(build_vocabulary(counts, k))
+    packed = scratch.table(packed_frequencies(docs, vocab), bucket_by="doc_id")
+    held = packed.select(F.explode(F.col("pos").cast("array<bigint>")).alias("pos"))
+    tf, doc_freq = unpacked_frequencies(packed), document_frequency(held)
+    return TextFeatures(tokens, counts, vocab, tf, doc_freq, None, None, k, scratch, packed)
 
 
 def featurize(docs: DataFrame, vocab: DataFrame) -> DataFrame:

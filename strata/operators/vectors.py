@@ -17,6 +17,7 @@ A task holds one block's products (ROWS at most, or one document's) and k rows p
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +29,14 @@ ROWS = 1 << 20  # products that a task holds at once
 DIGITS = 9  # scores are compared as rounded to these
 
 
+class Packed(NamedTuple):
+    """Vectors with one row per document.  With ``weights`` (pos, idf; ≤ K rows) a
+    position's value is still to be multiplied by its weight."""
+
+    rows: DataFrame  # (doc_id, pos[], value[]), the last column by any name
+    weights: DataFrame | None = None
+
+
 def pack_vectors(rows: DataFrame) -> DataFrame:
     """Long-form (doc_id, pos, value) → one row per document (doc_id, pos[], value[]).
     No shuffle where the rows are dealt by doc_id; a document has at most K entries."""
@@ -67,7 +76,7 @@ class Best:
             self.least[query] = -self.rows[query][-1][0]
 
 
-def search(batches: Iterator[pa.RecordBatch], queries: Queries, k: int, cosine: bool, zeros: bool = False) -> tuple[Best, int]:
+def search(batches: Iterator[pa.RecordBatch], queries: Queries, k: int, cosine: bool, zeros: bool = False, weight_of: np.ndarray | None = None) -> tuple[Best, int]:
     """The best documents of a task's batches (doc_id, pos[], value[]), and how many
     products were summed for them.  With ``zeros`` scores of 0 count too, of documents
     that share a position with the query."""
@@ -78,6 +87,8 @@ def search(batches: Iterator[pa.RecordBatch], queries: Queries, k: int, cosine:
         pos, value = (batch.column(i).flatten().to_numpy(zero_copy_only=False) for i in (1, 2))
         ids = np.array(batch.column(0).to_pylist(), object) if batch.column(0).null_count else batch.column(0).to_numpy(zero_copy_only=False)
         doc = np.repeat(np.arange(len(ids)), sizes)
+        if weight_of is not None:
+            value = value * weight_of[pos]
         if cosine:
             norm = np.sqrt(np.bincount(doc, value**2, len(ids)))[doc]
             value = np.divide(value, norm, out=np.zeros_like(value), where=norm > 0)
@@ -119,11 +130,21 @@ def search(batches: Iterator[pa.RecordBatch], queries: Queries, k: int, cosine:
     return best, summed
 
 
-def best_documents(packed: DataFrame, vectors: DataFrame, k: int, cosine: bool, zeros: bool = False) -> DataFrame:
+def _weights(weights: DataFrame) -> np.ndarray:
+    table = weights.select("pos", "idf").toArrow()
+    pos, idf = (table.column(c).to_numpy() for c in ("pos", "idf"))
+    dense = np.zeros(int(pos.max()) + 1 if len(pos) else 0)
+    dense[pos] = idf
+    return dense
+
+
+def best_documents(packed: DataFrame | Packed, vectors: DataFrame, k: int, cosine: bool, zeros: bool = False) -> DataFrame:
     """(query_id, doc_id, score) of the k best scores above 0 of each query and task, rounded to
     DIGITS, ties by doc_id.  The k best of a query are among them; a last ranking by query
     takes them.  ``vectors`` (query_id, pos, value) is read block by block.  ``zeros`` as
     in ``search``."""
+    packed = packed if isinstance(packed, Packed) else Packed(packed.select("doc_id", "pos", "value"))
+    packed, weight_of = packed.rows, None if packed.weights is None else _weights(packed.weights)
     vectors = vectors.select("query_id", "pos", "value")
     types = [packed.schema["doc_id"].dataType.simpleString(), vectors.schema["query_id"].dataType.simpleString()]
     blocks = max(1, -(-vectors.count() // QUERY_ENTRIES))
@@ -141,13 +162,13 @@ def best_documents(packed: DataFrame, vectors: DataFrame, k: int, cosine: bool,
                     schema = batch.schema
                     yield batch
 
-            done, _ = search(seen(), queries, k, cosine, zeros)
+            done, _ = search(seen(), queries, k, cosine, zeros, weight_of)
             rows = [(q, doc_id, -score) for q, some in enumerate(done.rows) for score, _, doc_id in some]
             if rows:
                 at, ids, scores = zip(*rows)
                 names = queries.ids.take(pa.array(at))
                 yield pa.RecordBatch.from_arrays([names, pa.array(ids, schema.field(0).type), pa.array(scores, pa.float64())], ["query_id", "doc_id", "score"])
 
-        part = packed.select("doc_id", "pos", "value").mapInArrow(run, f"query_id {types[1]}, doc_id {types[0]}, score double")
+        part = packed.mapInArrow(run, f"query_id {types[1]}, doc_id {types[0]}, score double")
         found = part if found is None else found.unionByName(part)
     return found

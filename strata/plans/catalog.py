@@ -238,28 +238,28 @@ def q_query_vectors(spark: SparkSession, sf: str) -> DataFrame:
 def q_scores_cosine(spark: SparkSession, sf: str) -> DataFrame:
     """The best cosine scores of each query among documents that share a word."""
     c, qs = _knn_inputs(spark, sf)
-    return knn.top_scores(c.tfidf, qs, KNN_K, "cosine")
+    return knn.top_scores(c.tfidf, qs, KNN_K, "cosine", packed=c.vectors)
 
 
 def q_scores_dot(spark: SparkSession, sf: str) -> DataFrame:
     """The best dot products of each query among documents that share a word."""
     c, qs = _knn_inputs(spark, sf)
-    return knn.top_scores(c.tfidf, qs, KNN_K, "dot")
+    return knn.top_scores(c.tfidf, qs, KNN_K, "dot", packed=c.vectors)
 
 
 def q_knn_neighbors(spark: SparkSession, sf: str) -> DataFrame:
     c, qs = _knn_inputs(spark, sf)
-    return knn.knn_neighbors(c.tfidf, qs, KNN_K, "cosine")
+    return knn.knn_neighbors(c.tfidf, qs, KNN_K, "cosine", packed=c.vectors)
 
 
 def q_knn_neighbors_dot(spark: SparkSession, sf: str) -> DataFrame:
     c, qs = _knn_inputs(spark, sf)
-    return knn.knn_neighbors(c.tfidf, qs, KNN_K, "dot")
+    return knn.knn_neighbors(c.tfidf, qs, KNN_K, "dot", packed=c.vectors)
 
 
 def q_knn_vote_documents(spark: SparkSession, sf: str) -> DataFrame:
     c, qs = _knn_inputs(spark, sf)
-    return knn.knn_predict(c.tfidf, qs, views.links_view(spark, sf), KNN_K, "cosine", "documents")
+    return knn.knn_predict(c.tfidf, qs, views.links_view(spark, sf), KNN_K, "cosine", "documents", packed=c.vectors)
 
 
 def q_knn_reference_texts(spark: SparkSession, sf: str) -> DataFrame:
@@ -268,12 +268,12 @@ def q_knn_reference_texts(spark: SparkSession, sf: str) -> DataFrame:
     c = _corpus(spark, sf)
     texts = spark.createDataFrame(REFERENCE_TEXTS, "query_id string, text string")
     qs = knn.query_vectors(texts, c.vocab, c.idf, c.scratch)
-    return knn.knn_predict(c.tfidf, qs, views.links_view(spark, sf), KNN_K, "cosine", "documents")
+    return knn.knn_predict(c.tfidf, qs, views.links_view(spark, sf), KNN_K, "cosine", "documents", packed=c.vectors)
 
 
 def q_knn_vote_pairs(spark: SparkSession, sf: str) -> DataFrame:
     c, qs = _knn_inputs(spark, sf)
-    return knn.knn_predict(c.tfidf, qs, views.links_view(spark, sf), KNN_K, "dot", "pairs")
+    return knn.knn_predict(c.tfidf, qs, views.links_view(spark, sf), KNN_K, "dot", "pairs", packed=c.vectors)
 
 
 # --------------------------------------------------------------------- classifier

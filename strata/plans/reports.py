@@ -63,11 +63,11 @@ def corpus_report(
 
     qs = knn.query_vectors(queries, features.vocab, features.idf, scratch)
     write_result(
-        knn.knn_predict(features.tfidf, qs, link_table, knn_k, "cosine", "documents"),
+        knn.knn_predict(features.tfidf, qs, link_table, knn_k, "cosine", "documents", packed=features.vectors),
         f"{out_dir}/knn_documents", fmt,
     )
     write_result(
-        knn.knn_predict(features.tfidf, qs, link_table, knn_k, "dot", "pairs"),
+        knn.knn_predict(features.tfidf, qs, link_table, knn_k, "dot", "pairs", packed=features.vectors),
         f"{out_dir}/knn_pairs", fmt,
     )
 
